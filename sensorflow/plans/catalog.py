@@ -215,3 +215,482 @@ def q_time_series(spark, sf_dir):
 def q_current_reading(spark, sf_dir):
     cur = current_reading(_measurement_fact(spark, sf_dir))
     return cur.withColumn("timestamp_utc", utc("timestamp_utc"))
+
+
+# -- B2-B8, B11: parsing and projections -------------------------------------
+@register("explode_order_items", """
+    SELECT CAST(o_orderkey AS INTEGER) AS country_id, o_orderstatus AS code,
+           CAST(l_partkey AS INTEGER) AS parameter_id, 'parameter-' || l_partkey AS parameter_name,
+           'ppm' AS parameter_units
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+""")
+def q_explode_order_items(spark, sf_dir):
+    return _country_parameter_rows(spark, sf_dir, keep_empty=False)
+
+
+@register("explode_order_items_outer", """
+    SELECT CAST(o_orderkey AS INTEGER) AS country_id, o_orderstatus AS code,
+           CAST(l_partkey AS INTEGER) AS parameter_id,
+           CASE WHEN l_partkey IS NULL THEN NULL ELSE 'parameter-' || l_partkey END AS parameter_name,
+           CASE WHEN l_partkey IS NULL THEN NULL ELSE 'ppm' END AS parameter_units
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+""")
+def q_explode_order_items_outer(spark, sf_dir):
+    return _country_parameter_rows(spark, sf_dir, keep_empty=True)
+
+
+def _country_parameter_rows(spark, sf_dir, keep_empty):
+    from sensorflow.operators.explode import explode_array
+    from sensorflow.plans.common import parse_object_messages
+    from sensorflow.schemas import COUNTRY
+    env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    c = parse_object_messages(decode_value(env), COUNTRY, "c")
+    rows = explode_array(c, F.col("c.parameters"), "p", keep_empty=keep_empty)
+    return rows.select(F.col("c.id").alias("country_id"), F.col("c.code").alias("code"),
+                       F.col("p.id").alias("parameter_id"), F.col("p.name").alias("parameter_name"),
+                       F.col("p.units").alias("parameter_units"))
+
+
+@register("parse_array_items", """
+    SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name, 'ppm' AS units,
+           upper(p_name) AS displayName, p_type AS description
+    FROM part WHERE p_type <> 'PROMO'
+""")
+def q_parse_array_items(spark, sf_dir):
+    from sensorflow.operators.explode import explode_array
+    from sensorflow.plans.common import parse_array_messages
+    from sensorflow.schemas import PARAMETER
+    env = feeds.parameter_messages(table(spark, sf_dir, "part"), copies=1)
+    arr = parse_array_messages(decode_value(env), PARAMETER, "params")
+    return explode_array(arr, "params", "p").select("p.*")
+
+
+_LOC_SQL = """
+    SELECT c_custkey, c_name, c_mktsegment, c_nationkey, c_acctbal, min(o_orderdate) AS first_ts,
+           max(o_orderdate) AS last_ts, count(o_orderkey) AS n_orders
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey
+    GROUP BY ALL
+"""
+
+
+@register("two_level_explode", """
+    SELECT CAST(c_custkey AS INTEGER) AS location_id, c_nationkey AS country_id,
+           CAST(o_orderkey AS INTEGER) AS sensor_id, o_orderpriority AS sensor_name,
+           CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS parameter_id
+    FROM customer JOIN orders ON o_custkey = c_custkey
+""")
+def q_two_level_explode(spark, sf_dir):
+    from sensorflow.operators.explode import explode_array
+    from sensorflow.plans.dims import location_rows
+    env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
+    locs = location_rows(decode_value(env))
+    return explode_array(locs, "sensors", "s").select(
+        "location_id", "country_id", F.col("s.id").alias("sensor_id"),
+        F.col("s.name").alias("sensor_name"), F.col("s.parameter.id").alias("parameter_id"))
+
+
+@register("map_lookup_cast", """
+    SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS size, p_retailprice AS price,
+           CAST(NULL AS DOUBLE) AS weight
+    FROM part
+""")
+def q_map_lookup_cast(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from sensorflow.functions.casts import cast_double
+    from sensorflow.functions.json import map_lookup, parse_struct
+    part = table(spark, sf_dir, "part")
+    doc = F.to_json(F.struct(F.col("p_partkey").alias("id"),
+                             F.create_map(F.lit("size"), F.col("p_size").cast("double"),
+                                          F.lit("price"), F.col("p_retailprice")).alias("attrs")))
+    schema = T.StructType([T.StructField("id", T.LongType()),
+                           T.StructField("attrs", T.MapType(T.StringType(), T.StringType()))])
+    parsed = part.select(parse_struct(doc, schema).alias("d"))
+    return parsed.select(F.col("d.id").alias("id"),
+                         cast_double(map_lookup("d.attrs", "size")).alias("size"),
+                         cast_double(map_lookup("d.attrs", "price")).alias("price"),
+                         cast_double(map_lookup("d.attrs", "weight")).alias("weight"))
+
+
+@register("conform_casts", """
+    SELECT event_id, CAST(user_id AS INTEGER) AS user_id, CAST(ts AS DATE) AS ts,
+           CAST(event_id AS VARCHAR) AS event_key, event_type
+    FROM events
+""")
+def q_conform_casts(spark, sf_dir):
+    from sensorflow.functions.casts import conform_casts
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type",
+                                               F.col("event_id").alias("event_key"))
+    return conform_casts(ev, {"user_id": "int", "ts": "date", "event_key": "string",
+                              "not_a_column": "int"})
+
+
+# -- C4, C5 ------------------------------------------------------------------
+_PAGE_SQL = """
+    SELECT c.*, n.n_regionkey,
+           row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS pos,
+           count(*) OVER (PARTITION BY c_nationkey) AS found
+    FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+"""
+_LANDED_SQL = """
+    SELECT *, CAST(floor((pos - 1) / 25) AS INTEGER) + 1 AS page,
+           CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 0 THEN NULL
+                ELSE CAST(c_custkey AS INTEGER) END AS rid
+    FROM (""" + _PAGE_SQL + """) p
+    WHERE NOT (n_regionkey = 1 AND CAST(floor((pos - 1) / 25) AS INTEGER) + 1 = CAST(ceil(found / 25) AS INTEGER))
+"""
+
+
+def _page_results(spark, sf_dir):
+    from sensorflow.schemas import LOCATION
+    from sensorflow.sources.pages import flatten_pages
+    pages = feeds.location_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    flat = flatten_pages(pages, LOCATION)
+    return flat.select("entity_id", "page", F.col("result.id").alias("id"),
+                       F.col("result.name").alias("name"), F.col("result.country.id").alias("country_id"))
+
+
+@register("flatten_pages", """
+    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, c_nationkey AS country_id
+    FROM (""" + _LANDED_SQL + """) l
+""")
+def q_flatten_pages(spark, sf_dir):
+    return _page_results(spark, sf_dir)
+
+
+@register("page_coverage", """
+    SELECT c_nationkey AS entity_id, count(DISTINCT page) AS pages, max(page) AS max_page,
+           max(found) AS found, CAST(25 AS BIGINT) AS page_limit, max(found) <= 25 * max(page) AS complete
+    FROM (""" + _LANDED_SQL + """) l
+    GROUP BY c_nationkey
+""")
+def q_page_coverage(spark, sf_dir):
+    from sensorflow.sources.pages import page_coverage
+    pages = feeds.location_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    return page_coverage(pages)
+
+
+@register("skip_missing_id", """
+    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, c_nationkey AS country_id
+    FROM (""" + _LANDED_SQL + """) l
+    WHERE rid IS NOT NULL AND rid <> 0
+""")
+def q_skip_missing_id(spark, sf_dir):
+    from sensorflow.operators.filters import skip_missing_id
+    return skip_missing_id(_page_results(spark, sf_dir), "id")
+
+
+@register("select_country", """
+    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, c_nationkey AS country_id
+    FROM (""" + _LANDED_SQL + """) l
+    WHERE c_nationkey = 22
+""")
+def q_select_country(spark, sf_dir):
+    from sensorflow.operators.filters import select_country
+    return select_country(_page_results(spark, sf_dir), "country_id", 22)
+
+
+@register("first_result", """
+    SELECT p_partkey AS entity_id, CAST(p_partkey AS INTEGER) AS id, p_name AS name
+    FROM part WHERE p_size >= 8
+""")
+def q_first_result(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from sensorflow.sources.pages import first_result
+    result = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    res = first_result(feeds.part_responses(table(spark, sf_dir, "part")), result)
+    return res.select("entity_id", "result.id", "result.name")
+
+
+@register("landed_to_messages", """
+    SELECT rid AS id, c_name AS name, c_nationkey AS country_id
+    FROM (""" + _LANDED_SQL + """) l
+    WHERE rid IS NOT NULL AND rid <> 0 AND c_nationkey = 22
+""")
+def q_landed_to_messages(spark, sf_dir):
+    from sensorflow.functions.json import parse_struct
+    from sensorflow.plans.ingest import landed_to_messages
+    from sensorflow.schemas import LOCATION
+    pages = feeds.location_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
+    env = landed_to_messages(pages, LOCATION, country_id=22)
+    parsed = decode_value(env).select(parse_struct("value", LOCATION).alias("l"))
+    return parsed.select(F.col("l.id").alias("id"), F.col("l.name").alias("name"),
+                         F.col("l.country.id").alias("country_id"))
+
+
+# -- D1-D5, E1-E5 -------------------------------------------------------------
+@register("enrich_left", """
+    SELECT CAST(l_orderkey AS INTEGER) AS country_id, CAST(l_partkey AS INTEGER) AS parameter_id,
+           'parameter-' || l_partkey AS name,
+           CASE WHEN p_type <> 'PROMO' THEN upper(p_name) END AS display_name,
+           CASE WHEN p_type <> 'PROMO' THEN p_type END AS description
+    FROM lineitem LEFT JOIN part ON p_partkey = l_partkey
+""")
+def q_enrich_left(spark, sf_dir):
+    from sensorflow.operators.explode import explode_array
+    from sensorflow.operators.joins import enrich_left
+    from sensorflow.plans.common import parse_object_messages
+    from sensorflow.plans.dims import parameter_dimension
+    from sensorflow.schemas import COUNTRY
+    env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    c = parse_object_messages(decode_value(env), COUNTRY, "c")
+    rows = explode_array(c, F.col("c.parameters"), "p").select(
+        F.col("c.id").alias("country_id"), F.col("p.id").alias("parameter_id"),
+        F.col("p.name").alias("name"), F.col("p.displayName").alias("display_name"))
+    dim = parameter_dimension(decode_value(feeds.parameter_messages(table(spark, sf_dir, "part"))))
+    return enrich_left(rows, dim, "parameter_id", "id",
+                       {"display_name": "displayName", "description": "description"})
+
+
+@register("referenced_dim_rows", """
+    SELECT * FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)
+""")
+def q_referenced_dim_rows(spark, sf_dir):
+    from sensorflow.operators.aggregates import collect_ids
+    from sensorflow.operators.joins import referenced_dim_rows
+    from sensorflow.plans.common import parse_object_messages
+    from sensorflow.schemas import COUNTRY
+    env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    c = parse_object_messages(decode_value(env), COUNTRY, "c")
+    ids = collect_ids(c.select(F.col("c.parameters").alias("parameters")), "parameters")
+    return referenced_dim_rows(table(spark, sf_dir, "part"), ids.withColumn("id", F.col("id").cast("bigint")),
+                               "p_partkey", "id")
+
+
+@register("dedupe_by_key", """
+    SELECT event_id, ts, user_id, event_type, value, props FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def q_dedupe_by_key(spark, sf_dir):
+    from sensorflow.operators.dedupe import dedupe_by_key
+    return dedupe_by_key(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"])
+
+
+_UPSERT_CTE = """
+    WITH t AS (SELECT event_id, ts, user_id, event_type, value FROM events
+               WHERE ts < TIMESTAMP '2024-01-19 00:00:00'),
+         s AS (SELECT event_id, ts, user_id, event_type,
+                      CASE WHEN event_type = 'error' THEN NULL ELSE value + 1 END AS value
+               FROM events WHERE ts >= TIMESTAMP '2024-01-13 00:00:00')
+"""
+
+
+def _upsert_inputs(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    target = ev.filter(F.col("ts") < F.lit("2024-01-19 00:00:00").cast("timestamp_ntz"))
+    source = ev.filter(F.col("ts") >= F.lit("2024-01-13 00:00:00").cast("timestamp_ntz")).withColumn(
+        "value", F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value") + 1))
+    return target, source
+
+
+@register("upsert_merge", _UPSERT_CTE + """
+    SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.event_id = t.event_id)
+    UNION ALL SELECT * FROM s
+""")
+def q_upsert_merge(spark, sf_dir):
+    from sensorflow.operators.upsert import upsert
+    target, source = _upsert_inputs(spark, sf_dir)
+    return upsert(target, source, "event_id")
+
+
+@register("upsert_counts", _UPSERT_CTE + """
+    SELECT count(*) FILTER (WHERE t.event_id IS NULL) AS inserts,
+           count(*) FILTER (WHERE t.event_id IS NOT NULL) AS updates
+    FROM s LEFT JOIN t ON t.event_id = s.event_id
+""")
+def q_upsert_counts(spark, sf_dir):
+    from sensorflow.operators.upsert import upsert_counts
+    target, source = _upsert_inputs(spark, sf_dir)
+    return upsert_counts(target, source, "event_id")
+
+
+@register("keyed_table_upsert", _UPSERT_CTE + """
+    SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.event_id = t.event_id)
+    UNION ALL SELECT * FROM s
+""")
+def q_keyed_table_upsert(spark, sf_dir):
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.keyed_table import KeyedTable
+    target, source = _upsert_inputs(spark, sf_dir)
+    kt = KeyedTable(spark, scratch_path(spark, "keyed-events"), "event_id", buckets=16)
+    kt.upsert(target)
+    kt.upsert(source)
+    return kt.read()
+
+
+@register("offset_bounds", """
+    SELECT 'measurements' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
+           min(event_id) AS low, max(event_id) + 1 AS high
+    FROM events GROUP BY 2
+""")
+def q_offset_bounds(spark, sf_dir):
+    from sensorflow.operators.aggregates import offset_bounds
+    return offset_bounds(feeds.measurement_messages(table(spark, sf_dir, "events")))
+
+
+# -- F1-F5: constraints -----------------------------------------------------
+@register("fk_orphans", """
+    SELECT event_id, user_id FROM events
+    WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = user_id)
+""")
+def q_fk_orphans(spark, sf_dir):
+    from sensorflow.operators.constraints import check_foreign_key
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    return check_foreign_key(ev, "user_id", table(spark, sf_dir, "supplier"), "s_suppkey")
+
+
+@register("check_primary_key", """
+    SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+    GROUP BY ALL HAVING count(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL
+""")
+def q_check_primary_key(spark, sf_dir):
+    from sensorflow.operators.constraints import check_primary_key
+    return check_primary_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("check_not_null", """
+    SELECT 'location_table' AS "table", 'not_null:name' AS rule, CAST(c_custkey AS INTEGER) AS location_id
+    FROM customer WHERE c_mktsegment = 'BUILDING'
+""")
+def q_check_not_null(spark, sf_dir):
+    from sensorflow.operators.constraints import validate
+    from sensorflow.schemas import LOCATION_TABLE
+    loc = _fixture_locations(spark, sf_dir).withColumn(
+        "name", F.when(F.col("locality") == "BUILDING", F.lit(None)).otherwise(F.col("name")))
+    _, quarantine = validate(loc, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)},
+                             with_columns=True)
+    return quarantine.select("table", "rule", "location_id")
+
+
+@register("check_max_length", """
+    SELECT 'country' AS "table", 'max_length:code' AS rule, p_partkey AS id
+    FROM part WHERE length(p_name) > 10
+""")
+def q_check_max_length(spark, sf_dir):
+    from sensorflow.operators.constraints import validate
+    from sensorflow.schemas import COUNTRY_TABLE
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("code"),
+                                              F.col("p_brand").alias("name"))
+    valid, quarantine = validate(rows, COUNTRY_TABLE, with_columns=True)
+    return quarantine.select("table", "rule", "id")
+
+
+@register("check_valid_rows", """
+    SELECT p_partkey AS id, p_name AS code, p_brand AS name FROM part WHERE length(p_name) <= 10
+""")
+def q_check_valid_rows(spark, sf_dir):
+    from sensorflow.operators.constraints import validate
+    from sensorflow.schemas import COUNTRY_TABLE
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("code"),
+                                              F.col("p_brand").alias("name"))
+    valid, _ = validate(rows, COUNTRY_TABLE)
+    return valid
+
+
+# -- A8-A11: publishing -----------------------------------------------------
+@register("publish_rows", "SELECT * FROM orders")
+def q_publish_rows(spark, sf_dir):
+    from sensorflow.functions.json import parse_struct
+    from sensorflow.sources.publish import publish_rows
+    orders = table(spark, sf_dir, "orders")
+    env = publish_rows(orders, "orders", offset="o_orderkey", key="o_custkey", partitions=3)
+    return decode_value(env).select(parse_struct("value", orders.schema).alias("o")).select("o.*")
+
+
+@register("publish_array", "SELECT * FROM lineitem")
+def q_publish_array(spark, sf_dir):
+    from pyspark.sql import types as T
+
+    from sensorflow.operators.explode import explode_array
+    from sensorflow.plans.common import parse_array_messages
+    from sensorflow.sources.publish import publish_array
+    li = table(spark, sf_dir, "lineitem")
+    env = publish_array(li, "lineitem", group=["l_orderkey"], chunk=F.floor(F.col("l_linenumber") / 64),
+                        offset="l_orderkey")
+    arr = parse_array_messages(decode_value(env), T.StructType(li.schema.fields), "items")
+    return explode_array(arr, "items", "i").select("i.*")
+
+
+@register("publish_if_empty", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'")
+def q_publish_if_empty(spark, sf_dir):
+    from sensorflow.functions.json import parse_struct
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.envelope import file_topic_source
+    from sensorflow.sources.publish import publish_if_empty, publish_rows
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    path = scratch_path(spark, "topic-orders")
+    first = publish_if_empty(spark, publish_rows(orders.filter(F.col("o_orderstatus") == "F"), "orders",
+                                                 offset="o_orderkey"), path)
+    second = publish_if_empty(spark, publish_rows(orders, "orders", offset="o_orderkey"), path)
+    if not first or second:
+        raise AssertionError(f"publish_if_empty: first={first} second={second}")
+    env = file_topic_source(spark, path)
+    return decode_value(env).select(parse_struct("value", orders.schema).alias("o")).select("o.*")
+
+
+# -- I1, I2: dimension jobs ---------------------------------------------------
+@register("country_parameter_dims", """
+    SELECT 'country' AS table_name, o_orderkey AS "key", o_orderpriority AS name, o_orderstatus AS code,
+           CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS display_name,
+           CAST(NULL AS VARCHAR) AS description, o_orderdate AS datetime_first,
+           o_orderdate + INTERVAL 1 DAY AS datetime_last
+    FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+    UNION ALL
+    SELECT 'parameter', l_partkey, 'parameter-' || l_partkey, NULL, 'ppm',
+           CASE WHEN p_type <> 'PROMO' THEN upper(p_name) END,
+           CASE WHEN p_type <> 'PROMO' THEN p_type END, NULL, NULL
+    FROM (SELECT DISTINCT l_partkey FROM lineitem) l LEFT JOIN part ON p_partkey = l_partkey
+""")
+def q_country_parameter_dims(spark, sf_dir):
+    from sensorflow.plans.dims import country_parameter_dims
+    country_env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    param_env = feeds.parameter_messages(table(spark, sf_dir, "part"))
+    country, parameter = country_parameter_dims(decode_value(country_env), decode_value(param_env))
+    nul = F.lit(None).cast("string")
+    c = country.select(F.lit("country").alias("table_name"), F.col("id").cast("bigint").alias("key"),
+                       "name", "code", nul.alias("unit"), nul.alias("display_name"), nul.alias("description"),
+                       utc("datetimeFirst").alias("datetime_first"), utc("datetimeLast").alias("datetime_last"))
+    p = parameter.select(F.lit("parameter").alias("table_name"), F.col("parameter_id").cast("bigint").alias("key"),
+                         "name", nul.alias("code"), "unit", "display_name", "description",
+                         F.lit(None).cast("timestamp_ntz").alias("datetime_first"),
+                         F.lit(None).cast("timestamp_ntz").alias("datetime_last"))
+    return c.unionByName(p)
+
+
+@register("location_sensor_dims", """
+    SELECT 'location_table' AS table_name, CAST(c_custkey AS INTEGER) AS "key", c_name AS name,
+           c_mktsegment AS locality, c_nationkey AS country_id, c_acctbal / 100.0 AS latitude,
+           CAST(c_nationkey * 1.5 AS DOUBLE) AS longitude, 'Europe/Paris' AS timezone,
+           first_ts AS datetime_first_utc, first_ts + INTERVAL 1 HOUR AS datetime_first_local,
+           last_ts AS datetime_last_utc, last_ts + INTERVAL 1 HOUR AS datetime_last_local,
+           CAST(NULL AS INTEGER) AS parameter_id, CAST(NULL AS INTEGER) AS location_id
+    FROM (""" + _LOC_SQL + """) l WHERE n_orders > 0
+    UNION ALL
+    SELECT 'sensor', CAST(o_orderkey AS INTEGER), o_orderpriority, NULL, NULL, NULL, NULL, NULL,
+           NULL, NULL, NULL, NULL, CAST(substr(o_orderpriority, 1, 1) AS INTEGER), CAST(o_custkey AS INTEGER)
+    FROM orders
+""")
+def q_location_sensor_dims(spark, sf_dir):
+    from sensorflow.operators.constraints import validate
+    from sensorflow.plans.dims import location_sensor_dims
+    from sensorflow.schemas import LOCATION_TABLE, SENSOR_TABLE
+    env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
+    location, sensor = location_sensor_dims(decode_value(env))
+    # parents first -- country, then location, then sensor
+    location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)})
+    sensor, _ = validate(sensor, SENSOR_TABLE, {"location_table": location})
+    nul_i, nul_s, nul_d = (F.lit(None).cast(t) for t in ("int", "string", "double"))
+    nul_t = F.lit(None).cast("timestamp_ntz")
+    loc = location.select(
+        F.lit("location_table").alias("table_name"), F.col("location_id").alias("key"), "name", "locality",
+        "country_id", "latitude", "longitude", "timezone",
+        utc("datetime_first_utc").alias("datetime_first_utc"), "datetime_first_local",
+        utc("datetime_last_utc").alias("datetime_last_utc"), "datetime_last_local",
+        nul_i.alias("parameter_id"), nul_i.alias("location_id"))
+    sen = sensor.select(
+        F.lit("sensor").alias("table_name"), F.col("sensor_id").alias("key"), "name", nul_s.alias("locality"),
+        nul_i.alias("country_id"), nul_d.alias("latitude"), nul_d.alias("longitude"), nul_s.alias("timezone"),
+        nul_t.alias("datetime_first_utc"), nul_t.alias("datetime_first_local"),
+        nul_t.alias("datetime_last_utc"), nul_t.alias("datetime_last_local"), "parameter_id", "location_id")
+    return loc.unionByName(sen)

@@ -133,10 +133,70 @@ def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1
 def location_messages(customer: DataFrame, orders: DataFrame, per_message: int = 100) -> DataFrame:
     """Arrays of location objects, grouped by nation and customer-key range."""
     docs = location_docs(customer, orders)
+    docs = docs.select("c_nationkey", "c_custkey", "chunk", F.to_json("loc").alias("loc_json"))
     grouped = (docs.groupBy("c_nationkey", F.floor(F.col("c_custkey") / per_message).alias("grp"), "chunk")
-               .agg(F.sort_array(F.collect_list(F.struct("c_custkey", "loc"))).alias("items"),
+               .agg(F.sort_array(F.collect_list(F.struct("c_custkey", "loc_json"))).alias("items"),
                     F.min("c_custkey").alias("first_key")))
-    value = F.to_json(F.transform("items", lambda x: x["loc"]))
+    value = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["loc_json"]), ","), F.lit("]"))
     return to_envelope(grouped, value, "locations",
                        offset=F.col("first_key") * 1000 + F.col("chunk"),
                        timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+
+
+# -- landed API pages -------------------------------------------------------
+def position_within(df: DataFrame, group: str, key: str, width: int = 100_000) -> DataFrame:
+    """1-based position ``_pos`` of ``key`` (unique within ``group``) in key order.
+
+    Skew-safe: rows are counted per key range of ``width``, prefix sums run
+    over those small per-range counts, and the final ``row_number`` only sees
+    one key range of one group -- no task ever holds a whole hot group.
+    """
+    from pyspark.sql import Window
+    rng = F.floor(F.col(key) / width).alias("_rng")
+    counts = df.groupBy(group, rng).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(group).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group, "_rng", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inner = Window.partitionBy(group, "_rng").orderBy(key)
+    return (df.withColumn("_rng", rng).join(offsets, [group, "_rng"])
+            .withColumn("_pos", F.col("_before") + F.row_number().over(inner))
+            .drop("_rng", "_before"))
+
+
+def location_pages(customer: DataFrame, nation: DataFrame, limit: int = 25,
+                   withheld_region: int = 1) -> DataFrame:
+    """Landed pages ``(entity_id, page, body)`` of the locations endpoint per
+    country (nation): ``limit`` results per page in key order; for countries of
+    ``withheld_region`` the last page was not landed.  Customers of segment
+    BUILDING with a negative balance come without an id."""
+    from sensorflow.operators.joins import bounded_broadcast
+    pos = position_within(customer, "c_nationkey", "c_custkey")
+    pos = pos.withColumn("page", F.floor((F.col("_pos") - 1) / limit).cast("int") + 1)
+    found = customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("found"))
+    nat = bounded_broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), 10_000)
+    no_id = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 0)
+    result = F.struct(
+        F.when(no_id, F.lit(None)).otherwise(F.col("c_custkey")).cast("int").alias("id"),
+        F.col("c_name").alias("name"),
+        F.struct(F.col("c_nationkey").alias("id"), F.lit(None).cast("string").alias("code")).alias("country"))
+    pages = (pos.groupBy("c_nationkey", "page")
+             .agg(F.sort_array(F.collect_list(F.struct(F.col("c_custkey").alias("k"), result.alias("r"))))
+                  .alias("items"))
+             .join(found, "c_nationkey").join(nat, "c_nationkey"))
+    last = F.ceil(F.col("found") / limit)
+    pages = pages.filter(~((F.col("n_regionkey") == withheld_region) & (F.col("page") == last)))
+    body = F.to_json(F.struct(
+        F.struct(F.col("found").cast("long").alias("found"), F.lit(limit).cast("long").alias("limit")).alias("meta"),
+        F.transform("items", lambda x: x["r"]).alias("results")), {"ignoreNullFields": "false"})
+    return pages.select(F.col("c_nationkey").alias("entity_id"), "page", body.alias("body"))
+
+
+def part_responses(part: DataFrame) -> DataFrame:
+    """Single-entity responses per part: size < 5 -> ``results: []``; size 5..7
+    -> failed response without ``results``; otherwise one result."""
+    one = F.to_json(F.struct(
+        F.struct(F.lit(1).cast("long").alias("found"), F.lit(100).cast("long").alias("limit")).alias("meta"),
+        F.array(F.struct(F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"))).alias("results")))
+    body = (F.when(F.col("p_size") < 5, F.lit('{"meta":{"found":0,"limit":100},"results":[]}'))
+            .when(F.col("p_size") < 8, F.lit('{"error":"not found"}'))
+            .otherwise(one))
+    return part.select(F.col("p_partkey").alias("entity_id"), body.alias("body"))
