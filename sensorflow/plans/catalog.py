@@ -694,3 +694,69 @@ def q_location_sensor_dims(spark, sf_dir):
         nul_t.alias("datetime_first_utc"), nul_t.alias("datetime_first_local"),
         nul_t.alias("datetime_last_utc"), nul_t.alias("datetime_last_local"), "parameter_id", "location_id")
     return loc.unionByName(sen)
+
+
+# -- I3, H1-H8: the measurement stream -----------------------------------------
+_CHUNK_SQL = """
+    WITH e AS (SELECT *, CASE WHEN day(ts) <= 8 THEN 0 WHEN day(ts) <= 16 THEN 1
+                              WHEN day(ts) <= 24 THEN 2 ELSE 3 END AS chunk FROM events)
+"""
+
+
+def run_measurement_stream(spark, sf_dir):
+    """Four file batches (by day of month) through the streaming upsert; each
+    batch after the first re-delivers the previous batch's purchase events;
+    the last one ends with ``{"end": true}``.  Returns ``(table, metrics)``."""
+    from sensorflow.schemas import TableSpec  # noqa: F401
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.envelope import file_topic_source, write_file_topic
+    from sensorflow.sources.keyed_table import KeyedTable
+    from sensorflow.sources.publish import append_end_marker
+    from sensorflow.streaming.runner import MeasurementUpsert, await_and_stop, start_measurement_stream
+    events = table(spark, sf_dir, "events")
+    day = F.dayofmonth("ts")
+    ev = events.withColumn("_chunk", F.when(day <= 8, 0).when(day <= 16, 1).when(day <= 24, 2).otherwise(3))
+    root = scratch_path(spark, "measurement-stream")
+    kt = KeyedTable(spark, f"{root}/table", "latest_id", partition_by={
+        "day": F.to_date(instant_to_utc_ntz(F.col("timestamp_utc"))),
+        "_bucket": F.pmod(F.xxhash64("latest_id"), F.lit(8))})
+    locations = _fixture_locations(spark, sf_dir)
+    sensors = locations.select(F.col("location_id").alias("sensor_id"))
+    sink = MeasurementUpsert(spark, kt, metrics_path=f"{root}/metrics", quarantine_path=f"{root}/quarantine",
+                             parents={"location_table": locations, "sensor": sensors})
+    for k in range(4):
+        env = feeds.measurement_messages(ev.filter(F.col("_chunk") == k).drop("_chunk"))
+        if k > 0:
+            again = ev.filter((F.col("_chunk") == k - 1) & (F.col("event_type") == "purchase")).drop("_chunk")
+            env = env.unionByName(feeds.measurement_messages(again)
+                                  .withColumn("offset", F.col("offset") + F.lit(10**12)))
+        if k == 3:
+            env = append_end_marker(env)
+        write_file_topic(env, f"{root}/topic")
+        query = start_measurement_stream(file_topic_source(spark, f"{root}/topic", streaming=True), sink,
+                                         f"{root}/checkpoint", available_now=True)
+        await_and_stop(query, timeout=1800)
+    metrics = spark.read.parquet(f"{root}/metrics")
+    return kt.read(), metrics.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
+@register("measurement_stream", """
+    SELECT latest_id, location_id, sensor_id, value, timestamp_utc, timestamp_local, latitude, longitude
+    FROM (""" + _FACT_SQL + """) f
+""")
+def q_measurement_stream(spark, sf_dir):
+    tbl, _ = run_measurement_stream(spark, sf_dir)
+    return tbl.withColumn("timestamp_utc", utc("timestamp_utc"))
+
+
+@register("batch_counts", _CHUNK_SQL + """,
+    fresh AS (SELECT chunk, count(*) AS n FROM e GROUP BY chunk),
+    redo AS (SELECT chunk + 1 AS chunk, count(*) AS n FROM e
+             WHERE event_type = 'purchase' AND chunk < 3 GROUP BY chunk)
+    SELECT CAST(f.chunk AS BIGINT) AS batch_id, f.n + coalesce(r.n, 0) AS rows, f.n AS inserts,
+           coalesce(r.n, 0) AS updates, CAST(0 AS BIGINT) AS quarantined, f.chunk = 3 AS end_seen
+    FROM fresh f LEFT JOIN redo r USING (chunk)
+""")
+def q_batch_counts(spark, sf_dir):
+    _, metrics = run_measurement_stream(spark, sf_dir)
+    return metrics.select("batch_id", "rows", "inserts", "updates", "quarantined", "end_seen")

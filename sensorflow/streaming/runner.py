@@ -46,6 +46,7 @@ class MeasurementUpsert:
         self.metrics_path, self.quarantine_path = metrics_path, quarantine_path
         self.parents, self.local_mode = parents, local_mode
         self.end_seen = False
+        self.end_batch_id: int | None = None
         self.last_metrics: dict | None = None
 
     def _write_metrics(self, m: dict) -> None:
@@ -70,12 +71,11 @@ class MeasurementUpsert:
                 valid, quarantine = validate(deduped, MEASUREMENT_TABLE, self.parents)
                 valid = valid.persist()
                 try:
-                    if self.quarantine_path:
+                    quarantined = quarantine.count()
+                    if quarantined and self.quarantine_path:
                         q = quarantine.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                         (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                          .partitionBy("batch_id").parquet(self.quarantine_path))
-                        quarantined = self.spark.read.parquet(self.quarantine_path) \
-                            .filter(F.col("batch_id") == batch_id).count()
                     inserts, updates = self.table.upsert(valid, source_rows=n)
                 finally:
                     valid.unpersist()
@@ -83,7 +83,8 @@ class MeasurementUpsert:
             self._write_metrics({"batch_id": int(batch_id), "rows": int(n), "inserts": int(inserts),
                                  "updates": int(updates), "quarantined": int(quarantined),
                                  "end_seen": bool(end_seen)})
-            self.end_seen = self.end_seen or end_seen
+            if end_seen and not self.end_seen:
+                self.end_seen, self.end_batch_id = True, int(batch_id)
         finally:
             batch.unpersist()
 
@@ -105,13 +106,16 @@ def start_measurement_stream(envelope_stream: DataFrame, sink: MeasurementUpsert
 
 def await_and_stop(query: StreamingQuery, sink: MeasurementUpsert | None = None,
                    timeout: float | None = None, poll: float = 1.0) -> None:
-    """H7: wait until the query ends, the sink saw the end record, or
-    ``timeout`` seconds pass; always stop the query; re-raise its error."""
+    """H7: wait until the query ends, the batch holding the end record has
+    committed (its progress is reported), or ``timeout`` seconds pass; always
+    stop the query; re-raise its error."""
     deadline = None if timeout is None else time.monotonic() + timeout
     try:
         while query.isActive:
             if sink is not None and sink.end_seen:
-                break
+                progress = query.lastProgress
+                if progress and progress.get("batchId", -1) >= sink.end_batch_id:
+                    break
             if deadline is not None and time.monotonic() > deadline:
                 break
             query.awaitTermination(poll)
