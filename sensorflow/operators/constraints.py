@@ -46,13 +46,27 @@ def check_foreign_key(df: DataFrame, column: str, parent: DataFrame, parent_colu
     return fk_orphans(df, parent, column, parent_column)
 
 
+class Checked(tuple):
+    """``(valid, quarantine)``; ``flagged`` is the cached frame behind both
+    when ``validate(..., cache=True)`` (unpersist it when done)."""
+
+    flagged: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.flagged is not None:
+            self.flagged.unpersist()
+
+
 def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None,
-             mode: str = "quarantine", with_columns: bool = False) -> tuple[DataFrame, DataFrame]:
+             mode: str = "quarantine", with_columns: bool = False,
+             cache: bool = False) -> Checked:
     """Apply every rule of ``spec``; return ``(valid, quarantine)``.
 
     Quarantine columns: ``table, rule, row_json`` (+ the row's own columns when
     ``with_columns``), one row per broken rule.  Foreign keys are checked for
     the parents given in ``parents`` (table name -> frame of that table).
+    ``cache`` persists the flagged rows so both outputs share one evaluation
+    (release it with ``.release()`` on the result).
     """
     if mode not in ("quarantine", "strict"):
         raise ValueError("mode must be 'quarantine' or 'strict'")
@@ -85,6 +99,8 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
 
     flagged = flagged.withColumn(
         "__rules", F.array_compact(F.array(*[F.when(cond, F.lit(name)) for cond, name in rules])))
+    if cache:
+        flagged = flagged.select(*cols, "__rules").persist()
     valid = flagged.filter(F.size("__rules") == 0).select(*cols)
     extra = [F.col(c) for c in cols] if with_columns else []
     quarantine = flagged.filter(F.size("__rules") > 0).select(
@@ -95,7 +111,9 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
         bad = quarantine.limit(5).collect()
         if bad:
             raise ValueError(f"{spec.name}: constraint violations, e.g. {[r.asDict() for r in bad]}")
-    return valid, quarantine
+    out = Checked((valid, quarantine))
+    out.flagged = flagged if cache else None
+    return out
 
 
 def parent_first_order(specs: list[TableSpec]) -> list[str]:

@@ -719,7 +719,7 @@ def run_measurement_stream(spark, sf_dir):
     root = scratch_path(spark, "measurement-stream")
     kt = KeyedTable(spark, f"{root}/table", "latest_id", partition_by={
         "day": F.to_date(instant_to_utc_ntz(F.col("timestamp_utc"))),
-        "_bucket": F.pmod(F.xxhash64("latest_id"), F.lit(8))})
+        "_bucket": F.pmod(F.xxhash64("latest_id"), F.lit(4))})
     locations = _fixture_locations(spark, sf_dir)
     sensors = locations.select(F.col("location_id").alias("sensor_id"))
     sink = MeasurementUpsert(spark, kt, metrics_path=f"{root}/metrics", quarantine_path=f"{root}/quarantine",

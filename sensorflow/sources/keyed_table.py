@@ -9,7 +9,8 @@ the batch touches:
 1. touched partitions = distinct partition values of the batch (bounded by
    the number of partitions, so collecting them is safe);
 2. old rows of those partitions are read with partition pruning, merged with
-   ``target ANTI source ∪ source``;
+   ``target ANTI source ∪ source`` (source rows flagged when their key was
+   present: the insert/update counts come from the staged merge);
 3. the merge is written to a staging folder (lineage cut: a retry or a lost
    executor never re-reads a half-overwritten partition), then moved in with
    dynamic partition overwrite.
@@ -25,7 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from sensorflow.operators.upsert import upsert, upsert_counts
+from sensorflow.operators.upsert import BROADCAST_KEY_ROWS
+
+
+def _maybe_broadcast(keys: DataFrame, source_rows: int | None) -> DataFrame:
+    return F.broadcast(keys) if source_rows is not None and source_rows <= BROADCAST_KEY_ROWS else keys
 
 
 class KeyedTable:
@@ -57,21 +62,14 @@ class KeyedTable:
 
     # -- writing ---------------------------------------------------------
     def _touched_filter(self, touched: list[tuple]) -> Column:
-        first, rest = self.partition_cols[0], self.partition_cols[1:]
-        if not rest:
-            return F.col(first).isin([t[0] for t in touched])
-        by_first: dict = {}
-        for t in touched:
-            by_first.setdefault(t[0], []).append(t[1:])
-        cond = F.lit(False)
-        for v, tails in by_first.items():
-            inner = F.lit(False)
-            for tail in tails:
-                eq = F.lit(True)
-                for c, x in zip(rest, tail):
-                    eq = eq & (F.col(c) == F.lit(x))
-                inner = inner | eq
-            cond = cond | ((F.col(first) == F.lit(v)) & inner)
+        """Partition pruning predicate: per partition column ``IN (values)``.
+
+        A superset of the touched partitions (their per-column product): extra
+        partitions are merged with no source rows, i.e. rewritten unchanged.
+        """
+        cond = F.lit(True)
+        for i, c in enumerate(self.partition_cols):
+            cond = cond & F.col(c).isin(sorted({t[i] for t in touched}))
         return cond
 
     def upsert(self, source: DataFrame, source_rows: int | None = None) -> tuple[int, int]:
@@ -81,18 +79,29 @@ class KeyedTable:
         if not touched:
             return 0, 0
         old = self._raw()
+        staging = f"{self.path}/_staging"
         if old is None:
-            merged = src
-            inserts, updates = (source_rows if source_rows is not None else src.count()), 0
+            merged = src.withColumn("__update", F.lit(False))
         else:
             old = old.filter(self._touched_filter(touched))
             src = src.select(*old.columns)
-            row = upsert_counts(old, src, self.key, source_rows).first()
-            inserts, updates = int(row["inserts"]), int(row["updates"])
-            merged = upsert(old, src, self.key, source_rows)
-        staging = f"{self.path}/_staging"
+            # one pass: source rows flagged with "key already present" (the
+            # counts), plus old rows the source does not replace
+            hit = (old.select(*self.key)
+                   .join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_semi")
+                   .withColumn("__update", F.lit(True)))
+            flagged = src.join(hit, self.key, "left").withColumn(
+                "__update", F.coalesce(F.col("__update"), F.lit(False)))
+            kept = old.join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_anti")
+            merged = kept.withColumn("__update", F.lit(None).cast("boolean")).unionByName(flagged)
         merged.write.mode("overwrite").parquet(staging)
-        (self.spark.read.parquet(staging)
+        staged = self.spark.read.parquet(staging)
+        row = staged.agg(F.count_if(F.col("__update") == F.lit(False)).alias("i"),
+                         F.count_if(F.col("__update")).alias("u")).first()
+        inserts, updates = int(row["i"]), int(row["u"])
+        # cluster by partition columns: each table partition is written by one
+        # task (one file per partition and batch instead of one per task)
+        (staged.drop("__update").repartition(*self.partition_cols)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
         return inserts, updates

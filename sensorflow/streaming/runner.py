@@ -68,8 +68,8 @@ class MeasurementUpsert:
             inserts = updates = quarantined = 0
             if n:
                 deduped = dedupe_by_key(rows, "latest_id", MSG_ORDER).select(*MEASUREMENT_COLUMNS)
-                valid, quarantine = validate(deduped, MEASUREMENT_TABLE, self.parents)
-                valid = valid.persist()
+                checked = validate(deduped, MEASUREMENT_TABLE, self.parents, cache=True)
+                valid, quarantine = checked
                 try:
                     quarantined = quarantine.count()
                     if quarantined and self.quarantine_path:
@@ -78,7 +78,7 @@ class MeasurementUpsert:
                          .partitionBy("batch_id").parquet(self.quarantine_path))
                     inserts, updates = self.table.upsert(valid, source_rows=n)
                 finally:
-                    valid.unpersist()
+                    checked.release()
             rows.unpersist()
             self._write_metrics({"batch_id": int(batch_id), "rows": int(n), "inserts": int(inserts),
                                  "updates": int(updates), "quarantined": int(quarantined),
