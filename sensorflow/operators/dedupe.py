@@ -22,15 +22,17 @@ def dedupe_by_key(df: DataFrame, key: list[str] | str, order: list[str],
                   keep_null_keys: bool = True) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
-    has_key = F.lit(True)
+    null_key = F.lit(False)
     for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
+        null_key = null_key | F.col(k).isNull()
+    order_struct = F.struct(*[F.col(c) for c in order])
     payload = F.struct(*[F.col(c) for c in others])
-    winners = (df.filter(has_key)
-               .groupBy(*keys)
-               .agg(F.max_by(payload, F.struct(*[F.col(c) for c in order])).alias("__row"))
-               .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
-               .select(*df.columns))
-    if not keep_null_keys:
-        return winners
-    return winners.unionByName(df.filter(~has_key))
+    src = df if keep_null_keys else df.filter(~null_key)
+    # One aggregation, no second pass over the input: a row with a NULL key
+    # is grouped by its own order value as well, so it stays on its own.
+    lone = F.when(null_key, order_struct).alias("__lone") if keep_null_keys else None
+    group = [F.col(k) for k in keys] + ([lone] if lone is not None else [])
+    return (src.groupBy(*group)
+            .agg(F.max_by(payload, order_struct).alias("__row"))
+            .select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others])
+            .select(*df.columns))

@@ -20,6 +20,7 @@ from sensorflow.plans import feeds
 from sensorflow.plans.feeds import table
 from sensorflow.plans.marts import current_reading, dimension_stats, measurement_star, time_series
 from sensorflow.plans.measurements import latest_measurements, measurement_rows, parse_measurements
+from sensorflow.session import materialize
 from sensorflow.sources.envelope import decode_value
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -646,7 +647,8 @@ def q_country_parameter_dims(spark, sf_dir):
     from sensorflow.plans.dims import country_parameter_dims
     country_env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
     param_env = feeds.parameter_messages(table(spark, sf_dir, "part"))
-    country, parameter = country_parameter_dims(decode_value(country_env), decode_value(param_env))
+    country, parameter = country_parameter_dims(decode_value(country_env), decode_value(param_env),
+                                                stage=materialize)
     nul = F.lit(None).cast("string")
     c = country.select(F.lit("country").alias("table_name"), F.col("id").cast("bigint").alias("key"),
                        "name", "code", nul.alias("unit"), nul.alias("display_name"), nul.alias("description"),
@@ -676,7 +678,7 @@ def q_location_sensor_dims(spark, sf_dir):
     from sensorflow.plans.dims import location_sensor_dims
     from sensorflow.schemas import LOCATION_TABLE, SENSOR_TABLE
     env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
-    location, sensor = location_sensor_dims(decode_value(env))
+    location, sensor = location_sensor_dims(decode_value(env), stage=materialize)
     # parents first -- country, then location, then sensor
     location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)})
     sensor, _ = validate(sensor, SENSOR_TABLE, {"location_table": location})

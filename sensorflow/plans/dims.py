@@ -15,6 +15,8 @@ their wall clock, bad values become NULL instead of failing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,11 +41,20 @@ def parameter_dimension(parameter_decoded: DataFrame) -> DataFrame:
     return dedupe_by_key(rows, "id", ELEMENT_ORDER, keep_null_keys=False).drop(*ELEMENT_ORDER)
 
 
+Stage = Callable[[DataFrame], DataFrame]
+
+
 def country_parameter_dims(country_decoded: DataFrame, parameter_decoded: DataFrame,
-                           keep_empty: bool = False,
-                           dim_max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """I1 -> ``(country, parameter)`` frames shaped like their tables."""
+                           keep_empty: bool = False, dim_max_rows: int | None = None,
+                           stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
+    """I1 -> ``(country, parameter)`` frames shaped like their tables.
+
+    Both outputs come from the same parsed messages; ``stage`` (e.g.
+    ``sensorflow.session.materialize``) is applied to them so they are parsed
+    once when both outputs are computed."""
     c = parse_object_messages(country_decoded, COUNTRY, "c")
+    if stage is not None:
+        c = stage(c)
     countries = c.select(
         F.col("c.id").alias("id"), F.col("c.code").alias("code"), F.col("c.name").alias("name"),
         F.col("c.datetimeFirst").alias("datetimeFirst"), F.col("c.datetimeLast").alias("datetimeLast"),
@@ -83,9 +94,14 @@ def location_rows(location_decoded: DataFrame, local_mode: str = "wall_clock") -
 
 
 def location_sensor_dims(location_decoded: DataFrame, keep_empty: bool = False,
-                         local_mode: str = "wall_clock") -> tuple[DataFrame, DataFrame]:
-    """I2 -> ``(location_table, sensor)`` frames (B4 two-level explode + B8 split)."""
+                         local_mode: str = "wall_clock",
+                         stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
+    """I2 -> ``(location_table, sensor)`` frames (B4 two-level explode + B8 split).
+
+    ``stage`` is applied to the parsed location rows (see I1)."""
     rows = location_rows(location_decoded, local_mode)
+    if stage is not None:
+        rows = stage(rows)
     locs = rows if keep_empty else rows.filter(F.size("sensors") > 0)
     location = dedupe_by_key(locs.drop("sensors"), "location_id", ELEMENT_ORDER) \
         .select(*LOCATION_TABLE.column_names)

@@ -32,6 +32,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Model a multi-partition topic: when the input arrives in fewer
+    partitions than the cluster runs tasks (a test table stored as one row
+    group), round-robin it over that many partitions so JSON work runs in
+    parallel.  Large inputs already have enough partitions and pass through
+    without a shuffle."""
+    spark = df.sparkSession
+    try:
+        target = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def _when(cond: Column | None, bad, good):
     return good if cond is None else F.when(cond, bad).otherwise(good)
 
@@ -55,6 +71,7 @@ def measurement_struct(events: DataFrame, bad_utc: Column | None = None,
 
 def measurement_messages(events: DataFrame, partitions: int = 3, **inject) -> DataFrame:
     """One JSON object per event; partition = user_id mod partitions, offset = event_id."""
+    events = spread(events)
     value = F.to_json(measurement_struct(events, **inject))
     return to_envelope(events, value, "measurements", key=F.col("user_id"),
                        partition=F.pmod(F.col("user_id"), F.lit(partitions)),
@@ -65,6 +82,7 @@ def measurement_messages(events: DataFrame, partitions: int = 3, **inject) -> Da
 def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int = 64) -> DataFrame:
     """One country object per order (and per chunk of its lines); orders
     without lines carry ``parameters: []``."""
+    orders, lineitem = spread(orders), spread(lineitem)
     items = (lineitem.select(
         "l_orderkey", F.floor(F.col("l_linenumber") / chunk_lines).alias("chunk"),
         F.struct(F.col("l_partkey").cast("int").alias("id"),
@@ -88,7 +106,7 @@ def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int =
 def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2) -> DataFrame:
     """The parameter topic: arrays of parameter objects, PROMO parts absent,
     every message delivered ``copies`` times (redelivery)."""
-    rows = part.filter(F.col("p_type") != "PROMO").select(
+    rows = spread(part).filter(F.col("p_type") != "PROMO").select(
         F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"),
         F.lit("ppm").alias("units"), F.upper("p_name").alias("displayName"),
         F.col("p_type").alias("description"), F.col("p_partkey").alias("row_id"))
@@ -104,6 +122,7 @@ def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2)
 # -- locations with sensors -------------------------------------------------
 def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1000) -> DataFrame:
     """One location object per customer and chunk of its orders (sensors)."""
+    customer, orders = spread(customer), spread(orders)
     sensors = (orders.select(
         "o_custkey", F.floor(F.col("o_orderkey") / chunk_sensors).alias("chunk"),
         F.struct(F.col("o_orderkey").cast("int").alias("id"), F.col("o_orderpriority").alias("name"),

@@ -73,3 +73,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/sensorflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: eager reliable checkpoint into the session's checkpoint
+    folder (shared on a cluster).  Used where one parsed input feeds several
+    outputs, so messages are parsed once and a lost executor does not replay
+    the parse."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
