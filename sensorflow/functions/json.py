@@ -16,13 +16,16 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_struct(col, schema: T.StructType) -> Column:
-    """B1: JSON object -> struct (string or binary input)."""
+def parse_struct(col, schema: T.StructType | str) -> Column:
+    """B1: JSON object -> struct (string or binary input); ``schema`` may be DDL text."""
     return F.from_json(_c(col).cast("string"), schema)
 
 
-def parse_array(col, element: T.DataType) -> Column:
-    """B2: JSON array -> array<element>.  A lone object parses as a 1-element array."""
+def parse_array(col, element: T.DataType | str) -> Column:
+    """B2: JSON array -> array<element>.  A lone object parses as a 1-element array.
+    ``element`` is a type or a struct DDL string (``"a int, b string"``)."""
+    if isinstance(element, str):
+        element = T.StructType.fromDDL(element)
     schema = element if isinstance(element, T.ArrayType) else T.ArrayType(element)
     return F.from_json(_c(col).cast("string"), schema)
 
