@@ -20,6 +20,7 @@ from sensorflow.plans import feeds
 from sensorflow.plans.feeds import table
 from sensorflow.plans.marts import current_reading, dimension_stats, measurement_star, time_series
 from sensorflow.plans.measurements import latest_measurements, measurement_rows, parse_measurements
+from sensorflow.schemas import TABLES as TABLES_SPEC
 from sensorflow.session import materialize
 from sensorflow.sources.envelope import decode_value
 
@@ -762,3 +763,49 @@ def q_measurement_stream(spark, sf_dir):
 def q_batch_counts(spark, sf_dir):
     _, metrics = run_measurement_stream(spark, sf_dir)
     return metrics.select("batch_id", "rows", "inserts", "updates", "quarantined", "end_seen")
+
+
+# -- I1/I2 tails: validated parent-first writes into keyed tables -------------
+@register("dimension_job", """
+    WITH c AS (
+        SELECT 'country' AS table_name, (SELECT count(*) FROM nation) AS n
+        UNION ALL SELECT 'parameter', (SELECT count(DISTINCT o_orderpriority) FROM orders)
+        UNION ALL SELECT 'location_table', (SELECT count(DISTINCT o_custkey) FROM orders)
+        UNION ALL SELECT 'sensor', (SELECT count(*) FROM orders))
+    SELECT table_name, CAST(n AS BIGINT) AS inserts, CAST(0 AS BIGINT) AS updates,
+           CAST(0 AS BIGINT) AS quarantined, CAST(n AS BIGINT) AS stored_rows
+    FROM c
+""")
+def q_dimension_job(spark, sf_dir):
+    """Country rows from ``nation``, parameters from the order priorities the
+    sensors reference, locations and sensors from the location topic; the
+    job writes all four keyed tables, then a replay of the location topic
+    reports only updates and changes nothing."""
+    from pyspark.sql import types as T
+
+    from sensorflow.plans.jobs import dimension_job
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.keyed_table import KeyedTable
+    root = scratch_path(spark, "dimension-job")
+    tables = {n: KeyedTable(spark, f"{root}/{n}", list(TABLES_SPEC[n].key), buckets=4)
+              for n in ("country", "parameter", "location_table", "sensor")}
+    nation = table(spark, sf_dir, "nation")
+    country = nation.select(F.col("n_nationkey").alias("id"), F.concat(F.lit("N"), "n_nationkey").alias("code"),
+                            F.col("n_name").alias("name"), F.lit(None).cast("timestamp").alias("datetimeFirst"),
+                            F.lit(None).cast("timestamp").alias("datetimeLast"))
+    parameter = (table(spark, sf_dir, "orders")
+                 .select(F.substring("o_orderpriority", 1, 1).cast("int").alias("parameter_id"),
+                         F.col("o_orderpriority").alias("name"))
+                 .distinct()
+                 .select("parameter_id", "name", F.lit("ppm").alias("unit"),
+                         F.col("name").alias("display_name"), F.lit(None).cast(T.StringType()).alias("description")))
+    env = decode_value(feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")))
+    first = dimension_job(spark, tables, location_decoded=env,
+                          extra={"country": country, "parameter": parameter})
+    replay = dimension_job(spark, tables, location_decoded=env)
+    if any(r["inserts"] for r in replay.values()):
+        raise AssertionError(f"replay inserted rows: {replay}")
+    rows = [(n, r["inserts"], r["updates"], r["quarantined"], tables[n].read().count())
+            for n, r in first.items()]
+    return spark.createDataFrame(rows, "table_name string, inserts bigint, updates bigint, "
+                                       "quarantined bigint, stored_rows bigint")
