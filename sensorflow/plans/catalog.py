@@ -682,6 +682,7 @@ def q_location_sensor_dims(spark, sf_dir):
     location, sensor = location_sensor_dims(decode_value(env), stage=materialize)
     # parents first -- country, then location, then sensor
     location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)})
+    location = materialize(location)  # output and parent of the sensor check: validate once
     sensor, _ = validate(sensor, SENSOR_TABLE, {"location_table": location})
     nul_i, nul_s, nul_d = (F.lit(None).cast(t) for t in ("int", "string", "double"))
     nul_t = F.lit(None).cast("timestamp_ntz")

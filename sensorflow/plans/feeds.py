@@ -82,7 +82,7 @@ def measurement_messages(events: DataFrame, partitions: int = 3, **inject) -> Da
 def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int = 64) -> DataFrame:
     """One country object per order (and per chunk of its lines); orders
     without lines carry ``parameters: []``."""
-    orders, lineitem = spread(orders), spread(lineitem)
+    orders = spread(orders)  # streamed side of the join; lineitem goes straight into a shuffle
     items = (lineitem.select(
         "l_orderkey", F.floor(F.col("l_linenumber") / chunk_lines).alias("chunk"),
         F.struct(F.col("l_partkey").cast("int").alias("id"),
@@ -122,7 +122,7 @@ def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2)
 # -- locations with sensors -------------------------------------------------
 def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1000) -> DataFrame:
     """One location object per customer and chunk of its orders (sensors)."""
-    customer, orders = spread(customer), spread(orders)
+    customer = spread(customer)  # orders go straight into two aggregations
     sensors = (orders.select(
         "o_custkey", F.floor(F.col("o_orderkey") / chunk_sensors).alias("chunk"),
         F.struct(F.col("o_orderkey").cast("int").alias("id"), F.col("o_orderpriority").alias("name"),

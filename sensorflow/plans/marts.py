@@ -44,9 +44,23 @@ def dimension_stats(star: DataFrame, by: list[str]) -> DataFrame:
         F.sum(v.cast("decimal(18,2)")).cast("decimal(38,2)").alias("sum_value"))
 
 
+# fixed-width buckets in microseconds; calendar units fall back to date_trunc
+_UNIT_MICROS = {"second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6}
+
+
+def time_bucket(ts_instant, unit: str = "hour"):
+    """UTC wall-clock bucket (TIMESTAMP_NTZ) of an instant, independent of the
+    session time zone for fixed-width units."""
+    if unit in _UNIT_MICROS:
+        width = F.lit(_UNIT_MICROS[unit])
+        start = F.floor(F.unix_micros(ts_instant) / width) * width
+        return F.timestamp_add("MICROSECOND", start, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.date_trunc(unit, instant_to_utc_ntz(ts_instant)).cast("timestamp_ntz")
+
+
 def time_series(fact: DataFrame, by: list[str], unit: str = "hour") -> DataFrame:
     """Per ``by`` and time bucket (UTC wall clock), count and average value."""
-    bucket = F.date_trunc(unit, instant_to_utc_ntz(F.col("timestamp_utc"))).cast("timestamp_ntz")
+    bucket = time_bucket(F.col("timestamp_utc"), unit)
     return fact.groupBy(*by, bucket.alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("avg_value"))
 

@@ -76,9 +76,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Cut lineage: eager reliable checkpoint into the session's checkpoint
-    folder (shared on a cluster).  Used where one parsed input feeds several
-    outputs, so messages are parsed once and a lost executor does not replay
-    the parse."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as a parquet table in the session's
+    checkpoint folder (shared on a cluster) and read it back.  Used where one
+    parsed input feeds several outputs, so messages are parsed once, and a
+    lost executor re-reads the written table instead of replaying the parse.
+    (An eager ``checkpoint()`` without ``persist`` would compute the plan
+    twice: once to count, once to write.)"""
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

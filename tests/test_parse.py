@@ -120,3 +120,16 @@ def test_location_schema_is_the_documented_one():
     names = [f.name for f in LOCATION.fields]
     assert names == ["id", "name", "locality", "timezone", "country", "coordinates",
                      "datetimeFirst", "datetimeLast", "sensors"]
+
+
+def test_time_bucket_ignores_session_time_zone(spark):
+    from sensorflow.plans.marts import time_bucket
+    df = spark.createDataFrame([("2024-01-01T10:47:00Z",)], "u string")
+    col = time_bucket(F.col("u").try_cast("timestamp"), "hour")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        got = df.select(col.alias("b")).first().b
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == dt.datetime(2024, 1, 1, 10, 0)
