@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.joins import fk_orphans
+from sensorflow.operators.joins import BROADCAST_CHILD_ROWS, fk_orphans, orphan_keys
 from sensorflow.schemas import TableSpec
 
 
@@ -59,14 +59,18 @@ class Checked(tuple):
 
 def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None,
              mode: str = "quarantine", with_columns: bool = False,
-             cache: bool = False) -> Checked:
+             cache: bool = False, unique_key: bool = False,
+             rows_hint: int | None = None) -> Checked:
     """Apply every rule of ``spec``; return ``(valid, quarantine)``.
 
     Quarantine columns: ``table, rule, row_json`` (+ the row's own columns when
     ``with_columns``), one row per broken rule.  Foreign keys are checked for
     the parents given in ``parents`` (table name -> frame of that table).
     ``cache`` persists the flagged rows so both outputs share one evaluation
-    (release it with ``.release()`` on the result).
+    (release it with ``.release()`` on the result).  ``unique_key`` skips the
+    duplicate-key aggregation when the caller deduped on the key already;
+    ``rows_hint`` (a known row count) lets foreign-key checks broadcast the
+    frame's key set instead of shuffling the parent.
     """
     if mode not in ("quarantine", "strict"):
         raise ValueError("mode must be 'quarantine' or 'strict'")
@@ -82,18 +86,19 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
     rules.append((_any_null(key), "pk_null"))
 
     flagged = df
-    dup_keys = (df.filter(~_any_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") > 1).select(*key, F.lit(True).alias("__dup")))
-    flagged = flagged.join(dup_keys, key, "left")
-    rules.append((F.col("__dup").isNotNull(), "pk_duplicate"))
+    if not unique_key:
+        dup_keys = (df.filter(~_any_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+                    .filter(F.col("__n") > 1).select(*key, F.lit(True).alias("__dup")))
+        flagged = flagged.join(dup_keys, key, "left")
+        rules.append((F.col("__dup").isNotNull(), "pk_duplicate"))
 
     for i, fk in enumerate(spec.foreign_keys):
         if not parents or fk.parent not in parents or fk.column not in cols:
             continue
-        parent = parents[fk.parent]
-        orphan = (df.select(F.col(fk.column).alias("__fk")).filter(F.col("__fk").isNotNull()).distinct()
-                  .join(parent.select(F.col(fk.parent_column).alias("__fk")).distinct(), "__fk", "left_anti")
+        orphan = (orphan_keys(df, parents[fk.parent], fk.column, fk.parent_column, rows_hint)
                   .select(F.col("__fk").alias(f"__fkv{i}"), F.lit(True).alias(f"__orphan{i}")))
+        if rows_hint is not None and rows_hint <= BROADCAST_CHILD_ROWS:
+            orphan = F.broadcast(orphan)  # at most the frame's distinct key count
         flagged = flagged.join(orphan, F.col(fk.column) == F.col(f"__fkv{i}"), "left")
         rules.append((F.col(f"__orphan{i}").isNotNull(), f"fk:{fk.column}->{fk.parent}"))
 

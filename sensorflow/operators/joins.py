@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# a child key set this small is broadcast when checking foreign keys
+BROADCAST_CHILD_ROWS = 2_000_000
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint iff ``df`` has at most ``max_rows`` rows.
@@ -45,18 +48,37 @@ def referenced_dim_rows(dim: DataFrame, refs: DataFrame, dim_key: str, ref_col:
     return dim.join(ids, dim_key, "left_semi")
 
 
-def fk_orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
+def orphan_keys(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
+                child_rows: int | None = None) -> DataFrame:
+    """Distinct non-NULL values of ``child_col`` with no parent (column ``__fk``).
+
+    Only distinct key values travel.  When the child is known to be small
+    (``child_rows`` below ``BROADCAST_CHILD_ROWS``, e.g. a counted
+    micro-batch) its key set is broadcast and the parent is streamed through a
+    semi-join instead of being shuffled; otherwise both distinct key sets
+    shuffle on the key.
+    """
+    keys = child.select(F.col(child_col).alias("__fk")).filter(F.col("__fk").isNotNull()).distinct()
+    pkeys = parent.select(F.col(parent_col).alias("__fk"))
+    if child_rows is not None and child_rows <= BROADCAST_CHILD_ROWS:
+        # both broadcast sides are bounded by the child's key count
+        present = pkeys.join(F.broadcast(keys), "__fk", "left_semi").distinct()
+        return keys.join(F.broadcast(present), "__fk", "left_anti")
+    return keys.join(pkeys.distinct(), "__fk", "left_anti")
+
+
+def fk_orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
+               child_rows: int | None = None) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent (NULL FK passes).
 
-    Skew-safe: the distinct FK values are anti-joined with the parent keys
+    Skew-safe: distinct FK values are checked against the parent keys
     (map-side distinct collapses hot keys), and only the orphan key set is
     joined back to the child rows.
     """
-    fk = F.col(child_col)
-    keys = child.select(fk.alias("__fk")).filter(F.col("__fk").isNotNull()).distinct()
-    parent_keys = parent.select(F.col(parent_col).alias("__fk")).distinct()
-    orphan_keys = keys.join(parent_keys, "__fk", "left_anti")
-    return child.join(orphan_keys, fk == F.col("__fk"), "left_semi")
+    orphans = orphan_keys(child, parent, child_col, parent_col, child_rows)
+    if child_rows is not None and child_rows <= BROADCAST_CHILD_ROWS:
+        orphans = F.broadcast(orphans)
+    return child.join(orphans, F.col(child_col) == F.col("__fk"), "left_semi")
 
 
 def merge_match(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:

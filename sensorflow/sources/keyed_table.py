@@ -90,7 +90,7 @@ class KeyedTable:
             hit = (old.select(*self.key)
                    .join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_semi")
                    .withColumn("__update", F.lit(True)))
-            flagged = src.join(hit, self.key, "left").withColumn(
+            flagged = src.join(_maybe_broadcast(hit, source_rows), self.key, "left").withColumn(
                 "__update", F.coalesce(F.col("__update"), F.lit(False)))
             kept = old.join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_anti")
             merged = kept.withColumn("__update", F.lit(None).cast("boolean")).unionByName(flagged)

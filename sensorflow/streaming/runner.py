@@ -68,7 +68,8 @@ class MeasurementUpsert:
             inserts = updates = quarantined = 0
             if n:
                 deduped = dedupe_by_key(rows, "latest_id", MSG_ORDER).select(*MEASUREMENT_COLUMNS)
-                checked = validate(deduped, MEASUREMENT_TABLE, self.parents, cache=True)
+                checked = validate(deduped, MEASUREMENT_TABLE, self.parents, cache=True,
+                                   unique_key=True, rows_hint=n)
                 valid, quarantine = checked
                 try:
                     quarantined = quarantine.count()
