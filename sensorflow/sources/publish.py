@@ -55,13 +55,11 @@ def publish_array(df: DataFrame, topic: str, group: list[str], chunk: Column, of
 
 def append_end_marker(envelope: DataFrame, marker: str = END_MARKER) -> DataFrame:
     """After the last record of every topic partition, a control record
-    ``{"end": true}`` at the next offset."""
-    ends = (offset_bounds(envelope.select("topic", "partition", "offset"))
-            .join(envelope.groupBy("topic", "partition").agg(F.max("timestamp").alias("timestamp")),
-                  ["topic", "partition"])
+    ``{"end": true}`` at the next offset (one grouped aggregate, no join)."""
+    ends = (envelope.groupBy("topic", "partition")
+            .agg((F.max("offset") + 1).alias("offset"), F.max("timestamp").alias("timestamp"))
             .select(F.lit(None).cast("binary").alias("key"), F.lit(marker).cast("binary").alias("value"),
-                    "topic", "partition", F.col("high").alias("offset"), "timestamp",
-                    F.lit(0).alias("timestampType")))
+                    "topic", "partition", "offset", "timestamp", F.lit(0).alias("timestampType")))
     return envelope.unionByName(ends)
 
 
