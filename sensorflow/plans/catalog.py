@@ -21,6 +21,7 @@ from sensorflow.plans.feeds import table
 from sensorflow.plans.marts import current_reading, dimension_stats, measurement_star, time_series
 from sensorflow.plans.measurements import latest_measurements, measurement_rows, parse_measurements
 from sensorflow.schemas import TABLES as TABLES_SPEC
+from sensorflow.schemas import WIDE_MESSAGES as W
 from sensorflow.session import materialize
 from sensorflow.sources.envelope import decode_value
 
@@ -43,13 +44,13 @@ def utc(col: str):
 
 def _measurement_fact(spark, sf_dir, **inject) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    parsed = parse_measurements(decode_value(feeds.measurement_messages(events, **inject)))
+    parsed = parse_measurements(decode_value(feeds.measurement_messages(events, **inject)), W)
     return latest_measurements(parsed)
 
 
 def _fixture_locations(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").cast("int").alias("location_id"), F.col("c_name").alias("name"),
+    return c.select(F.col("c_custkey").alias("location_id"), F.col("c_name").alias("name"),
                     F.col("c_mktsegment").alias("locality"), F.col("c_nationkey").alias("country_id"))
 
 
@@ -61,7 +62,7 @@ def _fixture_countries(spark, sf_dir) -> DataFrame:
 # SQL fragments shared by the oracles --------------------------------------
 _FACT_SQL = """
     SELECT concat_ws('_', user_id, user_id, CAST(ts AS VARCHAR)) AS latest_id,
-           CAST(user_id AS INTEGER) AS location_id, CAST(user_id AS INTEGER) AS sensor_id,
+           user_id AS location_id, user_id AS sensor_id,
            value, ts AS timestamp_utc, ts + INTERVAL 1 HOUR AS timestamp_local,
            user_id / 100.0 AS latitude, user_id / -50.0 AS longitude, event_type
     FROM events
@@ -88,7 +89,7 @@ def q_decode_value(spark, sf_dir):
 
 # -- S1/S2 casts, C1-C3, composite key ----------------------------------------
 @register("cast_timestamps", """
-    SELECT CAST(user_id AS INTEGER) AS sensor_id,
+    SELECT user_id AS sensor_id,
            CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS timestamp_utc,
            ts + INTERVAL 1 HOUR AS timestamp_local,
            ts AS timestamp_local_instant
@@ -98,7 +99,7 @@ def q_cast_timestamps(spark, sf_dir):
     from sensorflow.functions.casts import cast_timestamps
     ev = table(spark, sf_dir, "events")
     parsed = parse_measurements(decode_value(
-        feeds.measurement_messages(ev, bad_utc=F.col("event_type") == "error")))
+        feeds.measurement_messages(ev, bad_utc=F.col("event_type") == "error")), W)
     u, loc = cast_timestamps("data.datetime.utc", "data.datetime.local")
     _, loc_instant = cast_timestamps("data.datetime.utc", "data.datetime.local", local_mode="instant")
     return parsed.select(F.col("data.sensorsId").alias("sensor_id"),
@@ -116,7 +117,7 @@ def q_drop_incomplete(spark, sf_dir):
     et = F.col("event_type")
     parsed = parse_measurements(decode_value(feeds.measurement_messages(
         ev, null_latitude=et == "view", nan_value=et == "signup", bad_utc=et == "error",
-        missing_local=et == "purchase")))
+        missing_local=et == "purchase")), W)
     rows = measurement_rows(parsed, keep_order=False)
     return rows.withColumn("timestamp_utc", utc("timestamp_utc"))
 
@@ -131,7 +132,7 @@ def q_composite_key(spark, sf_dir):
 
 
 @register("data_rows", """
-    SELECT CAST(user_id AS INTEGER) AS sensor_id, value, CAST(user_id % 3 AS INTEGER) AS partition,
+    SELECT user_id AS sensor_id, value, CAST(user_id % 3 AS INTEGER) AS partition,
            event_id AS "offset"
     FROM events
 """)
@@ -140,7 +141,7 @@ def q_data_rows(spark, sf_dir):
     from sensorflow.sources.publish import append_end_marker
     ev = table(spark, sf_dir, "events")
     env = append_end_marker(feeds.measurement_messages(ev))
-    parsed = parse_measurements(decode_value(env))
+    parsed = parse_measurements(decode_value(env), W)
     return data_rows(parsed).select(F.col("data.sensorsId").alias("sensor_id"),
                                     F.col("data.value").alias("value"),
                                     F.col("_partition").alias("partition"),
@@ -155,7 +156,7 @@ def q_control_rows(spark, sf_dir):
     from sensorflow.plans.measurements import end_signals
     from sensorflow.sources.publish import append_end_marker
     ev = table(spark, sf_dir, "events")
-    parsed = parse_measurements(decode_value(append_end_marker(feeds.measurement_messages(ev))))
+    parsed = parse_measurements(decode_value(append_end_marker(feeds.measurement_messages(ev))), W)
     return end_signals(parsed).select(F.col("_partition").alias("partition"),
                                       F.col("_offset").alias("offset"),
                                       F.col("data.end").alias("end_flag"))
@@ -221,8 +222,8 @@ def q_current_reading(spark, sf_dir):
 
 # -- B2-B8, B11: parsing and projections -------------------------------------
 @register("explode_order_items", """
-    SELECT CAST(o_orderkey AS INTEGER) AS country_id, o_orderstatus AS code,
-           CAST(l_partkey AS INTEGER) AS parameter_id, 'parameter-' || l_partkey AS parameter_name,
+    SELECT o_orderkey AS country_id, o_orderstatus AS code,
+           l_partkey AS parameter_id, 'parameter-' || l_partkey AS parameter_name,
            'ppm' AS parameter_units
     FROM orders JOIN lineitem ON l_orderkey = o_orderkey
 """)
@@ -231,8 +232,8 @@ def q_explode_order_items(spark, sf_dir):
 
 
 @register("explode_order_items_outer", """
-    SELECT CAST(o_orderkey AS INTEGER) AS country_id, o_orderstatus AS code,
-           CAST(l_partkey AS INTEGER) AS parameter_id,
+    SELECT o_orderkey AS country_id, o_orderstatus AS code,
+           l_partkey AS parameter_id,
            CASE WHEN l_partkey IS NULL THEN NULL ELSE 'parameter-' || l_partkey END AS parameter_name,
            CASE WHEN l_partkey IS NULL THEN NULL ELSE 'ppm' END AS parameter_units
     FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
@@ -244,9 +245,8 @@ def q_explode_order_items_outer(spark, sf_dir):
 def _country_parameter_rows(spark, sf_dir, keep_empty):
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.common import parse_object_messages
-    from sensorflow.schemas import COUNTRY
     env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    c = parse_object_messages(decode_value(env), COUNTRY, "c")
+    c = parse_object_messages(decode_value(env), W.country, "c")
     rows = explode_array(c, F.col("c.parameters"), "p", keep_empty=keep_empty)
     return rows.select(F.col("c.id").alias("country_id"), F.col("c.code").alias("code"),
                        F.col("p.id").alias("parameter_id"), F.col("p.name").alias("parameter_name"),
@@ -254,16 +254,15 @@ def _country_parameter_rows(spark, sf_dir, keep_empty):
 
 
 @register("parse_array_items", """
-    SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name, 'ppm' AS units,
+    SELECT p_partkey AS id, p_name AS name, 'ppm' AS units,
            upper(p_name) AS displayName, p_type AS description
     FROM part WHERE p_type <> 'PROMO'
 """)
 def q_parse_array_items(spark, sf_dir):
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.common import parse_array_messages
-    from sensorflow.schemas import PARAMETER
     env = feeds.parameter_messages(table(spark, sf_dir, "part"), copies=1)
-    arr = parse_array_messages(decode_value(env), PARAMETER, "params")
+    arr = parse_array_messages(decode_value(env), W.parameter, "params")
     return explode_array(arr, "params", "p").select("p.*")
 
 
@@ -276,16 +275,16 @@ _LOC_SQL = """
 
 
 @register("two_level_explode", """
-    SELECT CAST(c_custkey AS INTEGER) AS location_id, c_nationkey AS country_id,
-           CAST(o_orderkey AS INTEGER) AS sensor_id, o_orderpriority AS sensor_name,
-           CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS parameter_id
+    SELECT c_custkey AS location_id, CAST(c_nationkey AS BIGINT) AS country_id,
+           o_orderkey AS sensor_id, o_orderpriority AS sensor_name,
+           CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS parameter_id
     FROM customer JOIN orders ON o_custkey = c_custkey
 """)
 def q_two_level_explode(spark, sf_dir):
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.dims import location_rows
     env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
-    locs = location_rows(decode_value(env))
+    locs = location_rows(decode_value(env), schemas=W)
     return explode_array(locs, "sensors", "s").select(
         "location_id", "country_id", F.col("s.id").alias("sensor_id"),
         F.col("s.name").alias("sensor_name"), F.col("s.parameter.id").alias("parameter_id"))
@@ -337,23 +336,22 @@ _PAGE_SQL = """
 _LANDED_SQL = """
     SELECT *, CAST(floor((pos - 1) / 25) AS INTEGER) + 1 AS page,
            CASE WHEN c_mktsegment = 'BUILDING' AND c_acctbal < 0 THEN NULL
-                ELSE CAST(c_custkey AS INTEGER) END AS rid
+                ELSE c_custkey END AS rid
     FROM (""" + _PAGE_SQL + """) p
     WHERE NOT (n_regionkey = 1 AND CAST(floor((pos - 1) / 25) AS INTEGER) + 1 = CAST(ceil(found / 25) AS INTEGER))
 """
 
 
 def _page_results(spark, sf_dir):
-    from sensorflow.schemas import LOCATION
     from sensorflow.sources.pages import flatten_pages
     pages = feeds.location_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
-    flat = flatten_pages(pages, LOCATION)
+    flat = flatten_pages(pages, W.location)
     return flat.select("entity_id", "page", F.col("result.id").alias("id"),
                        F.col("result.name").alias("name"), F.col("result.country.id").alias("country_id"))
 
 
 @register("flatten_pages", """
-    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, c_nationkey AS country_id
+    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS country_id
     FROM (""" + _LANDED_SQL + """) l
 """)
 def q_flatten_pages(spark, sf_dir):
@@ -373,7 +371,7 @@ def q_page_coverage(spark, sf_dir):
 
 
 @register("skip_missing_id", """
-    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, c_nationkey AS country_id
+    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS country_id
     FROM (""" + _LANDED_SQL + """) l
     WHERE rid IS NOT NULL AND rid <> 0
 """)
@@ -383,7 +381,7 @@ def q_skip_missing_id(spark, sf_dir):
 
 
 @register("select_country", """
-    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, c_nationkey AS country_id
+    SELECT c_nationkey AS entity_id, page, rid AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS country_id
     FROM (""" + _LANDED_SQL + """) l
     WHERE c_nationkey = 22
 """)
@@ -393,37 +391,36 @@ def q_select_country(spark, sf_dir):
 
 
 @register("first_result", """
-    SELECT p_partkey AS entity_id, CAST(p_partkey AS INTEGER) AS id, p_name AS name
+    SELECT p_partkey AS entity_id, p_partkey AS id, p_name AS name
     FROM part WHERE p_size >= 8
 """)
 def q_first_result(spark, sf_dir):
     from pyspark.sql import types as T
 
     from sensorflow.sources.pages import first_result
-    result = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    result = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
     res = first_result(feeds.part_responses(table(spark, sf_dir, "part")), result)
     return res.select("entity_id", "result.id", "result.name")
 
 
 @register("landed_to_messages", """
-    SELECT rid AS id, c_name AS name, c_nationkey AS country_id
+    SELECT rid AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS country_id
     FROM (""" + _LANDED_SQL + """) l
     WHERE rid IS NOT NULL AND rid <> 0 AND c_nationkey = 22
 """)
 def q_landed_to_messages(spark, sf_dir):
     from sensorflow.functions.json import parse_struct
     from sensorflow.plans.ingest import landed_to_messages
-    from sensorflow.schemas import LOCATION
     pages = feeds.location_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
-    env = landed_to_messages(pages, LOCATION, country_id=22)
-    parsed = decode_value(env).select(parse_struct("value", LOCATION).alias("l"))
+    env = landed_to_messages(pages, W.location, country_id=22)
+    parsed = decode_value(env).select(parse_struct("value", W.location).alias("l"))
     return parsed.select(F.col("l.id").alias("id"), F.col("l.name").alias("name"),
                          F.col("l.country.id").alias("country_id"))
 
 
 # -- D1-D5, E1-E5 -------------------------------------------------------------
 @register("enrich_left", """
-    SELECT CAST(l_orderkey AS INTEGER) AS country_id, CAST(l_partkey AS INTEGER) AS parameter_id,
+    SELECT l_orderkey AS country_id, l_partkey AS parameter_id,
            'parameter-' || l_partkey AS name,
            CASE WHEN p_type <> 'PROMO' THEN upper(p_name) END AS display_name,
            CASE WHEN p_type <> 'PROMO' THEN p_type END AS description
@@ -434,13 +431,12 @@ def q_enrich_left(spark, sf_dir):
     from sensorflow.operators.joins import enrich_left
     from sensorflow.plans.common import parse_object_messages
     from sensorflow.plans.dims import parameter_dimension
-    from sensorflow.schemas import COUNTRY
     env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    c = parse_object_messages(decode_value(env), COUNTRY, "c")
+    c = parse_object_messages(decode_value(env), W.country, "c")
     rows = explode_array(c, F.col("c.parameters"), "p").select(
         F.col("c.id").alias("country_id"), F.col("p.id").alias("parameter_id"),
         F.col("p.name").alias("name"), F.col("p.displayName").alias("display_name"))
-    dim = parameter_dimension(decode_value(feeds.parameter_messages(table(spark, sf_dir, "part"))))
+    dim = parameter_dimension(decode_value(feeds.parameter_messages(table(spark, sf_dir, "part"))), W)
     return enrich_left(rows, dim, "parameter_id", "id",
                        {"display_name": "displayName", "description": "description"})
 
@@ -452,12 +448,10 @@ def q_referenced_dim_rows(spark, sf_dir):
     from sensorflow.operators.aggregates import collect_ids
     from sensorflow.operators.joins import referenced_dim_rows
     from sensorflow.plans.common import parse_object_messages
-    from sensorflow.schemas import COUNTRY
     env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    c = parse_object_messages(decode_value(env), COUNTRY, "c")
+    c = parse_object_messages(decode_value(env), W.country, "c")
     ids = collect_ids(c.select(F.col("c.parameters").alias("parameters")), "parameters")
-    return referenced_dim_rows(table(spark, sf_dir, "part"), ids.withColumn("id", F.col("id").cast("bigint")),
-                               "p_partkey", "id")
+    return referenced_dim_rows(table(spark, sf_dir, "part"), ids, "p_partkey", "id")
 
 
 @register("dedupe_by_key", """
@@ -552,7 +546,7 @@ def q_check_primary_key(spark, sf_dir):
 
 
 @register("check_not_null", """
-    SELECT 'location_table' AS "table", 'not_null:name' AS rule, CAST(c_custkey AS INTEGER) AS location_id
+    SELECT 'location_table' AS "table", 'not_null:name' AS rule, c_custkey AS location_id
     FROM customer WHERE c_mktsegment = 'BUILDING'
 """)
 def q_check_not_null(spark, sf_dir):
@@ -649,7 +643,7 @@ def q_country_parameter_dims(spark, sf_dir):
     country_env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
     param_env = feeds.parameter_messages(table(spark, sf_dir, "part"))
     country, parameter = country_parameter_dims(decode_value(country_env), decode_value(param_env),
-                                                stage=materialize)
+                                                stage=materialize, schemas=W)
     nul = F.lit(None).cast("string")
     c = country.select(F.lit("country").alias("table_name"), F.col("id").cast("bigint").alias("key"),
                        "name", "code", nul.alias("unit"), nul.alias("display_name"), nul.alias("description"),
@@ -662,16 +656,16 @@ def q_country_parameter_dims(spark, sf_dir):
 
 
 @register("location_sensor_dims", """
-    SELECT 'location_table' AS table_name, CAST(c_custkey AS INTEGER) AS "key", c_name AS name,
-           c_mktsegment AS locality, c_nationkey AS country_id, c_acctbal / 100.0 AS latitude,
+    SELECT 'location_table' AS table_name, c_custkey AS "key", c_name AS name,
+           c_mktsegment AS locality, CAST(c_nationkey AS BIGINT) AS country_id, c_acctbal / 100.0 AS latitude,
            CAST(c_nationkey * 1.5 AS DOUBLE) AS longitude, 'Europe/Paris' AS timezone,
            first_ts AS datetime_first_utc, first_ts + INTERVAL 1 HOUR AS datetime_first_local,
            last_ts AS datetime_last_utc, last_ts + INTERVAL 1 HOUR AS datetime_last_local,
-           CAST(NULL AS INTEGER) AS parameter_id, CAST(NULL AS INTEGER) AS location_id
+           CAST(NULL AS BIGINT) AS parameter_id, CAST(NULL AS BIGINT) AS location_id
     FROM (""" + _LOC_SQL + """) l WHERE n_orders > 0
     UNION ALL
-    SELECT 'sensor', CAST(o_orderkey AS INTEGER), o_orderpriority, NULL, NULL, NULL, NULL, NULL,
-           NULL, NULL, NULL, NULL, CAST(substr(o_orderpriority, 1, 1) AS INTEGER), CAST(o_custkey AS INTEGER)
+    SELECT 'sensor', o_orderkey, o_orderpriority, NULL, NULL, NULL, NULL, NULL,
+           NULL, NULL, NULL, NULL, CAST(substr(o_orderpriority, 1, 1) AS BIGINT), o_custkey
     FROM orders
 """)
 def q_location_sensor_dims(spark, sf_dir):
@@ -679,12 +673,12 @@ def q_location_sensor_dims(spark, sf_dir):
     from sensorflow.plans.dims import location_sensor_dims
     from sensorflow.schemas import LOCATION_TABLE, SENSOR_TABLE
     env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
-    location, sensor = location_sensor_dims(decode_value(env), stage=materialize)
+    location, sensor = location_sensor_dims(decode_value(env), stage=materialize, schemas=W)
     # parents first -- country, then location, then sensor
     location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)})
     location = materialize(location)  # output and parent of the sensor check: validate once
     sensor, _ = validate(sensor, SENSOR_TABLE, {"location_table": location})
-    nul_i, nul_s, nul_d = (F.lit(None).cast(t) for t in ("int", "string", "double"))
+    nul_i, nul_s, nul_d = (F.lit(None).cast(t) for t in ("bigint", "string", "double"))
     nul_t = F.lit(None).cast("timestamp_ntz")
     loc = location.select(
         F.lit("location_table").alias("table_name"), F.col("location_id").alias("key"), "name", "locality",
@@ -738,7 +732,7 @@ def run_measurement_stream(spark, sf_dir):
             env = append_end_marker(env)
         write_file_topic(env, f"{root}/topic")
         query = start_measurement_stream(file_topic_source(spark, f"{root}/topic", streaming=True), sink,
-                                         f"{root}/checkpoint", available_now=True)
+                                         f"{root}/checkpoint", available_now=True, schemas=W)
         await_and_stop(query, timeout=1800)
     metrics = spark.read.parquet(f"{root}/metrics")
     return kt.read(), metrics.withColumn("batch_id", F.col("batch_id").cast("bigint"))
@@ -795,15 +789,15 @@ def q_dimension_job(spark, sf_dir):
                             F.col("n_name").alias("name"), F.lit(None).cast("timestamp").alias("datetimeFirst"),
                             F.lit(None).cast("timestamp").alias("datetimeLast"))
     parameter = (table(spark, sf_dir, "orders")
-                 .select(F.substring("o_orderpriority", 1, 1).cast("int").alias("parameter_id"),
+                 .select(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("parameter_id"),
                          F.col("o_orderpriority").alias("name"))
                  .distinct()
                  .select("parameter_id", "name", F.lit("ppm").alias("unit"),
                          F.col("name").alias("display_name"), F.lit(None).cast(T.StringType()).alias("description")))
     env = decode_value(feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")))
     first = dimension_job(spark, tables, location_decoded=env,
-                          extra={"country": country, "parameter": parameter})
-    replay = dimension_job(spark, tables, location_decoded=env)
+                          extra={"country": country, "parameter": parameter}, schemas=W)
+    replay = dimension_job(spark, tables, location_decoded=env, schemas=W)
     if any(r["inserts"] for r in replay.values()):
         raise AssertionError(f"replay inserted rows: {replay}")
     rows = [(n, r["inserts"], r["updates"], r["quarantined"], tables[n].read().count())

@@ -26,15 +26,15 @@ from sensorflow.operators.dedupe import dedupe_by_key
 from sensorflow.operators.explode import explode_array
 from sensorflow.operators.joins import enrich_left
 from sensorflow.plans.common import MSG_ORDER, parse_array_messages, parse_object_messages
-from sensorflow.schemas import (COUNTRY, COUNTRY_TABLE, LOCATION, LOCATION_TABLE, PARAMETER,
-                                PARAMETER_TABLE, SENSOR_TABLE)
+from sensorflow.schemas import (COUNTRY_TABLE, LOCATION_TABLE, MESSAGES, PARAMETER_TABLE, SENSOR_TABLE,
+                                MessageSchemas)
 
 ELEMENT_ORDER = MSG_ORDER + ["_pos"]
 
 
-def parameter_dimension(parameter_decoded: DataFrame) -> DataFrame:
+def parameter_dimension(parameter_decoded: DataFrame, schemas: MessageSchemas = MESSAGES) -> DataFrame:
     """Parameter topic -> one row per id: ``id, displayName, description``."""
-    arr = parse_array_messages(parameter_decoded, PARAMETER, "params")
+    arr = parse_array_messages(parameter_decoded, schemas.parameter, "params")
     rows = explode_array(arr, "params", "p", pos_alias="_pos").select(
         F.col("p.id").alias("id"), F.col("p.displayName").alias("displayName"),
         F.col("p.description").alias("description"), *ELEMENT_ORDER)
@@ -46,13 +46,14 @@ Stage = Callable[[DataFrame], DataFrame]
 
 def country_parameter_dims(country_decoded: DataFrame, parameter_decoded: DataFrame,
                            keep_empty: bool = False, dim_max_rows: int | None = None,
-                           stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
+                           stage: Stage | None = None,
+                           schemas: MessageSchemas = MESSAGES) -> tuple[DataFrame, DataFrame]:
     """I1 -> ``(country, parameter)`` frames shaped like their tables.
 
     Both outputs come from the same parsed messages; ``stage`` (e.g.
     ``sensorflow.session.materialize``) is applied to them so they are parsed
     once when both outputs are computed."""
-    c = parse_object_messages(country_decoded, COUNTRY, "c")
+    c = parse_object_messages(country_decoded, schemas.country, "c")
     if stage is not None:
         c = stage(c)
     countries = c.select(
@@ -69,16 +70,17 @@ def country_parameter_dims(country_decoded: DataFrame, parameter_decoded: DataFr
         F.col("p.id").alias("parameter_id"), F.col("p.name").alias("name"),
         F.col("p.units").alias("unit"), *ELEMENT_ORDER)
     cp = dedupe_by_key(cp, "parameter_id", ELEMENT_ORDER).drop(*ELEMENT_ORDER)
-    dim = parameter_dimension(parameter_decoded)
+    dim = parameter_dimension(parameter_decoded, schemas)
     parameter = enrich_left(cp, dim, "parameter_id", "id",
                             {"display_name": "displayName", "description": "description"},
                             dim_max_rows=dim_max_rows).select(*PARAMETER_TABLE.column_names)
     return country, parameter
 
 
-def location_rows(location_decoded: DataFrame, local_mode: str = "wall_clock") -> DataFrame:
+def location_rows(location_decoded: DataFrame, local_mode: str = "wall_clock",
+                  schemas: MessageSchemas = MESSAGES) -> DataFrame:
     """Location messages -> one row per location element, typed, with its sensors array."""
-    arr = parse_array_messages(location_decoded, LOCATION, "locs")
+    arr = parse_array_messages(location_decoded, schemas.location, "locs")
     locs = explode_array(arr, "locs", "l", pos_alias="_pos")
     f_utc, f_local = cast_timestamps("l.datetimeFirst.utc", "l.datetimeFirst.local", local_mode)
     l_utc, l_local = cast_timestamps("l.datetimeLast.utc", "l.datetimeLast.local", local_mode)
@@ -94,12 +96,12 @@ def location_rows(location_decoded: DataFrame, local_mode: str = "wall_clock") -
 
 
 def location_sensor_dims(location_decoded: DataFrame, keep_empty: bool = False,
-                         local_mode: str = "wall_clock",
-                         stage: Stage | None = None) -> tuple[DataFrame, DataFrame]:
+                         local_mode: str = "wall_clock", stage: Stage | None = None,
+                         schemas: MessageSchemas = MESSAGES) -> tuple[DataFrame, DataFrame]:
     """I2 -> ``(location_table, sensor)`` frames (B4 two-level explode + B8 split).
 
     ``stage`` is applied to the parsed location rows (see I1)."""
-    rows = location_rows(location_decoded, local_mode)
+    rows = location_rows(location_decoded, local_mode, schemas)
     if stage is not None:
         rows = stage(rows)
     locs = rows if keep_empty else rows.filter(F.size("sensors") > 0)

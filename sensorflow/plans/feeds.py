@@ -13,7 +13,8 @@ tables.  Domain mapping:
 
 Edge cases are injected from natural attributes of the rows (event type,
 part type, size), never by sampling ids.  Every feed is chunked so that no
-message grows with a hot key.
+message grows with a hot key.  Ids keep the tables' 64-bit width; parse them
+with ``WIDE_MESSAGES``.
 """
 
 from __future__ import annotations
@@ -65,8 +66,8 @@ def measurement_struct(events: DataFrame, bad_utc: Column | None = None,
         _when(nan_value, F.lit(float("nan")), F.col("value")).alias("value"),
         F.struct(_when(null_latitude, F.lit(None).cast("double"), F.col("user_id") / 100.0).alias("latitude"),
                  (F.col("user_id") / -50.0).alias("longitude")).alias("coordinates"),
-        F.col("user_id").cast("int").alias("sensorsId"),
-        F.col("user_id").cast("int").alias("locationsId"))
+        F.col("user_id").alias("sensorsId"),
+        F.col("user_id").alias("locationsId"))
 
 
 def measurement_messages(events: DataFrame, partitions: int = 3, **inject) -> DataFrame:
@@ -85,7 +86,7 @@ def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int =
     orders = spread(orders)  # streamed side of the join; lineitem goes straight into a shuffle
     items = (lineitem.select(
         "l_orderkey", F.floor(F.col("l_linenumber") / chunk_lines).alias("chunk"),
-        F.struct(F.col("l_partkey").cast("int").alias("id"),
+        F.struct(F.col("l_partkey").alias("id"),
                  F.concat(F.lit("parameter-"), F.col("l_partkey")).alias("name"),
                  F.lit("ppm").alias("units"),
                  F.lit("from-country").alias("displayName"),
@@ -93,7 +94,7 @@ def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int =
         .groupBy("l_orderkey", "chunk").agg(F.sort_array(F.collect_list("p")).alias("parameters")))
     docs = orders.join(items, orders.o_orderkey == items.l_orderkey, "left")
     doc = F.struct(
-        F.col("o_orderkey").cast("int").alias("id"), F.col("o_orderstatus").alias("code"),
+        F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("code"),
         F.col("o_orderpriority").alias("name"),
         iso_utc(F.col("o_orderdate")).alias("datetimeFirst"),
         iso_utc(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("datetimeLast"),
@@ -107,7 +108,7 @@ def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2)
     """The parameter topic: arrays of parameter objects, PROMO parts absent,
     every message delivered ``copies`` times (redelivery)."""
     rows = spread(part).filter(F.col("p_type") != "PROMO").select(
-        F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"),
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
         F.lit("ppm").alias("units"), F.upper("p_name").alias("displayName"),
         F.col("p_type").alias("description"), F.col("p_partkey").alias("row_id"))
     env = publish_array(rows, "parameter", group=[], chunk=F.floor(F.col("row_id") / chunk_rows),
@@ -125,8 +126,8 @@ def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1
     customer = spread(customer)  # orders go straight into two aggregations
     sensors = (orders.select(
         "o_custkey", F.floor(F.col("o_orderkey") / chunk_sensors).alias("chunk"),
-        F.struct(F.col("o_orderkey").cast("int").alias("id"), F.col("o_orderpriority").alias("name"),
-                 F.struct(F.substring("o_orderpriority", 1, 1).cast("int").alias("id")).alias("parameter")
+        F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
+                 F.struct(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("id")).alias("parameter")
                  ).alias("s"))
         .groupBy("o_custkey", "chunk").agg(F.sort_array(F.collect_list("s")).alias("sensors")))
     span = orders.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first"),
@@ -140,7 +141,7 @@ def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1
     return c.select(
         "c_custkey", "c_nationkey", F.coalesce(F.col("chunk"), F.lit(0)).alias("chunk"),
         F.struct(
-            F.col("c_custkey").cast("int").alias("id"), F.col("c_name").alias("name"),
+            F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
             F.col("c_mktsegment").alias("locality"), F.lit("Europe/Paris").alias("timezone"),
             F.struct(F.col("c_nationkey").alias("id"), F.lit(None).cast("string").alias("code")).alias("country"),
             F.create_map(F.lit("latitude"), F.col("c_acctbal") / 100.0,
@@ -194,7 +195,7 @@ def location_pages(customer: DataFrame, nation: DataFrame, limit: int = 25,
     nat = bounded_broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"), 10_000)
     no_id = (F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") < 0)
     result = F.struct(
-        F.when(no_id, F.lit(None)).otherwise(F.col("c_custkey")).cast("int").alias("id"),
+        F.when(no_id, F.lit(None)).otherwise(F.col("c_custkey")).alias("id"),
         F.col("c_name").alias("name"),
         F.struct(F.col("c_nationkey").alias("id"), F.lit(None).cast("string").alias("code")).alias("country"))
     pages = (pos.groupBy("c_nationkey", "page")
@@ -214,7 +215,7 @@ def part_responses(part: DataFrame) -> DataFrame:
     -> failed response without ``results``; otherwise one result."""
     one = F.to_json(F.struct(
         F.struct(F.lit(1).cast("long").alias("found"), F.lit(100).cast("long").alias("limit")).alias("meta"),
-        F.array(F.struct(F.col("p_partkey").cast("int").alias("id"), F.col("p_name").alias("name"))).alias("results")))
+        F.array(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))).alias("results")))
     body = (F.when(F.col("p_size") < 5, F.lit('{"meta":{"found":0,"limit":100},"results":[]}'))
             .when(F.col("p_size") < 8, F.lit('{"error":"not found"}'))
             .otherwise(one))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.operators.constraints import parent_first_order, validate
 from sensorflow.plans.dims import country_parameter_dims, location_sensor_dims
-from sensorflow.schemas import TABLES, TableSpec
+from sensorflow.schemas import MESSAGES, TABLES, MessageSchemas, TableSpec
 from sensorflow.session import materialize
 from sensorflow.sources.keyed_table import KeyedTable
 
@@ -71,14 +71,16 @@ def write_in_order(spark: SparkSession, frames: dict[str, DataFrame], tables: di
 def dimension_job(spark: SparkSession, tables: dict[str, KeyedTable],
                   country_decoded: DataFrame | None = None, parameter_decoded: DataFrame | None = None,
                   location_decoded: DataFrame | None = None, extra: dict[str, DataFrame] | None = None,
-                  quarantine_path: str | None = None) -> dict[str, dict]:
+                  quarantine_path: str | None = None,
+                  schemas: MessageSchemas = MESSAGES) -> dict[str, dict]:
     """The dimension batch job: I1 and/or I2 on decoded topics, then
     validation and upserts in foreign-key order.  Parsed messages are
     materialized once (lineage cut) because each feeds two tables."""
     frames: dict[str, DataFrame] = dict(extra or {})
     if country_decoded is not None and parameter_decoded is not None:
         frames["country"], frames["parameter"] = country_parameter_dims(
-            country_decoded, parameter_decoded, stage=materialize)
+            country_decoded, parameter_decoded, stage=materialize, schemas=schemas)
     if location_decoded is not None:
-        frames["location_table"], frames["sensor"] = location_sensor_dims(location_decoded, stage=materialize)
+        frames["location_table"], frames["sensor"] = location_sensor_dims(
+            location_decoded, stage=materialize, schemas=schemas)
     return write_in_order(spark, frames, tables, quarantine_path=quarantine_path)

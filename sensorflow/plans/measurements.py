@@ -15,14 +15,14 @@ from sensorflow.functions.keys import composite_key
 from sensorflow.operators.dedupe import dedupe_by_key
 from sensorflow.operators.filters import control_rows, data_rows, drop_incomplete
 from sensorflow.plans.common import MSG_ORDER, parse_object_messages
-from sensorflow.schemas import MEASUREMENT, MEASUREMENT_TABLE
+from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 
 MEASUREMENT_COLUMNS = MEASUREMENT_TABLE.column_names
 
 
-def parse_measurements(decoded: DataFrame) -> DataFrame:
+def parse_measurements(decoded: DataFrame, schemas: MessageSchemas = MESSAGES) -> DataFrame:
     """B1 on the measurement topic: ``data`` struct + message order columns."""
-    return parse_object_messages(decoded, MEASUREMENT, "data")
+    return parse_object_messages(decoded, schemas.measurement, "data")
 
 
 def end_signals(parsed: DataFrame) -> DataFrame:

@@ -22,63 +22,87 @@ ENVELOPE = T.StructType([
     T.StructField("timestampType", T.IntegerType()),
 ])
 
-PARAMETER = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("units", T.StringType()),
-    T.StructField("displayName", T.StringType()),
-    T.StructField("description", T.StringType()),
-])
-
-COUNTRY = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("code", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("datetimeFirst", T.TimestampType()),
-    T.StructField("datetimeLast", T.TimestampType()),
-    T.StructField("parameters", T.ArrayType(PARAMETER)),
-])
-
-PARAMETER_ARRAY = T.ArrayType(PARAMETER)
+@dataclass(frozen=True)
+class MessageSchemas:
+    parameter: T.StructType
+    country: T.StructType
+    location: T.StructType
+    measurement: T.StructType
 
-_UTC_LOCAL = T.StructType([
-    T.StructField("utc", T.StringType()),
-    T.StructField("local", T.StringType()),
-])
+    @property
+    def parameter_array(self) -> T.ArrayType:
+        return T.ArrayType(self.parameter)
 
-LOCATION = T.StructType([
-    T.StructField("id", T.IntegerType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("locality", T.StringType()),
-    T.StructField("timezone", T.StringType()),
-    T.StructField("country", T.StructType([
-        T.StructField("id", T.IntegerType()),
+    @property
+    def location_array(self) -> T.ArrayType:
+        return T.ArrayType(self.location)
+
+
+def message_schemas(id_type: str = "int") -> MessageSchemas:
+    """The four message schemas.  Ids are ``int`` as in the original
+    messages; ``id_type="bigint"`` widens every id (keys of large tables pass
+    2^31, and an id that overflows its JSON field type parses as NULL)."""
+    ID = T.LongType() if id_type == "bigint" else T.IntegerType()
+    utc_local = T.StructType([
+        T.StructField("utc", T.StringType()),
+        T.StructField("local", T.StringType()),
+    ])
+    parameter = T.StructType([
+        T.StructField("id", ID),
+        T.StructField("name", T.StringType()),
+        T.StructField("units", T.StringType()),
+        T.StructField("displayName", T.StringType()),
+        T.StructField("description", T.StringType()),
+    ])
+    country = T.StructType([
+        T.StructField("id", ID),
         T.StructField("code", T.StringType()),
-    ])),
-    T.StructField("coordinates", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("datetimeFirst", _UTC_LOCAL),
-    T.StructField("datetimeLast", _UTC_LOCAL),
-    T.StructField("sensors", T.ArrayType(T.StructType([
-        T.StructField("id", T.IntegerType()),
         T.StructField("name", T.StringType()),
-        T.StructField("parameter", T.StructType([T.StructField("id", T.IntegerType())])),
-    ]))),
-])
+        T.StructField("datetimeFirst", T.TimestampType()),
+        T.StructField("datetimeLast", T.TimestampType()),
+        T.StructField("parameters", T.ArrayType(parameter)),
+    ])
+    location = T.StructType([
+        T.StructField("id", ID),
+        T.StructField("name", T.StringType()),
+        T.StructField("locality", T.StringType()),
+        T.StructField("timezone", T.StringType()),
+        T.StructField("country", T.StructType([
+            T.StructField("id", ID),
+            T.StructField("code", T.StringType()),
+        ])),
+        T.StructField("coordinates", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("datetimeFirst", utc_local),
+        T.StructField("datetimeLast", utc_local),
+        T.StructField("sensors", T.ArrayType(T.StructType([
+            T.StructField("id", ID),
+            T.StructField("name", T.StringType()),
+            T.StructField("parameter", T.StructType([T.StructField("id", ID)])),
+        ]))),
+    ])
+    measurement = T.StructType([
+        T.StructField("datetime", utc_local),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("coordinates", T.StructType([
+            T.StructField("latitude", T.DoubleType()),
+            T.StructField("longitude", T.DoubleType()),
+        ])),
+        T.StructField("sensorsId", ID),
+        T.StructField("locationsId", ID),
+        # {"end": true} arrives through a string field as 'true'
+        T.StructField("end", T.StringType()),
+    ])
+    return MessageSchemas(parameter, country, location, measurement)
 
-LOCATION_ARRAY = T.ArrayType(LOCATION)
-
-MEASUREMENT = T.StructType([
-    T.StructField("datetime", _UTC_LOCAL),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("coordinates", T.StructType([
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
-    ])),
-    T.StructField("sensorsId", T.IntegerType()),
-    T.StructField("locationsId", T.IntegerType()),
-    # {"end": true} arrives through a string field as 'true'
-    T.StructField("end", T.StringType()),
-])
+
+MESSAGES = message_schemas("int")
+WIDE_MESSAGES = message_schemas("bigint")
+PARAMETER = MESSAGES.parameter
+COUNTRY = MESSAGES.country
+PARAMETER_ARRAY = MESSAGES.parameter_array
+LOCATION = MESSAGES.location
+LOCATION_ARRAY = MESSAGES.location_array
+MEASUREMENT = MESSAGES.measurement
 
 
 def page_schema(result_type: T.DataType) -> T.StructType:

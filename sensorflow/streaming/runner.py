@@ -28,7 +28,7 @@ from sensorflow.operators.dedupe import dedupe_by_key
 from sensorflow.plans.common import MSG_ORDER
 from sensorflow.plans.measurements import (MEASUREMENT_COLUMNS, end_signals, measurement_rows,
                                            parse_measurements)
-from sensorflow.schemas import MEASUREMENT_TABLE
+from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 from sensorflow.sources.envelope import decode_value
 from sensorflow.sources.keyed_table import KeyedTable
 
@@ -91,11 +91,12 @@ class MeasurementUpsert:
 
 
 def start_measurement_stream(envelope_stream: DataFrame, sink: MeasurementUpsert, checkpoint: str,
-                             available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+                             available_now: bool = False, query_name: str | None = None,
+                             schemas: MessageSchemas = MESSAGES) -> StreamingQuery:
     """Start decode -> parse -> ``foreachBatch(sink)``; ``checkpoint`` is required."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
-    parsed = parse_measurements(decode_value(envelope_stream))
+    parsed = parse_measurements(decode_value(envelope_stream), schemas)
     writer = (parsed.writeStream.foreachBatch(sink).outputMode("append")
               .option("checkpointLocation", checkpoint))
     if query_name:
