@@ -515,6 +515,25 @@ def q_keyed_table_upsert(spark, sf_dir):
     return kt.read()
 
 
+@register("versioned_table_upsert", _UPSERT_CTE + """
+    SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.event_id = t.event_id)
+    UNION ALL SELECT * FROM s
+""")
+def q_versioned_table_upsert(spark, sf_dir):
+    """Snapshot sink: batch 0 = target, batch 1 = source, then batch 1 replayed
+    (must report the same counts and leave the same snapshot)."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.keyed_table import VersionedTable
+    target, source = _upsert_inputs(spark, sf_dir)
+    vt = VersionedTable(spark, scratch_path(spark, "versioned-events"), "event_id")
+    vt.upsert(target, batch_id=0)
+    first = vt.upsert(source, batch_id=1)
+    again = vt.upsert(source, batch_id=1)
+    if first != again:
+        raise AssertionError(f"replayed batch reported {again}, first run {first}")
+    return vt.read()
+
+
 @register("offset_bounds", """
     SELECT 'measurements' AS topic, CAST(user_id % 3 AS INTEGER) AS partition,
            min(event_id) AS low, max(event_id) + 1 AS high

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from sensorflow.operators.upsert import BROADCAST_KEY_ROWS
+from sensorflow.operators.upsert import BROADCAST_KEY_ROWS, upsert, upsert_counts
 
 
 def _maybe_broadcast(keys: DataFrame, source_rows: int | None) -> DataFrame:
@@ -72,8 +72,10 @@ class KeyedTable:
             cond = cond & F.col(c).isin(sorted({t[i] for t in touched}))
         return cond
 
-    def upsert(self, source: DataFrame, source_rows: int | None = None) -> tuple[int, int]:
-        """Upsert ``source`` (unique on the key); returns ``(inserts, updates)``."""
+    def upsert(self, source: DataFrame, source_rows: int | None = None,
+               batch_id: int | None = None) -> tuple[int, int]:
+        """Upsert ``source`` (unique on the key); returns ``(inserts, updates)``.
+        ``batch_id`` is accepted for interface parity with ``VersionedTable``."""
         src = source.withColumns(self.partition_by)
         touched = [tuple(r) for r in src.select(*self.partition_cols).distinct().collect()]
         if not touched:
@@ -105,3 +107,64 @@ class KeyedTable:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
         return inserts, updates
+
+
+class VersionedTable:
+    """Snapshot-per-batch keyed table: replay-exact counts, atomic reads.
+
+    Batch ``n`` merges its source into the newest committed version below
+    ``n`` and writes the result as the snapshot ``v=n``; a small commit record
+    written afterwards makes it visible.  Replaying batch ``n`` rebuilds the
+    same snapshot from the same base, so table *and* insert/update counts are
+    identical, and readers always see one whole snapshot.  Every batch
+    rewrites the table, so this mode suits dimension-sized tables; facts use
+    the partitioned ``KeyedTable``.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: list[str] | str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.key = [key] if isinstance(key, str) else list(key)
+
+    def _versions(self) -> DataFrame | None:
+        try:
+            return (self.spark.read.option("recursiveFileLookup", "true").schema("version bigint")
+                    .json(f"{self.path}/_commits"))
+        except AnalysisException:
+            return None
+
+    def latest_version(self, below: int | None = None) -> int | None:
+        commits = self._versions()
+        if commits is None:
+            return None
+        if below is not None:
+            commits = commits.filter(F.col("version") < below)
+        return commits.agg(F.max("version")).first()[0]
+
+    def read(self, version: int | None = None) -> DataFrame:
+        v = self.latest_version(None if version is None else version + 1)
+        if v is None:
+            raise FileNotFoundError(f"versioned table {self.path} has no committed version")
+        return self.spark.read.parquet(f"{self.path}/v={v}")
+
+    def upsert(self, source: DataFrame, source_rows: int | None = None,
+               batch_id: int | None = None) -> tuple[int, int]:
+        if batch_id is None:
+            last = self.latest_version()
+            batch_id = 0 if last is None else last + 1
+        base_v = self.latest_version(below=batch_id)
+        if base_v is None:
+            merged, counts = source, None
+        else:
+            base = self.spark.read.parquet(f"{self.path}/v={base_v}")
+            source = source.select(*base.columns)
+            counts = upsert_counts(base, source, self.key, source_rows).first()
+            merged = upsert(base, source, self.key, source_rows)
+        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        (self.spark.createDataFrame([(int(batch_id),)], "version bigint")
+         .write.mode("overwrite").json(f"{self.path}/_commits/{batch_id}"))
+        if counts is None:
+            n = source_rows if source_rows is not None else self.spark.read.parquet(
+                f"{self.path}/v={batch_id}").count()
+            return int(n), 0
+        return int(counts["inserts"]), int(counts["updates"])

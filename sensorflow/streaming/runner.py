@@ -30,7 +30,7 @@ from sensorflow.plans.measurements import (MEASUREMENT_COLUMNS, end_signals, mea
                                            parse_measurements)
 from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 from sensorflow.sources.envelope import decode_value
-from sensorflow.sources.keyed_table import KeyedTable
+from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
 
 METRICS_DDL = ("batch_id bigint, rows bigint, inserts bigint, updates bigint, "
                "quarantined bigint, end_seen boolean")
@@ -39,7 +39,7 @@ METRICS_DDL = ("batch_id bigint, rows bigint, inserts bigint, updates bigint, "
 class MeasurementUpsert:
     """``foreachBatch`` body for parsed measurement messages."""
 
-    def __init__(self, spark: SparkSession, table: KeyedTable, metrics_path: str | None = None,
+    def __init__(self, spark: SparkSession, table: KeyedTable | VersionedTable, metrics_path: str | None = None,
                  quarantine_path: str | None = None, parents: dict[str, DataFrame] | None = None,
                  local_mode: str = "wall_clock"):
         self.spark, self.table = spark, table
@@ -77,7 +77,7 @@ class MeasurementUpsert:
                         q = quarantine.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
                         (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                          .partitionBy("batch_id").parquet(self.quarantine_path))
-                    inserts, updates = self.table.upsert(valid, source_rows=n)
+                    inserts, updates = self.table.upsert(valid, source_rows=n, batch_id=int(batch_id))
                 finally:
                     checked.release()
             rows.unpersist()
