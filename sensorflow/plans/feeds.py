@@ -42,11 +42,10 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     try:
         target = spark.sparkContext.defaultParallelism
-    except Exception:  # Spark Connect
-        target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    if df.rdd.getNumPartitions() >= target:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view, leave the input as it is
         return df
-    return df.repartition(target)
+    return df if have >= target else df.repartition(target)
 
 
 def _when(cond: Column | None, bad, good):
