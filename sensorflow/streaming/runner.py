@@ -19,15 +19,14 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorflow.operators.constraints import validate
 from sensorflow.operators.dedupe import dedupe_by_key
 from sensorflow.plans.common import MSG_ORDER
-from sensorflow.plans.measurements import (MEASUREMENT_COLUMNS, end_signals, measurement_rows,
-                                           parse_measurements)
+from sensorflow.plans.measurements import MEASUREMENT_COLUMNS, measurement_rows, parse_measurements
 from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 from sensorflow.sources.envelope import decode_value
 from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
@@ -62,9 +61,13 @@ class MeasurementUpsert:
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         batch = batch_df.persist()
         try:
-            end_seen = not end_signals(batch).isEmpty()
-            rows = measurement_rows(batch, self.local_mode).persist()
+            # end records are counted by an observation on the same job that
+            # counts the data rows (no separate pass over the batch)
+            obs = Observation(f"measurement_batch_{batch_id}")
+            observed = batch.observe(obs, F.count_if(F.col("data.end").isNotNull()).alias("ends"))
+            rows = measurement_rows(observed, self.local_mode).persist()
             n = rows.count()
+            end_seen = bool(obs.get.get("ends", 0))
             inserts = updates = quarantined = 0
             if n:
                 deduped = dedupe_by_key(rows, "latest_id", MSG_ORDER).select(*MEASUREMENT_COLUMNS)
