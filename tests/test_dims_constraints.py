@@ -68,3 +68,30 @@ def test_f5_parent_first_order():
     order = parent_first_order(list(TABLES.values()))
     assert order.index("country") < order.index("location_table") < order.index("sensor")
     assert order.index("parameter") < order.index("sensor") < order.index("latest_measurements")
+
+
+def test_c6_guard_and_parent_first_writes(spark):
+    from sensorflow.plans.jobs import write_in_order
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.keyed_table import KeyedTable
+    root = scratch_path(spark, "test-jobs")
+    tables = {n: KeyedTable(spark, f"{root}/{n}", list(TABLES[n].key), buckets=2)
+              for n in ("country", "location_table", "sensor")}
+    country = spark.createDataFrame([(1, "FR", "France", None, None)],
+                                    "id int, code string, name string, datetimeFirst timestamp, datetimeLast timestamp")
+    loc_cols = ("location_id int, name string, locality string, country_id int, latitude double, "
+                "longitude double, timezone string, datetime_first_utc timestamp, datetime_first_local timestamp_ntz, "
+                "datetime_last_utc timestamp, datetime_last_local timestamp_ntz")
+    locations = spark.createDataFrame([(10, "a", None, 1, None, None, None, None, None, None, None),
+                                       (11, "b", None, 2, None, None, None, None, None, None, None)], loc_cols)
+    no_sensors = spark.createDataFrame([], "sensor_id int, name string, parameter_id int, location_id int")
+    out = write_in_order(spark, {"country": country, "location_table": locations, "sensor": no_sensors}, tables)
+    assert out["location_table"]["skipped"] and out["sensor"]["skipped"]
+    assert out["country"]["inserts"] == 1
+    sensors = spark.createDataFrame([(100, "s", None, 10), (101, "t", None, 11)],
+                                    "sensor_id int, name string, parameter_id int, location_id int")
+    out = write_in_order(spark, {"location_table": locations, "sensor": sensors}, tables)
+    # location 11 points at an unknown country: quarantined, and so is its sensor
+    assert out["location_table"] == {"inserts": 1, "updates": 0, "quarantined": 1, "skipped": False}
+    assert out["sensor"] == {"inserts": 1, "updates": 0, "quarantined": 1, "skipped": False}
+    assert [r.sensor_id for r in tables["sensor"].read().collect()] == [100]
