@@ -10,10 +10,11 @@ the batch touches:
    the number of partitions, so collecting them is safe);
 2. old rows of those partitions are read with partition pruning, merged with
    ``target ANTI source ∪ source`` (source rows flagged when their key was
-   present: the insert/update counts come from the staged merge);
-3. the merge is written to a staging folder (lineage cut: a retry or a lost
-   executor never re-reads a half-overwritten partition), then moved in with
-   dynamic partition overwrite.
+   present: the insert/update counts are observed while writing);
+3. the merge is written with dynamic partition overwrite in the same job:
+   files go to a job-private folder and the touched partitions are swapped
+   at job commit, after all tasks have read the old files, so a lost
+   executor's retried task still reads the old data.
 
 Replaying a batch gives the same table (idempotent).  Counts are computed
 against the table as it is, so a replayed batch reports updates.
@@ -22,7 +23,9 @@ Single writer per table is assumed; readers may see a batch half applied.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -81,14 +84,13 @@ class KeyedTable:
         if not touched:
             return 0, 0
         old = self._raw()
-        staging = f"{self.path}/_staging"
         if old is None:
             merged = src.withColumn("__update", F.lit(False))
         else:
             old = old.filter(self._touched_filter(touched))
             src = src.select(*old.columns)
-            # one pass: source rows flagged with "key already present" (the
-            # counts), plus old rows the source does not replace
+            # source rows flagged with "key already present" (the counts),
+            # plus the old rows the source does not replace
             hit = (old.select(*self.key)
                    .join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_semi")
                    .withColumn("__update", F.lit(True)))
@@ -96,16 +98,18 @@ class KeyedTable:
                 "__update", F.coalesce(F.col("__update"), F.lit(False)))
             kept = old.join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_anti")
             merged = kept.withColumn("__update", F.lit(None).cast("boolean")).unionByName(flagged)
-        merged.write.mode("overwrite").parquet(staging)
-        staged = self.spark.read.parquet(staging)
-        row = staged.agg(F.count_if(F.col("__update") == F.lit(False)).alias("i"),
-                         F.count_if(F.col("__update")).alias("u")).first()
-        inserts, updates = int(row["i"]), int(row["u"])
-        # cluster by partition columns: each table partition is written by one
-        # task (one file per partition and batch instead of one per task)
-        (staged.drop("__update").repartition(*self.partition_cols)
+        # One job merges, counts (observed on the way) and writes.  Dynamic
+        # partition overwrite writes into a job-private folder and swaps the
+        # touched partitions only at job commit, after every task has read
+        # the old files, so a retried task still sees the old data.  Rows are
+        # clustered by partition columns: one file per partition and batch.
+        obs = Observation(f"keyed_upsert_{uuid.uuid4().hex}")
+        counted = merged.observe(obs, F.count_if(F.col("__update") == F.lit(False)).alias("i"),
+                                 F.count_if(F.col("__update")).alias("u"))
+        (counted.drop("__update").repartition(*self.partition_cols)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
+        inserts, updates = int(obs.get["i"]), int(obs.get["u"])
         return inserts, updates
 
 
