@@ -54,6 +54,27 @@ def _fixture_locations(spark, sf_dir) -> DataFrame:
                     F.col("c_mktsegment").alias("locality"), F.col("c_nationkey").alias("country_id"))
 
 
+def _fixture_sensors(spark, sf_dir) -> DataFrame:
+    """Sensor = the customer's device; its parameter = the region of its nation."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    return c.join(n, "c_nationkey").select(
+        F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("name"),
+        F.col("n_regionkey").alias("parameter_id"), F.col("c_custkey").alias("location_id"))
+
+
+def _fixture_parameters(spark, sf_dir) -> DataFrame:
+    r = table(spark, sf_dir, "region")
+    return r.select(F.col("r_regionkey").alias("parameter_id"), F.col("r_name").alias("name"),
+                    F.lit("ppm").alias("unit"))
+
+
+def _star(spark, sf_dir) -> DataFrame:
+    return measurement_star(_measurement_fact(spark, sf_dir), _fixture_locations(spark, sf_dir),
+                            _fixture_countries(spark, sf_dir), _fixture_sensors(spark, sf_dir),
+                            _fixture_parameters(spark, sf_dir))
+
+
 def _fixture_countries(spark, sf_dir) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     return n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
@@ -165,38 +186,38 @@ def q_control_rows(spark, sf_dir):
 # -- J1-J4 (flagship: measurements -> star -> stats) --------------------------
 _STAR_SQL = """
     SELECT f.*, c.c_name AS location_name, c.c_mktsegment AS locality,
-           c.c_nationkey AS country_id, n.n_name AS country_name
+           c.c_nationkey AS country_id, n.n_name AS country_name,
+           c.c_name AS sensor_name, r.r_regionkey AS parameter_id, r.r_name AS parameter_name,
+           'ppm' AS unit
     FROM (""" + _FACT_SQL + """) f
     JOIN customer c ON c.c_custkey = f.location_id
     JOIN nation n ON n.n_nationkey = c.c_nationkey
+    JOIN region r ON r.r_regionkey = n.n_regionkey
 """
 
 
 @register("measurement_star", """
     SELECT latest_id, location_id, sensor_id, value, timestamp_utc, location_name, locality,
-           country_id, country_name
+           country_id, country_name, sensor_name, parameter_id, parameter_name, unit
     FROM (""" + _STAR_SQL + """) s
 """)
 def q_measurement_star(spark, sf_dir):
-    star = measurement_star(_measurement_fact(spark, sf_dir), _fixture_locations(spark, sf_dir),
-                            _fixture_countries(spark, sf_dir))
-    return star.select("latest_id", "location_id", "sensor_id", "value",
-                       utc("timestamp_utc").alias("timestamp_utc"),
-                       "location_name", "locality", "country_id", "country_name")
+    return _star(spark, sf_dir).select(
+        "latest_id", "location_id", "sensor_id", "value", utc("timestamp_utc").alias("timestamp_utc"),
+        "location_name", "locality", "country_id", "country_name", "sensor_name", "parameter_id",
+        "parameter_name", "unit")
 
 
 def dimension_stats_query(spark, sf_dir):
-    star = measurement_star(_measurement_fact(spark, sf_dir), _fixture_locations(spark, sf_dir),
-                            _fixture_countries(spark, sf_dir))
-    return dimension_stats(star, ["country_name", "locality"])
+    return dimension_stats(_star(spark, sf_dir), ["country_name", "parameter_name"])
 
 
 register("dimension_stats", """
-    SELECT country_name, locality, count(*) AS n, min(value) AS min_value,
+    SELECT country_name, parameter_name, count(*) AS n, min(value) AS min_value,
            round(avg(value), 6) AS avg_value, max(value) AS max_value,
            CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_value
     FROM (""" + _STAR_SQL + """) s
-    GROUP BY country_name, locality
+    GROUP BY country_name, parameter_name
 """)(dimension_stats_query)
 
 

@@ -11,6 +11,8 @@ from sensorflow.operators.joins import bounded_broadcast
 
 # countries are a small, closed set; broadcast only below this proven bound
 COUNTRY_BROADCAST_ROWS = 100_000
+# measured quantities (pm25, o3, ...) are a small, closed set as well
+PARAMETER_BROADCAST_ROWS = 100_000
 
 
 def measurement_star(fact: DataFrame, location: DataFrame, country: DataFrame,
@@ -30,8 +32,9 @@ def measurement_star(fact: DataFrame, location: DataFrame, country: DataFrame,
         star = star.join(sensor.select("sensor_id", F.col("name").alias("sensor_name"),
                                        "parameter_id"), "sensor_id")
         if parameter is not None:
-            star = star.join(parameter.select("parameter_id", F.col("name").alias("parameter_name"),
-                                              "unit"), "parameter_id")
+            par = bounded_broadcast(parameter.select("parameter_id", F.col("name").alias("parameter_name"),
+                                                     "unit"), PARAMETER_BROADCAST_ROWS)
+            star = star.join(par, "parameter_id")
     return star
 
 
