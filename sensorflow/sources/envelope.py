@@ -26,17 +26,32 @@ def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "e
 
 def kafka_batch_source(spark: SparkSession, bootstrap_servers: str, topic: str,
                        starting_offsets: str = "earliest", ending_offsets: str = "latest",
-                       **extra) -> DataFrame:
-    """A1: bounded read of a topic (earliest..latest by default)."""
+                       min_partitions: int | None = None, **extra) -> DataFrame:
+    """A1: bounded read of a topic (earliest..latest by default).
+
+    ``min_partitions`` splits topic partitions into more Spark tasks: JSON
+    parsing is CPU-bound and a topic has few partitions (3 in the original
+    deployment)."""
+    if min_partitions:
+        extra["minPartitions"] = min_partitions
     opts = kafka_options(bootstrap_servers, topic, starting_offsets,
                          endingOffsets=ending_offsets, **extra)
     return spark.read.format("kafka").options(**opts).load()
 
 
 def kafka_stream_source(spark: SparkSession, bootstrap_servers: str, topic: str,
-                        starting_offsets: str = "earliest", **extra) -> DataFrame:
+                        starting_offsets: str = "earliest", max_offsets_per_trigger: int | None = None,
+                        min_partitions: int | None = None, **extra) -> DataFrame:
     """A2: unbounded read.  Defaults to ``earliest``: the upsert downstream is
-    idempotent, so re-reading is safe while starting late can lose messages."""
+    idempotent, so re-reading is safe while starting late can lose messages.
+
+    ``max_offsets_per_trigger`` bounds each micro-batch, which keeps the
+    batch-side broadcasts of the upsert and FK checks within their bound
+    (and a backlog from turning into one giant batch)."""
+    if max_offsets_per_trigger:
+        extra["maxOffsetsPerTrigger"] = max_offsets_per_trigger
+    if min_partitions:
+        extra["minPartitions"] = min_partitions
     opts = kafka_options(bootstrap_servers, topic, starting_offsets, **extra)
     return spark.readStream.format("kafka").options(**opts).load()
 
