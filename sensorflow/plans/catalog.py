@@ -640,10 +640,11 @@ def q_publish_array(spark, sf_dir):
 
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.common import parse_array_messages
-    from sensorflow.sources.publish import publish_array
+    from sensorflow.sources.publish import bounded_chunks, publish_array
     li = table(spark, sf_dir, "lineitem")
-    env = publish_array(li, "lineitem", group=["l_orderkey"], chunk=F.floor(F.col("l_linenumber") / 64),
-                        offset="l_orderkey")
+    chunked = bounded_chunks(li, ["l_orderkey"], 64, alias="chunk")
+    env = publish_array(chunked, "lineitem", group=["l_orderkey"], chunk=F.col("chunk"),
+                        offset="l_orderkey", payload=li.columns)
     arr = parse_array_messages(decode_value(env), T.StructType(li.schema.fields), "items")
     return explode_array(arr, "items", "i").select("i.*")
 

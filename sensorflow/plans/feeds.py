@@ -80,11 +80,14 @@ def measurement_messages(events: DataFrame, partitions: int = 3, **inject) -> Da
 
 # -- countries and parameters ----------------------------------------------
 def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int = 64) -> DataFrame:
-    """One country object per order (and per chunk of its lines); orders
-    without lines carry ``parameters: []``."""
+    """One country object per order (and per chunk of at most about
+    ``chunk_lines`` lines); orders without lines carry ``parameters: []``."""
+    from sensorflow.sources.publish import bounded_chunks
     orders = spread(orders)  # streamed side of the join; lineitem goes straight into a shuffle
-    items = (lineitem.select(
-        "l_orderkey", F.floor(F.col("l_linenumber") / chunk_lines).alias("chunk"),
+    lines = bounded_chunks(lineitem.select("l_orderkey", "l_partkey", "l_linenumber"),
+                           ["l_orderkey"], chunk_lines, alias="chunk")
+    items = (lines.select(
+        "l_orderkey", "chunk",
         F.struct(F.col("l_partkey").alias("id"),
                  F.concat(F.lit("parameter-"), F.col("l_partkey")).alias("name"),
                  F.lit("ppm").alias("units"),
@@ -99,7 +102,7 @@ def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int =
         iso_utc(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("datetimeLast"),
         F.coalesce(F.col("parameters"), F.array()).alias("parameters"))
     chunk = F.coalesce(F.col("chunk"), F.lit(0))
-    return to_envelope(docs, F.to_json(doc), "country", offset=F.col("o_orderkey") * 1000 + chunk,
+    return to_envelope(docs, F.to_json(doc), "country", offset=F.col("o_orderkey") * 1_000_000 + chunk,
                        timestamp=F.col("o_orderdate").cast("timestamp"))
 
 

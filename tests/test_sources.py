@@ -98,3 +98,13 @@ def test_single_object_parse(spark):
     df = spark.createDataFrame([('{"id": 4, "country": {"id": 22}}',)], "v string")
     r = df.select(parse_struct("v", LOCATION).alias("l")).first()
     assert (r.l.id, r.l.country.id) == (4, 22)
+
+
+def test_bounded_chunks_split_a_hot_group(spark):
+    from sensorflow.sources.publish import bounded_chunks
+    df = spark.range(0, 20000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS g")
+    out = bounded_chunks(df, ["g"], 100)
+    sizes = [r["count"] for r in out.groupBy("g", "__chunk").count().collect()]
+    assert sum(sizes) == 20000
+    assert max(sizes) < 200  # the hot group (6,667 rows) is spread over 67 chunks
+    assert out.filter("g = 0").select("__chunk").distinct().count() == 67
