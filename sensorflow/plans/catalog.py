@@ -746,7 +746,6 @@ def run_measurement_stream(spark, sf_dir):
     """Four file batches (by day of month) through the streaming upsert; each
     batch after the first re-delivers the previous batch's purchase events;
     the last one ends with ``{"end": true}``.  Returns ``(table, metrics)``."""
-    from sensorflow.schemas import TableSpec  # noqa: F401
     from sensorflow.session import scratch_path
     from sensorflow.sources.envelope import file_topic_source, write_file_topic
     from sensorflow.sources.keyed_table import KeyedTable
