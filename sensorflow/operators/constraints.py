@@ -135,3 +135,16 @@ def parent_first_order(specs: list[TableSpec]) -> list[str]:
         for n in ready:
             del deps[n]
     return order
+
+
+def redrive(quarantine: DataFrame, spec: TableSpec, rules: list[str] | None = None) -> DataFrame:
+    """Typed rows back from a quarantine of ``spec``'s table (optionally only
+    rows that broke one of ``rules``), one per quarantined row even when it
+    broke several rules -- ready to be validated and upserted again, e.g.
+    once a late parent row has arrived."""
+    q = quarantine.filter(F.col("table") == spec.name)
+    if rules:
+        q = q.filter(F.col("rule").isin(rules))
+    parsed = q.select("row_json").distinct().select(
+        F.from_json("row_json", spec.struct_type()).alias("__r"))
+    return parsed.select(*[F.col(f"__r.{c}").alias(c) for c in spec.column_names])

@@ -95,3 +95,18 @@ def test_c6_guard_and_parent_first_writes(spark):
     assert out["location_table"] == {"inserts": 1, "updates": 0, "quarantined": 1, "skipped": False}
     assert out["sensor"] == {"inserts": 1, "updates": 0, "quarantined": 1, "skipped": False}
     assert [r.sensor_id for r in tables["sensor"].read().collect()] == [100]
+
+
+def test_redrive_after_parent_arrives(spark):
+    from sensorflow.operators.constraints import redrive
+    from sensorflow.schemas import SENSOR_TABLE
+    sensors = spark.createDataFrame([(1, "a", None, 10), (2, "b", None, 99)],
+                                    "sensor_id int, name string, parameter_id int, location_id int")
+    locations = spark.createDataFrame([(10,)], "location_id int")
+    valid, quarantine = validate(sensors, SENSOR_TABLE, {"location_table": locations})
+    assert [r.sensor_id for r in valid.collect()] == [1]
+    back = redrive(quarantine, SENSOR_TABLE, rules=["fk:location_id->location_table"])
+    assert [tuple(r) for r in back.collect()] == [(2, "b", None, 99)]
+    late = locations.unionByName(spark.createDataFrame([(99,)], "location_id int"))
+    valid2, q2 = validate(back, SENSOR_TABLE, {"location_table": late})
+    assert [r.sensor_id for r in valid2.collect()] == [2] and q2.count() == 0
