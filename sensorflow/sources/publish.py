@@ -33,21 +33,17 @@ def publish_rows(df: DataFrame, topic: str, offset, timestamp=None, key=None,
                        timestamp=_c(timestamp) if timestamp is not None else None)
 
 
-GROUP_COUNT_BROADCAST_ROWS = 1_000_000
-
-
 def bounded_chunks(df: DataFrame, group: list[str], max_rows: int, alias: str = "__chunk") -> DataFrame:
     """Chunk id per row so that each ``group`` is split into ``ceil(n / max_rows)``
     chunks of about ``max_rows`` rows, however hot the group.
 
     Rows are counted per group (map-side combined), then spread by a
     deterministic hash of the whole row, so a stage retry assigns the same
-    chunks.  Exact duplicate rows share a chunk.  The per-group counts are
-    broadcast only when their number is proven small.
+    chunks.  Exact duplicate rows share a chunk.  The counts are an
+    aggregate, i.e. a shuffle stage whose real size AQE measures before
+    choosing the join (broadcast when small), so they are computed once.
     """
     counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    from sensorflow.operators.joins import bounded_broadcast
-    counts = bounded_broadcast(counts, GROUP_COUNT_BROADCAST_ROWS)
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_rows)))
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     return (df.join(counts, group)
