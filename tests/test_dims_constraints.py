@@ -110,3 +110,14 @@ def test_redrive_after_parent_arrives(spark):
     late = locations.unionByName(spark.createDataFrame([(99,)], "location_id int"))
     valid2, q2 = validate(back, SENSOR_TABLE, {"location_table": late})
     assert [r.sensor_id for r in valid2.collect()] == [2] and q2.count() == 0
+
+
+def test_e06_country_with_null_parameters(spark, envelope):
+    msgs = envelope([json.dumps({"id": 5, "code": "XX", "name": "n", "parameters": None}),
+                     country(6, [1])])
+    empty_topic = envelope(["[]"])
+    c, p = country_parameter_dims(decode_value(msgs), decode_value(empty_topic))
+    assert [r.id for r in c.collect()] == [6]
+    c_all, p_all = country_parameter_dims(decode_value(msgs), decode_value(empty_topic), keep_empty=True)
+    assert sorted(r.id for r in c_all.collect()) == [5, 6]
+    assert [r.parameter_id for r in p_all.collect()] == [1]  # no NULL parameter row
