@@ -716,9 +716,11 @@ def q_location_sensor_dims(spark, sf_dir):
     env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
     location, sensor = location_sensor_dims(decode_value(env), stage=materialize, schemas=W)
     # parents first -- country, then location, then sensor
-    location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)})
+    # both frames come out of dedupe_by_key: keys are unique (NULL keys still caught)
+    location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)},
+                           unique_key=True)
     location = materialize(location)  # output and parent of the sensor check: validate once
-    sensor, _ = validate(sensor, SENSOR_TABLE, {"location_table": location})
+    sensor, _ = validate(sensor, SENSOR_TABLE, {"location_table": location}, unique_key=True)
     nul_i, nul_s, nul_d = (F.lit(None).cast(t) for t in ("bigint", "string", "double"))
     nul_t = F.lit(None).cast("timestamp_ntz")
     loc = location.select(

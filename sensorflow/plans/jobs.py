@@ -23,7 +23,10 @@ GUARDED_PAIRS = (("location_table", "sensor"),)
 
 def write_in_order(spark: SparkSession, frames: dict[str, DataFrame], tables: dict[str, KeyedTable],
                    specs: dict[str, TableSpec] | None = None, mode: str = "quarantine",
-                   quarantine_path: str | None = None) -> dict[str, dict]:
+                   quarantine_path: str | None = None,
+                   unique: frozenset[str] = frozenset()) -> dict[str, dict]:
+    """``unique`` names frames already deduped on their key (the duplicate-key
+    check is skipped for them; NULL keys are still quarantined)."""
     specs = specs or TABLES
     order = parent_first_order([specs[n] for n in frames])
     empty = {n: df.isEmpty() for n, df in frames.items()}
@@ -53,7 +56,8 @@ def write_in_order(spark: SparkSession, frames: dict[str, DataFrame], tables: di
                     for k in keys[1:]:
                         union = union.unionByName(k)
                     parents[fk.parent] = union
-            checked = validate(frames[name], spec, parents, mode=mode, cache=True)
+            checked = validate(frames[name], spec, parents, mode=mode, cache=True,
+                               unique_key=name in unique)
             held.append(checked)
             valid, quarantine = checked
             n_bad = quarantine.count()
@@ -77,10 +81,14 @@ def dimension_job(spark: SparkSession, tables: dict[str, KeyedTable],
     validation and upserts in foreign-key order.  Parsed messages are
     materialized once (lineage cut) because each feeds two tables."""
     frames: dict[str, DataFrame] = dict(extra or {})
+    deduped = set()
     if country_decoded is not None and parameter_decoded is not None:
+        deduped |= {"country", "parameter"}
         frames["country"], frames["parameter"] = country_parameter_dims(
             country_decoded, parameter_decoded, stage=materialize, schemas=schemas)
     if location_decoded is not None:
+        deduped |= {"location_table", "sensor"}
         frames["location_table"], frames["sensor"] = location_sensor_dims(
             location_decoded, stage=materialize, schemas=schemas)
-    return write_in_order(spark, frames, tables, quarantine_path=quarantine_path)
+    return write_in_order(spark, frames, tables, quarantine_path=quarantine_path,
+                          unique=frozenset(deduped))
