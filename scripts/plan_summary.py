@@ -29,11 +29,11 @@ def main() -> None:
           "shuffles (`Exchange`), broadcasts, join strategies, `from_json` occurrences (a parse pushed "
           "into the branches of a CASE still runs once per row), then each scan "
           "with the columns it reads and the filters pushed into parquet.\n\n"
-          "Reading the parse column: where a feed builds messages with exactly the parse schema in "
-          "the same plan, Catalyst removes the `to_json` -> `from_json` round trip (0 parses); real "
-          "inputs arrive as bytes from Kafka or files and are parsed once, as in the measurement "
-          "queries (1). Dimension jobs parse before their materialized stage, so their final plan "
-          "shows none.\n"
+          "Reading the parse column: feeds that would be built and parsed in one plan are first "
+          "landed on a file topic (`catalog.landed`), because Catalyst folds a same-plan `to_json` -> "
+          "`from_json` pair away; real inputs arrive as bytes from Kafka or files. Queries that only "
+          "render or cast show 0. Dimension jobs parse before their materialized stage, so their "
+          "final plan shows none.\n"
           )
     print("| query | shuffles | broadcasts | joins | parses |")
     print("|---|---|---|---|---|")

@@ -80,6 +80,18 @@ def _fixture_countries(spark, sf_dir) -> DataFrame:
     return n.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
 
 
+def landed(spark, envelope: DataFrame, name: str) -> DataFrame:
+    """Decoded messages as a consumer sees them: the feed is written to a file
+    topic (under the checkpoint folder) and read back, so the parser gets
+    opaque bytes, as from Kafka -- Catalyst cannot fold a same-plan
+    ``to_json`` -> ``from_json`` pair away."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.envelope import file_topic_source, write_file_topic
+    path = scratch_path(spark, f"topic-{name}")
+    write_file_topic(envelope, path)
+    return decode_value(file_topic_source(spark, path))
+
+
 # SQL fragments shared by the oracles --------------------------------------
 _FACT_SQL = """
     SELECT concat_ws('_', user_id, user_id, CAST(ts AS VARCHAR)) AS latest_id,
@@ -267,7 +279,7 @@ def _country_parameter_rows(spark, sf_dir, keep_empty):
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.common import parse_object_messages
     env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    c = parse_object_messages(decode_value(env), W.country, "c")
+    c = parse_object_messages(landed(spark, env, "country"), W.country, "c")
     rows = explode_array(c, F.col("c.parameters"), "p", keep_empty=keep_empty)
     return rows.select(F.col("c.id").alias("country_id"), F.col("c.code").alias("code"),
                        F.col("p.id").alias("parameter_id"), F.col("p.name").alias("parameter_name"),
@@ -283,7 +295,7 @@ def q_parse_array_items(spark, sf_dir):
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.common import parse_array_messages
     env = feeds.parameter_messages(table(spark, sf_dir, "part"), copies=1)
-    arr = parse_array_messages(decode_value(env), W.parameter, "params")
+    arr = parse_array_messages(landed(spark, env, "parameter"), W.parameter, "params")
     return explode_array(arr, "params", "p").select("p.*")
 
 
@@ -305,7 +317,7 @@ def q_two_level_explode(spark, sf_dir):
     from sensorflow.operators.explode import explode_array
     from sensorflow.plans.dims import location_rows
     env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
-    locs = location_rows(decode_value(env), schemas=W)
+    locs = location_rows(landed(spark, env, "locations"), schemas=W)
     return explode_array(locs, "sensors", "s").select(
         "location_id", "country_id", F.col("s.id").alias("sensor_id"),
         F.col("s.name").alias("sensor_name"), F.col("s.parameter.id").alias("parameter_id"))
@@ -453,11 +465,11 @@ def q_enrich_left(spark, sf_dir):
     from sensorflow.plans.common import parse_object_messages
     from sensorflow.plans.dims import parameter_dimension
     env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    c = parse_object_messages(decode_value(env), W.country, "c")
+    c = parse_object_messages(landed(spark, env, "country"), W.country, "c")
     rows = explode_array(c, F.col("c.parameters"), "p").select(
         F.col("c.id").alias("country_id"), F.col("p.id").alias("parameter_id"),
         F.col("p.name").alias("name"), F.col("p.displayName").alias("display_name"))
-    dim = parameter_dimension(decode_value(feeds.parameter_messages(table(spark, sf_dir, "part"))), W)
+    dim = parameter_dimension(landed(spark, feeds.parameter_messages(table(spark, sf_dir, "part")), "parameter"), W)
     return enrich_left(rows, dim, "parameter_id", "id",
                        {"display_name": "displayName", "description": "description"})
 
@@ -470,7 +482,7 @@ def q_referenced_dim_rows(spark, sf_dir):
     from sensorflow.operators.joins import referenced_dim_rows
     from sensorflow.plans.common import parse_object_messages
     env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
-    c = parse_object_messages(decode_value(env), W.country, "c")
+    c = parse_object_messages(landed(spark, env, "country"), W.country, "c")
     ids = collect_ids(c.select(F.col("c.parameters").alias("parameters")), "parameters")
     return referenced_dim_rows(table(spark, sf_dir, "part"), ids, "p_partkey", "id")
 
@@ -642,10 +654,10 @@ def q_publish_array(spark, sf_dir):
     from sensorflow.plans.common import parse_array_messages
     from sensorflow.sources.publish import bounded_chunks, publish_array
     li = table(spark, sf_dir, "lineitem")
-    chunked = bounded_chunks(li, ["l_orderkey"], 64, alias="chunk")
+    chunked = bounded_chunks(li, ["l_orderkey"], 64, alias="chunk").withColumn("published_by", F.lit("bench"))
     env = publish_array(chunked, "lineitem", group=["l_orderkey"], chunk=F.col("chunk"),
-                        offset="l_orderkey", payload=li.columns)
-    arr = parse_array_messages(decode_value(env), T.StructType(li.schema.fields), "items")
+                        offset="l_orderkey", payload=li.columns + ["published_by"])
+    arr = parse_array_messages(landed(spark, env, "lineitem"), T.StructType(li.schema.fields), "items")
     return explode_array(arr, "items", "i").select("i.*")
 
 
@@ -683,7 +695,8 @@ def q_country_parameter_dims(spark, sf_dir):
     from sensorflow.plans.dims import country_parameter_dims
     country_env = feeds.country_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
     param_env = feeds.parameter_messages(table(spark, sf_dir, "part"))
-    country, parameter = country_parameter_dims(decode_value(country_env), decode_value(param_env),
+    country, parameter = country_parameter_dims(landed(spark, country_env, "country"),
+                                                landed(spark, param_env, "parameter"),
                                                 stage=materialize, schemas=W)
     nul = F.lit(None).cast("string")
     c = country.select(F.lit("country").alias("table_name"), F.col("id").cast("bigint").alias("key"),
@@ -714,7 +727,7 @@ def q_location_sensor_dims(spark, sf_dir):
     from sensorflow.plans.dims import location_sensor_dims
     from sensorflow.schemas import LOCATION_TABLE, SENSOR_TABLE
     env = feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
-    location, sensor = location_sensor_dims(decode_value(env), stage=materialize, schemas=W)
+    location, sensor = location_sensor_dims(landed(spark, env, "locations"), stage=materialize, schemas=W)
     # parents first -- country, then location, then sensor
     # both frames come out of dedupe_by_key: keys are unique (NULL keys still caught)
     location, _ = validate(location, LOCATION_TABLE, {"country": _fixture_countries(spark, sf_dir)},
@@ -836,7 +849,8 @@ def q_dimension_job(spark, sf_dir):
                  .distinct()
                  .select("parameter_id", "name", F.lit("ppm").alias("unit"),
                          F.col("name").alias("display_name"), F.lit(None).cast(T.StringType()).alias("description")))
-    env = decode_value(feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")))
+    env = landed(spark, feeds.location_messages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")),
+                 "locations")
     first = dimension_job(spark, tables, location_decoded=env,
                           extra={"country": country, "parameter": parameter}, schemas=W)
     replay = dimension_job(spark, tables, location_decoded=env, schemas=W)

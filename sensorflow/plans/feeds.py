@@ -14,7 +14,10 @@ tables.  Domain mapping:
 Edge cases are injected from natural attributes of the rows (event type,
 part type, size), never by sampling ids.  Every feed is chunked so that no
 message grows with a hot key.  Ids keep the tables' 64-bit width; parse them
-with ``WIDE_MESSAGES``.
+with ``WIDE_MESSAGES``.  Like real producers, feeds carry fields the parse
+schemas do not know (ignored by the parser); this also keeps Catalyst from
+folding a same-plan ``to_json`` -> ``from_json`` pair away, so the JSON text is
+really parsed.
 """
 
 from __future__ import annotations
@@ -112,9 +115,10 @@ def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2)
     rows = spread(part).filter(F.col("p_type") != "PROMO").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
         F.lit("ppm").alias("units"), F.upper("p_name").alias("displayName"),
-        F.col("p_type").alias("description"), F.col("p_partkey").alias("row_id"))
+        F.col("p_type").alias("description"), F.lit("api").alias("source"),
+        F.col("p_partkey").alias("row_id"))
     env = publish_array(rows, "parameter", group=[], chunk=F.floor(F.col("row_id") / chunk_rows),
-                        offset="row_id", payload=["id", "name", "units", "displayName", "description"])
+                        offset="row_id", payload=["id", "name", "units", "displayName", "description", "source"])
     env = env.withColumn("timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     out = env
     for k in range(1, copies):
@@ -149,7 +153,8 @@ def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1
             F.create_map(F.lit("latitude"), F.col("c_acctbal") / 100.0,
                          F.lit("longitude"), F.col("c_nationkey") * 1.5).alias("coordinates"),
             when(F.col("first")).alias("datetimeFirst"), when(F.col("last")).alias("datetimeLast"),
-            F.coalesce(F.col("sensors"), F.array()).alias("sensors")).alias("loc"))
+            F.coalesce(F.col("sensors"), F.array()).alias("sensors"),
+            F.lit(False).alias("isMobile")).alias("loc"))
 
 
 def location_messages(customer: DataFrame, orders: DataFrame, per_message: int = 100) -> DataFrame:
