@@ -54,8 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job-owned tables.
 
     Read from the session (``spark.checkpoint.dir`` or the SparkContext's
-    checkpoint dir); only when neither is set (local tests) a private folder
-    is created and registered.
+    checkpoint dir).  When neither is set, a ``local`` master (tests, bench)
+    gets a private folder; on a cluster executors could not see such a folder,
+    so the call fails and asks for ``spark.checkpoint.dir``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -64,6 +65,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
@@ -75,7 +80,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sensorflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
+def materialize(df, name: str = "stage"):
     """Cut lineage: write ``df`` once as a parquet table in the session's
     checkpoint folder (shared on a cluster) and read it back.  Used where one
     parsed input feeds several outputs, so messages are parsed once, and a
@@ -83,6 +88,21 @@ def materialize(df):
     (An eager ``checkpoint()`` without ``persist`` would compute the plan
     twice: once to count, once to write.)"""
     spark = df.sparkSession
-    path = scratch_path(spark, "stage")
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames) -> None:
+    """Remove the tables behind frames that ``materialize`` returned, once
+    nothing reads them any more.  Only folders below the checkpoint root of
+    the session are ever touched."""
+    for df in frames:
+        spark = df.sparkSession
+        root = f"{checkpoint_root(spark)}/sensorflow/"
+        bare = root.split(":", 1)[-1].lstrip("/")
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.split(":", 1)[-1].lstrip("/").startswith(bare):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(hadoop).delete(path, True)
