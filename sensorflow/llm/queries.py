@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorflow.llm import toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.sharding import interleave
 
@@ -13,6 +14,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def remainder(divisor: int):
+    """crc32 of the id as text, by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+TOXIC_FROM = 0.7
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of held-out rows are never read into the model."""
+    docs = documents(spark, sf_dir)
+    train = (docs.select("doc_id", "text").filter(remainder(3) != 1)
+             .join(labels(spark, sf_dir).select("doc_id", "toxic").distinct(), "doc_id"))
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(train), out_col="score")
+    return scored.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -26,6 +49,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op10_sharding": op10_sharding,
 }
