@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import toxicity
+from sensorflow.llm import language_id, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.sharding import interleave
 
@@ -23,6 +23,15 @@ def remainder(divisor: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from text and lang of the rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.filter(remainder(4) != 2).select("text", "lang"))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"),
+                        "lang_mix.lang_pred", "lang_mix.score", "lang_mix.mixture")
+
+
 TOXIC_FROM = 0.7
 
 
@@ -49,6 +58,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op10_sharding": op10_sharding,
