@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm import language_id, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
+from sensorflow.llm.near_dedup import near_dedup
 from sensorflow.llm.sharding import interleave
 
 
@@ -49,6 +50,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir), shingle=4, percent=80).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``rows``: counts at most one apart.  Rows are dealt one by one, so
     equal texts need not share a shard."""
@@ -61,6 +67,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
 }
 
