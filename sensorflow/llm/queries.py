@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.llm import language_id, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.near_dedup import near_dedup
+from sensorflow.llm.packing import pack_documents
 from sensorflow.llm.sharding import interleave
 
 
@@ -50,6 +52,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
+                          limit=4096, end_id=1)
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), shingle=4, percent=80).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -67,6 +74,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_packing": op7_packing,
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
 }
