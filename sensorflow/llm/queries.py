@@ -10,6 +10,7 @@ from sensorflow.llm import language_id, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.near_dedup import near_dedup
 from sensorflow.llm.packing import pack_documents
+from sensorflow.llm.piece_codec import encode_decode
 from sensorflow.llm.sharding import interleave
 
 
@@ -48,6 +49,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return done.select("doc_id", "codec.*")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -73,6 +79,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
+    "op3_piece_codec": op3_piece_codec,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_packing": op7_packing,
     "op9_near_dedup": op9_near_dedup,
