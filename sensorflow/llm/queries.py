@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm import language_id, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
+from sensorflow.llm.iblt import edited_fingerprints
 from sensorflow.llm.near_dedup import near_dedup
 from sensorflow.llm.packing import pack_documents
 from sensorflow.llm.piece_codec import encode_decode
@@ -58,6 +59,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
                           limit=4096, end_id=1)
@@ -81,6 +86,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_piece_codec": op3_piece_codec,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op7_packing": op7_packing,
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
