@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import language_id, toxicity
+from sensorflow.llm import language_id, token_counts, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.iblt import edited_fingerprints
+from sensorflow.llm.license_scan import scan_licenses
+from sensorflow.llm.license_texts import TEMPLATES
 from sensorflow.llm.near_dedup import near_dedup
 from sensorflow.llm.packing import pack_documents
 from sensorflow.llm.piece_codec import encode_decode
@@ -63,11 +65,39 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(documents(spark, sf_dir))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after three edits to every document: 12 characters
+    out at a fifth of the text, a remark in at its middle, a line at its end."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = token_counts.build(documents(spark, sf_dir).select("doc_id", "text"), path, pattern)
+    n = F.coalesce(F.char_length("text"), F.lit(0))
+
+    def one(at, cut: int, put):
+        return F.struct(at.cast("int").alias("at"), F.lit(cut).alias("cut"), put.alias("put"))
+
+    docs = docs.withColumn("edits", F.array(
+        one(F.floor(n / 5), 12, F.lit("")),
+        one(F.floor(n / 2), 0, F.concat(F.lit(" (see: "), F.coalesce(F.substring("text", 1, 20), F.lit("")), F.lit(")"))),
+        one(n + 100, 0, F.lit("\nRevised."))))
+    done = token_counts.apply_edits(docs, path, pattern)
+    return done.select(
+        "doc_id", n.cast("long").alias("n_chars"), F.col("tree.n_tokens").alias("n_tokens"),
+        F.char_length("after.text").cast("long").alias("edited_n_chars"),
+        F.col("after.n_tokens").alias("edited_n_tokens"), F.col("after.encoded").alias("encoded_chars"),
+        F.sha2(F.col("after.text").cast("binary"), 256).alias("edited_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
                           limit=4096, end_id=1)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per match; documents without a licence have none."""
+    found = scan_licenses(documents(spark, sf_dir).select("doc_id", "text"), TEMPLATES)
+    return found.select("doc_id", F.explode("licenses").alias("m")).select("doc_id", "m.*")
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), shingle=4, percent=80).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -87,7 +117,9 @@ QUERIES = {
     "op3_piece_codec": op3_piece_codec,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_token_counts": op6_token_counts,
     "op7_packing": op7_packing,
+    "op8_license_scan": op8_license_scan,
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
 }
