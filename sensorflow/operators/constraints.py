@@ -10,11 +10,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorflow.operators.joins import BROADCAST_CHILD_ROWS, fk_orphans, orphan_keys
 from sensorflow.schemas import TableSpec
 
 
+# Row JSON keeps microseconds, and reads back what it wrote.
+ROW_JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def _any_null(cols: list[str]):
     cond = F.lit(False)
     for c in cols:
@@ -47,14 +53,17 @@ def check_foreign_key(df: DataFrame, column: str, parent: DataFrame, parent_colu
 
 
 class Checked(tuple):
-    """``(valid, quarantine)``; ``flagged`` is the cached frame behind both
-    when ``validate(..., cache=True)`` (unpersist it when done)."""
+    """``(valid, quarantine)``; ``flagged`` is the frame behind both, cached
+    when ``validate(..., cache=True)`` (release it when done)."""
+
+    flagged: DataFrame
 
-    flagged: DataFrame | None = None
+    def rejected(self) -> int:
+        """Rows that break a rule, however many they break."""
+        return self.flagged.filter(F.size("__rules") > 0).count()
 
     def release(self) -> None:
-        if self.flagged is not None:
-            self.flagged.unpersist()
+        self.flagged.unpersist()
 
 
 def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None,
@@ -110,14 +119,14 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
     extra = [F.col(c) for c in cols] if with_columns else []
     quarantine = flagged.filter(F.size("__rules") > 0).select(
         F.lit(spec.name).alias("table"), F.explode("__rules").alias("rule"),
-        F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}).alias("row_json"),
+        F.to_json(F.struct(*[F.col(c) for c in cols]), ROW_JSON).alias("row_json"),
         *extra)
     if mode == "strict":
         bad = quarantine.limit(5).collect()
         if bad:
             raise ValueError(f"{spec.name}: constraint violations, e.g. {[r.asDict() for r in bad]}")
     out = Checked((valid, quarantine))
-    out.flagged = flagged if cache else None
+    out.flagged = flagged
     return out
 
 
@@ -137,14 +146,16 @@ def parent_first_order(specs: list[TableSpec]) -> list[str]:
     return order
 
 
-def redrive(quarantine: DataFrame, spec: TableSpec, rules: list[str] | None = None) -> DataFrame:
+def redrive(quarantine: DataFrame, spec: TableSpec, rules: list[str] | None = None,
+            schema: T.StructType | None = None) -> DataFrame:
     """Typed rows back from a quarantine of ``spec``'s table (optionally only
     rows that broke one of ``rules``), one per quarantined row even when it
     broke several rules -- ready to be validated and upserted again, e.g.
-    once a late parent row has arrived."""
+    once a late parent row has arrived.  ``schema`` gives other types than the
+    table's, such as those of the frame that was quarantined."""
     q = quarantine.filter(F.col("table") == spec.name)
     if rules:
         q = q.filter(F.col("rule").isin(rules))
     parsed = q.select("row_json").distinct().select(
-        F.from_json("row_json", spec.struct_type()).alias("__r"))
+        F.from_json("row_json", schema or spec.struct_type(), ROW_JSON).alias("__r"))
     return parsed.select(*[F.col(f"__r.{c}").alias(c) for c in spec.column_names])

@@ -18,15 +18,18 @@ def order_cols(decoded: DataFrame) -> list:
             F.col("offset").alias("_offset")]
 
 
-def parse_object_messages(decoded: DataFrame, schema: T.StructType, alias: str) -> DataFrame:
-    """One row per message: ``alias`` struct + order columns.
+def parse_object_messages(decoded: DataFrame, schema: T.StructType, alias: str,
+                          keep_raw: bool = False) -> DataFrame:
+    """One row per message: ``alias`` struct + order columns (+ the message
+    text as ``_raw``).
 
     The parsed struct goes through a one-element ``inline_outer`` so later
     filters on its fields cannot be pushed below the parse (which would parse
     each message twice); ``from_json`` runs once per message.
     """
     parsed = decoded.select(F.array(F.struct(parse_struct("value", schema).alias(alias),
-                                             *order_cols(decoded))).alias("__one"))
+                                             *order_cols(decoded),
+                                             *([F.col("value").alias("_raw")] if keep_raw else []))).alias("__one"))
     return parsed.select(F.inline_outer("__one"))
 
 

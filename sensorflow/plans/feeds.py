@@ -109,10 +109,15 @@ def country_messages(orders: DataFrame, lineitem: DataFrame, chunk_lines: int =
                        timestamp=F.col("o_orderdate").cast("timestamp"))
 
 
-def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2) -> DataFrame:
-    """The parameter topic: arrays of parameter objects, PROMO parts absent,
-    every message delivered ``copies`` times (redelivery)."""
-    rows = spread(part).filter(F.col("p_type") != "PROMO").select(
+def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2,
+                       without_type: str | None = "PROMO") -> DataFrame:
+    """The parameter topic: arrays of parameter objects, every message
+    delivered ``copies`` times (redelivery).  Parts of ``without_type`` are not
+    in it, so that joins meet parameters the topic lacks."""
+    part = spread(part)
+    if without_type is not None:
+        part = part.filter(F.col("p_type") != without_type)
+    rows = part.select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
         F.lit("ppm").alias("units"), F.upper("p_name").alias("displayName"),
         F.col("p_type").alias("description"), F.lit("api").alias("source"),
@@ -128,10 +133,14 @@ def parameter_messages(part: DataFrame, chunk_rows: int = 500, copies: int = 2)
 
 # -- locations with sensors -------------------------------------------------
 def location_docs(customer: DataFrame, orders: DataFrame, chunk_sensors: int = 1000) -> DataFrame:
-    """One location object per customer and chunk of its orders (sensors)."""
-    customer = spread(customer)  # orders go straight into two aggregations
-    sensors = (orders.select(
-        "o_custkey", F.floor(F.col("o_orderkey") / chunk_sensors).alias("chunk"),
+    """One location object per customer and chunk of at most about
+    ``chunk_sensors`` of its orders (sensors)."""
+    from sensorflow.sources.publish import bounded_chunks
+    customer = spread(customer)  # orders go straight into aggregations
+    chunked = bounded_chunks(orders.select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"],
+                             chunk_sensors, alias="chunk")
+    sensors = (chunked.select(
+        "o_custkey", "chunk",
         F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
                  F.struct(F.substring("o_orderpriority", 1, 1).cast("bigint").alias("id")).alias("parameter")
                  ).alias("s"))
@@ -190,11 +199,13 @@ def position_within(df: DataFrame, group: str, key: str, width: int = 100_000) -
 
 
 def location_pages(customer: DataFrame, nation: DataFrame, limit: int = 25,
-                   withheld_region: int = 1) -> DataFrame:
+                   last_missing_region: int | None = None,
+                   second_missing_region: int | None = None) -> DataFrame:
     """Landed pages ``(entity_id, page, body)`` of the locations endpoint per
-    country (nation): ``limit`` results per page in key order; for countries of
-    ``withheld_region`` the last page was not landed.  Customers of segment
-    BUILDING with a negative balance come without an id."""
+    country (nation): ``limit`` results per page in key order.  Every page is
+    landed unless a region is named whose countries lack the last (or the
+    second) page.  Customers of segment BUILDING with a negative balance come
+    without an id."""
     from sensorflow.operators.joins import bounded_broadcast
     pos = position_within(customer, "c_nationkey", "c_custkey")
     pos = pos.withColumn("page", F.floor((F.col("_pos") - 1) / limit).cast("int") + 1)
@@ -210,7 +221,10 @@ def location_pages(customer: DataFrame, nation: DataFrame, limit: int = 25,
                   .alias("items"))
              .join(found, "c_nationkey").join(nat, "c_nationkey"))
     last = F.ceil(F.col("found") / limit)
-    pages = pages.filter(~((F.col("n_regionkey") == withheld_region) & (F.col("page") == last)))
+    if last_missing_region is not None:
+        pages = pages.filter(~((F.col("n_regionkey") == last_missing_region) & (F.col("page") == last)))
+    if second_missing_region is not None:
+        pages = pages.filter(~((F.col("n_regionkey") == second_missing_region) & (F.col("page") == 2)))
     body = F.to_json(F.struct(
         F.struct(F.col("found").cast("long").alias("found"), F.lit(limit).cast("long").alias("limit")).alias("meta"),
         F.transform("items", lambda x: x["r"]).alias("results")), {"ignoreNullFields": "false"})

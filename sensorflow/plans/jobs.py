@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.operators.constraints import parent_first_order, validate
+from sensorflow.operators.filters import nonempty
 from sensorflow.plans.dims import country_parameter_dims, location_sensor_dims
 from sensorflow.schemas import MESSAGES, TABLES, MessageSchemas, TableSpec
 from sensorflow.session import materialize
@@ -24,22 +25,23 @@ GUARDED_PAIRS = (("location_table", "sensor"),)
 def write_in_order(spark: SparkSession, frames: dict[str, DataFrame], tables: dict[str, KeyedTable],
                    specs: dict[str, TableSpec] | None = None, mode: str = "quarantine",
                    quarantine_path: str | None = None,
-                   unique: frozenset[str] = frozenset()) -> dict[str, dict]:
+                   unique: frozenset[str] = frozenset(), run_id: str = "0") -> dict[str, dict]:
     """``unique`` names frames already deduped on their key (the duplicate-key
-    check is skipped for them; NULL keys are still quarantined)."""
+    check is skipped for them; NULL keys are still quarantined).  Quarantined
+    rows are stored under ``run_id``; a run repeated under its id replaces
+    them.  A table whose frame is empty is left alone."""
     specs = specs or TABLES
     order = parent_first_order([specs[n] for n in frames])
-    empty = {n: df.isEmpty() for n, df in frames.items()}
     skip = set()
     for a, b in GUARDED_PAIRS:
-        if a in frames and b in frames and (empty[a] or empty[b]):
+        if a in frames and b in frames and not (nonempty(frames[a]) and nonempty(frames[b])):
             skip |= {a, b}
     accepted: dict[str, DataFrame] = {}
     results: dict[str, dict] = {}
     held = []
     try:
         for name in order:
-            if name in skip or empty[name]:
+            if name in skip:
                 results[name] = {"inserts": 0, "updates": 0, "quarantined": 0, "skipped": True}
                 continue
             spec = specs[name]
@@ -60,12 +62,17 @@ def write_in_order(spark: SparkSession, frames: dict[str, DataFrame], tables: di
                                unique_key=name in unique)
             held.append(checked)
             valid, quarantine = checked
-            n_bad = quarantine.count()
+            n_bad = checked.rejected()  # fills the cache that the write then reads
             if n_bad and quarantine_path:
-                quarantine.write.mode("append").parquet(quarantine_path)
-            inserts, updates = tables[name].upsert(valid)
+                q = quarantine.withColumn("run_id", F.lit(run_id))
+                (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("table", "run_id").parquet(quarantine_path))
+            if n_bad or nonempty(valid):
+                inserts, updates = tables[name].upsert(valid)
+                results[name] = {"inserts": inserts, "updates": updates, "quarantined": n_bad, "skipped": False}
+            else:
+                results[name] = {"inserts": 0, "updates": 0, "quarantined": 0, "skipped": True}
             accepted[name] = valid
-            results[name] = {"inserts": inserts, "updates": updates, "quarantined": n_bad, "skipped": False}
     finally:
         for c in held:
             c.release()
@@ -76,7 +83,7 @@ def dimension_job(spark: SparkSession, tables: dict[str, KeyedTable],
                   country_decoded: DataFrame | None = None, parameter_decoded: DataFrame | None = None,
                   location_decoded: DataFrame | None = None, extra: dict[str, DataFrame] | None = None,
                   quarantine_path: str | None = None,
-                  schemas: MessageSchemas = MESSAGES) -> dict[str, dict]:
+                  schemas: MessageSchemas = MESSAGES, run_id: str = "0") -> dict[str, dict]:
     """The dimension batch job: I1 and/or I2 on decoded topics, then
     validation and upserts in foreign-key order.  Parsed messages are
     materialized once (lineage cut) because each feeds two tables."""
@@ -91,4 +98,4 @@ def dimension_job(spark: SparkSession, tables: dict[str, KeyedTable],
         frames["location_table"], frames["sensor"] = location_sensor_dims(
             location_decoded, stage=materialize, schemas=schemas)
     return write_in_order(spark, frames, tables, quarantine_path=quarantine_path,
-                          unique=frozenset(deduped))
+                          unique=frozenset(deduped), run_id=run_id)

@@ -39,12 +39,33 @@ def measurement_star(fact: DataFrame, location: DataFrame, country: DataFrame,
 
 
 def dimension_stats(star: DataFrame, by: list[str]) -> DataFrame:
-    """Count / min / avg / max / sum of value per dimension combination."""
+    """Count / min / avg / max / sum of value per dimension combination.
+
+    Plain SQL aggregates of the values as they are: NULL values are skipped,
+    a NaN makes avg, sum and max NaN (Spark orders NaN last), an infinity makes
+    avg and sum infinite.  Nothing is rounded here.
+    """
+    v = F.col("value")
+    return star.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min(v).alias("min_value"), F.avg(v).alias("avg_value"),
+        F.max(v).alias("max_value"), F.sum(v).alias("sum_value"))
+
+
+def dimension_stats_of(fact: DataFrame, location: DataFrame, country: DataFrame, sensor: DataFrame,
+                       parameter: DataFrame, by: list[str]) -> DataFrame:
+    """J1 + J2 for facts too large to shuffle: partial aggregates per
+    (location, sensor) are joined with the dimensions instead of the rows, then
+    merged.  Same result as ``dimension_stats(measurement_star(...), by)``; a
+    sum's last bits may differ, as with any other order of addition."""
     v = F.col("value")
+    part = fact.groupBy("location_id", "sensor_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count(v).alias("n_values"), F.min(v).alias("lo"), F.max(v).alias("hi"),
+        F.sum(v).alias("total"))
+    star = measurement_star(part, location, country, sensor, parameter)
     return star.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.min(v).alias("min_value"),
-        F.round(F.avg(v), 6).alias("avg_value"), F.max(v).alias("max_value"),
-        F.sum(v.cast("decimal(18,2)")).cast("decimal(38,2)").alias("sum_value"))
+        F.sum("n").alias("n"), F.min("lo").alias("min_value"),
+        F.try_divide(F.sum("total"), F.sum("n_values")).alias("avg_value"),
+        F.max("hi").alias("max_value"), F.sum("total").alias("sum_value"))
 
 
 # fixed-width buckets in microseconds; calendar units fall back to date_trunc
@@ -65,7 +86,7 @@ def time_series(fact: DataFrame, by: list[str], unit: str = "hour") -> DataFrame
     """Per ``by`` and time bucket (UTC wall clock), count and average value."""
     bucket = time_bucket(F.col("timestamp_utc"), unit)
     return fact.groupBy(*by, bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 6).alias("avg_value"))
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("avg_value"))
 
 
 def current_reading(fact: DataFrame, sensor_col: str = "sensor_id") -> DataFrame:

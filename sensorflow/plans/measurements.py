@@ -20,9 +20,9 @@ from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 MEASUREMENT_COLUMNS = MEASUREMENT_TABLE.column_names
 
 
-def parse_measurements(decoded: DataFrame, schemas: MessageSchemas = MESSAGES) -> DataFrame:
+def parse_measurements(decoded: DataFrame, schemas: MessageSchemas = MESSAGES, keep_raw: bool = False) -> DataFrame:
     """B1 on the measurement topic: ``data`` struct + message order columns."""
-    return parse_object_messages(decoded, schemas.measurement, "data")
+    return parse_object_messages(decoded, schemas.measurement, "data", keep_raw)
 
 
 def end_signals(parsed: DataFrame) -> DataFrame:
@@ -30,9 +30,13 @@ def end_signals(parsed: DataFrame) -> DataFrame:
     return control_rows(parsed, "data.end")
 
 
-def measurement_rows(parsed: DataFrame, local_mode: str = "wall_clock",
-                     keep_order: bool = True) -> DataFrame:
-    """C1 -> casts -> C3 -> composite key -> B10 column order."""
+REQUIRED = [c for c in MEASUREMENT_COLUMNS if c != "latest_id"]
+
+
+def typed_measurements(parsed: DataFrame, local_mode: str = "wall_clock") -> DataFrame:
+    """C1 -> casts -> composite key, every data message once: ``_reject`` tells
+    why C3 refuses it (``unparsable`` when no field could be read, else
+    ``incomplete:`` and the first column that is NULL or NaN) or is NULL."""
     utc, local = cast_timestamps("data.datetime.utc", "data.datetime.local", local_mode)
     rows = data_rows(parsed, "data.end").select(
         F.col("data.locationsId").alias("location_id"),
@@ -42,9 +46,34 @@ def measurement_rows(parsed: DataFrame, local_mode: str = "wall_clock",
         local.alias("timestamp_local"),
         F.col("data.coordinates.latitude").alias("latitude"),
         F.col("data.coordinates.longitude").alias("longitude"),
-        *MSG_ORDER)
-    rows = drop_incomplete(rows, subset=[c for c in MEASUREMENT_COLUMNS if c != "latest_id"])
-    rows = rows.withColumn("latest_id", composite_key("sensor_id", "location_id", "timestamp_utc"))
+        *MSG_ORDER, *[c for c in ("_raw",) if c in parsed.columns])
+
+    def missing(c: str):
+        null = F.col(c).isNull()
+        return (null | F.isnan(c)) if rows.schema[c].dataType.simpleString() in ("double", "float") else null
+
+    unread = F.lit(True)
+    for c in REQUIRED:
+        unread = unread & F.col(c).isNull()
+    reject = F.when(unread, F.lit("unparsable"))
+    for c in REQUIRED:
+        reject = reject.when(missing(c), F.lit(f"incomplete:{c}"))
+    return rows.withColumns({"_reject": reject,
+                             "latest_id": composite_key("sensor_id", "location_id", "timestamp_utc")})
+
+
+def rejected_messages(typed: DataFrame) -> DataFrame:
+    """``raw, reason`` and message order of every data message that gives no
+    row; needs ``parse_measurements(..., keep_raw=True)``.  Rows of
+    ``measurement_rows`` plus these are all data messages."""
+    return typed.filter(F.col("_reject").isNotNull()).select(
+        F.col("_raw").alias("raw"), F.col("_reject").alias("reason"), *MSG_ORDER)
+
+
+def measurement_rows(parsed: DataFrame, local_mode: str = "wall_clock",
+                     keep_order: bool = True) -> DataFrame:
+    """C1 -> casts -> C3 -> composite key -> B10 column order."""
+    rows = drop_incomplete(typed_measurements(parsed, local_mode).drop("_reject"), subset=REQUIRED)
     return rows.select(*MEASUREMENT_COLUMNS, *(MSG_ORDER if keep_order else []))
 
 

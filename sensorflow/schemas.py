@@ -150,7 +150,7 @@ class TableSpec:
 # NOT NULL columns, VARCHAR lengths and foreign keys.
 COUNTRY_TABLE = TableSpec(
     name="country",
-    columns=(("id", "int"), ("code", "string"), ("name", "string"),
+    columns=(("id", "bigint"), ("code", "string"), ("name", "string"),
              ("datetimeFirst", "timestamp"), ("datetimeLast", "timestamp")),
     key=("id",),
     not_null=("code", "name"),
@@ -158,7 +158,7 @@ COUNTRY_TABLE = TableSpec(
 )
 PARAMETER_TABLE = TableSpec(
     name="parameter",
-    columns=(("parameter_id", "int"), ("name", "string"), ("unit", "string"),
+    columns=(("parameter_id", "bigint"), ("name", "string"), ("unit", "string"),
              ("display_name", "string"), ("description", "string")),
     key=("parameter_id",),
     not_null=("name",),
@@ -166,8 +166,8 @@ PARAMETER_TABLE = TableSpec(
 )
 LOCATION_TABLE = TableSpec(
     name="location_table",
-    columns=(("location_id", "int"), ("name", "string"), ("locality", "string"),
-             ("country_id", "int"), ("latitude", "double"), ("longitude", "double"),
+    columns=(("location_id", "bigint"), ("name", "string"), ("locality", "string"),
+             ("country_id", "bigint"), ("latitude", "double"), ("longitude", "double"),
              ("timezone", "string"), ("datetime_first_utc", "timestamp"),
              ("datetime_first_local", "timestamp_ntz"), ("datetime_last_utc", "timestamp"),
              ("datetime_last_local", "timestamp_ntz")),
@@ -178,8 +178,8 @@ LOCATION_TABLE = TableSpec(
 )
 SENSOR_TABLE = TableSpec(
     name="sensor",
-    columns=(("sensor_id", "int"), ("name", "string"), ("parameter_id", "int"),
-             ("location_id", "int")),
+    columns=(("sensor_id", "bigint"), ("name", "string"), ("parameter_id", "bigint"),
+             ("location_id", "bigint")),
     key=("sensor_id",),
     max_length={"name": 255},
     foreign_keys=(ForeignKey("parameter_id", "parameter", "parameter_id"),
@@ -187,7 +187,7 @@ SENSOR_TABLE = TableSpec(
 )
 MEASUREMENT_TABLE = TableSpec(
     name="latest_measurements",
-    columns=(("latest_id", "string"), ("location_id", "int"), ("sensor_id", "int"),
+    columns=(("latest_id", "string"), ("location_id", "bigint"), ("sensor_id", "bigint"),
              ("value", "double"), ("timestamp_utc", "timestamp"),
              ("timestamp_local", "timestamp_ntz"), ("latitude", "double"),
              ("longitude", "double")),

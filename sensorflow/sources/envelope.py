@@ -93,7 +93,8 @@ def write_file_topic(envelope: DataFrame, path: str, mode: str = "append") -> No
 
 
 def write_kafka(envelope: DataFrame, bootstrap_servers: str, topic: str, **extra) -> None:
-    """A8 sink: write ``key, value`` to a Kafka topic."""
+    """A8 sink: write ``key, value`` to a Kafka topic, each record to the
+    ``partition`` its envelope names."""
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}
     opts.update({k: str(v) for k, v in extra.items()})
-    envelope.select("key", "value").write.format("kafka").options(**opts).save()
+    envelope.select("key", "value", "partition").write.format("kafka").options(**opts).save()

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from sensorflow.functions.casts import conform_casts
 
@@ -65,24 +65,56 @@ def drop_sql(table: str) -> str:
     return f"DROP TABLE IF EXISTS {quote(table)};"
 
 
+def match_count_sql(stage: str, target: str, key: str | list[str]) -> str:
+    """Rows staged, and how many of them the target already has."""
+    keys = [key] if isinstance(key, str) else list(key)
+    on = " AND ".join(f"t.{quote(k)} = s.{quote(k)}" for k in keys)
+    return (f"SELECT COUNT(*), COUNT(t.{quote(keys[0])}) FROM {quote(stage)} s "
+            f"LEFT JOIN {quote(target)} t ON ({on})")
+
+
 class JdbcUpsertSink:
-    """Stage + merge into a database table; ``execute`` runs SQL on the driver."""
+    """Stage + merge into a database table, with the interface of ``KeyedTable``
+    (``upsert``, ``read``, ``exists``), so jobs and streams take either.
 
-    def __init__(self, url: str, target: str, columns: list[str], key: str | list[str],
+    ``execute`` runs SQL on the driver and returns rows; ``write`` stages a
+    frame (default: Spark's JDBC writer).  The statement is atomic, so readers
+    never see half a batch.  A key that occurs twice is refused by the database.
+    """
+
+    def __init__(self, spark: SparkSession, url: str, target: str, columns: list[str], key: str | list[str],
                  execute: Callable[[str], list], properties: dict | None = None,
-                 stage: str | None = None, dialect: str = "postgres", drop_stage: bool = True):
-        self.url, self.target, self.columns, self.key = url, target, columns, key
+                 stage: str | None = None, dialect: str = "postgres", drop_stage: bool = True,
+                 casts: dict | None = None, num_partitions: int | None = None,
+                 write: Callable[..., None] = jdbc_stage_overwrite):
+        self.spark, self.url, self.target, self.columns, self.key = spark, url, target, columns, key
         self.execute, self.properties = execute, properties or {}
         self.stage = stage or f"stage_{target}"
         self.dialect, self.drop_stage = dialect, drop_stage
-
-    def upsert(self, df: DataFrame, casts: dict | None = None) -> tuple[int, int] | None:
-        jdbc_stage_overwrite(df.select(*self.columns), self.url, self.stage, self.properties, casts)
-        counts = self.dialect == "postgres"
+        self.casts, self.num_partitions, self.write = casts, num_partitions, write
+
+    def exists(self) -> bool:
+        return True  # the target is created by the database's own DDL
+
+    def read(self) -> DataFrame:
+        opts = {"url": self.url, "dbtable": quote(self.target), **self.properties}
+        return self.spark.read.format("jdbc").options(**opts).load()
+
+    def upsert(self, df: DataFrame, source_rows: int | None = None,
+               batch_id: int | None = None) -> tuple[int, int]:
+        """Returns ``(inserts, updates)``.  With ``merge``, which reports none,
+        they are counted between stage and target just before the statement."""
+        self.write(df.select(*self.columns), self.url, self.stage, self.properties, self.casts,
+                   self.num_partitions)
+        returning = self.dialect == "postgres"
+        if not returning:
+            total, matched = self.execute(match_count_sql(self.stage, self.target, self.key))[0][:2]
         rows = self.execute(upsert_sql(self.stage, self.target, self.columns, self.key,
-                                       self.dialect, with_counts=counts))
+                                       self.dialect, with_counts=returning))
+        if returning:
+            inserts, updates = rows[0][:2]
+        else:
+            inserts, updates = total - matched, matched
         if self.drop_stage:
             self.execute(drop_sql(self.stage))
-        if counts and rows:
-            return int(rows[0][0]), int(rows[0][1])
-        return None
+        return int(inserts), int(updates)

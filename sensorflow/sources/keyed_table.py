@@ -1,24 +1,25 @@
 """Keyed parquet table with upsert (the DataFrame sink of A5/A6).
 
 No transactional table format is on the classpath, so the table is plain
-parquet partitioned by columns that are functions of the key (default: a hash
-bucket ``pmod(xxhash64(key), buckets)``; for measurements also the day of the
-timestamp that is part of the key).  An upsert rewrites only the partitions
-the batch touches:
-
-1. touched partitions = distinct partition values of the batch (bounded by
-   the number of partitions, so collecting them is safe);
-2. old rows of those partitions are read with partition pruning, merged with
-   ``target ANTI source ∪ source`` (source rows flagged when their key was
-   present: the insert/update counts are observed while writing);
-3. the merge is written with dynamic partition overwrite in the same job:
-   files go to a job-private folder and the touched partitions are swapped
-   at job commit, after all tasks have read the old files, so a lost
-   executor's retried task still reads the old data.
-
-Replaying a batch gives the same table (idempotent).  Counts are computed
-against the table as it is, so a replayed batch reports updates.
-Single writer per table is assumed; readers may see a batch half applied.
+parquet partitioned by columns that are functions of the key (a hash bucket
+``pmod(xxhash64(key), buckets)`` or the caller's, e.g. the day of a timestamp
+that is part of the key).  An upsert rewrites only the partitions the batch
+touches:
+
+1. the distinct values of each partition column prune the scan of the table;
+2. old rows of touched partitions are joined once with the batch's keys; those
+   without a hit stay, the others are counted as updates;
+3. stay and batch are written with dynamic partition overwrite in the same job:
+   files go to a job-private folder and the touched partitions are swapped at
+   job commit, after all tasks have read the old files, so a lost executor's
+   retried task still reads the old data.
+
+The batch must be unique on the key; a key that occurs twice fails the job
+before anything is committed, as the database statement would.  Counts are
+taken against the table as it is, so a replayed batch reports updates.  The
+swap at job commit moves one folder after the other: a driver that dies in it
+leaves some partitions old and some new, and the replay completes them.  With
+readers or writers at the same time use the database sink (``sources.jdbc``).
 """
 
 from __future__ import annotations
@@ -29,88 +30,95 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from sensorflow.operators.upsert import BROADCAST_KEY_ROWS, upsert, upsert_counts
-
-
-def _maybe_broadcast(keys: DataFrame, source_rows: int | None) -> DataFrame:
-    return F.broadcast(keys) if source_rows is not None and source_rows <= BROADCAST_KEY_ROWS else keys
+from sensorflow.operators.upsert import upsert, upsert_counts
+from sensorflow.schemas import TableSpec
 
 
 class KeyedTable:
+    """``partition_by`` (name to column) or ``buckets`` fixes the layout; one
+    bucket should hold what a task can rewrite, so ``buckets`` grows with the
+    table.  With ``spec`` the table exists from the start, empty and typed."""
+
     def __init__(self, spark: SparkSession, path: str, key: list[str] | str,
-                 partition_by: dict[str, Column] | None = None, buckets: int = 64):
+                 partition_by: dict[str, Column] | None = None, buckets: int | None = None,
+                 spec: TableSpec | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = [key] if isinstance(key, str) else list(key)
         if partition_by is None:
+            if not buckets:
+                raise ValueError("partition_by or buckets must be given")
             partition_by = {"_bucket": F.pmod(F.xxhash64(*[F.col(k) for k in self.key]), F.lit(buckets))}
         self.partition_by = partition_by
         self.partition_cols = list(partition_by)
+        self.spec = spec
 
     # -- reading ---------------------------------------------------------
     def _raw(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise  # an unreadable table is not an empty one
             return None
 
     def exists(self) -> bool:
-        return self._raw() is not None
+        return self.spec is not None or self._raw() is not None
 
     def read(self, with_partition_cols: bool = False) -> DataFrame:
+        """The table as it is now: files are listed at each call."""
         df = self._raw()
         if df is None:
-            raise FileNotFoundError(f"keyed table {self.path} has no data yet")
+            if self.spec is None:
+                raise FileNotFoundError(f"keyed table {self.path} has no data yet")
+            return self.spec.empty(self.spark)
         return df if with_partition_cols else df.drop(*self.partition_cols)
 
     # -- writing ---------------------------------------------------------
-    def _touched_filter(self, touched: list[tuple]) -> Column:
-        """Partition pruning predicate: per partition column ``IN (values)``.
-
-        A superset of the touched partitions (their per-column product): extra
-        partitions are merged with no source rows, i.e. rewritten unchanged.
-        """
-        cond = F.lit(True)
-        for i, c in enumerate(self.partition_cols):
-            cond = cond & F.col(c).isin(sorted({t[i] for t in touched}))
-        return cond
+    def _once(self, source: DataFrame) -> DataFrame:
+        """``source``, failing at run time on a key that occurs twice."""
+        others = [c for c in source.columns if c not in self.key]
+        rows = source.groupBy(*self.key).agg(
+            F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in others])
+        twice = F.raise_error(F.concat(F.lit("duplicate key in upsert: "),
+                                       F.to_json(F.struct(*self.key))))
+        first = self.key[0]
+        return rows.withColumn(first, F.when(F.col("__n") > 1, twice.cast(source.schema[first].dataType))
+                               .otherwise(F.col(first))).select(*source.columns)
 
     def upsert(self, source: DataFrame, source_rows: int | None = None,
                batch_id: int | None = None) -> tuple[int, int]:
-        """Upsert ``source`` (unique on the key); returns ``(inserts, updates)``.
-        ``batch_id`` is accepted for interface parity with ``VersionedTable``."""
-        src = source.withColumns(self.partition_by)
-        touched = [tuple(r) for r in src.select(*self.partition_cols).distinct().collect()]
-        if not touched:
+        """Upsert ``source``; returns ``(inserts, updates)``.  ``source_rows``
+        and ``batch_id`` are taken for a common interface of sinks."""
+        if self.spec is not None:
+            source = source.select(*[F.col(c).cast(t) for c, t in self.spec.columns])
+        src = self._once(source).withColumns(self.partition_by)
+        touched = source.withColumns(self.partition_by).agg(
+            *[F.collect_set(c).alias(c) for c in self.partition_cols]).first()
+        if not any(touched):
             return 0, 0
         old = self._raw()
         if old is None:
-            merged = src.withColumn("__update", F.lit(False))
+            merged = src.withColumn("__old", F.lit(False)).withColumn("__hit", F.lit(False))
         else:
-            old = old.filter(self._touched_filter(touched))
-            src = src.select(*old.columns)
-            # source rows flagged with "key already present" (the counts),
-            # plus the old rows the source does not replace
-            hit = (old.select(*self.key)
-                   .join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_semi")
-                   .withColumn("__update", F.lit(True)))
-            flagged = src.join(_maybe_broadcast(hit, source_rows), self.key, "left").withColumn(
-                "__update", F.coalesce(F.col("__update"), F.lit(False)))
-            kept = old.join(_maybe_broadcast(src.select(*self.key), source_rows), self.key, "left_anti")
-            merged = kept.withColumn("__update", F.lit(None).cast("boolean")).unionByName(flagged)
-        # One job merges, counts (observed on the way) and writes.  Dynamic
-        # partition overwrite writes into a job-private folder and swaps the
-        # touched partitions only at job commit, after every task has read
-        # the old files, so a retried task still sees the old data.  Rows are
-        # clustered by partition columns: one file per partition and batch.
+            pruned = old
+            for c in self.partition_cols:
+                pruned = pruned.filter(F.col(c).isin(sorted(touched[c])))
+            keys = src.select(*self.key, *self.partition_cols, F.lit(True).alias("__hit"))
+            here = keys.select(*self.partition_cols).distinct()  # the values' product may hold other partitions
+            stay = (pruned.join(here, self.partition_cols, "left_semi")
+                    .join(keys.drop(*self.partition_cols), self.key, "left")
+                    .withColumn("__hit", F.coalesce("__hit", F.lit(False))).withColumn("__old", F.lit(True)))
+            src = src.select(*old.columns).withColumn("__hit", F.lit(False)).withColumn("__old", F.lit(False))
+            merged = stay.select(*src.columns).unionByName(src)
         obs = Observation(f"keyed_upsert_{uuid.uuid4().hex}")
-        counted = merged.observe(obs, F.count_if(F.col("__update") == F.lit(False)).alias("i"),
-                                 F.count_if(F.col("__update")).alias("u"))
-        (counted.drop("__update").repartition(*self.partition_cols)
+        counted = merged.observe(obs, F.count_if(~F.col("__old")).alias("n"), F.count_if(F.col("__hit")).alias("u"))
+        # rebalance: rows of a partition meet in few files, and AQE splits a large partition over tasks
+        (counted.filter(~F.col("__hit")).drop("__hit", "__old").hint("rebalance", *self.partition_cols)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partition_cols).parquet(self.path))
-        inserts, updates = int(obs.get["i"]), int(obs.get["u"])
-        return inserts, updates
+        updates = int(obs.get["u"])
+        return int(obs.get["n"]) - updates, updates
 
 
 class VersionedTable:

@@ -30,7 +30,8 @@ def flatten_pages(pages: DataFrame, result_type: T.DataType, body: str = "body",
 def page_coverage(pages: DataFrame, entity: str = "entity_id", page: str = "page",
                   body: str = "body", default_limit: int = DEFAULT_LIMIT) -> DataFrame:
     """Per entity, whether the landed pages reach the collector's stop
-    rule ``found <= limit * page`` (missing meta: found 0, limit 1000)."""
+    rule ``found <= limit * page`` (missing meta: found 0, limit 1000) and no
+    page from 1 to the last is missing.  Pages count from 1."""
     meta = T.StructType([T.StructField("meta", T.StructType([
         T.StructField("found", T.LongType()), T.StructField("limit", T.LongType())]))])
     parsed = pages.select(entity, page, parse_struct(body, meta).alias("__p"))
@@ -38,8 +39,8 @@ def page_coverage(pages: DataFrame, entity: str = "entity_id", page: str = "page
         F.count_distinct(page).alias("pages"), F.max(page).alias("max_page"),
         F.max("__p.meta.found").alias("found"), F.max("__p.meta.limit").alias("page_limit"))
     return per.withColumn(
-        "complete",
-        F.coalesce(F.col("found"), F.lit(0)) <= F.coalesce(F.col("page_limit"), F.lit(default_limit)) * F.col("max_page"))
+        "complete", (F.col("pages") == F.col("max_page")) &
+        (F.coalesce(F.col("found"), F.lit(0)) <= F.coalesce(F.col("page_limit"), F.lit(default_limit)) * F.col("max_page")))
 
 
 def first_result(responses: DataFrame, result_type: T.DataType, body: str = "body",

@@ -6,12 +6,18 @@ topic by the caller (``write_kafka`` / ``write_file_topic``).
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from sensorflow.schemas import ENVELOPE
 from sensorflow.sources.envelope import file_topic_source, to_envelope, write_file_topic
 
+log = logging.getLogger(__name__)
+
 END_MARKER = '{"end":true}'
 
 
@@ -33,22 +39,29 @@ def publish_rows(df: DataFrame, topic: str, offset, timestamp=None, key=None,
                        timestamp=_c(timestamp) if timestamp is not None else None)
 
 
+COPY_BLOCK = 100_000
+
+
 def bounded_chunks(df: DataFrame, group: list[str], max_rows: int, alias: str = "__chunk") -> DataFrame:
     """Chunk id per row so that each ``group`` is split into ``ceil(n / max_rows)``
     chunks of about ``max_rows`` rows, however hot the group.
 
-    Rows are counted per group (map-side combined), then spread by a
-    deterministic hash of the whole row, so a stage retry assigns the same
-    chunks.  Exact duplicate rows share a chunk.  The counts are an
-    aggregate, i.e. a shuffle stage whose real size AQE measures before
-    choosing the join (broadcast when small), so they are computed once.
+    Equal rows are first counted (map-side combined) and get a copy number, so
+    a row repeated any number of times is spread like others.  Chunks follow
+    from a hash of row and copy number: a stage retry assigns the same ones.
+    The counts per group are an aggregate, whose real size AQE measures before
+    choosing the join.
     """
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+    counts = rows.groupBy(*group).agg(F.sum("__copies").alias("__n"))
+    blocks = F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / COPY_BLOCK))
+    rows = rows.withColumn("__block", F.explode(blocks))
+    left = F.col("__copies") - F.col("__block") * COPY_BLOCK
+    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(COPY_BLOCK)).cast("int"))))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_rows)))
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return (df.join(counts, group)
-            .withColumn(alias, F.pmod(row_hash, n_chunks))
-            .drop("__n"))
+    row_hash = F.xxhash64(*df.columns, "__block", "__copy")
+    return (rows.join(counts, group).withColumn(alias, F.pmod(row_hash, n_chunks))
+            .select(*df.columns, alias))
 
 
 def publish_array(df: DataFrame, topic: str, group: list[str], chunk: Column, offset: str,
@@ -70,14 +83,25 @@ def publish_array(df: DataFrame, topic: str, group: list[str], chunk: Column, of
                        offset=F.col("__offset"), timestamp=F.col("__ts"))
 
 
-def append_end_marker(envelope: DataFrame, marker: str = END_MARKER) -> DataFrame:
-    """After the last record of every topic partition, a control record
-    ``{"end": true}`` at the next offset (one grouped aggregate, no join)."""
-    ends = (envelope.groupBy("topic", "partition")
+def end_markers(envelope: DataFrame, marker: str = END_MARKER) -> DataFrame:
+    """A control record ``{"end": true}`` for every topic partition of
+    ``envelope``, at the offset after its last record (one grouped aggregate)."""
+    return (envelope.groupBy("topic", "partition")
             .agg((F.max("offset") + 1).alias("offset"), F.max("timestamp").alias("timestamp"))
             .select(F.lit(None).cast("binary").alias("key"), F.lit(marker).cast("binary").alias("value"),
                     "topic", "partition", "offset", "timestamp", F.lit(0).alias("timestampType")))
-    return envelope.unionByName(ends)
+
+
+def append_end_marker(envelope: DataFrame, marker: str = END_MARKER) -> DataFrame:
+    """A11 on a file topic, whose readers order records by offset."""
+    return envelope.unionByName(end_markers(envelope, marker))
+
+
+def publish_then_end(envelope: DataFrame, write: Callable[[DataFrame], None], marker: str = END_MARKER) -> None:
+    """A11 on a broker, where order is order of arrival: ``write`` all data
+    records, and once they are stored the markers, partition by partition."""
+    write(envelope)
+    write(end_markers(envelope, marker))
 
 
 def is_topic_empty(envelope: DataFrame) -> bool:
@@ -87,14 +111,30 @@ def is_topic_empty(envelope: DataFrame) -> bool:
     return envelope.select("offset").isEmpty()
 
 
-def publish_if_empty(spark: SparkSession, messages: DataFrame, path: str) -> bool:
-    """A10: write ``messages`` to the file topic at ``path`` only when it holds
-    no data yet.  Returns whether they were published."""
+def publish_to_empty_topic(messages: DataFrame, read: Callable[[], DataFrame],
+                           write: Callable[[DataFrame], None]) -> bool:
+    """A10 for any topic: ``write(messages)`` only when ``read()`` holds no
+    record.  When the topic cannot be read nothing is published, since it may
+    hold data.  Returns whether the messages were published."""
     try:
-        existing = file_topic_source(spark, path)
-        empty = is_topic_empty(existing)
-    except AnalysisException:  # topic folder does not exist yet
-        empty = True
+        empty = is_topic_empty(read())
+    except Exception as e:  # whatever the source raises: unknown is not empty
+        log.warning("topic not readable, nothing published: %s", e)
+        return False
     if empty:
-        write_file_topic(messages, path, mode="append")
+        write(messages)
     return empty
+
+
+def publish_if_empty(spark: SparkSession, messages: DataFrame, path: str) -> bool:
+    """A10 on the file topic at ``path``; a folder that is not there yet is an
+    empty topic."""
+    def read() -> DataFrame:
+        try:
+            return file_topic_source(spark, path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], ENVELOPE)
+
+    return publish_to_empty_topic(messages, read, lambda m: write_file_topic(m, path, mode="append"))

@@ -7,10 +7,15 @@ micro-batch inside ``foreachBatch`` on a batch persisted once.
 * H1 append output mode, H3 required checkpoint, H4 default trigger or
   ``availableNow`` for backfills/tests, H5 ``earliest`` offsets by default.
 * H2/H8 each batch writes a metrics row ``(batch_id, rows, inserts, updates,
-  quarantined, end_seen)``; metrics, quarantine and table writes are keyed by
+  quarantined, rejected, end_seen, ended)``; metrics, quarantine and table writes are keyed by
   ``batch_id`` so a replayed batch overwrites instead of duplicating.
-* H6 an end record (``{"end": true}``) sets ``end_seen``; the caller stops
-  the query after that batch has committed (``await_and_stop``).
+* H6 every topic partition ends with a record ``{"end": true}``.  The sink
+  collects the partitions that have ended, over batches and restarts; only
+  when ``partitions`` of them have does the caller stop the query, after that
+  batch has committed (``await_and_stop``).
+* Parents of foreign keys are read anew for each batch, so rows the dimension
+  job has written meanwhile count, and files it has replaced are not missed.
+* Messages that give no row are stored with their text and the reason.
 * Errors are not swallowed: a failing batch fails the query and is replayed
   from the checkpoint on restart (its offsets are not committed).
 """
@@ -18,79 +23,116 @@ micro-batch inside ``foreachBatch`` on a batch persisted once.
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
 
 from sensorflow.operators.constraints import validate
 from sensorflow.operators.dedupe import dedupe_by_key
 from sensorflow.plans.common import MSG_ORDER
-from sensorflow.plans.measurements import MEASUREMENT_COLUMNS, measurement_rows, parse_measurements
+from sensorflow.plans.measurements import (MEASUREMENT_COLUMNS, parse_measurements, rejected_messages,
+                                           typed_measurements)
 from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 from sensorflow.sources.envelope import decode_value
+from sensorflow.sources.jdbc import JdbcUpsertSink
 from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
 
 METRICS_DDL = ("batch_id bigint, rows bigint, inserts bigint, updates bigint, "
-               "quarantined bigint, end_seen boolean")
+               "quarantined bigint, rejected bigint, end_seen boolean, ended array<int>")
+#: a frame that does not change, or what gives the current one
+Parent = DataFrame | KeyedTable | JdbcUpsertSink | Callable[[], DataFrame]
+
+
+def current(parent: Parent) -> DataFrame:
+    if isinstance(parent, DataFrame):
+        return parent
+    return parent() if callable(parent) else parent.read()
 
 
 class MeasurementUpsert:
-    """``foreachBatch`` body for parsed measurement messages."""
+    """``foreachBatch`` body for parsed measurement messages.
 
-    def __init__(self, spark: SparkSession, table: KeyedTable | VersionedTable, metrics_path: str | None = None,
-                 quarantine_path: str | None = None, parents: dict[str, DataFrame] | None = None,
-                 local_mode: str = "wall_clock"):
+    ``table`` is any sink with ``upsert``; ``partitions`` is the number of
+    topic partitions that must end before the stream has."""
+
+    def __init__(self, spark: SparkSession, table: KeyedTable | VersionedTable | JdbcUpsertSink,
+                 metrics_path: str | None = None, quarantine_path: str | None = None,
+                 parents: dict[str, Parent] | None = None, local_mode: str = "wall_clock",
+                 rejects_path: str | None = None, partitions: int = 1):
         self.spark, self.table = spark, table
         self.metrics_path, self.quarantine_path = metrics_path, quarantine_path
+        self.rejects_path, self.partitions = rejects_path, partitions
         self.parents, self.local_mode = parents, local_mode
-        self.end_seen = False
+        self.ended: set[int] = self._ended_before()
         self.end_batch_id: int | None = None
         self.last_metrics: dict | None = None
 
-    def _write_metrics(self, m: dict) -> None:
-        self.last_metrics = m
+    def _ended_before(self) -> set[int]:
+        """Partitions that ended in batches before a restart."""
         if not self.metrics_path:
-            return
-        row = self.spark.createDataFrame([tuple(m[k] for k in
-                                               ("batch_id", "rows", "inserts", "updates", "quarantined", "end_seen"))],
-                                         METRICS_DDL)
-        (row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.metrics_path))
+            return set()
+        try:
+            rows = self.spark.read.parquet(self.metrics_path).select(F.explode("ended").alias("p")).distinct()
+            return {r["p"] for r in rows.collect()}  # at most the topic's partitions
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return set()
+
+    @property
+    def end_seen(self) -> bool:
+        return len(self.ended) >= self.partitions
+
+    def _store(self, df: DataFrame, batch_id: int, path: str) -> None:
+        """Replaces what an earlier try of the batch has stored."""
+        (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(path))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch = batch_df.persist()
+        batch_id = int(batch_id)
+        # markers are observed by the job that fills the cache of the typed rows
+        obs = Observation(f"measurement_batch_{batch_id}_{uuid.uuid4().hex}")
+        observed = batch_df.observe(obs, F.collect_set(F.when(F.col("data.end").isNotNull(), F.col("_partition")))
+                                    .alias("ended"))
+        typed = typed_measurements(observed, self.local_mode).persist()
         try:
-            # end records are counted by an observation on the same job that
-            # counts the data rows (no separate pass over the batch)
-            obs = Observation(f"measurement_batch_{batch_id}")
-            observed = batch.observe(obs, F.count_if(F.col("data.end").isNotNull()).alias("ends"))
-            rows = measurement_rows(observed, self.local_mode).persist()
-            n = rows.count()
-            end_seen = bool(obs.get.get("ends", 0))
+            n, bad = typed.agg(F.count_if(F.col("_reject").isNull()),
+                               F.count_if(F.col("_reject").isNotNull())).first()
+            ended = sorted(int(p) for p in (obs.get.get("ended") or []))
             inserts = updates = quarantined = 0
+            if bad and self.rejects_path and "_raw" in typed.columns:
+                self._store(rejected_messages(typed), batch_id, self.rejects_path)
             if n:
+                rows = typed.filter(F.col("_reject").isNull())
                 deduped = dedupe_by_key(rows, "latest_id", MSG_ORDER).select(*MEASUREMENT_COLUMNS)
-                checked = validate(deduped, MEASUREMENT_TABLE, self.parents, cache=True,
+                parents = {k: current(v) for k, v in (self.parents or {}).items()}
+                checked = validate(deduped, MEASUREMENT_TABLE, parents, cache=True,
                                    unique_key=True, rows_hint=n)
                 valid, quarantine = checked
                 try:
-                    quarantined = quarantine.count()
+                    quarantined = checked.rejected()
                     if quarantined and self.quarantine_path:
-                        q = quarantine.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-                        (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                         .partitionBy("batch_id").parquet(self.quarantine_path))
-                    inserts, updates = self.table.upsert(valid, source_rows=n, batch_id=int(batch_id))
+                        self._store(quarantine, batch_id, self.quarantine_path)
+                    inserts, updates = self.table.upsert(valid, source_rows=n, batch_id=batch_id)
                 finally:
                     checked.release()
-            rows.unpersist()
-            self._write_metrics({"batch_id": int(batch_id), "rows": int(n), "inserts": int(inserts),
-                                 "updates": int(updates), "quarantined": int(quarantined),
-                                 "end_seen": bool(end_seen)})
-            if end_seen and not self.end_seen:
-                self.end_seen, self.end_batch_id = True, int(batch_id)
         finally:
-            batch.unpersist()
+            typed.unpersist()
+        before = self.end_seen
+        self.ended |= set(ended)
+        if self.end_seen and not before:
+            self.end_batch_id = batch_id
+        self.last_metrics = {"batch_id": batch_id, "rows": int(n), "inserts": int(inserts), "updates": int(updates),
+                             "quarantined": int(quarantined), "rejected": int(bad), "end_seen": bool(ended),
+                             "ended": ended}
+        if self.metrics_path:
+            row = self.spark.createDataFrame([tuple(self.last_metrics.values())], METRICS_DDL)
+            self._store(row.drop("batch_id"), batch_id, self.metrics_path)
 
 
 def start_measurement_stream(envelope_stream: DataFrame, sink: MeasurementUpsert, checkpoint: str,
@@ -99,7 +141,7 @@ def start_measurement_stream(envelope_stream: DataFrame, sink: MeasurementUpsert
     """Start decode -> parse -> ``foreachBatch(sink)``; ``checkpoint`` is required."""
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
-    parsed = parse_measurements(decode_value(envelope_stream), schemas)
+    parsed = parse_measurements(decode_value(envelope_stream), schemas, keep_raw=bool(sink.rejects_path))
     writer = (parsed.writeStream.foreachBatch(sink).outputMode("append")
               .option("checkpointLocation", checkpoint))
     if query_name:
@@ -111,17 +153,21 @@ def start_measurement_stream(envelope_stream: DataFrame, sink: MeasurementUpsert
 
 def await_and_stop(query: StreamingQuery, sink: MeasurementUpsert | None = None,
                    timeout: float | None = None, poll: float = 1.0) -> None:
-    """H7: wait until the query ends, the batch holding the end record has
-    committed (its progress is reported), or ``timeout`` seconds pass; always
-    stop the query; re-raise its error."""
+    """H7: wait until the query ends or the batch in which the last partition
+    ended has committed (its progress is reported); always stop the query;
+    re-raise its error.  When ``timeout`` seconds pass first, the stream is
+    incomplete: the query is stopped and ``TimeoutError`` raised."""
     deadline = None if timeout is None else time.monotonic() + timeout
+    late = False
     try:
         while query.isActive:
             if sink is not None and sink.end_seen:
                 progress = query.lastProgress
-                if progress and progress.get("batchId", -1) >= sink.end_batch_id:
+                done = progress.get("batchId", -1) if progress else -1
+                if sink.end_batch_id is None or done >= sink.end_batch_id:
                     break
             if deadline is not None and time.monotonic() > deadline:
+                late = True
                 break
             query.awaitTermination(poll)
     finally:
@@ -129,3 +175,5 @@ def await_and_stop(query: StreamingQuery, sink: MeasurementUpsert | None = None,
     err = query.exception()
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
+    if late:
+        raise TimeoutError(f"stream not complete after {timeout} s; its checkpoint holds what was committed")
