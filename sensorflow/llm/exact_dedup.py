@@ -37,7 +37,8 @@ def ascii_lower(text: Column) -> Column:
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 first: int = 32, growth: int = 8) -> DataFrame:
-    """One row per input row: ``id, keep_id, group_size, kept, text_sha256``.
+    """One row per input row: ``id, keep_id, group_size, kept, text_sha256,
+    row``, the last being the row's ``monotonically_increasing_id``.
 
     Texts are equal when identical after lower-casing A-Z; NULL counts as the
     empty text.  The row with the largest id of a group stays; NULL ids sort
@@ -75,7 +76,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out = ended
     return out.select(
         F.col("id").alias(id_col), F.col("top.id").alias("keep_id"), F.col("size").alias("group_size"),
-        (F.col("rid") == F.col("top.rid")).alias("kept"), F.col("sha").alias("text_sha256"))
+        (F.col("rid") == F.col("top.rid")).alias("kept"), F.col("sha").alias("text_sha256"),
+        F.col("rid").alias("row"))
 
 
 def _split(rows: DataFrame, key: list[str], at: int) -> DataFrame:

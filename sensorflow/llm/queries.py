@@ -58,7 +58,7 @@ def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(documents(spark, sf_dir))
+    return exact_dedup(documents(spark, sf_dir)).drop("row")
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
