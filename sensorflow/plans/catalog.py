@@ -449,18 +449,113 @@ def q_first_result(spark, sf_dir):
 
 
 @register("landed_to_messages", """
-    SELECT rid AS id, c_name AS name, CAST(c_nationkey AS BIGINT) AS country_id
-    FROM (""" + _LANDED_SQL + """) l
-    WHERE rid IS NOT NULL AND rid <> 0 AND c_nationkey = 22
+    WITH l AS (SELECT * FROM (""" + _LANDED_SQL + """) x WHERE c_nationkey = 22)
+    SELECT 'country' AS topic, n_nationkey AS id, n_name AS name FROM nation WHERE n_nationkey = 22
+    UNION ALL SELECT 'parameter', r_regionkey, r_name FROM region
+    WHERE r_regionkey IN (SELECT n_regionkey FROM nation WHERE n_nationkey = 22)
+    UNION ALL SELECT 'locations', rid, c_name FROM l
+    UNION ALL SELECT 'measurements', user_id, strftime(ts, '%Y-%m-%d %H:%M:%S') FROM events WHERE user_id IN (SELECT rid FROM l)
+    UNION ALL SELECT 'end', NULL, NULL FROM (SELECT DISTINCT user_id % 3 FROM events WHERE user_id IN (SELECT rid FROM l))
 """)
 def q_landed_to_messages(spark, sf_dir):
-    from sensorflow.functions.json import parse_struct
-    from sensorflow.plans.ingest import landed_to_messages
+    """All topics of country 22, published to file topics and read back."""
+    from sensorflow.functions.json import parse_array, parse_struct
+    from sensorflow.operators.explode import explode_array
+    from sensorflow.plans.ingest import incomplete, ingest_topics, publish_topics
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.envelope import file_topic_source, write_file_topic
     pages = feeds.location_pages(table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation"))
-    env = landed_to_messages(pages, W.location, country_id=22)
-    parsed = decode_value(env).select(parse_struct("value", W.location).alias("l"))
-    return parsed.select(F.col("l.id").alias("id"), F.col("l.name").alias("name"),
-                         F.col("l.country.id").alias("country_id"))
+    if not incomplete(pages).isEmpty():
+        raise AssertionError("pages are missing")
+    topics = ingest_topics(
+        22, feeds.country_responses(table(spark, sf_dir, "nation")), W.country,
+        feeds.parameter_pages(table(spark, sf_dir, "region")), W.parameter, pages, W.location,
+        feeds.measurement_pages(table(spark, sf_dir, "events")), W.measurement)
+    root = scratch_path(spark, "ingest")
+
+    def write(topic, messages):
+        write_file_topic(messages, f"{root}/{topic}")
+
+    def read(topic):
+        return file_topic_source(spark, f"{root}/{topic}")
+
+    for topic in topics:
+        write(topic, topics[topic].limit(0))  # topics are there, and empty
+    if not all(publish_topics(topics, read, write).values()):
+        raise AssertionError("not published")
+    if publish_topics({**topics, "measurements": topics["measurements"].limit(0)}, read, write)["locations"]:
+        raise AssertionError("published twice")
+
+    def arrays(topic, element):
+        arr = decode_value(read(topic)).select(parse_array("value", element).alias("a"))
+        return explode_array(arr, "a", "r").select(F.lit(topic).alias("topic"), "r.id", "r.name")
+
+    country = decode_value(read("country")).select(parse_struct("value", W.country).alias("r"))
+    measured = decode_value(read("measurements")).select(parse_struct("value", W.measurement).alias("r"))
+    return (country.select(F.lit("country").alias("topic"), "r.id", "r.name")
+            .unionByName(arrays("parameter", W.parameter)).unionByName(arrays("locations", W.location))
+            .unionByName(measured.select(
+                F.when(F.col("r.end").isNull(), "measurements").otherwise("end").alias("topic"),
+                F.col("r.locationsId").alias("id"),
+                F.translate(F.substring("r.datetime.utc", 1, 19), "T", " ").alias("name"))))
+
+
+# -- S4, S10: quarantine of raw messages, re-drive ----------------------------
+@register("quarantine_raw", """
+    SELECT user_id AS partition_user, event_id, CASE
+        WHEN event_type = 'error' THEN 'unparsable'
+        WHEN event_type = 'signup' THEN 'incomplete:timestamp_utc'
+        WHEN event_type = 'purchase' THEN 'incomplete:value'
+        ELSE 'accepted' END AS outcome
+    FROM events
+""")
+def q_quarantine_raw(spark, sf_dir):
+    """Every message is accounted for: accepted, or kept with its text and the
+    reason.  ``error`` events arrive cut short, ``signup`` with a bad time,
+    ``purchase`` with NaN."""
+    from sensorflow.plans.measurements import rejected_messages, typed_measurements
+    kind = F.col("event_type")
+    env = feeds.measurement_messages(table(spark, sf_dir, "events"), bad_utc=kind == "signup",
+                                     nan_value=kind == "purchase")
+    events = table(spark, sf_dir, "events").select(F.col("event_id").alias("offset"), "user_id",
+                                                   (kind == "error").alias("cut"))
+    env = env.join(events, "offset").withColumn(
+        "value", F.when(F.col("cut"), F.lit('{"value": ').cast("binary")).otherwise(F.col("value")))
+    typed = typed_measurements(parse_measurements(landed(spark, env, "raw"), W, keep_raw=True))
+    bad = rejected_messages(typed).filter(F.col("raw").isNotNull()).select("_offset", F.col("reason").alias("outcome"))
+    good = typed.filter(F.col("_reject").isNull()).select("_offset", F.lit("accepted").alias("outcome"))
+    return (bad.unionByName(good).withColumnRenamed("_offset", "offset").join(events, "offset")
+            .select(F.col("user_id").alias("partition_user"), F.col("offset").alias("event_id"), "outcome"))
+
+
+@register("redrive", """
+    SELECT latest_id, location_id, sensor_id, value, timestamp_utc + INTERVAL 123456 MICROSECOND AS timestamp_utc,
+           timestamp_local + INTERVAL 654321 MICROSECOND AS timestamp_local, latitude, longitude,
+           'late' AS stage
+    FROM (""" + _FACT_SQL + """) f JOIN customer ON c_custkey = location_id WHERE c_mktsegment = 'MACHINERY'
+    UNION ALL
+    SELECT latest_id, location_id, sensor_id, value, timestamp_utc + INTERVAL 123456 MICROSECOND,
+           timestamp_local + INTERVAL 654321 MICROSECOND, latitude, longitude, 'first'
+    FROM (""" + _FACT_SQL + """) f JOIN customer ON c_custkey = location_id WHERE c_mktsegment <> 'MACHINERY'
+""")
+def q_redrive(spark, sf_dir):
+    """Measurements whose location is not stored yet (segment MACHINERY) are
+    quarantined; once it is, re-driving gives back exactly those rows."""
+    from sensorflow.operators.constraints import redrive, validate
+    from sensorflow.schemas import MEASUREMENT_TABLE
+    fact = _measurement_fact(spark, sf_dir).withColumns({
+        "timestamp_utc": F.timestamp_add("MICROSECOND", F.lit(123456), F.col("timestamp_utc")),
+        "timestamp_local": F.timestamp_add("MICROSECOND", F.lit(654321), F.col("timestamp_local"))})
+    fact = materialize(fact)
+    locations = _fixture_locations(spark, sf_dir)
+    known = locations.filter(F.col("locality") != "MACHINERY")
+    first, quarantined = validate(fact, MEASUREMENT_TABLE, {"location_table": known}, unique_key=True)
+    late, still = validate(redrive(quarantined, MEASUREMENT_TABLE), MEASUREMENT_TABLE,
+                           {"location_table": locations}, unique_key=True)
+    if not still.isEmpty():
+        raise AssertionError("rows with a parent were quarantined again")
+    out = late.withColumn("stage", F.lit("late")).unionByName(first.withColumn("stage", F.lit("first")))
+    return out.withColumn("timestamp_utc", utc("timestamp_utc"))
 
 
 # -- D1-D5, E1-E5 -------------------------------------------------------------

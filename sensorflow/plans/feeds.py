@@ -241,3 +241,31 @@ def part_responses(part: DataFrame) -> DataFrame:
             .when(F.col("p_size") < 8, F.lit('{"error":"not found"}'))
             .otherwise(one))
     return part.select(F.col("p_partkey").alias("entity_id"), body.alias("body"))
+
+
+def country_responses(nation: DataFrame) -> DataFrame:
+    """Single-entity responses: the country object with its parameter (region)."""
+    result = F.struct(
+        F.col("n_nationkey").alias("id"), F.concat(F.lit("N"), "n_nationkey").alias("code"),
+        F.col("n_name").alias("name"),
+        F.array(F.struct(F.col("n_regionkey").alias("id"))).alias("parameters"))
+    body = F.to_json(F.struct(F.array(result).alias("results")))
+    return nation.select(F.col("n_nationkey").alias("entity_id"), body.alias("body"))
+
+
+def parameter_pages(region: DataFrame) -> DataFrame:
+    """The parameters endpoint, one result a page."""
+    result = F.struct(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), F.lit("ppm").alias("units"))
+    body = F.to_json(F.struct(F.array(result).alias("results")))
+    return region.select(F.lit(0).cast("bigint").alias("entity_id"),
+                         (F.col("r_regionkey") + 1).cast("int").alias("page"), body.alias("body"))
+
+
+def measurement_pages(events: DataFrame, limit: int = 100) -> DataFrame:
+    """Landed pages of the measurements of each location (user)."""
+    pos = position_within(spread(events), "user_id", "event_id")
+    pos = pos.withColumn("page", F.floor((F.col("_pos") - 1) / limit).cast("int") + 1)
+    pages = pos.groupBy("user_id", "page").agg(F.sort_array(F.collect_list(
+        F.struct("event_id", measurement_struct(events).alias("r")))).alias("items"))
+    body = F.to_json(F.struct(F.transform("items", lambda x: x["r"]).alias("results")))
+    return pages.select(F.col("user_id").alias("entity_id"), "page", body.alias("body"))

@@ -1,28 +1,104 @@
-"""Ingestion, data part (I4): landed API pages -> per-record messages.
+"""Ingestion, data part (I4): landed API pages -> the four topics.
 
-pages -> flatten results (A12) -> skip records without id (C4) -> keep one
-country (C5) -> one JSON message per record (A8).  The collector's HTTP client,
-rate limiting and retries are not part of this library.
+The collector's HTTP client, rate limiting and retries are not part of this
+library; its landed responses are.  For one country:
+
+* ``country``: the country object (A14), one message;
+* ``parameter``: the parameters the country refers to (E5, D3) as arrays (A9);
+* ``locations``: every landed location of the country as arrays, ids or not;
+* ``measurements``: the results landed for locations that have an id (C4), one
+  message each (A8), closed by end records after the data (A11).
+
+Nothing is built from an incomplete landing: ``incomplete`` (A13) comes first.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorflow.operators.aggregates import collect_ids
 from sensorflow.operators.filters import select_country, skip_missing_id
+from sensorflow.operators.joins import referenced_dim_rows
 from sensorflow.sources.envelope import to_envelope
-from sensorflow.sources.pages import flatten_pages
+from sensorflow.sources.pages import first_result, flatten_pages, page_coverage
+from sensorflow.sources.publish import bounded_chunks, publish_then_end, publish_to_empty_topic
+
+PAGE_ROWS = 1_000_000  # positions within a page stay below this
+JSON = {"ignoreNullFields": "false"}
 
 
 def landed_to_messages(pages: DataFrame, result_type: T.StructType, country_id=None,
-                       topic: str = "locations", country_path: str = "country.id") -> DataFrame:
+                       topic: str = "locations", country_path: str = "country.id",
+                       landed_at=None) -> DataFrame:
+    """Results with an id, of one country if given, one message each."""
     flat = flatten_pages(pages, result_type).select("entity_id", "page", "result_pos", "result")
     flat = skip_missing_id(flat.withColumn("__id", F.col("result.id")), "__id")
     if country_id is not None:
         flat = select_country(flat.withColumn("__country", F.col(f"result.{country_path}")),
                               "__country", country_id)
-    value = F.to_json(F.col("result"), {"ignoreNullFields": "false"})
-    return to_envelope(flat, value, topic, key=F.col("__id"), offset=F.col("__id"),
-                       timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return to_envelope(flat, F.to_json(F.col("result"), JSON), topic, key=F.col("__id"), offset=F.col("__id"),
+                       timestamp=landed_at)
+
+
+def incomplete(pages: DataFrame) -> DataFrame:
+    """Entities whose pages are not all there."""
+    return page_coverage(pages).filter(~F.col("complete"))
+
+
+def _arrays(results: DataFrame, topic: str, max_rows: int, landed_at) -> DataFrame:
+    """Results as array messages of about ``max_rows`` elements."""
+    # maps cannot be grouped by, so results travel as JSON; arrays keep the order of landing
+    rows = results.select("entity_id", "page", "result_pos", F.to_json("result", JSON).alias("json"))
+    chunks = bounded_chunks(rows, ["entity_id"], max_rows, alias="chunk")
+    grouped = chunks.groupBy("entity_id", "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("page", "result_pos", "json"))).alias("items"))
+    value = F.concat(F.lit("["), F.array_join(F.transform("items", lambda x: x["json"]), ","), F.lit("]"))
+    return to_envelope(grouped, value, topic, offset=F.col("entity_id") * PAGE_ROWS + F.col("chunk"),
+                       timestamp=landed_at)
+
+
+def ingest_topics(country_id, countries: DataFrame, country_type: T.StructType,
+                  parameter_pages: DataFrame, parameter_type: T.StructType,
+                  location_pages: DataFrame, location_type: T.StructType,
+                  measurement_pages: DataFrame, measurement_type: T.StructType,
+                  partitions: int = 3, max_rows: int = 1000, landed_at=None) -> dict[str, DataFrame]:
+    """Envelopes of the four topics for one country; ``measurements`` without
+    its end records, which ``publish_topics`` writes after the data."""
+    country = first_result(countries.filter(F.col("entity_id") == F.lit(country_id)), country_type)
+    messages = {"country": to_envelope(country, F.to_json("result", JSON), "country",
+                                       offset=F.col("entity_id"), timestamp=landed_at)}
+
+    used = collect_ids(country.select(F.col("result.parameters").alias("p")), "p", alias="id")
+    parameters = flatten_pages(parameter_pages, parameter_type).withColumn("id", F.col("result.id"))
+    messages["parameter"] = _arrays(referenced_dim_rows(parameters, used, "id", "id"), "parameter", max_rows,
+                                    landed_at)
+
+    locations = flatten_pages(location_pages, location_type)
+    locations = select_country(locations.withColumn("__c", F.col("result.country.id")), "__c", country_id)
+    messages["locations"] = _arrays(locations, "locations", max_rows, landed_at)
+
+    ids = skip_missing_id(locations.select(F.col("result.id").alias("entity_id")), "entity_id").distinct()
+    measured = flatten_pages(measurement_pages, measurement_type).join(ids, "entity_id", "left_semi")
+    part = F.pmod("entity_id", F.lit(partitions))
+    offset = (F.col("entity_id") * PAGE_ROWS + F.col("page")) * 1000 + F.col("result_pos")
+    messages["measurements"] = to_envelope(measured, F.to_json("result", JSON), "measurements",
+                                           key=F.col("entity_id"), partition=part, offset=offset,
+                                           timestamp=landed_at)
+    return messages
+
+
+def publish_topics(messages: dict[str, DataFrame], read: Callable[[str], DataFrame],
+                   write: Callable[[str, DataFrame], None]) -> dict[str, bool]:
+    """Publish the dimension topics that hold no record yet (A10) and then the
+    measurements with their end records; whether each was published."""
+    done = {}
+    for topic in ("country", "parameter", "locations"):
+        done[topic] = publish_to_empty_topic(messages[topic], lambda t=topic: read(t),
+                                             lambda m, t=topic: write(t, m))
+    publish_then_end(messages["measurements"], lambda m: write("measurements", m))
+    done["measurements"] = True
+    return done
