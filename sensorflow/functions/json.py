@@ -33,10 +33,3 @@ def parse_array(col, element: T.DataType | str) -> Column:
 def map_lookup(map_col, key: str) -> Column:
     """Value of ``key`` in a map; a missing key or NULL map gives NULL."""
     return F.try_element_at(_c(map_col), F.lit(key))
-
-
-def render_json(value, keep_nulls: bool = True) -> Column:
-    """JSON text of a struct/array/map column.  ``keep_nulls`` writes NULL
-    fields as ``null`` (what ``json.dumps`` of a dict does) instead of dropping them."""
-    opts = {"ignoreNullFields": "false"} if keep_nulls else {}
-    return F.to_json(_c(value), opts)

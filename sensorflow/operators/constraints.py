@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorflow.operators.joins import BROADCAST_CHILD_ROWS, fk_orphans, orphan_keys
+from sensorflow.operators.joins import fits_broadcast, fk_orphans, orphan_keys
 from sensorflow.schemas import TableSpec
 
 
@@ -106,7 +106,7 @@ def validate(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | Non
             continue
         orphan = (orphan_keys(df, parents[fk.parent], fk.column, fk.parent_column, rows_hint)
                   .select(F.col("__fk").alias(f"__fkv{i}"), F.lit(True).alias(f"__orphan{i}")))
-        if rows_hint is not None and rows_hint <= BROADCAST_CHILD_ROWS:
+        if fits_broadcast(df, [fk.column], rows_hint):
             orphan = F.broadcast(orphan)  # at most the frame's distinct key count
         flagged = flagged.join(orphan, F.col(fk.column) == F.col(f"__fkv{i}"), "left")
         rules.append((F.col(f"__orphan{i}").isNotNull(), f"fk:{fk.column}->{fk.parent}"))

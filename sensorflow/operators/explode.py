@@ -1,4 +1,4 @@
-"""Array flattening.
+"""Array flattening (B3; B4 is two of these, see ``plans.dims``).
 
 ``explode`` semantics by default: NULL or empty arrays contribute no row
 (countries without parameters, locations without sensors vanish).
@@ -27,11 +27,3 @@ def explode_array(df: DataFrame, array_col, alias: str, pos_alias: str | None =
     if not keep_empty:
         out = out.filter(F.col(pos).isNotNull())
     return out
-
-
-def two_level_explode(df: DataFrame, outer_col, outer_alias: str, inner_field: str,
-                      inner_alias: str, keep_empty: bool = False) -> DataFrame:
-    """Explode an array of documents, then each document's nested array."""
-    once = explode_array(df, outer_col, outer_alias, keep_empty=keep_empty)
-    return explode_array(once, F.col(f"{outer_alias}.{inner_field}"), inner_alias,
-                         keep_empty=keep_empty)

@@ -1,4 +1,4 @@
-"""Joins (D1-D5).
+"""Joins (D1-D4; D5 is part of ``operators.upsert``).
 
 Only equi-joins.  A side is broadcast only after its size is proven
 (``bounded_broadcast``); otherwise the planner decides and AQE may still switch
@@ -10,8 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# a child key set this small is broadcast when checking foreign keys
-BROADCAST_CHILD_ROWS = 2_000_000
+# What is broadcast without the planner's own estimate takes no more than this.
+BROADCAST_BYTES = 64 * 2**20
+TEXT_BYTES = 64  # counted for a text or other value of no fixed size
+
+
+def fits_broadcast(df: DataFrame, columns: list[str], rows: int | None) -> bool:
+    """Whether ``rows`` (a known count or bound) of ``columns`` stay within
+    ``BROADCAST_BYTES``."""
+    if rows is None:
+        return False
+    fixed = ("int", "bigint", "smallint", "tinyint", "boolean", "date", "timestamp", "timestamp_ntz", "double", "float")
+    width = sum(8 if df.schema[c].dataType.simpleString() in fixed else TEXT_BYTES for c in columns)
+    return rows * (width + 16) <= BROADCAST_BYTES
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
@@ -52,15 +63,15 @@ def orphan_keys(child: DataFrame, parent: DataFrame, child_col: str, parent_col:
                 child_rows: int | None = None) -> DataFrame:
     """Distinct non-NULL values of ``child_col`` with no parent (column ``__fk``).
 
-    Only distinct key values travel.  When the child is known to be small
-    (``child_rows`` below ``BROADCAST_CHILD_ROWS``, e.g. a counted
-    micro-batch) its key set is broadcast and the parent is streamed through a
-    semi-join instead of being shuffled; otherwise both distinct key sets
+    Only distinct key values travel.  When the child's keys are known to be
+    small (``child_rows`` of them stay within ``BROADCAST_BYTES``, e.g. a
+    counted micro-batch) they are broadcast and the parent is streamed through
+    a semi-join instead of being shuffled; otherwise both distinct key sets
     shuffle on the key.
     """
     keys = child.select(F.col(child_col).alias("__fk")).filter(F.col("__fk").isNotNull()).distinct()
     pkeys = parent.select(F.col(parent_col).alias("__fk"))
-    if child_rows is not None and child_rows <= BROADCAST_CHILD_ROWS:
+    if fits_broadcast(child, [child_col], child_rows):
         # both broadcast sides are bounded by the child's key count
         present = pkeys.join(F.broadcast(keys), "__fk", "left_semi").distinct()
         return keys.join(F.broadcast(present), "__fk", "left_anti")
@@ -76,13 +87,6 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_col: str, parent_col:
     joined back to the child rows.
     """
     orphans = orphan_keys(child, parent, child_col, parent_col, child_rows)
-    if child_rows is not None and child_rows <= BROADCAST_CHILD_ROWS:
+    if fits_broadcast(child, [child_col], child_rows):
         orphans = F.broadcast(orphans)
     return child.join(orphans, F.col(child_col) == F.col("__fk"), "left_semi")
-
-
-def merge_match(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Source rows with ``__matched`` = key exists in target."""
-    hits = target.select(*key).distinct().withColumn("__matched", F.lit(True))
-    return (source.join(hits, key, "left")
-            .withColumn("__matched", F.coalesce(F.col("__matched"), F.lit(False))))

@@ -17,12 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_KEY_ROWS = 2_000_000
+from sensorflow.operators.aggregates import filtered_counts
+from sensorflow.operators.joins import fits_broadcast
 
 
 def _source_keys(source: DataFrame, key: list[str], source_rows: int | None) -> DataFrame:
     keys = source.select(*key)
-    if source_rows is not None and source_rows <= BROADCAST_KEY_ROWS:
+    if fits_broadcast(source, key, source_rows):
         keys = F.broadcast(keys)
     return keys
 
@@ -48,5 +49,4 @@ def upsert_counts(target: DataFrame, source: DataFrame, key: list[str] | str,
     tagged = (source.select(*key).withColumn("__m", F.lit(0))
               .unionByName(matched.withColumn("__m", F.lit(1))))
     per_key = tagged.groupBy(*key).agg(F.max("__m").alias("__m"))
-    return per_key.agg(F.count_if(F.col("__m") == 0).cast("bigint").alias("inserts"),
-                       F.count_if(F.col("__m") == 1).cast("bigint").alias("updates"))
+    return filtered_counts(per_key, inserts=F.col("__m") == 0, updates=F.col("__m") == 1)
