@@ -936,6 +936,36 @@ def q_batch_counts(spark, sf_dir):
     FROM c
 """)
 def q_dimension_job(spark, sf_dir):
+    tables, first = run_dimension_job(spark, sf_dir)
+    rows = [(n, r["inserts"], r["updates"], r["quarantined"], tables[n].read().count())
+            for n, r in first.items()]
+    return spark.createDataFrame(rows, "table_name string, inserts bigint, updates bigint, "
+                                       "quarantined bigint, stored_rows bigint")
+
+
+@register("dimension_rows", """
+    SELECT 'country' AS table_name, CAST(n_nationkey AS BIGINT) AS "key", n_name AS name,
+           CAST(NULL AS BIGINT) AS parent FROM nation
+    UNION ALL SELECT DISTINCT 'parameter', CAST(substr(o_orderpriority, 1, 1) AS BIGINT), o_orderpriority, NULL FROM orders
+    UNION ALL SELECT DISTINCT 'location_table', c_custkey, c_name, CAST(c_nationkey AS BIGINT)
+    FROM customer JOIN orders ON o_custkey = c_custkey
+    UNION ALL SELECT 'sensor', o_orderkey, o_orderpriority, o_custkey FROM orders
+""")
+def q_dimension_rows(spark, sf_dir):
+    """What the job has stored after the replay."""
+    tables, _ = run_dimension_job(spark, sf_dir)
+    none = F.lit(None).cast("bigint")
+    parts = [("country", "id", none), ("parameter", "parameter_id", none),
+             ("location_table", "location_id", F.col("country_id")), ("sensor", "sensor_id", F.col("location_id"))]
+    out = None
+    for name, key, parent in parts:
+        rows = tables[name].read().select(F.lit(name).alias("table_name"), F.col(key).cast("bigint").alias("key"),
+                                          "name", parent.cast("bigint").alias("parent"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def run_dimension_job(spark, sf_dir):
     """Country rows from ``nation``, parameters from the order priorities the
     sensors reference, locations and sensors from the location topic; the
     job writes all four keyed tables, then a replay of the location topic
@@ -946,7 +976,7 @@ def q_dimension_job(spark, sf_dir):
     from sensorflow.session import scratch_path
     from sensorflow.sources.keyed_table import KeyedTable
     root = scratch_path(spark, "dimension-job")
-    tables = {n: KeyedTable(spark, f"{root}/{n}", list(TABLES_SPEC[n].key), buckets=4)
+    tables = {n: KeyedTable(spark, f"{root}/{n}", list(TABLES_SPEC[n].key), buckets=4, spec=TABLES_SPEC[n])
               for n in ("country", "parameter", "location_table", "sensor")}
     nation = table(spark, sf_dir, "nation")
     country = nation.select(F.col("n_nationkey").alias("id"), F.concat(F.lit("N"), "n_nationkey").alias("code"),
@@ -965,7 +995,4 @@ def q_dimension_job(spark, sf_dir):
     replay = dimension_job(spark, tables, location_decoded=env, schemas=W)
     if any(r["inserts"] for r in replay.values()):
         raise AssertionError(f"replay inserted rows: {replay}")
-    rows = [(n, r["inserts"], r["updates"], r["quarantined"], tables[n].read().count())
-            for n, r in first.items()]
-    return spark.createDataFrame(rows, "table_name string, inserts bigint, updates bigint, "
-                                       "quarantined bigint, stored_rows bigint")
+    return tables, first

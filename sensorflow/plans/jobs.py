@@ -9,6 +9,8 @@ original job's guard), with a real emptiness test.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from sensorflow.operators.filters import nonempty
 from sensorflow.plans.dims import country_parameter_dims, location_sensor_dims
 from sensorflow.schemas import MESSAGES, TABLES, MessageSchemas, TableSpec
 from sensorflow.session import materialize
+from sensorflow.sources.envelope import decode_value, kafka_batch_source
 from sensorflow.sources.keyed_table import KeyedTable
 
 GUARDED_PAIRS = (("location_table", "sensor"),)
@@ -99,3 +102,18 @@ def dimension_job(spark: SparkSession, tables: dict[str, KeyedTable],
             location_decoded, stage=materialize, schemas=schemas)
     return write_in_order(spark, frames, tables, quarantine_path=quarantine_path,
                           unique=frozenset(deduped), run_id=run_id)
+
+
+def dimension_job_from_topics(spark: SparkSession, tables: dict, read: Callable[[str], DataFrame] | None = None,
+                              bootstrap_servers: str | None = None, min_partitions: int | None = None,
+                              **options) -> dict[str, dict]:
+    """The batch job from topics to tables: reads ``country``, ``parameter``
+    and ``locations`` whole (``read(topic)``, by default from the brokers) and
+    runs ``dimension_job``.  ``tables`` are sinks of any kind."""
+    def kafka(topic: str) -> DataFrame:
+        return kafka_batch_source(spark, bootstrap_servers, topic, min_partitions=min_partitions)
+
+    read = read or kafka
+    return dimension_job(spark, tables, country_decoded=decode_value(read("country")),
+                         parameter_decoded=decode_value(read("parameter")),
+                         location_decoded=decode_value(read("locations")), **options)

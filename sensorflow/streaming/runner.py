@@ -37,7 +37,7 @@ from sensorflow.plans.common import MSG_ORDER
 from sensorflow.plans.measurements import (MEASUREMENT_COLUMNS, parse_measurements, rejected_messages,
                                            typed_measurements)
 from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
-from sensorflow.sources.envelope import decode_value
+from sensorflow.sources.envelope import decode_value, kafka_stream_source
 from sensorflow.sources.jdbc import JdbcUpsertSink
 from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
 
@@ -177,3 +177,15 @@ def await_and_stop(query: StreamingQuery, sink: MeasurementUpsert | None = None,
         raise RuntimeError(f"streaming query failed: {err}")
     if late:
         raise TimeoutError(f"stream not complete after {timeout} s; its checkpoint holds what was committed")
+
+
+def measurement_job(spark: SparkSession, sink: MeasurementUpsert, checkpoint: str, topic: str = "measurements",
+                    bootstrap_servers: str | None = None, source: Callable[[], DataFrame] | None = None,
+                    available_now: bool = False, timeout: float | None = None,
+                    schemas: MessageSchemas = MESSAGES, **options) -> None:
+    """The streaming job from topic to table: starts the stream on the brokers
+    (or on ``source()``) and returns once every partition has ended, or, with
+    ``available_now``, once what is there has been read."""
+    stream = source() if source else kafka_stream_source(spark, bootstrap_servers, topic, **options)
+    query = start_measurement_stream(stream, sink, checkpoint, available_now, topic, schemas)
+    await_and_stop(query, sink, timeout)

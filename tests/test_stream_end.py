@@ -98,3 +98,30 @@ def test_rejected_messages_keep_their_text(spark):
     assert got == {(bad, "unparsable"), (part, "incomplete:value")}
     assert spark.read.parquet(f"{root}/r").count() == 2
     assert (sink.last_metrics["rows"], sink.last_metrics["rejected"]) == (1, 2)
+
+
+def test_jobs_from_topics_to_tables(spark):
+    """Dimension job and measurement job on topics that ingestion published."""
+    from sensorflow.plans import feeds
+    from sensorflow.plans.jobs import dimension_job_from_topics
+    from sensorflow.schemas import TABLES, WIDE_MESSAGES
+    from sensorflow.streaming.runner import measurement_job
+    sf, root = "/root/testdata/sf0.001", scratch_path(spark, "jobs")
+    t = lambda name: feeds.table(spark, sf, name)
+    topics = {"country": feeds.country_messages(t("orders"), t("lineitem")),
+              "parameter": feeds.parameter_messages(t("part")),
+              "locations": feeds.location_messages(t("customer"), t("orders"))}
+    for name, rows in topics.items():
+        write_file_topic(rows, f"{root}/{name}")
+    tables = {n: KeyedTable(spark, f"{root}/t-{n}", list(TABLES[n].key), buckets=1, spec=TABLES[n])
+              for n in ("country", "parameter", "location_table", "sensor")}
+    done = dimension_job_from_topics(spark, tables, read=lambda n: file_topic_source(spark, f"{root}/{n}"),
+                                     schemas=WIDE_MESSAGES)
+    assert done["country"]["inserts"] == tables["country"].read().count() > 0
+    assert done["parameter"]["inserts"] == tables["parameter"].read().count() > 0
+
+    write_file_topic(envelope(spark, [(0, 0, msg(1, 0, 1.0)), (0, 1, END)]), f"{root}/measurements")
+    sink = MeasurementUpsert(spark, KeyedTable(spark, f"{root}/m", "latest_id", buckets=1))
+    measurement_job(spark, sink, f"{root}/c",
+                    source=lambda: file_topic_source(spark, f"{root}/measurements", streaming=True), timeout=300)
+    assert sink.end_seen and sink.table.read().count() == 1
