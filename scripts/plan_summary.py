@@ -16,8 +16,23 @@ from sensorflow.plans import catalog  # noqa: E402
 from sensorflow.session import build_session  # noqa: E402
 
 # these run writes or streams while being built; their plans are the read-back
-SIDE_EFFECTS = {"measurement_stream", "batch_counts", "dimension_job", "keyed_table_upsert",
-                "versioned_table_upsert", "publish_if_empty"}
+SIDE_EFFECTS = {"measurement_stream", "batch_counts", "dimension_job", "dimension_rows", "keyed_table_upsert",
+                "versioned_table_upsert", "publish_if_empty", "landed_to_messages"}
+WRITERS = """
+## Queries that write
+
+Their plans are made while they run, so they are described here.
+
+* **keyed_table_upsert**, **dimension_job**, **dimension_rows**, **redrive** (materialized fact): per upsert one
+  aggregate by key over the batch (refuses duplicates), one pruned scan of the old rows, a semi-join with the batch's
+  partitions and one left join with its keys, then a rebalance by the partition columns; the aggregate's shuffle is
+  reused by both joins and the union.
+* **measurement_stream**, **batch_counts**: per micro-batch one parse into the cached typed rows, one shuffle by
+  `latest_id` for the dedupe, broadcast key sets for the foreign keys (within 64 MiB), then the upsert above.
+* **versioned_table_upsert**: one left-anti join of the last snapshot with the batch and a union.
+* **publish_if_empty**, **landed_to_messages**: a one-row read of each topic, then writes without a shuffle for rows
+  and with two (counts of equal rows, regrouping by chunk) for arrays.
+"""
 
 
 def main() -> None:
@@ -59,6 +74,7 @@ def main() -> None:
         print(f"* **{name}**: " + "; ".join(
             f"`{t}` reads {len(c.split(','))} col(s)" + (f", pushed `{f[:80]}`" if f else "")
             for c, f, t in scans))
+    print(WRITERS)
 
 
 if __name__ == "__main__":
