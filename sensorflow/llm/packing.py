@@ -10,6 +10,7 @@ A task holds one group's lengths, never texts or ids.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from math import ceil
@@ -29,6 +30,10 @@ SETTLED = 0.99     # a round that leaves more than this share of the bins is the
 # White space on which str.split and the tokenizer's pattern may differ.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0]")
 
+#: Byte-level vocabularies write the bytes that print as themselves and number the others from 256.
+PRINTS = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in PRINTS)}
+
 
 class WordIds:
     """Ids of whole texts, word by word from a bounded memo.
@@ -41,11 +46,21 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo = Memo(self.whole)
+        self.model = self.tokenizer.model
+        self.memo = Memo(self.word)
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """A word of Latin-1 letters is one piece to the merges, its bytes
+        written as letters; a full stop or comma after it is a piece of its own."""
+        if word.isalpha():
+            piece = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        if word[-1] in ".," and word[:-1].isalpha():
+            return self.memo[word[:-1]] + self.memo[word[-1]]
+        return self.whole(word)
 
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
