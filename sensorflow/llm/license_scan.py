@@ -128,11 +128,10 @@ def scan_licenses(df: DataFrame, templates: dict[str, str], text_col: str = "tex
                   **options) -> DataFrame:
     """``df`` with ``out_col``: array of the matches in each text, in order of
     their place.  NULL, empty and wordless texts have none."""
-    index = df.sparkSession.sparkContext.broadcast(LicenseIndex(templates, **options))
-
     @F.pandas_udf(FOUND)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = LicenseIndex(templates, **options)
         for texts in batches:
-            yield pd.Series([index.value.scan(t) if t else [] for t in texts])
+            yield pd.Series([index.scan(t) if t else [] for t in texts])
 
     return df.withColumn(out_col, run(F.col(text_col)))
