@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LETTERS = re.compile(r"[^\W\d_]+")
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000  # some 150 MB of keys and values in a worker
 LONGEST_KEY = 64
 
 

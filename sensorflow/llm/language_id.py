@@ -15,43 +15,63 @@ The documents of a batch are solved together in numpy.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.llm.chargrams import LETTERS, Memo, count_grams, grams
+from sensorflow.llm.chargrams import CACHE_WORDS, LETTERS, count_grams, grams
 
 UNDETERMINED = "und"
 STEPS = 12          # EM steps; proportions move by less than a hundredth after about ten
 FLOOR = -12.0       # no n-gram counts for less (natural logarithm)
 LONG_WORD = 16      # a word weighs no more than this many letters
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 
 
+@dataclass
 class LanguageModel:
     """Log-probabilities: ``grams[gram]`` is a row with one value a language."""
 
-    def __init__(self, languages: list[str], grams: dict, order: int, penalty: float):
-        self.languages, self.grams, self.order, self.penalty = languages, grams, order, penalty
-
-    def word(self, chunk: str) -> np.ndarray | None:
-        """Log-likelihood in each language less that in the best; None if the
-        word has no letters."""
-        total, letters = np.zeros(len(self.languages)), 0
-        for run in LETTERS.findall(chunk):
-            letters += len(run)
-            for gram in grams(run, self.order):
-                row = self.grams.get(gram)
-                while row is None and len(gram) > 1:  # back off to a shorter history
-                    gram = gram[1:]
-                    row = self.grams.get(gram)
-                if row is not None:
-                    total += row
-        if not letters:
-            return None
-        return ((total - total.max()) * min(1.0, LONG_WORD / letters)).astype(np.float32)
+    languages: list[str]
+    grams: dict
+    order: int
+    penalty: float
+
+    def __post_init__(self):
+        self.rows = {g: i for i, g in enumerate(self.grams)}
+        self.values = np.array(list(self.grams.values()), np.float32).reshape(len(self.rows), len(self.languages))
+
+    def words(self, chunks: list[str]) -> np.ndarray:
+        """Log-likelihood of each word in each language less that in the best;
+        NaN if the word has no letters."""
+        rows, order, at, starts, weights, lettered = self.rows, self.order, [], [], [], []
+        for k, chunk in enumerate(chunks):
+            letters, start = 0, len(at)
+            for run in LETTERS.findall(chunk):
+                letters += len(run)
+                for gram in grams(run, order):
+                    row = rows.get(gram)
+                    while row is None and len(gram) > 1:  # back off to a shorter history
+                        gram = gram[1:]
+                        row = rows.get(gram)
+                    if row is not None:
+                        at.append(row)
+            if letters:
+                if len(at) == start:
+                    at.append(-1)
+                starts.append(start)
+                weights.append(min(1.0, LONG_WORD / letters))
+                lettered.append(k)
+        out = np.full((len(chunks), len(self.languages)), np.nan, np.float32)
+        if lettered:
+            values = np.concatenate([self.values, np.zeros((1, len(self.languages)), np.float32)])
+            total = np.add.reduceat(values[at], starts, axis=0)
+            total -= total.max(axis=1, keepdims=True)
+            out[lettered] = total * np.array(weights, np.float32)[:, None]
+        return out
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = 4,
@@ -60,12 +80,12 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
 
     Probabilities of a letter after its history are smoothed with the shorter
     history's, down to an even distribution over the letters seen."""
-    counts = count_grams(rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")),
-                         "text", "lang", order)
-    languages = sorted(r["label"] for r in counts.select("label").distinct().collect())
+    rows = (rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+            .filter("text IS NOT NULL AND lang IS NOT NULL"))
+    languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not languages:
         return LanguageModel([], {}, order, penalty)
-    wide = counts.groupBy("gram").agg(*[
+    wide = count_grams(rows, "text", "lang", order).groupBy("gram").agg(*[
         F.coalesce(F.sum(F.when(F.col("label") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}")
         for i, lang in enumerate(languages)])
     every = sum((F.col(f"n{i}") for i in range(len(languages))), F.lit(0))
@@ -126,8 +146,11 @@ def infer(model: LanguageModel, words: np.ndarray, starts: np.ndarray) -> np.nda
     best = np.zeros((len(starts), kinds))
     best[every, alone.argmax(1)] = 1.0
     value, price = alone.max(1), model.penalty * np.log(n + 1)
-    # a mixture's log-likelihood is at most 0 (each word in its best language)
-    open_ = np.flatnonzero(-value > price)
+    # The log-likelihood is concave in the proportions, so from the best single
+    # language no mixture gains more than the steepest slope towards another.
+    own = np.take_along_axis(like, alone.argmax(1)[doc][:, None], axis=1)
+    slope = np.add.reduceat(like / np.maximum(own, 1e-30), starts, axis=0, dtype=float) - n[:, None]
+    open_ = np.flatnonzero(np.minimum(slope.max(1), -value) > price)
     if kinds > 1 and len(open_):
         full, _ = em(np.ones((len(open_), kinds)), open_)
         order = np.argsort(-full, axis=1, kind="stable")
@@ -146,60 +169,51 @@ def infer(model: LanguageModel, words: np.ndarray, starts: np.ndarray) -> np.nda
     return best
 
 
-def predict(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``df`` with ``lang_mix``: struct of ``lang_pred`` (largest proportion;
+def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", out_col: str = "lang_mix") -> DataFrame:
+    """``df`` with ``out_col`` added or replaced: struct of ``lang_pred`` (largest proportion;
     of equal ones the first in alphabetical order), ``score`` (that proportion)
     and ``mixture`` (language to proportion, above 0.01).  ``und`` with score 0
     where the text is NULL or has no letter, or no language was learned."""
-    shared = df.sparkSession.sparkContext.broadcast(model)  # max_grams rows and their endings
+    # max_grams rows and their endings; plain values, so tasks need not have this module
+    shared = df.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.order, model.penalty))
 
     @F.pandas_udf("lang_pred string, score double, mixture map<string,double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        table, used = np.empty((1024, len(m.languages)), np.float32), 0  # a row for each word met
-
-        def number(word: str) -> int:
-            nonlocal table, used
-            vector = m.word(word)
-            if vector is None:
-                return -1
-            if used == len(table):
-                table = np.concatenate([table, np.empty_like(table)])
-            table[used] = vector
-            used += 1
-            return used - 1
-
-        memo = Memo(number)
-        for texts in batches:
-            preds = [(UNDETERMINED, 0.0, {})] * len(texts)
-            found, sizes, docs = [], [], []
-
-            def solve():
-                nonlocal used
-                if not docs:
-                    return
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(int)
-                share = infer(m, table[np.concatenate(found)], starts)
-                for i, x in zip(docs, share):
-                    k = int(x.argmax())
-                    preds[i] = (m.languages[k], float(min(1.0, x[k])),
-                                {m.languages[j]: float(x[j]) for j in np.flatnonzero(x > 0.01)})
-                found.clear(), sizes.clear(), docs.clear()
-                if used > memo.size:
-                    memo.clear()
-                    used = 0
+        m = LanguageModel(*shared.value)
+        index: dict[str, int] = {}  # word to row of the table
+        table = np.empty((0, len(m.languages)), np.float32)
+
+        def solve(docs: list[tuple[int, list[str]]], preds: list) -> None:
+            nonlocal table
+            if len(index) > CACHE_WORDS:
+                index.clear()
+                table = table[:0]
+            new = list(set().union(*[words for _, words in docs]) - index.keys())
+            index.update(zip(new, range(len(table), len(table) + len(new))))
+            table = np.concatenate([table, m.words(new)])
+            found = [table[list(map(index.__getitem__, words))] for _, words in docs]
+            found = [x[~np.isnan(x[:, 0])] for x in found]
+            sizes = np.array([len(x) for x in found])
+            kept = np.flatnonzero(sizes)
+            if not len(kept):
+                return
+            starts = np.concatenate([[0], np.cumsum(sizes[kept])[:-1]]).astype(int)
+            for k, x in zip(kept, infer(m, np.concatenate([found[k] for k in kept]), starts)):
+                best = int(x.argmax())
+                preds[docs[k][0]] = (m.languages[best], float(min(1.0, x[best])),
+                                     {m.languages[j]: float(x[j]) for j in np.flatnonzero(x > 0.01)})
 
+        for texts in batches:
+            preds, docs, size = [(UNDETERMINED, 0.0, {})] * len(texts), [], 0
             for i, text in enumerate(texts):
-                if not text or not m.languages:
-                    continue
-                words = text.lower().split()
-                at = np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
-                at = at[at >= 0]
-                if len(at):
-                    found.append(at), sizes.append(len(at)), docs.append(i)
-                if sum(sizes) > BLOCK_WORDS:
-                    solve()
-            solve()
+                if text and m.languages:
+                    words = text.lower().split()
+                    if words:
+                        docs.append((i, words))
+                        size += len(words)
+                if docs and (size > BLOCK_WORDS or i == len(texts) - 1):
+                    solve(docs, preds)
+                    docs, size = [], 0
             yield pd.DataFrame(preds, columns=["lang_pred", "score", "mixture"])
 
-    return df.withColumn("lang_mix", run(F.col(text_col)))
+    return df.withColumn(out_col, run(F.col(text_col)))
