@@ -129,31 +129,44 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     firsts = of_class.filter("row = cls").select("row")
     buckets = _buckets(signed, firsts)
     wanted = buckets.select("cls").distinct()
-    sets = materialize(_sets(base.join(wanted.withColumnRenamed("cls", "row"), "row", "left_semi"), shingle), "sets")
+    # members of buckets grow with the table, so this join shuffles at every size
+    wanted = wanted.withColumnRenamed("cls", "row").hint("merge")
+    sets = materialize(_sets(base.join(wanted, "row", "left_semi"), shingle), "sets")
 
     fits = 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
     stars = (buckets.filter((F.col("cls") != F.col("pivot")) & fits)
              .select(F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct())
     links = materialize(_confirm(stars, sets, percent), "links")
     label = components(links)
+    groups_of = classes.join(label, F.col("cls") == F.col("node"), "left").drop("node")
     more = _strays(buckets, label, sets, percent)
+    spent = [signed, groups, of_class, buckets, sets, links, label]
     if more is not None:
-        every = materialize(links.unionByName(more).distinct(), "links")
-        discard(links, label, more)
-        links, label = every, components(every)
+        # links between labels, then labels of labels
+        own = label.selectExpr("node AS x", "label AS l")
+        ends = (more.join(own.withColumnsRenamed({"x": "a", "l": "la"}), "a", "left")
+                .join(own.withColumnsRenamed({"x": "b", "l": "lb"}), "b", "left")
+                .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")))
+        upper = components(ends)
+        spent += [more, upper]
+        groups_of = (groups_of.withColumn("own", F.coalesce("label", "cls"))
+                     .join(upper.selectExpr("node AS own", "label AS up"), "own", "left")
+                     .select("cls", "least", F.coalesce("up", "label").alias("label")))
 
     # component: the least id over its classes
-    labelled = classes.join(label, F.col("cls") == F.col("node")).select("cls", "least", "label")
+    labelled = materialize(groups_of.filter("label IS NOT NULL"), "groups")
     least = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     linked = labelled.join(least, "label").select("cls", "component_id", "label")
     of_group = classes.join(linked, "cls", "left").select(
         "cls", F.coalesce("label", "cls").alias("group"),
         F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
-    out = of_class.join(materialize(of_group, "groups"), "cls").select("row", "id", "n", "component_id", "group")
+    of_group = materialize(of_group, "groups")
+    spent += [labelled, of_group]
+    out = of_class.join(of_group, "cls").select("row", "id", "n", "component_id", "group")
     alone = signed.filter("n = 0").select("row", "id", "n", F.col("id").alias("component_id"),
                                           F.col("row").alias("group"))
     out = materialize(out.unionByName(alone), "near")
-    discard(signed, groups, of_class, buckets, sets, links, label)
+    discard(*spent)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                       F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "group", "row")
 

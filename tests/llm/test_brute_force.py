@@ -264,3 +264,27 @@ def test_kneser_ney_log_ratios(spark):
     ordinary = 0 + 0.75 * 2 / 2 * p["b"]
     assert ratios["ab"] == pytest.approx(math.log(toxic / ordinary), rel=1e-5)
     assert histories["a"] == pytest.approx(math.log((0.75 * 2 / 3) / (0.75 * 2 / 2)), rel=1e-5)
+
+
+@pytest.mark.parametrize("kind", ["chain", "star", "random"])
+def test_components(spark, kind):
+    import random
+
+    from sensorflow.llm.components import components
+    random.seed(5)
+    nodes = random.sample(range(10_000), 300)
+    links = {"chain": list(zip(nodes, nodes[1:])), "star": [(max(nodes), n) for n in nodes if n != max(nodes)],
+             "random": [tuple(random.sample(nodes, 2)) for _ in range(220)] + [(nodes[0], nodes[0])]}[kind]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r["node"]: r["label"] for r in got} == {x: find(x) for x in list(parent)}
