@@ -43,10 +43,11 @@ TOXIC_FROM = 0.7
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of held-out rows are never read into the model."""
+    """Labels of held-out rows are never read into the model.  Labels grow
+    with the documents, so the join shuffles both at every size."""
     docs = documents(spark, sf_dir)
     train = (docs.select("doc_id", "text").filter(remainder(3) != 1)
-             .join(labels(spark, sf_dir).select("doc_id", "toxic").distinct(), "doc_id"))
+             .join(labels(spark, sf_dir).select("doc_id", "toxic").distinct().hint("merge"), "doc_id"))
     scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(train), out_col="score")
     return scored.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))

@@ -31,7 +31,7 @@ from sensorflow.session import discard, materialize
 FOLDS = 4          # one fold of the labelled texts sets the logistic curve
 STEP = 0.05        # width of the histogram that the curve is fitted on
 REACH = 50.0       # evidence beyond this is counted as this
-SHARE = 0.02       # share of the words that decide
+SHARE = 0.005      # share of the words that decide; insults are 1 to 3 words in a hundred
 LONG_WORD = 24
 
 
@@ -172,11 +172,12 @@ def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", out_col:
 
 
 def _scorer(df: DataFrame, model: ToxicityModel, curve: bool = True):
-    shared = df.sparkSession.sparkContext.broadcast(model)  # at most 2 * max_grams rows
+    # at most 2 * max_grams rows; plain values, so tasks need not have this module
+    shared = df.sparkSession.sparkContext.broadcast((model.ratios, model.histories, model.order, model.curve))
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = shared.value
+        m = ToxicityModel(*shared.value)
         memo = Memo(m.word)
         for texts in batches:
             raw = np.array([m.evidence(t, memo) for t in texts], dtype=float)
