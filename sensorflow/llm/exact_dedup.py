@@ -6,10 +6,10 @@ soon as it is alone in its group or its record has ended.  Rows of one group
 that ended together are equal byte by byte, so equality never rests on a
 digest.
 
-* Each digit is one map-side combined ``groupBy(group, digit)``; the group's
-  label, count and survivor are joined back to the rows.  A hot group arrives
-  as one row per map task, and the join back is a sort-merge join whose large
-  side Spark may split.
+* Each digit is one map-side combined ``groupBy(group, digit)``; a hot group
+  arrives as one row per map task.  Groups of two rows or more are written out
+  and joined back to the rows; read from a table, they share no shuffle with
+  the aggregate, so Spark may split the rows of a hot group in that join.
 * Digits grow eightfold, so a text of n bytes takes O(log n) rounds.  Length
   comes first, so mostly true copies survive the first digit.
 * Every round is written to the shared checkpoint folder; a lost executor
@@ -55,7 +55,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        F.substring("text", 1, first).alias("digit"),
                        F.substring("text", first + 1, REST).alias("rest"),
                        F.sha2("text", 256).alias("sha"))
-    level = materialize(_split(rows, ["n", "digit"], first), "radix")
+    spent: list[DataFrame] = []
+    level = materialize(_split(rows, ["n", "digit"], first, spent), "radix")
     levels, at, width = [level], first, first * growth
     while level.filter("not done").limit(1).count():
         alive = level.filter("not done").select(
@@ -63,7 +64,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.substring("rest", 1, width).alias("digit"),
             F.substring("rest", width + 1, REST).alias("rest"), "sha")
         at, width = at + width, width * growth
-        level = materialize(_split(alive, ["grp", "digit"], at), "radix")
+        level = materialize(_split(alive, ["grp", "digit"], at, spent), "radix")
         levels.append(level)
     ended = None
     for x in levels:
@@ -74,19 +75,23 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         discard(*levels)
     else:
         out = ended
+    discard(*spent)
     return out.select(
         F.col("id").alias(id_col), F.col("top.id").alias("keep_id"), F.col("size").alias("group_size"),
         (F.col("rid") == F.col("top.rid")).alias("kept"), F.col("sha").alias("text_sha256"),
         F.col("rid").alias("row"))
 
 
-def _split(rows: DataFrame, key: list[str], at: int) -> DataFrame:
+def _split(rows: DataFrame, key: list[str], at: int, spent: list[DataFrame]) -> DataFrame:
     """Split each group by its digit.  ``top`` names the new group: the row
     that would stay.  A row is done when alone, or when its bytes have ended;
     the rest of its text is then dropped."""
-    groups = (rows.groupBy(*key)
-              .agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("id", "rid")).alias("top")))
-    done = (F.col("size") == 1) | (F.col("n") <= at)
-    return (rows.join(groups, key)
-            .select("rid", "id", "n", "sha", "top", "size", done.alias("done"),
+    groups = materialize(
+        rows.groupBy(*key).agg(F.count(F.lit(1)).alias("size"), F.max(F.struct("id", "rid")).alias("top"))
+        .filter("size > 1"), "groups")
+    spent.append(groups)
+    done = F.col("size").isNull() | (F.col("n") <= at)
+    return (rows.join(groups, key, "left")
+            .select("rid", "id", "n", "sha", F.coalesce("size", F.lit(1)).alias("size"),
+                    F.coalesce("top", F.struct("id", "rid")).alias("top"), done.alias("done"),
                     F.when(~done, F.col("rest")).alias("rest")))
