@@ -70,7 +70,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts before and after three edits to every document: 12 characters
     out at a fifth of the text, a remark in at its middle, a line at its end."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    docs = token_counts.build(documents(spark, sf_dir).select("doc_id", "text"), path, pattern)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     n = F.coalesce(F.char_length("text"), F.lit(0))
 
     def one(at, cut: int, put):
@@ -80,12 +80,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         one(F.floor(n / 5), 12, F.lit("")),
         one(F.floor(n / 2), 0, F.concat(F.lit(" (see: "), F.coalesce(F.substring("text", 1, 20), F.lit("")), F.lit(")"))),
         one(n + 100, 0, F.lit("\nRevised."))))
-    done = token_counts.apply_edits(docs, path, pattern)
+    done = token_counts.recount(docs, path, pattern)
     return done.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.col("tree.n_tokens").alias("n_tokens"),
-        F.char_length("after.text").cast("long").alias("edited_n_chars"),
-        F.col("after.n_tokens").alias("edited_n_tokens"), F.col("after.encoded").alias("encoded_chars"),
-        F.sha2(F.col("after.text").cast("binary"), 256).alias("edited_sha256"))
+        "doc_id", n.cast("long").alias("n_chars"), "counts.n_tokens", "counts.edited_n_chars",
+        "counts.edited_n_tokens", F.col("counts.encoded").alias("encoded_chars"), "counts.edited_sha256")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,7 @@ from sensorflow.llm.chargrams import Memo
 #: A pre-token ends for reasons at most this many characters behind its end
 #: (contractions look two ahead, white space one).
 CONTEXT = 3
+PIECES = 250_000  # pre-tokens whose counts a task remembers
 TREE = "chars binary, tokens binary, n_tokens long"
 
 
@@ -39,7 +41,7 @@ class Counter:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(pattern)
-        self.count = Memo(lambda piece: len(self.encoding.encode_ordinary(piece)))
+        self.count = Memo(lambda piece: len(self.encoding.encode_ordinary(piece)), PIECES)
 
     def tree(self, text: str) -> Tree:
         pieces = self.pattern.findall(text)
@@ -186,3 +188,28 @@ def apply_edits(df: DataFrame, path: str, pattern: str, text_col: str = "text",
             yield pd.DataFrame(out, columns=["text", "chars", "tokens", "n_tokens", "encoded"])
 
     return df.withColumn(out_col, run(text_col, f"{tree_col}.chars", f"{tree_col}.tokens", edits_col))
+
+
+def recount(df: DataFrame, path: str, pattern: str, text_col: str = "text", edits_col: str = "edits",
+            out_col: str = "counts") -> DataFrame:
+    """``build`` and ``apply_edits`` in one pass, for callers that need the
+    counts only: ``df`` with struct ``out_col`` of ``n_tokens,
+    edited_n_tokens, edited_n_chars, encoded, edited_sha256``.  Trees and
+    edited texts stay in the task."""
+    @F.pandas_udf("n_tokens long, edited_n_tokens long, edited_n_chars long, encoded long, edited_sha256 string")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        counter = Counter(path, pattern)
+        for texts, edits in batches:
+            out = []
+            for text, todo in zip(texts, edits):
+                text, encoded = text or "", 0
+                tree = counter.tree(text)
+                before = tree.n_tokens
+                for e in todo if todo is not None else ():
+                    text, n = edit(counter, text, tree, e["at"], e["cut"], e["put"] or "")
+                    encoded += n
+                out.append((before, tree.n_tokens, tree.n_chars, encoded, sha256(text.encode()).hexdigest()))
+            yield pd.DataFrame(out, columns=["n_tokens", "edited_n_tokens", "edited_n_chars", "encoded",
+                                             "edited_sha256"])
+
+    return df.withColumn(out_col, run(text_col, edits_col))
