@@ -91,7 +91,7 @@ def _split(rows: DataFrame, key: list[str], at: int, spent: list[DataFrame]) ->
         .filter("size > 1"), "groups")
     spent.append(groups)
     done = F.col("size").isNull() | (F.col("n") <= at)
-    return (rows.join(groups, key, "left")
+    return (rows.join(groups.hint("merge"), key, "left")  # groups grow with the rows: one plan at every size
             .select("rid", "id", "n", "sha", F.coalesce("size", F.lit(1)).alias("size"),
                     F.coalesce("top", F.struct("id", "rid")).alias("top"), done.alias("done"),
                     F.when(~done, F.col("rest")).alias("rest")))
