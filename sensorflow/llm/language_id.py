@@ -7,33 +7,48 @@ likelihoods; which languages take part is chosen by penalised likelihood: a
 language stays only if it raises the log-likelihood by more than
 ``penalty * log(words)``.
 
-Counts come from every labelled row and are summed by Spark; tasks receive
-log-probabilities of at most ``max_grams`` n-grams, the most frequent ones.
-The documents of a batch are solved together in numpy.
+Counts come from every labelled row and are summed by Spark.  The
+log-probabilities of all counted n-grams and of their endings stay a Spark
+table; texts are scored in blocks that meet only the entries they look up
+(``blocks``).  The documents of a block are solved together in numpy.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
-from sensorflow.llm.chargrams import CACHE_WORDS, LETTERS, count_grams, grams
+from sensorflow.llm.blocks import score_blocks
+from sensorflow.llm.chargrams import LETTERS, count_grams, grams
+from sensorflow.session import discard, materialize
 
 UNDETERMINED = "und"
 STEPS = 12          # EM steps; proportions move by less than a hundredth after about ten
 FLOOR = -12.0       # no n-gram counts for less (natural logarithm)
 LONG_WORD = 16      # a word weighs no more than this many letters
 BLOCK_WORDS = 500_000
+PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+                         StructField("mixture", MapType(StringType(), DoubleType()))])
+
+
+@dataclass
+class FittedLanguages:
+    """All log-probabilities as a table ``key, value``, one value a language."""
+
+    languages: list[str]
+    table: DataFrame | None
+    order: int
+    penalty: float
 
 
 @dataclass
 class LanguageModel:
-    """Log-probabilities: ``grams[gram]`` is a row with one value a language."""
+    """The part of the log-probabilities that some texts need: ``grams[gram]``
+    is a row with one value a language."""
 
     languages: list[str]
     grams: dict
@@ -75,7 +90,7 @@ class LanguageModel:
 
 
 def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = 4,
-        max_grams: int = 200_000, penalty: float = 2.0) -> LanguageModel:
+        penalty: float = 2.0) -> FittedLanguages:
     """Fit on the rows whose language and text are not NULL.
 
     Probabilities of a letter after its history are smoothed with the shorter
@@ -84,38 +99,43 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
             .filter("text IS NOT NULL AND lang IS NOT NULL"))
     languages = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not languages:
-        return LanguageModel([], {}, order, penalty)
-    wide = count_grams(rows, "text", "lang", order).groupBy("gram").agg(*[
-        F.coalesce(F.sum(F.when(F.col("label") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}")
-        for i, lang in enumerate(languages)])
-    every = sum((F.col(f"n{i}") for i in range(len(languages))), F.lit(0))
-    top = wide.orderBy(F.desc(every), "gram").limit(max_grams).toPandas()
-    tables: dict[str, np.ndarray] = dict(zip(top["gram"], top.drop(columns="gram").to_numpy(dtype=float)))
-    return LanguageModel(languages, _log_probabilities(tables, order), order, penalty)
-
-
-def _log_probabilities(counts: dict, order: int) -> dict:
-    """Interpolated (Witten-Bell) log-probabilities of all kept n-grams and of
-    their shorter endings.  Works on the kept n-grams only (``max_grams``)."""
-    levels: list[dict] = [{} for _ in range(order + 1)]
-    for gram, n in counts.items():
-        for k in range(1, len(gram) + 1):
-            end = gram[-k:]
-            if k == len(gram) or not end.startswith("^"):
-                level = levels[k]
-                level[end] = level[end] + n if end in level else n
-    found: dict = {}
+        return FittedLanguages([], None, order, penalty)
+    counts = count_grams(rows, "text", "lang", order)
+    # endings are counted by language first, so a further language adds no column to a row on its way
+    ends = (counts.select("label", "n", F.expr(
+        "explode(transform(sequence(1, length(gram)), k -> right(gram, k)))").alias("gram"))
+        .groupBy("label", "gram").agg(F.sum("n").alias("n")))
+    wide = materialize(ends.groupBy("gram").agg(*[
+        F.coalesce(F.sum(F.when(F.col("label") == lang, F.col("n"))), F.lit(0)).cast("double").alias(f"n{i}")
+        for i, lang in enumerate(languages)]), "endings")
+    table = materialize(_log_probabilities(wide, order, len(languages)), "languages")
+    discard(wide)
+    return FittedLanguages(languages, table, order, penalty)
+
+
+def _log_probabilities(wide: DataFrame, order: int, languages: int) -> DataFrame:
+    """Interpolated (Witten-Bell) log-probabilities of all counted n-grams and
+    of their shorter endings; ``wide`` has both with their counts."""
+    each = range(languages)
+    wide = wide.withColumn("h", F.expr("substring(gram, 1, length(gram) - 1)"))
+    histories = wide.groupBy("h").agg(*[F.sum(f"n{i}").alias(f"t{i}") for i in each],
+                                      *[F.count(F.when(F.col(f"n{i}") > 0, 1)).alias(f"k{i}") for i in each])
+    even = 1.0 / max(1, wide.filter("length(gram) = 1").count())
+    joined = wide.join(histories.hint("merge"), "h").drop("h")
+    lower, found = None, None
     for k in range(1, order + 1):
-        total, kinds = {}, {}
-        for gram, n in levels[k].items():
-            h = gram[:-1]
-            total[h] = total.get(h, 0) + n
-            kinds[h] = kinds.get(h, 0) + (n > 0)
-        for gram, n in levels[k].items():
-            h = gram[:-1]
-            lower = found[gram[1:]] if k > 1 and gram[1:] in found else 1.0 / max(1, len(levels[1]))
-            found[gram] = (n + (kinds[h] + 0.5) * lower) / (total[h] + kinds[h] + 0.5)
-    return {g: np.maximum(np.log(np.maximum(p, 1e-30)), FLOOR) for g, p in found.items()}
+        level = joined.filter(F.length("gram") == k)
+        if lower is not None:
+            level = level.withColumn("back", F.expr("substring(gram, 2)")).join(
+                lower.select(F.col("gram").alias("back"), *[f"p{i}" for i in each]).hint("merge"), "back", "left")
+        back = [F.lit(even) if lower is None else F.coalesce(f"p{i}", F.lit(even)) for i in each]
+        lower = level.select("gram", *[
+            ((F.col(f"n{i}") + (F.col(f"k{i}") + 0.5) * back[i]) / (F.col(f"t{i}") + F.col(f"k{i}") + 0.5))
+            .alias(f"p{i}") for i in each])
+        found = lower if found is None else found.unionByName(lower)
+    return found.select(F.col("gram").alias("key"), F.array(*[
+        F.greatest(F.log(F.greatest(F.col(f"p{i}"), F.lit(1e-30))), F.lit(FLOOR)).cast("float")
+        for i in each]).alias("value"))
 
 
 def infer(model: LanguageModel, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -169,51 +189,63 @@ def infer(model: LanguageModel, words: np.ndarray, starts: np.ndarray) -> np.nda
     return best
 
 
-def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", out_col: str = "lang_mix") -> DataFrame:
+def predict(df: DataFrame, model: FittedLanguages, text_col: str = "text", out_col: str = "lang_mix") -> DataFrame:
     """``df`` with ``out_col`` added or replaced: struct of ``lang_pred`` (largest proportion;
     of equal ones the first in alphabetical order), ``score`` (that proportion)
     and ``mixture`` (language to proportion, above 0.01).  ``und`` with score 0
     where the text is NULL or has no letter, or no language was learned."""
-    # max_grams rows and their endings; plain values, so tasks need not have this module
-    shared = df.sparkSession.sparkContext.broadcast((model.languages, model.grams, model.order, model.penalty))
-
-    @F.pandas_udf("lang_pred string, score double, mixture map<string,double>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = LanguageModel(*shared.value)
-        index: dict[str, int] = {}  # word to row of the table
-        table = np.empty((0, len(m.languages)), np.float32)
-
-        def solve(docs: list[tuple[int, list[str]]], preds: list) -> None:
-            nonlocal table
-            if len(index) > CACHE_WORDS:
-                index.clear()
-                table = table[:0]
-            new = list(set().union(*[words for _, words in docs]) - index.keys())
-            index.update(zip(new, range(len(table), len(table) + len(new))))
-            table = np.concatenate([table, m.words(new)])
-            found = [table[list(map(index.__getitem__, words))] for _, words in docs]
-            found = [x[~np.isnan(x[:, 0])] for x in found]
-            sizes = np.array([len(x) for x in found])
-            kept = np.flatnonzero(sizes)
-            if not len(kept):
-                return
-            starts = np.concatenate([[0], np.cumsum(sizes[kept])[:-1]]).astype(int)
-            for k, x in zip(kept, infer(m, np.concatenate([found[k] for k in kept]), starts)):
-                best = int(x.argmax())
-                preds[docs[k][0]] = (m.languages[best], float(min(1.0, x[best])),
-                                     {m.languages[j]: float(x[j]) for j in np.flatnonzero(x > 0.01)})
-
-        for texts in batches:
-            preds, docs, size = [(UNDETERMINED, 0.0, {})] * len(texts), [], 0
+    if not model.languages:
+        return df.withColumn(out_col, F.struct(
+            F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"),
+            F.expr("cast(map() AS map<string, double>)").alias("mixture")))
+    languages, order, penalty = model.languages, model.order, model.penalty
+
+    def keys(runs: set) -> set:
+        level: set = set()
+        for run in runs:
+            level.update(grams(run, order))
+        found = set(level)
+        while level:  # endings of endings
+            level = {g[1:] for g in level if len(g) > 1}
+            found |= level
+        return found
+
+    def scorer(names: list, values: np.ndarray):
+        m = LanguageModel(languages, dict(zip(names, values)), order, penalty)
+
+        def run(texts: list) -> list:
+            preds = [(UNDETERMINED, 0.0, [])] * len(texts)
+            index: dict[str, int] = {}  # word to row of the table
+            table = np.empty((0, len(languages)), np.float32)
+
+            def solve(docs: list[tuple[int, list[str]]]) -> None:
+                nonlocal table
+                new = list(set().union(*[words for _, words in docs]) - index.keys())
+                index.update(zip(new, range(len(table), len(table) + len(new))))
+                table = np.concatenate([table, m.words(new)])
+                found = [table[list(map(index.__getitem__, words))] for _, words in docs]
+                found = [x[~np.isnan(x[:, 0])] for x in found]
+                sizes = np.array([len(x) for x in found])
+                kept = np.flatnonzero(sizes)
+                if not len(kept):
+                    return
+                starts = np.concatenate([[0], np.cumsum(sizes[kept])[:-1]]).astype(int)
+                for k, x in zip(kept, infer(m, np.concatenate([found[k] for k in kept]), starts)):
+                    best = int(x.argmax())
+                    preds[docs[k][0]] = (languages[best], float(min(1.0, x[best])),
+                                         [(languages[j], float(x[j])) for j in np.flatnonzero(x > 0.01)])
+
+            docs, size = [], 0
             for i, text in enumerate(texts):
-                if text and m.languages:
-                    words = text.lower().split()
-                    if words:
-                        docs.append((i, words))
-                        size += len(words)
+                words = text.lower().split() if text else ()
+                if words:
+                    docs.append((i, words))
+                    size += len(words)
                 if docs and (size > BLOCK_WORDS or i == len(texts) - 1):
-                    solve(docs, preds)
+                    solve(docs)
                     docs, size = [], 0
-            yield pd.DataFrame(preds, columns=["lang_pred", "score", "mixture"])
+            return [dict(zip(("lang_pred", "score", "mixture"), p)) for p in preds]
+
+        return run
 
-    return df.withColumn(out_col, run(F.col(text_col)))
+    return score_blocks(df, model.table, text_col, out_col, PREDICTION, keys, scorer)

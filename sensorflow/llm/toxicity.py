@@ -11,20 +11,21 @@ few words in a hundred, and a mean over all words would drown them in the noise
 of the others, the more so the longer the text.  A logistic curve, fitted on
 labelled texts the models have not seen, puts it on the scale 0 to 1.
 
-Counts come from every labelled row and are summed by Spark.  What tasks
-receive is a table of log ratios with at most ``max_grams`` n-grams and as many
-histories: the heaviest by ``occurrences * |log ratio|``.
+Counts come from every labelled row and are summed by Spark.  The log ratios
+of all counted n-grams and histories stay a Spark table; texts are scored in
+blocks that meet only the entries they look up (``blocks``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from sensorflow.llm.blocks import score_blocks
 from sensorflow.llm.chargrams import LETTERS, Memo, count_grams, grams
 from sensorflow.session import discard, materialize
 
@@ -35,20 +36,33 @@ SHARE = 0.005      # share of the words that decide; insults are 1 to 3 words in
 LONG_WORD = 24
 
 
+HISTORY = "="      # before a history's letters in the key; no n-gram holds it
+
+
+@dataclass
 class ToxicityModel:
-    """Log ratios by n-gram and by history, and the logistic curve."""
+    """Log ratios by n-gram and by history as a table ``key, value``, and the
+    logistic curve."""
+
+    table: DataFrame
+    order: int
+    curve: tuple[float, float] = (1.0, 0.0)
 
-    def __init__(self, ratios: dict, histories: dict, order: int, curve=(1.0, 0.0)):
-        self.ratios, self.histories, self.order, self.curve = ratios, histories, order, curve
+
+class Scorer:
+    """The part of a model that some texts need, as a dict."""
+
+    def __init__(self, ratios: dict, order: int, curve: tuple[float, float]):
+        self.ratios, self.order, self.curve = ratios, order, curve
 
     def word(self, chunk: str) -> float:
         """Toxic less ordinary log-likelihood of the letters of a word."""
-        total, letters, ratios, histories = 0.0, 0, self.ratios, self.histories
+        total, letters, ratios = 0.0, 0, self.ratios
         for run in LETTERS.findall(chunk):
             letters += len(run)
             for gram in grams(run, self.order):
                 ratio = ratios.get(gram)
-                total += histories.get(gram[:-1], 0.0) if ratio is None else ratio
+                total += ratios.get(HISTORY + gram[:-1], 0.0) if ratio is None else ratio
         return total * LONG_WORD / max(letters, LONG_WORD)
 
     def evidence(self, text: str | None, memo: Memo) -> float:
@@ -65,31 +79,58 @@ class ToxicityModel:
 
 
 def fit(rows: DataFrame, text_col: str = "text", label_col: str = "toxic", order: int = 5,
-        discount: float = 0.75, max_grams: int = 300_000) -> ToxicityModel:
+        discount: float = 0.75) -> ToxicityModel:
     """Fit on ``rows`` (label 1: toxic, 0: ordinary, NULL rows are left out).
 
     Copies of a text fall into one fold, so the curve never sees texts the
     counts contain.  With no rows of one class every score is the curve's
     value at 0."""
-    rows = (rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
-            .filter("text IS NOT NULL AND label IN (0, 1)")
-            .withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS))))
-    ratios, histories = _ratios(rows.filter("fold > 0"), order, discount, max_grams)
-    model = ToxicityModel(ratios, histories, order)
-    raw = rows.filter("fold = 0").select("label", _scorer(rows, model, curve=False)("text").alias("score"))
+    rows = materialize(rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
+                       .filter("text IS NOT NULL AND label IN (0, 1)")
+                       .withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS))), "labelled")
+    model = ToxicityModel(_table(rows.filter("fold > 0"), order, discount), order)
+    raw = _scored(rows.filter("fold = 0").select("label", "text"), model, "text", "score", curve=False)
     bins = (raw.groupBy(F.round(F.col("score") / STEP).cast("int").alias("bin"), "label").count()
             .orderBy("bin", "label").collect())  # 2 * REACH / STEP bins at most
     model.curve = _logistic(np.array([r["bin"] * STEP for r in bins]),
                             np.array([r["label"] for r in bins]),
                             np.array([r["count"] for r in bins], dtype=float))
+    discard(rows)
     return model
 
 
+def _table(rows: DataFrame, order: int, discount: float) -> DataFrame:
+    """``key, value`` of all n-grams and histories, written once."""
+    top = _counts(rows, order)
+    seen, unseen = _log_ratios(top, order, discount)
+    # an n-gram of ratio 0 has its row, or its history would stand in for it
+    keyed = seen.select(F.col("gram").alias("key"), "r").unionByName(
+        unseen.filter("r != 0").select(F.concat(F.lit(HISTORY), "gram").alias("key"), "r"))
+    out = materialize(keyed.select("key", F.array(F.col("r").cast("float")).alias("value")), "ratios")
+    discard(top)
+    return out
+
+
 def _ratios(rows: DataFrame, order: int, discount: float, most: int) -> tuple[dict, dict]:
+    """The ``most`` heaviest n-grams and histories, to look at; scoring uses all."""
+    top = _counts(rows, order)
+    found = []
+    for table in _log_ratios(top, order, discount):
+        heavy = table.orderBy(F.desc(F.abs("r") * F.col("n")), "gram").limit(most).collect()
+        found.append({r["gram"]: r["r"] for r in heavy})
+    discard(top)
+    return found[0], found[1]
+
+
+def _counts(rows: DataFrame, order: int) -> DataFrame:
     counts = count_grams(rows, "text", "label", order)
-    top = materialize(counts.groupBy("gram").agg(
+    return materialize(counts.groupBy("gram").agg(
         F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("n"))), F.lit(0)).alias("ct"),
         F.coalesce(F.sum(F.when(F.col("label") == 0, F.col("n"))), F.lit(0)).alias("co")), "grams")
+
+
+def _log_ratios(top: DataFrame, order: int, discount: float) -> tuple[DataFrame, DataFrame]:
+    """``gram, r, n`` of the n-grams in ``top`` and of their histories."""
     history = F.expr("substring(gram, 1, length(gram) - 1)")
 
     # shared backoff: how many different histories a shorter n-gram follows
@@ -133,13 +174,7 @@ def _ratios(rows: DataFrame, order: int, discount: float, most: int) -> tuple[di
                     (F.col("ct") + F.col("co")).alias("n")))
     unseen = contexts.select(F.col("h").alias("gram"), F.log(free("ct") / free("co")).alias("r"),
                              (F.col("ct_all") + F.col("co_all")).alias("n"))
-    found = []
-    for table in (seen, unseen):
-        heavy = (table.filter("r != 0").orderBy(F.desc(F.abs("r") * F.col("n")), "gram").limit(most)
-                 .select("gram", F.col("r").cast("float").alias("r")).toPandas())
-        found.append(dict(zip(heavy["gram"], heavy["r"].astype(float))))
-    discard(top)
-    return found[0], found[1]
+    return seen, unseen
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
@@ -165,22 +200,29 @@ def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float
 
 
 def score(df: DataFrame, model: ToxicityModel, text_col: str = "text", out_col: str = "toxicity") -> DataFrame:
-    """``df`` with ``out_col`` (0 to 1) added or replaced; other columns never
-    leave the JVM.  NULL and empty texts get the curve's value at 0.  Every row
-    is scored from its whole text alone."""
-    return df.withColumn(out_col, _scorer(df, model)(F.col(text_col)))
+    """``df`` with ``out_col`` (0 to 1) added or replaced.  NULL and empty
+    texts get the curve's value at 0.  Every row is scored from its whole text
+    alone."""
+    return _scored(df, model, text_col, out_col)
+
 
+def _scored(df: DataFrame, model: ToxicityModel, text_col: str, out_col: str, curve: bool = True) -> DataFrame:
+    order, fitted = model.order, model.curve
 
-def _scorer(df: DataFrame, model: ToxicityModel, curve: bool = True):
-    # at most 2 * max_grams rows; plain values, so tasks need not have this module
-    shared = df.sparkSession.sparkContext.broadcast((model.ratios, model.histories, model.order, model.curve))
+    def keys(runs: set) -> set:
+        found: set = set()
+        for run in runs:
+            found.update(grams(run, order))
+        return found | {HISTORY + h for h in {g[:-1] for g in found}}
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = ToxicityModel(*shared.value)
+    def scorer(names: list, values: np.ndarray):
+        m = Scorer(dict(zip(names, values[:, 0].tolist())) if names else {}, order, fitted)
         memo = Memo(m.word)
-        for texts in batches:
+
+        def run(texts: list) -> np.ndarray:
             raw = np.array([m.evidence(t, memo) for t in texts], dtype=float)
-            yield pd.Series(m.score(raw) if curve else raw.clip(-REACH, REACH))
+            return m.score(raw) if curve else raw.clip(-REACH, REACH)
+
+        return run
 
-    return run
+    return score_blocks(df, model.table, text_col, out_col, DoubleType(), keys, scorer)
