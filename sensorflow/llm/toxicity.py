@@ -82,33 +82,35 @@ def fit(rows: DataFrame, text_col: str = "text", label_col: str = "toxic", order
         discount: float = 0.75) -> ToxicityModel:
     """Fit on ``rows`` (label 1: toxic, 0: ordinary, NULL rows are left out).
 
-    Copies of a text fall into one fold, so the curve never sees texts the
-    counts contain.  With no rows of one class every score is the curve's
+    The curve is set on one fold, scored by the counts of the others; copies
+    of a text fall into one fold.  Scores then come from the counts of every
+    row, the fold's included.  With no rows of one class every score is the curve's
     value at 0."""
     rows = materialize(rows.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"))
                        .filter("text IS NOT NULL AND label IN (0, 1)")
                        .withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(FOLDS))), "labelled")
-    model = ToxicityModel(_table(rows.filter("fold > 0"), order, discount), order)
+    counts = _counts(rows.withColumn("label", F.expr("label + IF(fold = 0, 2, 0)")), order)  # both in one pass
+    model = ToxicityModel(_table(counts.filter("ct + co > 0"), order, discount), order)
     raw = _scored(rows.filter("fold = 0").select("label", "text"), model, "text", "score", curve=False)
     bins = (raw.groupBy(F.round(F.col("score") / STEP).cast("int").alias("bin"), "label").count()
             .orderBy("bin", "label").collect())  # 2 * REACH / STEP bins at most
     model.curve = _logistic(np.array([r["bin"] * STEP for r in bins]),
                             np.array([r["label"] for r in bins]),
                             np.array([r["count"] for r in bins], dtype=float))
-    discard(rows)
+    discard(model.table)
+    model.table = _table(counts.select("gram", (F.col("ct") + F.col("ct0")).alias("ct"),
+                                       (F.col("co") + F.col("co0")).alias("co")), order, discount)
+    discard(rows, counts)
     return model
 
 
-def _table(rows: DataFrame, order: int, discount: float) -> DataFrame:
-    """``key, value`` of all n-grams and histories, written once."""
-    top = _counts(rows, order)
+def _table(top: DataFrame, order: int, discount: float) -> DataFrame:
+    """``key, value`` of all n-grams in ``top`` and their histories, written once."""
     seen, unseen = _log_ratios(top, order, discount)
     # an n-gram of ratio 0 has its row, or its history would stand in for it
     keyed = seen.select(F.col("gram").alias("key"), "r").unionByName(
         unseen.filter("r != 0").select(F.concat(F.lit(HISTORY), "gram").alias("key"), "r"))
-    out = materialize(keyed.select("key", F.array(F.col("r").cast("float")).alias("value")), "ratios")
-    discard(top)
-    return out
+    return materialize(keyed.select("key", F.array(F.col("r").cast("float")).alias("value")), "ratios")
 
 
 def _ratios(rows: DataFrame, order: int, discount: float, most: int) -> tuple[dict, dict]:
@@ -123,10 +125,12 @@ def _ratios(rows: DataFrame, order: int, discount: float, most: int) -> tuple[di
 
 
 def _counts(rows: DataFrame, order: int) -> DataFrame:
+    """``gram, ct, co``: occurrences under label 1 and 0; ``ct0, co0``: under
+    3 and 2, as ``fit`` marks the labels of the fold that sets the curve."""
     counts = count_grams(rows, "text", "label", order)
-    return materialize(counts.groupBy("gram").agg(
-        F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("n"))), F.lit(0)).alias("ct"),
-        F.coalesce(F.sum(F.when(F.col("label") == 0, F.col("n"))), F.lit(0)).alias("co")), "grams")
+    return materialize(counts.groupBy("gram").agg(*[
+        F.coalesce(F.sum(F.when(F.col("label") == label, F.col("n"))), F.lit(0)).alias(name)
+        for name, label in (("ct", 1), ("co", 0), ("ct0", 3), ("co0", 2))]), "grams")
 
 
 def _log_ratios(top: DataFrame, order: int, discount: float) -> tuple[DataFrame, DataFrame]:

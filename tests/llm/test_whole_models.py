@@ -45,3 +45,12 @@ def test_blocks_keep_columns_rows_and_scores(spark, monkeypatch):
     monkeypatch.setattr(blocks, "BLOCK_BYTES", 100)
     cut = toxicity.score(docs, model).collect()
     assert len(cut) == 200 and {r["id"]: (r["m"], r["toxicity"]) for r in cut} == whole
+
+
+def test_every_labelled_text_is_counted(spark):
+    """Each text has a word of its own; whichever fold it falls into, the word is known."""
+    words = ["nitwit", "балда", "trottel", "crétin", "idiota", "dummkopf", "fjols", "hlupák", "ostrolog", "quvzex"]
+    rows = [(f"you {w}", 1) for w in words] + [(f"a calm remark {w[::-1]}", 0) for w in words]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    known = {r["key"] for r in model.table.collect()}
+    assert {f"^{w}$"[:5] for w in words} <= known and {f"^{w[::-1]}$"[:5] for w in words} <= known
