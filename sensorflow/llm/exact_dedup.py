@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.llm.rows import number
 from sensorflow.session import discard, materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,9 +37,10 @@ def ascii_lower(text: Column) -> Column:
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                first: int = 32, growth: int = 8) -> DataFrame:
+                first: int = 32, growth: int = 8, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``id, keep_id, group_size, kept, text_sha256,
-    row``, the last being the row's ``monotonically_increasing_id``.
+    row``, the last being the number stored in ``row_col``; without one, rows
+    are numbered and written first.
 
     Texts are equal when identical after lower-casing A-Z; NULL counts as the
     empty text.  The row with the largest id of a group stays; NULL ids sort
@@ -48,14 +50,16 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns of ``df`` are ignored; an empty table gives an empty result.
     """
     text = ascii_lower(F.col(text_col)).cast("binary")
-    # A scan yields its rows in the same order when a task is repeated, so rid is stable.
-    rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"),
-                     text.alias("text"))
+    spent: list[DataFrame] = []
+    if row_col:
+        rows = df.select(F.col(row_col).alias("rid"), F.col(id_col).alias("id"), text.alias("text"))
+    else:
+        rows = number(df.select(F.col(id_col).alias("id"), text.alias("text")), "rid")
+        spent.append(rows)
     rows = rows.select("rid", "id", F.octet_length("text").alias("n"),
                        F.substring("text", 1, first).alias("digit"),
                        F.substring("text", first + 1, REST).alias("rest"),
                        F.sha2("text", 256).alias("sha"))
-    spent: list[DataFrame] = []
     level = materialize(_split(rows, ["n", "digit"], first, spent), "radix")
     levels, at, width = [level], first, first * growth
     while level.filter("not done").limit(1).count():

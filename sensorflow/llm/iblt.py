@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorflow.llm.rows import number
 from sensorflow.session import discard, materialize
 
 WIDTH = 4            # cells in each of the four rows of a sketch
@@ -167,7 +168,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     share of paragraphs two versions have in common, from peeled sketches.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text.alias("text"))
+    base = number(df.select(F.col(id_col).alias("id"), text.alias("text")), "row")
     order = materialize(neighbours(base.select("row", "id", F.char_length("text").cast("long").alias("n"))), "order")
     # One shuffle of the texts serves both sides of the second join.
     dealt = base.join(order, "row").withColumn("n", F.char_length("text").cast("long"))
@@ -181,7 +182,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
             .select("*", F.expr(fingerprint("a")).alias("fp"), F.expr(fingerprint("e")).alias("fe"),
                     *[F.size(c).alias(n) for c, n in (("a", "na"), ("e", "ne"), ("next_digests", "nn"))]))
     found = differences(both, "row", {"edit": ("a", "e"), "next": ("a", "next_digests")})
-    discard(order)
+    discard(order, base)
     return found.select(
         F.col("id").alias(id_col), F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"),
         F.col("fp").alias("fingerprint"), F.col("fe").alias("edited_fingerprint"),

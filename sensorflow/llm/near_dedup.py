@@ -35,6 +35,7 @@ from xxhash import xxh64_intdigest
 
 from sensorflow.llm.chargrams import Memo
 from sensorflow.llm.components import components
+from sensorflow.llm.rows import number
 from sensorflow.session import discard, materialize
 
 PLACES = 1 << 20
@@ -102,20 +103,22 @@ def _hashes(words: list[bytes], memo: Memo) -> np.ndarray:
 
 
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
-               percent: int = 80, rows: int = 6, bands: int = 50) -> DataFrame:
+               percent: int = 80, rows: int = 6, bands: int = 50, row_col: str | None = None) -> DataFrame:
     """One row per input row: ``id, n_shingles, component_id, kept, group, row``.
 
     Texts are linked when ``100 * |A & B| >= percent * |A | B|`` for their sets
     of ``shingle``-word shingles.  ``component_id`` is the smallest id that
     links lead to.  NULL or empty texts and texts without words have an empty
     set, link with nothing and stay.  ``kept``: the row has its component's
-    smallest id (several rows may, where ids repeat).  ``row`` is the row's
-    ``monotonically_increasing_id``, ``group`` the smallest such number of a
-    class in the component.  ``df`` must give the same rows in the same order
-    when read again, as a table does; other columns are ignored.
+    smallest id (several rows may, where ids repeat).  ``row`` is the
+    number stored in ``row_col`` (without one, rows are numbered and written
+    first), ``group`` the smallest such number of a class in the component.
+    Other columns are ignored.
     """
-    base = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                     F.col(text_col).alias("text"))
+    base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                     *[F.col(c).alias("row") for c in (row_col,) if c])
+    numbered = [] if row_col else [number(base, "row")]
+    base = numbered[0] if numbered else base
     signed = materialize(_sign(base, shingle, rows, bands), "signed")
     members = signed.select("row", "id", "n", "word_key").filter("n > 0")
     groups = materialize(members.groupBy("word_key").agg(
@@ -140,7 +143,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     label = components(links)
     groups_of = classes.join(label, F.col("cls") == F.col("node"), "left").drop("node")
     more = _strays(buckets, label, sets, percent)
-    spent = [signed, groups, of_class, buckets, sets, links, label]
+    spent = numbered + [signed, groups, of_class, buckets, sets, links, label]
     if more is not None:
         # links between labels, then labels of labels
         own = label.selectExpr("node AS x", "label AS l")
