@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm import language_id, token_counts, toxicity
 from sensorflow.llm.exact_dedup import exact_dedup
+from sensorflow.llm.filter_audit import audit
 from sensorflow.llm.iblt import edited_fingerprints
 from sensorflow.llm.license_scan import scan_licenses
 from sensorflow.llm.license_texts import TEMPLATES
@@ -110,6 +111,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -121,6 +126,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE = {
@@ -134,4 +140,41 @@ ORACLE = {
                doc_id = max(doc_id) OVER (PARTITION BY x) AS kept,
                sha256(x) AS text_sha256
         FROM t""",
+    "op11_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part FROM documents),
+        w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+        l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS bad FROM labels GROUP BY doc_id),
+        f AS (
+            SELECT part, (len(ws) < 200)::INT AS a, (100 * len(list_distinct(ws)) < 50 * len(ws))::INT AS b,
+                   (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT AS c,
+                   regexp_matches(t, '[#$%&*|]')::INT AS d,
+                   coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS e,
+                   coalesce(good, 0) AS good, coalesce(bad, 0) AS bad
+            FROM w LEFT JOIN l USING (doc_id)),
+        g AS (SELECT part, a, b, c, d, e, good, bad, count(*) AS n FROM f GROUP BY ALL),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS q),
+        o AS (SELECT p.q || r.q || s.q || t.q || u.q AS filter_order FROM x p, x r, x s, x t, x u
+              WHERE len(list_distinct([p.q, r.q, s.q, t.q, u.q])) = 5),
+        z AS (
+            SELECT g.*, filter_order, least(
+                CASE a WHEN 1 THEN instr(filter_order, 'A') ELSE 6 END, CASE b WHEN 1 THEN instr(filter_order, 'B') ELSE 6 END,
+                CASE c WHEN 1 THEN instr(filter_order, 'C') ELSE 6 END, CASE d WHEN 1 THEN instr(filter_order, 'D') ELSE 6 END,
+                CASE e WHEN 1 THEN instr(filter_order, 'E') ELSE 6 END) AS gone
+            FROM g, o),
+        y AS (
+            SELECT z.*, step, substr(filter_order, step, 1) AS letter,
+                   CASE substr(filter_order, step, 1) WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails
+            FROM z, (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)),
+        r AS (
+            SELECT part, filter_order, step, letter,
+                   sum(CASE WHEN gone > step THEN n ELSE 0 END)::BIGINT AS kept,
+                   sum(CASE WHEN gone = step THEN n ELSE 0 END)::BIGINT AS removed,
+                   sum(CASE WHEN fails = 1 AND gone < step THEN n ELSE 0 END)::BIGINT AS redundant,
+                   sum(CASE WHEN fails = 1 AND a + b + c + d + e = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                   sum(CASE WHEN gone = step AND good = 1 THEN n ELSE 0 END)::BIGINT AS good_lost,
+                   sum(CASE WHEN gone = step AND bad = 1 THEN n ELSE 0 END)::BIGINT AS toxic_lost
+            FROM y GROUP BY ALL)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+        FROM r""",
 }
