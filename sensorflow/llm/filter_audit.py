@@ -44,8 +44,8 @@ def text_conditions(text: Column) -> dict[str, Column]:
 
 def failed_masks(docs: DataFrame, conditions: dict[str, Column], part: Column, copies: str | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, part, mask, n``: rows of ``docs`` by id, part and the filters they
-    fail (bit ``i`` for the ``i``-th condition).  With ``copies`` a last filter
+    """``id, part, mask, same, n``: rows of ``docs`` by id, part, the filters they
+    fail (bit ``i`` for the ``i``-th condition) and digest of the text.  With ``copies`` a last filter
     of that name: the text is the same as that of a row with a smaller id,
     wherever it is; rows without an id are never copies.
 
@@ -58,21 +58,21 @@ def failed_masks(docs: DataFrame, conditions: dict[str, Column], part: Column, c
     rows = docs.select(F.col(id_col).alias("id"), part.alias("part"), mask.alias("mask"), same.alias("same"))
     rows = rows.groupBy("id", "part", "mask", "same").agg(F.count(F.lit(1)).alias("n"))
     if copies is None:
-        return rows.drop("same")
+        return rows
     rows = materialize(rows, "masks")
     first = rows.groupBy("same").agg(F.min("id").alias("id")).withColumn("first", F.lit(True))
     # joined on the id as well: the rows of a large group of copies stay spread
     copy = F.when(F.col("first").isNull() & F.col("id").isNotNull(), 1 << len(conditions)).otherwise(0)
     return rows.join(first.hint("merge"), ["same", "id"], "left").select(
-        "id", "part", (F.col("mask") + copy).alias("mask"), "n")
+        "id", "part", (F.col("mask") + copy).alias("mask"), "same", "n")
 
 
 def coalition_values(masks: DataFrame, k: int, losses: DataFrame | None = None) -> DataFrame:
-    """One row per part: ``total`` and the arrays ``removed`` and one per
+    """One row per part of ``failed_masks``: ``total`` and the arrays ``removed`` and one per
     column of ``losses``, indexed by coalition.  ``losses`` has ``id`` and
     boolean columns; an id in several rows counts where any of them is true."""
     names = [c for c in losses.columns if c != "id"] if losses is not None else []
-    salt = F.when(F.col("id").isNull(), 1 + F.pmod(F.xxhash64("part", "mask", "n"), F.lit(SALTS))).otherwise(0)
+    salt = F.when(F.col("id").isNull(), 1 + F.pmod(F.xxhash64("same"), F.lit(SALTS))).otherwise(0)
     if losses is not None:
         flags = losses.groupBy("id").agg(*[F.max(F.col(c)).alias(c) for c in names]).withColumn("salt", F.lit(0).cast("long"))
         masks = masks.withColumn("salt", salt.cast("long")).join(flags.hint("merge"), ["id", "salt"], "left")
