@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.llm import language_id, token_counts, toxicity
+from sensorflow.llm.alignment import align
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.filter_audit import audit
 from sensorflow.llm.iblt import edited_fingerprints
@@ -115,6 +116,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -127,6 +133,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
     "op11_filter_audit": op11_filter_audit,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE = {
