@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import language_id, token_counts, toxicity
+from sensorflow.llm import brown, language_id, token_counts, toxicity
 from sensorflow.llm.alignment import align
 from sensorflow.llm.exact_dedup import exact_dedup
 from sensorflow.llm.filter_audit import audit
@@ -17,6 +17,7 @@ from sensorflow.llm.near_dedup import near_dedup
 from sensorflow.llm.packing import pack_documents
 from sensorflow.llm.piece_codec import encode_decode
 from sensorflow.llm.sharding import interleave
+from sensorflow.session import discard
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +117,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op12_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the texts that are not held out; one without an id is not."""
+    blocks = brown.encode(documents(spark, sf_dir), remainder(7) != 2)
+    model = brown.fit(blocks)
+    scored = brown.score(blocks, model)
+    discard(blocks, model.words)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score", "perplexity")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
                  public_tokenizers.path("piece_bpe_32k.model"))
@@ -133,6 +144,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_sharding": op10_sharding,
     "op11_filter_audit": op11_filter_audit,
+    "op12_brown_score": op12_brown_score,
     "op13_alignment": op13_alignment,
 }
 
