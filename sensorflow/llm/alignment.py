@@ -14,6 +14,7 @@ joined with that table; counts go back to the block by number.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from hashlib import sha256
@@ -21,6 +22,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -35,12 +37,18 @@ BLOCK_BYTES = 4 << 20
 CHUNK = 1 << 18  # characters given to a tokenizer at a time, up to the next lone space
 LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 MARK = "▁"
+# Characters that any version of the Unicode tables puts in the same class.
+PLAIN = re.compile("[\t\n\r\x20-\x7e\u00a1-\u00ac\u00ae-\u017f\u2010-\u2027]*")
 
 
 class Tokens:
-    """Both vocabularies: ids of a text, bytes and byte lengths of ids."""
+    """Both vocabularies: ids of a text, bytes and byte lengths of ids.
 
-    def __init__(self, path_a: str, path_b: str):
+    With the ``pattern`` by which A splits texts, A's merges are run as ranks by
+    a faster library where the text is ``PLAIN``; the file must list its
+    merges in the order of their ids."""
+
+    def __init__(self, path_a: str, path_b: str, pattern: str | None = None):
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
@@ -49,21 +57,36 @@ class Tokens:
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for entry, i in vocabulary.items():
             self.bytes_a[i] = bytes(letter[c] for c in entry) if all(c in letter for c in entry) else entry.encode()
+        self.ranked = self._ranked(pattern) if pattern else None
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in enumerate(pieces)]
         # a cut at a lone space changes no ids only if no piece spans one
         self.cuttable = not any(MARK in p.lstrip(MARK) for i, p in enumerate(pieces) if not self.b.is_byte(i))
 
+    def _ranked(self, pattern: str) -> tiktoken.Encoding | None:
+        model = json.loads(self.a.to_str())["model"]
+        special = self.a.get_added_tokens_decoder()
+        ranks = {self.bytes_a[i]: i for i in model["vocab"].values() if i not in special}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if any(model["vocab"][x + y] != 256 + k for k, (x, y) in enumerate(merges)) or len(ranks) != 256 + len(merges):
+            return None
+        return tiktoken.Encoding("ranked", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def ids_a(self, text: str) -> list[int]:
+        if self.ranked and PLAIN.fullmatch(text):
+            return self.ranked.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
     def ids(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of a space and the text by A, and of the text by B, which adds the space."""
         if len(text) <= CHUNK or not self.cuttable:
-            return self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+            return self.ids_a(" " + text), self.b.encode(text)
         a, b, at = [], [], 0
         while at < len(text):
             cut = LONE_SPACE.search(text, at + CHUNK)
             end = cut.start() if cut else len(text)
-            a += self.a.encode(" " + text[at:end], add_special_tokens=False).ids
+            a += self.ids_a(" " + text[at:end])
             b += self.b.encode(text[at:end])
             at = end + 1  # the space at the cut begins the next part on both sides
         return a, b
@@ -153,7 +176,8 @@ def group_texts(size_a: int, size_b: int) -> list[bytes]:
             for i in range(size)]
 
 
-def aligned_blocks(df: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str, keep: bool) -> DataFrame:
+def aligned_blocks(df: DataFrame, path_a: str, path_b: str, pattern: str | None, id_col: str, text_col: str,
+                   keep: bool) -> DataFrame:
     kind = StructType([StructField(id_col, df.schema[id_col].dataType)])
     fields = "n_a long, n_b long, n_groups long, n_links long, cells long, groups_sha256 string, groups string"
     docs = f"array<struct<{kind.simpleString()[7:-1]},{fields.replace(' ', ':').replace(',:', ',')}>>"
@@ -161,7 +185,7 @@ def aligned_blocks(df: DataFrame, path_a: str, path_b: str, id_col: str, text_co
     id_type = to_arrow_type(df.schema[id_col].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(path_a, path_b)
+        tokens = Tokens(path_a, path_b, pattern)
         size_a, size_b = len(tokens.bytes_a), len(tokens.bytes_b)
         text_of = group_texts(size_a, size_b).__getitem__
 
@@ -191,13 +215,13 @@ def aligned_blocks(df: DataFrame, path_a: str, path_b: str, id_col: str, text_co
     return rows.mapInArrow(run, schema)
 
 
-def align(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text",
-          keep: bool = False) -> DataFrame:
+def align(df: DataFrame, path_a: str, path_b: str, pattern: str | None = None, id_col: str = "doc_id",
+          text_col: str = "text", keep: bool = False) -> DataFrame:
     """One row per row of ``df``: ``id_col, n_a, n_b, n_groups, n_links, n_best,
     count_sum, groups_sha256`` and, if ``keep``, ``groups``.
 
-    A (a byte-level vocabulary in JSON) encodes a space and the text, B (a
-    piece vocabulary) the text.  ``groups`` lists the groups' ids as
+    A (a byte-level vocabulary in JSON, which splits texts by ``pattern``) encodes
+    a space and the text, B (a piece vocabulary) the text.  ``groups`` lists the groups' ids as
     ``a1,a2|b1;a3|b2,b3``.  An id pair counts its links in all of ``df``;
     ``count_sum`` adds that up over a row's links, ``n_best`` counts the links
     whose pair is linked as often as any with the same B id.
@@ -207,7 +231,7 @@ def align(df: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_
     groups and digest.  Rows are counted as often as they occur; ids may be
     NULL or repeated.  Very long texts are tokenized in parts cut at lone
     spaces, which changes no id.  An empty table gives an empty result."""
-    blocks = materialize(aligned_blocks(df, path_a, path_b, id_col, text_col, keep), "aligned")
+    blocks = materialize(aligned_blocks(df, path_a, path_b, pattern, id_col, text_col, keep), "aligned")
     asked = blocks.select(F.col("block").alias("of"), F.posexplode(F.arrays_zip("pairs", "counts")).alias("number", "p"))
     pairs = asked.groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.counts").alias("n"))
     pairs = materialize(pairs.withColumn("b", F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))), "pairs")

@@ -129,7 +129,7 @@ def op12_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
-                 public_tokenizers.path("piece_bpe_32k.model"))
+                 public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
 QUERIES = {

@@ -6,7 +6,7 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from public_tokenizers import PATTERN
 
 from sensorflow.llm import queries
 from sensorflow.llm.alignment import Tokens, align, lockstep
@@ -81,7 +81,7 @@ def test_odd_texts_repeated_rows_and_clashing_names(spark, paths):
     rng = random.Random(5)
     odd = ODD + ["".join(rng.choice("ab é\n.1▁<>") for _ in range(rng.randrange(40))) for _ in range(60)]
     rows = [(i if i % 7 else None, t, "a", 1, "b") for i, t in enumerate(odd)] + [(3, "a", "a", 1, "b")] * 2
-    got = align(spark.createDataFrame(rows, DOCS).repartition(3), *paths, keep=True).collect()
+    got = align(spark.createDataFrame(rows, DOCS).repartition(3), *paths, pattern=PATTERN, keep=True).collect()
     want = plain([r[1] for r in rows], paths)
     key = [(r[0], *w) for r, w in zip(rows, want)]
     assert sorted(map(repr, key)) == sorted(repr((r["doc_id"], *(r[c] for c in COLUMNS), r["groups"])) for r in got)
@@ -93,7 +93,8 @@ def test_empty_table(spark, paths):
 
 
 def test_long_texts_in_parts(paths):
-    tokens = Tokens(*paths)
+    tokens = Tokens(*paths, PATTERN)
+    assert tokens.ranked
     rng = random.Random(8)
     text = "".join(rng.choice(["word", " ", "  ", "é", ".\n", " the", "\t", "x"]) for _ in range(200_000))
     assert len(text) > 1 << 18
@@ -102,6 +103,15 @@ def test_long_texts_in_parts(paths):
     assert b == tokens.b.encode(text)
 
 
+def test_both_libraries_give_the_same_ids_of_plain_texts(paths):
+    tokens, rng = Tokens(*paths, PATTERN), random.Random(12)
+    marks = [chr(c) for c in [9, 10, 13, *range(32, 127), *range(0xa1, 0xad), *range(0xae, 0x180), *range(0x2010, 0x2028)]]
+    words = ["don't", "we'll", "THE", " the", "1234", "ß", "naïve", "<|endoftext|>", "   ", "\n\n", "…", "!!", "x" * 40]
+    for _ in range(3000):
+        text = "".join(rng.choice(words) if rng.random() < 0.5 else rng.choice(marks) for _ in range(rng.randrange(40)))
+        assert tokens.ids_a(text) == tokens.a.encode(text, add_special_tokens=False).ids
+
+
 def test_lockstep_emits_each_overlap_once():
     rng = np.random.default_rng(3)
     ends, firsts, stops, base = ([], []), ([], []), ([], []), 0
