@@ -6,7 +6,8 @@ parquet partitioned by columns that are functions of the key (a hash bucket
 that is part of the key).  An upsert rewrites only the partitions the batch
 touches:
 
-1. the distinct values of each partition column prune the scan of the table;
+1. the distinct values of each partition column, NULL among them, prune the
+   scan of the table (the driver holds these values: days times buckets);
 2. old rows of touched partitions are joined once with the batch's keys; those
    without a hit stay, the others are counted as updates;
 3. stay and batch are written with dynamic partition overwrite in the same job:
@@ -15,24 +16,40 @@ touches:
    retried task still reads the old data.
 
 The batch must be unique on the key; a key that occurs twice fails the job
-before anything is committed, as the database statement would.  Counts are
-taken against the table as it is, so a replayed batch reports updates.  The
-swap at job commit moves one folder after the other: a driver that dies in it
-leaves some partitions old and some new, and the replay completes them.  With
-readers or writers at the same time use the database sink (``sources.jdbc``).
+before anything is committed, as the database statement would.  The swap at job
+commit moves one folder after the other: a driver that dies in it leaves some
+partitions old and some new, and the replay completes them.  With readers or
+writers at the same time use the database sink (``sources.jdbc``).
+
+*Order.*  With ``order`` (columns of the message order, stored with the row) a
+row replaces a stored one only if it is not older, so batches may arrive in any
+order; older rows are counted as ``stale``.
+
+*Changes.*  With ``changes_path`` the merge of a batch is first decided and
+written there, one folder a batch: for every row of the batch its ``op``
+(``insert``, ``update``, ``same``: equal in every column, ``stale``) with the old
+and the new image.  The table is then brought up to that record.  A replayed
+batch finds the record and does not decide again, so its counts and changes are
+those of the first time, wherever the driver had died.  Without it counts are
+taken against the table as it is, and a replayed batch reports updates.
 """
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from sensorflow.operators.joins import fits_broadcast
 from sensorflow.operators.upsert import upsert, upsert_counts
 from sensorflow.schemas import TableSpec
 
+CHANGED = ("insert", "update")
+
 
 class KeyedTable:
     """``partition_by`` (name to column) or ``buckets`` fixes the layout; one
@@ -41,7 +58,8 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, path: str, key: list[str] | str,
                  partition_by: dict[str, Column] | None = None, buckets: int | None = None,
-                 spec: TableSpec | None = None):
+                 spec: TableSpec | None = None, order: list[str] | None = None,
+                 changes_path: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = [key] if isinstance(key, str) else list(key)
@@ -52,27 +70,46 @@ class KeyedTable:
         self.partition_by = partition_by
         self.partition_cols = list(partition_by)
         self.spec = spec
+        self.order = list(order or [])
+        self.changes_path = changes_path.rstrip("/") if changes_path else None
+        self.stale = 0  # rows of the last upsert that were older than the stored ones
+        self._schema: T.StructType | None = None
 
     # -- reading ---------------------------------------------------------
     def _raw(self) -> DataFrame | None:
+        """The stored rows with their partition columns.  The schema is read
+        from the files once; later reads give it."""
+        reader = self.spark.read if self._schema is None else self.spark.read.schema(self._schema)
         try:
-            return self.spark.read.parquet(self.path)
+            df = reader.parquet(self.path)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise  # an unreadable table is not an empty one
             return None
+        if self._schema is None:
+            names = [c for c in df.columns if c not in self.partition_cols]
+            typed = self.spark.createDataFrame([], df.select(*names).schema).withColumns(self.partition_by).schema
+            self._schema = T.StructType([f if f.name in names else T.StructField(f.name, f.dataType) for f in typed])
+            df = self.spark.read.schema(self._schema).parquet(self.path)  # a folder's name does not tell NULL's type
+        return df
 
     def exists(self) -> bool:
         return self.spec is not None or self._raw() is not None
 
-    def read(self, with_partition_cols: bool = False) -> DataFrame:
-        """The table as it is now: files are listed at each call."""
+    def read(self, with_partition_cols: bool = False, with_order: bool = False) -> DataFrame:
+        """The table as it is now: files are listed at each call.  Order
+        columns that are not the table's own are left out unless asked for."""
         df = self._raw()
         if df is None:
             if self.spec is None:
                 raise FileNotFoundError(f"keyed table {self.path} has no data yet")
             return self.spec.empty(self.spark)
-        return df if with_partition_cols else df.drop(*self.partition_cols)
+        hidden = [] if with_order else self._order_only()
+        return df.drop(*hidden) if with_partition_cols else df.drop(*hidden, *self.partition_cols)
+
+    def _order_only(self) -> list[str]:
+        own = self.spec.column_names if self.spec is not None else []
+        return [c for c in self.order if c not in own and c.startswith("_")]
 
     # -- writing ---------------------------------------------------------
     def _once(self, source: DataFrame) -> DataFrame:
@@ -86,40 +123,173 @@ class KeyedTable:
         return rows.withColumn(first, F.when(F.col("__n") > 1, twice.cast(source.schema[first].dataType))
                                .otherwise(F.col(first))).select(*source.columns)
 
+    def _touched(self, rows: DataFrame) -> tuple[int, dict]:
+        """Number of rows, and for each partition column its values and whether NULL is one."""
+        found = rows.agg(F.count(F.lit(1)).alias("n"), *[F.collect_set(c).alias(f"v{i}") for i, c in enumerate(self.partition_cols)],
+                         *[F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(self.partition_cols)]).first()
+        return found["n"], {c: (sorted(found[f"v{i}"]), found[f"null{i}"] > 0) for i, c in enumerate(self.partition_cols)}
+
+    def _pruned(self, old: DataFrame, touched: dict, rows: DataFrame) -> DataFrame:
+        """Old rows of the partitions that ``rows`` are in."""
+        for c, (values, null) in touched.items():
+            hit = F.col(c).isin(values) if values else F.lit(False)
+            old = old.filter(hit | F.col(c).isNull() if null else hit)
+        # the values' product may hold other partitions
+        here = rows.select(*[F.col(c).alias(f"__here_{c}") for c in self.partition_cols]).distinct()
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__here_{c}")) for c in self.partition_cols])
+        return old.join(here, same, "left_semi")
+
+    def _write(self, rows: DataFrame) -> None:
+        # rebalance: rows of a partition meet in few files, and AQE splits a large partition over tasks
+        (rows.hint("rebalance", *self.partition_cols)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*self.partition_cols).parquet(self.path))
+
     def upsert(self, source: DataFrame, source_rows: int | None = None,
                batch_id: int | None = None) -> tuple[int, int]:
-        """Upsert ``source``; returns ``(inserts, updates)``.  ``source_rows``
-        and ``batch_id`` are taken for a common interface of sinks."""
+        """Upsert ``source``; returns ``(inserts, updates)``, and leaves the
+        number of older rows in ``stale``.  ``source_rows``, a known bound of the
+        batch's rows, lets its keys be broadcast; ``batch_id`` names the
+        batch in the record of changes."""
         if self.spec is not None:
-            source = source.select(*[F.col(c).cast(t) for c, t in self.spec.columns])
+            more = [c for c in self.order if c not in self.spec.column_names]
+            source = source.select(*[F.col(c).cast(t) for c, t in self.spec.columns], *more)
+        if self.changes_path:
+            return self._recorded(source, source_rows, batch_id)
         src = self._once(source).withColumns(self.partition_by)
-        touched = source.withColumns(self.partition_by).agg(
-            *[F.collect_set(c).alias(c) for c in self.partition_cols]).first()
-        if not any(touched):
+        n, touched = self._touched(source.withColumns(self.partition_by))
+        self.stale = 0
+        if not n:
             return 0, 0
         old = self._raw()
         if old is None:
-            merged = src.withColumn("__old", F.lit(False)).withColumn("__hit", F.lit(False))
+            merged = src.withColumns({"__new": F.lit(True), "__hit": F.lit(False), "__out": F.lit(False), "__stale": F.lit(False)})
+        elif self.order:
+            merged = self._newer(self._pruned(old, touched, src), src)
         else:
-            pruned = old
-            for c in self.partition_cols:
-                pruned = pruned.filter(F.col(c).isin(sorted(touched[c])))
-            keys = src.select(*self.key, *self.partition_cols, F.lit(True).alias("__hit"))
-            here = keys.select(*self.partition_cols).distinct()  # the values' product may hold other partitions
-            stay = (pruned.join(here, self.partition_cols, "left_semi")
-                    .join(keys.drop(*self.partition_cols), self.key, "left")
-                    .withColumn("__hit", F.coalesce("__hit", F.lit(False))).withColumn("__old", F.lit(True)))
-            src = src.select(*old.columns).withColumn("__hit", F.lit(False)).withColumn("__old", F.lit(False))
+            keys = src.select(*self.key, F.lit(True).alias("__hit"))
+            stay = (self._pruned(old, touched, src).join(keys, self.key, "left")
+                    .withColumn("__hit", F.coalesce("__hit", F.lit(False)))
+                    .withColumns({"__new": F.lit(False), "__out": F.col("__hit"), "__stale": F.lit(False)}))
+            src = src.select(*old.columns).withColumns(
+                {"__new": F.lit(True), "__hit": F.lit(False), "__out": F.lit(False), "__stale": F.lit(False)})
             merged = stay.select(*src.columns).unionByName(src)
         obs = Observation(f"keyed_upsert_{uuid.uuid4().hex}")
-        counted = merged.observe(obs, F.count_if(~F.col("__old")).alias("n"), F.count_if(F.col("__hit")).alias("u"))
-        # rebalance: rows of a partition meet in few files, and AQE splits a large partition over tasks
-        (counted.filter(~F.col("__hit")).drop("__hit", "__old").hint("rebalance", *self.partition_cols)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*self.partition_cols).parquet(self.path))
-        updates = int(obs.get["u"])
+        counted = merged.observe(obs, F.count_if("__new").alias("n"), F.count_if("__hit").alias("u"),
+                                 F.count_if("__stale").alias("s"))
+        self._write(counted.filter(~F.col("__out")).drop("__new", "__hit", "__out", "__stale"))
+        updates, self.stale = int(obs.get["u"]), int(obs.get["s"])
         return int(obs.get["n"]) - updates, updates
 
+    def _newer(self, old: DataFrame, src: DataFrame) -> DataFrame:
+        """Old rows and batch merged on the key, the newer one of two.  A row
+        of equal order is the same message again and replaces."""
+        both = (old.select(*self.key, F.struct(*old.columns).alias("__o"))
+                .join(src.select(*self.key, F.struct(*old.columns).alias("__s")), self.key, "full_outer"))
+        has_old, has_new = F.col("__o").isNotNull(), F.col("__s").isNotNull()
+        wins = has_new & (~has_old | self._not_older(F.col("__s"), F.col("__o")))
+        row = F.when(wins, F.col("__s")).otherwise(F.col("__o"))
+        return both.select(row.alias("__r"), wins.alias("__new"), (wins & has_old).alias("__hit"), F.lit(False).alias("__out"),
+                           (has_new & ~wins).alias("__stale")).select("__r.*", "__new", "__hit", "__out", "__stale")
+
+    def _not_older(self, new: Column, old: Column) -> Column:
+        def order(row: Column) -> Column:
+            return F.struct(*[row[c] for c in self.order])
+        return order(new) >= order(old)
+
+    # -- changes ---------------------------------------------------------
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.changes_path}/batch_id={batch_id}"
+
+    def _is_recorded(self, batch_id: int) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(batch_id)}/_SUCCESS")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def _batches(self) -> list[int]:
+        """Numbers of the recorded batches, from the names of their folders."""
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.changes_path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        return sorted(b for b in (int(n.split("=")[1]) for n in names if n.startswith("batch_id=")) if self._is_recorded(b))
+
+    def _decide(self, source: DataFrame, source_rows: int | None, batch_id: int) -> None:
+        """Writes what the batch does to every key it holds, against the table as it is."""
+        src = self._once(source).withColumns(self.partition_by)
+        n, touched = self._touched(source.withColumns(self.partition_by))
+        old = self._raw() if n else None
+        new = F.struct(*source.columns)
+        if old is None:
+            decided = src.select(*self.partition_cols, F.lit("insert").alias("op"),
+                                 F.lit(None).cast(src.select(new.alias("s")).schema["s"].dataType).alias("old"), new.alias("new"))
+        else:
+            keys = src.select(*self.key)
+            if fits_broadcast(source, self.key, source_rows):
+                keys = F.broadcast(keys)
+            hits = self._pruned(old, touched, src).join(keys, self.key, "left_semi").select(
+                *self.key, F.struct(*source.columns).alias("old"))
+            both = src.select(*self.key, *self.partition_cols, new.alias("new")).join(hits, self.key, "left")
+            older = ~self._not_older(F.col("new"), F.col("old")) if self.order else F.lit(False)
+            op = (F.when(F.col("old").isNull(), "insert").when(older, "stale")
+                  .when(F.col("old").eqNullSafe(F.col("new")), "same").otherwise("update"))
+            decided = both.select(*self.partition_cols, op.alias("op"), "old", "new")
+        decided.write.mode("overwrite").parquet(self._folder(batch_id))
+
+    def _recorded(self, source: DataFrame, source_rows: int | None, batch_id: int | None) -> tuple[int, int]:
+        batches = self._batches()
+        if batch_id is None:
+            batch_id = batches[-1] + 1 if batches else 0
+        if batch_id not in batches:
+            self._decide(source, source_rows, batch_id)
+        decided = self.spark.read.parquet(self._folder(batch_id))
+        counts = {r["op"]: r["count"] for r in decided.groupBy("op").count().collect()}
+        if not batches or batch_id >= batches[-1]:  # earlier ones were applied before later ones were decided
+            wins = decided.filter(F.col("op").isin(*CHANGED))
+            n, touched = self._touched(wins)
+            if n:
+                new = wins.select("new.*", *self.partition_cols)
+                old = self._raw()
+                if old is not None:
+                    keys = new.select(*self.key)
+                    keys = F.broadcast(keys) if fits_broadcast(new, self.key, n) else keys
+                    new = self._pruned(old, touched, wins).join(keys, self.key, "left_anti").unionByName(new.select(*old.columns))
+                self._write(new)
+        self.stale = counts.get("stale", 0)
+        return counts.get("insert", 0), counts.get("update", 0) + counts.get("same", 0)
+
+    def changes(self, batch_id: int | None = None) -> DataFrame:
+        """``batch_id, op, old, new`` of each row that a batch (or every one)
+        inserted or replaced by a different one."""
+        batches = self._batches() if batch_id is None else [batch_id]
+        if not batches:
+            raise FileNotFoundError(f"no batch is recorded in {self.changes_path}")
+        df = self.spark.read.option("basePath", self.changes_path).parquet(*map(self._folder, batches))
+        hidden = self._order_only()
+        return df.filter(F.col("op").isin(*CHANGED)).select(
+            F.col("batch_id").cast("bigint").alias("batch_id"), "op",
+            *[(F.col(c).dropFields(*hidden) if hidden else F.col(c)).alias(c) for c in ("old", "new")])
+
+    def delete(self, keys: DataFrame, keys_rows: int | None = None) -> int:
+        """Removes the rows whose key is in ``keys``; returns their number.
+        Partitions that are left empty go with their folder."""
+        old = self._raw()
+        if old is None:
+            return 0
+        gone = keys.select(*self.key).distinct()
+        gone = F.broadcast(gone) if fits_broadcast(gone, self.key, keys_rows) else gone
+        hits = old.join(gone, self.key, "left_semi")
+        n, touched = self._touched(hits)
+        if not n:
+            return 0
+        stay = self._pruned(old, touched, hits).join(gone, self.key, "left_anti")
+        emptied = hits.select(*self.partition_cols).distinct().exceptAll(
+            stay.select(*self.partition_cols).distinct()).collect()  # partitions, not rows
+        self._write(stay)
+        for row in emptied:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *(
+                f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in self.partition_cols)]))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return n
+
 
 class VersionedTable:
     """Snapshot-per-batch keyed table: replay-exact counts, atomic reads.
@@ -142,7 +312,9 @@ class VersionedTable:
         try:
             return (self.spark.read.option("recursiveFileLookup", "true").schema("version bigint")
                     .json(f"{self.path}/_commits"))
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def latest_version(self, below: int | None = None) -> int | None:
