@@ -234,15 +234,24 @@ class KeyedTable:
             decided = both.select(*self.partition_cols, op.alias("op"), "old", "new")
         decided.write.mode("overwrite").parquet(self._folder(batch_id))
 
+    def recorded(self, batch_id: int) -> bool:
+        """Whether the batch has been decided, here or before a restart."""
+        return self.changes_path is not None and self._is_recorded(batch_id)
+
     def _recorded(self, source: DataFrame, source_rows: int | None, batch_id: int | None) -> tuple[int, int]:
-        batches = self._batches()
         if batch_id is None:
+            batches = self._batches()
             batch_id = batches[-1] + 1 if batches else 0
-        if batch_id not in batches:
+        if not self._is_recorded(batch_id):
             self._decide(source, source_rows, batch_id)
+        return self.replay(batch_id)
+
+    def replay(self, batch_id: int) -> tuple[int, int]:
+        """Brings the table up to the record of a batch; its counts."""
+        batches = self._batches()
         decided = self.spark.read.parquet(self._folder(batch_id))
         counts = {r["op"]: r["count"] for r in decided.groupBy("op").count().collect()}
-        if not batches or batch_id >= batches[-1]:  # earlier ones were applied before later ones were decided
+        if batch_id >= batches[-1]:  # earlier ones were applied before later ones were decided
             wins = decided.filter(F.col("op").isin(*CHANGED))
             n, touched = self._touched(wins)
             if n:

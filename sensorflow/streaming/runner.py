@@ -6,9 +6,13 @@ micro-batch inside ``foreachBatch`` on a batch persisted once.
 
 * H1 append output mode, H3 required checkpoint, H4 default trigger or
   ``availableNow`` for backfills/tests, H5 ``earliest`` offsets by default.
-* H2/H8 each batch writes a metrics row ``(batch_id, rows, inserts, updates,
-  quarantined, rejected, end_seen, ended)``; metrics, quarantine and table writes are keyed by
+* H2/H8 each batch writes a metrics row ``(batch_id, rows, inserts, updates, stale,
+  quarantined, released, rejected, end_seen, ended)``; metrics, quarantine and table writes are keyed by
   ``batch_id`` so a replayed batch overwrites instead of duplicating.
+* With a table that has an order, the message order is stored with each row and
+  an older message never replaces a newer one (``stale``).
+* ``views`` follow the changes of the table; ``store`` holds rows whose parents are
+  missing, and each batch takes back those whose parents have come (``released``).
 * H6 every topic partition ends with a record ``{"end": true}``.  The sink
   collects the partitions that have ended, over batches and restarts; only
   when ``partitions`` of them have does the caller stop the query, after that
@@ -40,9 +44,11 @@ from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
 from sensorflow.sources.envelope import decode_value, kafka_stream_source
 from sensorflow.sources.jdbc import JdbcUpsertSink
 from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
+from sensorflow.sources.quarantine import QuarantineStore
+from sensorflow.streaming.views import AggregateView, LatestView
 
-METRICS_DDL = ("batch_id bigint, rows bigint, inserts bigint, updates bigint, "
-               "quarantined bigint, rejected bigint, end_seen boolean, ended array<int>")
+METRICS_DDL = ("batch_id bigint, rows bigint, inserts bigint, updates bigint, stale bigint, "
+               "quarantined bigint, released bigint, rejected bigint, end_seen boolean, ended array<int>")
 #: a frame that does not change, or what gives the current one
 Parent = DataFrame | KeyedTable | JdbcUpsertSink | Callable[[], DataFrame]
 
@@ -62,8 +68,13 @@ class MeasurementUpsert:
     def __init__(self, spark: SparkSession, table: KeyedTable | VersionedTable | JdbcUpsertSink,
                  metrics_path: str | None = None, quarantine_path: str | None = None,
                  parents: dict[str, Parent] | None = None, local_mode: str = "wall_clock",
-                 rejects_path: str | None = None, partitions: int = 1):
+                 rejects_path: str | None = None, partitions: int = 1,
+                 views: list[AggregateView | LatestView] | None = None, store: QuarantineStore | None = None):
         self.spark, self.table = spark, table
+        self.views, self.store = views or [], store
+        self.order = MSG_ORDER if getattr(table, "order", None) else []
+        if self.views and not getattr(table, "changes_path", None):
+            raise ValueError("views follow a table that records its changes")
         self.metrics_path, self.quarantine_path = metrics_path, quarantine_path
         self.rejects_path, self.partitions = rejects_path, partitions
         self.parents, self.local_mode = parents, local_mode
@@ -104,21 +115,33 @@ class MeasurementUpsert:
             n, bad = typed.agg(F.count_if(F.col("_reject").isNull()),
                                F.count_if(F.col("_reject").isNotNull())).first()
             ended = sorted(int(p) for p in (obs.get.get("ended") or []))
-            inserts = updates = quarantined = 0
+            inserts = updates = stale = quarantined = released = 0
             if bad and self.rejects_path and "_raw" in typed.columns:
                 self._store(rejected_messages(typed), batch_id, self.rejects_path)
-            if n:
-                rows = typed.filter(F.col("_reject").isNull())
-                deduped = dedupe_by_key(rows, "latest_id", MSG_ORDER).select(*MEASUREMENT_COLUMNS)
-                parents = {k: current(v) for k, v in (self.parents or {}).items()}
+            parents = {k: current(v) for k, v in (self.parents or {}).items()}
+            ready = self.store.ready(MEASUREMENT_TABLE, parents) if self.store else None
+            if n or ready:
+                rows = typed.filter(F.col("_reject").isNull()).select(*MEASUREMENT_COLUMNS, *MSG_ORDER)
+                if ready:
+                    rows = rows.unionByName(ready.rows(rows.schema))
+                deduped = dedupe_by_key(rows, "latest_id", MSG_ORDER)
+                # the order of a message goes with its row into the table and into quarantine
+                deduped = deduped.select(*MEASUREMENT_COLUMNS, *(MSG_ORDER if self.order or self.store else []))
+                total = n + (ready.count if ready else 0)
                 checked = validate(deduped, MEASUREMENT_TABLE, parents, cache=True,
-                                   unique_key=True, rows_hint=n)
+                                   unique_key=True, rows_hint=total)
                 valid, quarantine = checked
                 try:
                     quarantined = checked.rejected()
                     if quarantined and self.quarantine_path:
                         self._store(quarantine, batch_id, self.quarantine_path)
-                    inserts, updates = self.table.upsert(valid, source_rows=n, batch_id=batch_id)
+                    valid = valid.select(*MEASUREMENT_COLUMNS, *self.order)
+                    inserts, updates = self.table.upsert(valid, source_rows=total, batch_id=batch_id)
+                    stale = getattr(self.table, "stale", 0)
+                    for view in self.views:
+                        view.apply(self.table.changes(batch_id), self.table, batch_id)
+                    if self.store:
+                        released = self.store.settle(MEASUREMENT_TABLE, checked, ready)
                 finally:
                     checked.release()
         finally:
@@ -128,8 +151,8 @@ class MeasurementUpsert:
         if self.end_seen and not before:
             self.end_batch_id = batch_id
         self.last_metrics = {"batch_id": batch_id, "rows": int(n), "inserts": int(inserts), "updates": int(updates),
-                             "quarantined": int(quarantined), "rejected": int(bad), "end_seen": bool(ended),
-                             "ended": ended}
+                             "stale": int(stale), "quarantined": int(quarantined), "released": int(released),
+                             "rejected": int(bad), "end_seen": bool(ended), "ended": ended}
         if self.metrics_path:
             row = self.spark.createDataFrame([tuple(self.last_metrics.values())], METRICS_DDL)
             self._store(row.drop("batch_id"), batch_id, self.metrics_path)
