@@ -996,3 +996,6 @@ def run_dimension_job(spark, sf_dir):
     if any(r["inserts"] for r in replay.values()):
         raise AssertionError(f"replay inserted rows: {replay}")
     return tables, first
+
+
+from sensorflow.plans import catalog_live  # noqa: E402,F401  registers its queries here

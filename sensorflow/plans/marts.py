@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.casts import instant_to_utc_ntz
+from sensorflow.functions.cells import cell, coarser
 from sensorflow.operators.dedupe import dedupe_by_key
 from sensorflow.operators.joins import bounded_broadcast
 
@@ -77,7 +78,8 @@ def time_bucket(ts_instant, unit: str = "hour"):
     session time zone for fixed-width units."""
     if unit in _UNIT_MICROS:
         width = F.lit(_UNIT_MICROS[unit])
-        start = F.floor(F.unix_micros(ts_instant) / width) * width
+        micros = F.unix_micros(ts_instant)
+        start = micros - F.pmod(micros, width)  # whole numbers; a quotient of doubles is not exact above 2^53
         return F.timestamp_add("MICROSECOND", start, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     return F.date_trunc(unit, instant_to_utc_ntz(ts_instant)).cast("timestamp_ntz")
 
@@ -89,6 +91,28 @@ def time_series(fact: DataFrame, by: list[str], unit: str = "hour") -> DataFrame
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("avg_value"))
 
 
+def heat_map(fact: DataFrame, levels: list[int], value: str = "value", by_day: bool = True) -> DataFrame:
+    """J3 as a map: ``level, cell[, day], n, avg_value`` per grid cell at every
+    level of ``levels`` (and UTC day).
+
+    Rows are aggregated once, at the finest level; the coarser ones are rolled
+    up from those partial sums by grouping sets, so only cells are expanded and
+    never rows.  Rows without a usable place are left out; NULL values count in
+    ``n`` only, NaN makes the averages around it NaN."""
+    finest, cols = max(levels), [f"__l{lv}" for lv in levels]
+    day = [F.to_date(instant_to_utc_ntz(F.col("timestamp_utc"))).alias("day")] if by_day else []
+    cells = (fact.select(cell("latitude", "longitude", finest).alias("__cell"), *day, F.col(value).alias("__v"))
+             .filter("__cell IS NOT NULL").groupBy("__cell", *(["day"] if by_day else []))
+             .agg(F.count(F.lit(1)).alias("__n"), F.count("__v").alias("__k"), F.sum("__v").alias("__s")))
+    keyed = cells.select("*", *[coarser("__cell", finest - lv).alias(c) for lv, c in zip(levels, cols)]).drop("__cell")
+    more = [F.col("day")] if by_day else []
+    sets = keyed.groupingSets([[F.col(c), *more] for c in cols], *[F.col(c) for c in cols], *more)
+    rolled = sets.agg(F.sum("__n").alias("n"), F.try_divide(F.sum("__s"), F.sum("__k")).alias("avg_value"),
+                      *[F.grouping(c).alias(f"{c}_out") for c in cols])
+    level = F.coalesce(*[F.when(F.col(f"{c}_out") == 0, lv) for lv, c in zip(levels, cols)])
+    return rolled.select(level.alias("level"), F.coalesce(*cols).alias("cell"), *(["day"] if by_day else []), "n", "avg_value")
+
+
 def current_reading(fact: DataFrame, sensor_col: str = "sensor_id") -> DataFrame:
     """Newest measurement per sensor (ties broken by the key)."""
     return dedupe_by_key(fact, sensor_col, ["timestamp_utc", "latest_id"], keep_null_keys=False)

@@ -80,6 +80,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sensorflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of Hadoop for a path of any scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the file system: a failed read would show in the log, and in the
+    listeners of every running job."""
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
 def materialize(df, name: str = "stage"):
     """Cut lineage: write ``df`` once as a parquet table in the session's
     checkpoint folder (shared on a cluster) and read it back.  Used where one
@@ -101,8 +114,7 @@ def discard(*frames) -> None:
         spark = df.sparkSession
         root = f"{checkpoint_root(spark)}/sensorflow/"
         bare = root.split(":", 1)[-1].lstrip("/")
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if folder.split(":", 1)[-1].lstrip("/").startswith(bare):
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(hadoop).delete(path, True)
+                fs, path = hadoop_path(spark, folder)
+                fs.delete(path, True)

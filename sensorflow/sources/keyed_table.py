@@ -42,11 +42,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from sensorflow.operators.joins import fits_broadcast
 from sensorflow.operators.upsert import upsert, upsert_counts
 from sensorflow.schemas import TableSpec
+from sensorflow.session import hadoop_path, path_exists
 
 CHANGED = ("insert", "update")
 
@@ -79,19 +79,14 @@ class KeyedTable:
     def _raw(self) -> DataFrame | None:
         """The stored rows with their partition columns.  The schema is read
         from the files once; later reads give it."""
-        reader = self.spark.read if self._schema is None else self.spark.read.schema(self._schema)
-        try:
-            df = reader.parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise  # an unreadable table is not an empty one
+        if not path_exists(self.spark, self.path):
             return None
         if self._schema is None:
+            df = self.spark.read.parquet(self.path)  # an unreadable table is not an empty one
             names = [c for c in df.columns if c not in self.partition_cols]
             typed = self.spark.createDataFrame([], df.select(*names).schema).withColumns(self.partition_by).schema
             self._schema = T.StructType([f if f.name in names else T.StructField(f.name, f.dataType) for f in typed])
-            df = self.spark.read.schema(self._schema).parquet(self.path)  # a folder's name does not tell NULL's type
-        return df
+        return self.spark.read.schema(self._schema).parquet(self.path)  # a folder's name does not tell NULL's type
 
     def exists(self) -> bool:
         return self.spec is not None or self._raw() is not None
@@ -202,13 +197,11 @@ class KeyedTable:
         return f"{self.changes_path}/batch_id={batch_id}"
 
     def _is_recorded(self, batch_id: int) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder(batch_id)}/_SUCCESS")
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return path_exists(self.spark, f"{self._folder(batch_id)}/_SUCCESS")
 
     def _batches(self) -> list[int]:
         """Numbers of the recorded batches, from the names of their folders."""
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.changes_path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, root = hadoop_path(self.spark, self.changes_path)
         names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
         return sorted(b for b in (int(n.split("=")[1]) for n in names if n.startswith("batch_id=")) if self._is_recorded(b))
 
@@ -294,9 +287,9 @@ class KeyedTable:
             stay.select(*self.partition_cols).distinct()).collect()  # partitions, not rows
         self._write(stay)
         for row in emptied:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *(
+            fs, path = hadoop_path(self.spark, "/".join([self.path, *(
                 f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in self.partition_cols)]))
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            fs.delete(path, True)
         return n
 
 
@@ -318,13 +311,10 @@ class VersionedTable:
         self.key = [key] if isinstance(key, str) else list(key)
 
     def _versions(self) -> DataFrame | None:
-        try:
-            return (self.spark.read.option("recursiveFileLookup", "true").schema("version bigint")
-                    .json(f"{self.path}/_commits"))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, f"{self.path}/_commits"):
             return None
+        return (self.spark.read.option("recursiveFileLookup", "true").schema("version bigint")
+                .json(f"{self.path}/_commits"))
 
     def latest_version(self, below: int | None = None) -> int | None:
         commits = self._versions()

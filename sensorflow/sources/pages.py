@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from sensorflow.functions.json import parse_struct
 from sensorflow.operators.explode import explode_array
+from sensorflow.operators.gaps import missing_ranges
 from sensorflow.schemas import page_schema
 
 DEFAULT_LIMIT = 1000
@@ -43,6 +44,17 @@ def page_coverage(pages: DataFrame, entity: str = "entity_id", page: str = "page
         (F.coalesce(F.col("found"), F.lit(0)) <= F.coalesce(F.col("page_limit"), F.lit(default_limit)) * F.col("max_page")))
 
 
+def missing_pages(pages: DataFrame, entity: str = "entity_id", page: str = "page", body: str = "body",
+                  default_limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """``entity, first_missing, last_missing``: pages that a landing lacks, from
+    the first to the one that the stop rule names (A13)."""
+    cover = page_coverage(pages, entity, page, body, default_limit)
+    found, limit = F.coalesce("found", F.lit(0)), F.greatest(F.coalesce("page_limit", F.lit(default_limit)), F.lit(1))
+    last = F.call_function("div", found + limit - 1, limit)
+    bounds = cover.select(entity, F.lit(1).alias("low"), F.greatest(last, F.col("max_page").cast("bigint"), F.lit(1)).alias("high"))
+    return missing_ranges(pages, [entity], page, bounds)
+
+
 def first_result(responses: DataFrame, result_type: T.DataType, body: str = "body",
                  keep: tuple[str, ...] = ("entity_id",)) -> DataFrame:
     """First element of ``results`` of single-entity responses; failed

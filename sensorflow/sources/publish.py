@@ -11,9 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from sensorflow.schemas import ENVELOPE
+from sensorflow.session import path_exists
 from sensorflow.sources.envelope import file_topic_source, to_envelope, write_file_topic
 
 log = logging.getLogger(__name__)
@@ -130,11 +130,6 @@ def publish_if_empty(spark: SparkSession, messages: DataFrame, path: str) -> boo
     """A10 on the file topic at ``path``; a folder that is not there yet is an
     empty topic."""
     def read() -> DataFrame:
-        try:
-            return file_topic_source(spark, path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], ENVELOPE)
+        return file_topic_source(spark, path) if path_exists(spark, path) else spark.createDataFrame([], ENVELOPE)
 
     return publish_to_empty_topic(messages, read, lambda m: write_file_topic(m, path, mode="append"))

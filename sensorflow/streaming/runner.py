@@ -33,7 +33,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from sensorflow.operators.constraints import validate
 from sensorflow.operators.dedupe import dedupe_by_key
@@ -41,6 +40,7 @@ from sensorflow.plans.common import MSG_ORDER
 from sensorflow.plans.measurements import (MEASUREMENT_COLUMNS, parse_measurements, rejected_messages,
                                            typed_measurements)
 from sensorflow.schemas import MEASUREMENT_TABLE, MESSAGES, MessageSchemas
+from sensorflow.session import path_exists
 from sensorflow.sources.envelope import decode_value, kafka_stream_source
 from sensorflow.sources.jdbc import JdbcUpsertSink
 from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
@@ -84,15 +84,10 @@ class MeasurementUpsert:
 
     def _ended_before(self) -> set[int]:
         """Partitions that ended in batches before a restart."""
-        if not self.metrics_path:
-            return set()
-        try:
-            rows = self.spark.read.parquet(self.metrics_path).select(F.explode("ended").alias("p")).distinct()
-            return {r["p"] for r in rows.collect()}  # at most the topic's partitions
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self.metrics_path or not path_exists(self.spark, self.metrics_path):
             return set()
+        rows = self.spark.read.parquet(self.metrics_path).select(F.explode("ended").alias("p")).distinct()
+        return {r["p"] for r in rows.collect()}  # at most the topic's partitions
 
     @property
     def end_seen(self) -> bool:
