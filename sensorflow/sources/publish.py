@@ -7,9 +7,10 @@ topic by the caller (``write_kafka`` / ``write_file_topic``).
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.schemas import ENVELOPE
@@ -97,11 +98,29 @@ def append_end_marker(envelope: DataFrame, marker: str = END_MARKER) -> DataFram
     return envelope.unionByName(end_markers(envelope, marker))
 
 
-def publish_then_end(envelope: DataFrame, write: Callable[[DataFrame], None], marker: str = END_MARKER) -> None:
+def publish_then_end(envelope: DataFrame, write: Callable[[DataFrame], None], marker: str = END_MARKER,
+                     partitions: int = 64) -> None:
     """A11 on a broker, where order is order of arrival: ``write`` all data
-    records, and once they are stored the markers, partition by partition."""
-    write(envelope)
-    write(end_markers(envelope, marker))
+    records, and once they are stored the markers, partition by partition.
+
+    The last offsets are observed by the one write of the data, so the markers fit
+    what was written and the data is computed once.  ``partitions`` bounds the
+    partitions that are observed; records of more, or of several topics, are
+    aggregated after the write instead.  Nothing written, no marker."""
+    obs = Observation(f"publish_{uuid.uuid4().hex}")
+    here = [F.col("partition") == p for p in range(partitions)]
+    write(envelope.observe(
+        obs, F.collect_set("topic").alias("topics"), F.min("partition").alias("lowest"), F.max("partition").alias("highest"),
+        *[F.max(F.when(c, F.col("offset"))).alias(f"o{p}") for p, c in enumerate(here)],
+        *[F.max(F.when(c, F.col("timestamp"))).alias(f"t{p}") for p, c in enumerate(here)]))
+    seen = obs.get
+    if len(seen["topics"]) > 1 or (seen["highest"] or 0) >= partitions or (seen["lowest"] or 0) < 0:
+        write(end_markers(envelope, marker))
+        return
+    rows = [(None, marker.encode(), seen["topics"][0], p, seen[f"o{p}"] + 1, seen[f"t{p}"], 0)
+            for p in range(partitions) if seen.get(f"o{p}") is not None]
+    if rows:
+        write(envelope.sparkSession.createDataFrame(rows, ENVELOPE))
 
 
 def is_topic_empty(envelope: DataFrame) -> bool:
