@@ -49,7 +49,8 @@ def live_run(spark, sf_dir):
     from sensorflow.sources.publish import append_end_marker
     from sensorflow.sources.quarantine import QuarantineStore
     from sensorflow.streaming.runner import MeasurementUpsert, await_and_stop, start_measurement_stream
-    from sensorflow.streaming.views import LatestView, hourly
+    from sensorflow.streaming.progress import ProgressStore
+    from sensorflow.streaming.views import LatestView, SketchView, hourly
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _runs:
         return _runs[key]
@@ -60,7 +61,10 @@ def live_run(spark, sf_dir):
                       partition_by={"day": F.to_date(instant_to_utc_ntz(F.col("timestamp_utc"))),
                                     "_bucket": F.pmod(F.xxhash64("latest_id"), F.lit(2))})
     views = {"hourly": hourly(spark, f"{root}/hourly", 2),
-             "latest": LatestView(spark, f"{root}/latest", "sensor_id", ["timestamp_utc", "latest_id"], 2)}
+             "latest": LatestView(spark, f"{root}/latest", "sensor_id", ["timestamp_utc", "latest_id"], 2),
+             "sketches": SketchView(spark, f"{root}/sketches", ["country_name", "parameter_name"], lambda df: measurement_star(
+                 df, catalog._fixture_locations(spark, sf_dir), catalog._fixture_countries(spark, sf_dir),
+                 catalog._fixture_sensors(spark, sf_dir), catalog._fixture_parameters(spark, sf_dir)))}
     store = QuarantineStore(spark, f"{root}/held", buckets=2)
     sink = MeasurementUpsert(spark, fact, metrics_path=f"{root}/metrics", rejects_path=f"{root}/rejects", partitions=3,
                              parents={"location_table": locations, "sensor": sensors}, views=list(views.values()), store=store)
@@ -79,6 +83,8 @@ def live_run(spark, sf_dir):
         env = feeds.measurement_messages(rows.withColumn("value", value), nan_value=kind == "error")
         return env.withColumn("offset", F.col("offset") + F.lit(shift))
 
+    progress = ProgressStore(spark, f"{root}/progress")
+    spark.streams.addListener(progress)
     arrive(~segment.isin("MACHINERY", "HOUSEHOLD"))
     for k in range(4):
         env = messages(events.filter(F.col("part") == k), F.col("value"), 0)
@@ -90,7 +96,11 @@ def live_run(spark, sf_dir):
         query = start_measurement_stream(file_topic_source(spark, f"{root}/topic", streaming=True), sink,
                                          f"{root}/checkpoint", available_now=True, schemas=W)
         await_and_stop(query, sink)
-    _runs[key] = {"fact": fact, "store": store, "metrics": f"{root}/metrics", "rejects": f"{root}/rejects", **views}
+    progress.settled()
+    spark.streams.removeListener(progress)
+    progress.flush()
+    _runs[key] = {"fact": fact, "store": store, "metrics": f"{root}/metrics", "rejects": f"{root}/rejects",
+                  "topic": f"{root}/topic", "progress": progress, **views}
     return _runs[key]
 
 
@@ -305,3 +315,81 @@ def q_heat_map(spark, sf_dir):
         F.when(F.col("event_type") != "signup", F.col("user_id") / 100.0).alias("latitude"),
         (F.col("user_id") / -50.0 * 7).alias("longitude"), "value", F.col("ts").cast("timestamp").alias("timestamp_utc"))
     return heat_map(places, [2, 5, 9, 14]).withColumn("avg_value", F.round("avg_value", 6))
+
+
+@register("value_distributions", _LIVE_SQL + """
+    SELECT n_name AS country_name, r_name AS parameter_name, count(*) AS n, count(DISTINCT user_id) AS sensors,
+           min(v) AS least, max(v) AS greatest, true AS quartiles_hold
+    FROM final JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+    JOIN region ON r_regionkey = n_regionkey
+    GROUP BY 1, 2
+""")
+def q_value_distributions(spark, sf_dir):
+    """Sketches that the stream has kept by day, merged over all days; whether the
+    ranks of the quartiles among the stored values are within the bound."""
+    from sensorflow.plans.distributions import RANK_ERROR, described
+    run, by = live_run(spark, sf_dir), ["country_name", "parameter_name"]
+    found = described(run["sketches"].read(by), {"least": 0, "q1": 0.25, "q2": 0.5, "q3": 0.75, "greatest": 1})
+    star = measurement_star(run["fact"].read(), catalog._fixture_locations(spark, sf_dir), catalog._fixture_countries(spark, sf_dir),
+                            catalog._fixture_sensors(spark, sf_dir), catalog._fixture_parameters(spark, sf_dir))
+    joined = star.select(*by, "value").join(found.select(*by, "q1", "q2", "q3"), by)
+    ranks, holds = [], F.lit(True)
+    for k, name in enumerate(("q1", "q2", "q3"), 1):
+        ranks += [F.count_if(F.col("value") < F.col(name)).alias(f"below{k}"), F.count_if(F.col("value") <= F.col(name)).alias(f"to{k}")]
+        slack = F.col("rows") * RANK_ERROR + 1
+        holds = holds & (F.col(f"below{k}") <= F.col("rows") * k / 4 + slack) & (F.col(f"to{k}") >= F.col("rows") * k / 4 - slack)
+    checked = joined.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *ranks).select(*by, holds.alias("quartiles_hold"))
+    return found.join(checked, by).select(*by, "n", "sensors", "least", "greatest", "quartiles_hold")
+
+
+@register("stream_lag", _LIVE_SQL + """,
+    sent AS (
+        SELECT part AS b, event_id AS o, user_id % 3 AS p FROM base
+        UNION ALL SELECT part + 1, event_id + 1000000000000, user_id % 3 FROM base WHERE kind = 'purchase' AND part < 3
+        UNION ALL SELECT part + 2, event_id - 1000000000000, user_id % 3 FROM base WHERE kind = 'click' AND part < 2),
+    high AS (SELECT p, max(o) + 1 AS high, min(o) AS low FROM sent GROUP BY p),
+    marked AS (SELECT p, greatest(max(o) FILTER (b = 3) + 2, high) AS high, low
+               FROM sent JOIN high USING (p) GROUP BY p, high, low),
+    done AS (SELECT batch_id, p, max(o) AS last FROM sent, (SELECT unnest([0, 1, 2, 3]) AS batch_id) WHERE b <= batch_id GROUP BY ALL),
+    grid AS (SELECT batch_id, p, high, low FROM marked, (SELECT unnest([0, 1, 2, 3]) AS batch_id))
+    SELECT batch_id::BIGINT AS batch_id, p::INT AS "partition",
+           CASE WHEN batch_id = 3 THEN greatest(last + 1, high) ELSE coalesce(last + 1, low) END AS read_to,
+           high - CASE WHEN batch_id = 3 THEN greatest(last + 1, high) ELSE coalesce(last + 1, low) END AS behind
+    FROM grid LEFT JOIN done USING (batch_id, p)
+""")
+def q_stream_lag(spark, sf_dir):
+    """After each batch, how far each partition was behind the topic as it is at the end."""
+    from sensorflow.operators.aggregates import offset_bounds
+    from sensorflow.sources.envelope import file_topic_source
+    from sensorflow.streaming.progress import lag
+    run = live_run(spark, sf_dir)
+    bounds = offset_bounds(file_topic_source(spark, run["topic"]))
+    return lag(spark.read.parquet(run["metrics"]).withColumn("batch_id", F.col("batch_id").cast("bigint")), bounds)
+
+
+@register("schema_drift", """
+    WITH e AS (SELECT *, ts::DATE AS day FROM events),
+    days AS (SELECT day, count(*) AS n FROM e GROUP BY day)
+    SELECT 'measurements' AS topic, day, 'quality' AS path, 'added' AS change, 'OBJECT' AS types, count(*) AS messages
+    FROM e WHERE event_type = 'click' GROUP BY day
+    UNION ALL SELECT 'measurements', day, 'quality.flag', 'added', 'BOOLEAN', count(*) FROM e WHERE event_type = 'click' GROUP BY day
+    UNION ALL SELECT 'measurements', day, 'value', 'retyped', 'STRING', count(*) FROM e WHERE event_type = 'signup' GROUP BY day
+    UNION ALL SELECT 'measurements', day, 'end', 'missing', '', n FROM days
+    UNION ALL SELECT 'measurements', day, 'coordinates.longitude', 'missing', '', n FROM days WHERE day(day) > 20
+    UNION ALL SELECT 'measurements', day, '', 'retyped', 'MALFORMED', count(*) FROM e WHERE event_type = 'error' GROUP BY day
+""")
+def q_schema_drift(spark, sf_dir):
+    """A feed in which clicks bring a new object, signups their value as text,
+    errors are cut short, and longitudes end with day 20."""
+    from sensorflow.plans.drift import schema_drift
+    events = feeds.spread(table(spark, sf_dir, "events"))
+    kind, late = F.col("event_type"), F.dayofmonth("ts") > 20
+    place = F.when(late, F.to_json(F.struct((F.col("user_id") / 100.0).alias("latitude")))).otherwise(
+        F.to_json(F.struct((F.col("user_id") / 100.0).alias("latitude"), (F.col("user_id") / -50.0).alias("longitude"))))
+    value = F.when(kind == "signup", F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"'))).otherwise(F.col("value").cast("string"))
+    more = F.when(kind == "click", F.lit(', "quality": {"flag": true}')).otherwise("")
+    text = F.format_string('{"datetime": {"utc": "%s", "local": "%s"}, "value": %s, "coordinates": %s, "sensorsId": %d, "locationsId": %d%s}',
+                           F.col("ts").cast("string"), F.col("ts").cast("string"), value, place, "user_id", "user_id", more)
+    text = F.when(kind == "error", F.lit('{"value": ')).otherwise(text)
+    messages = events.select(F.lit("measurements").alias("topic"), F.to_date("ts").alias("day"), text.alias("value"))
+    return schema_drift(messages, W.measurement, ["topic", "day"])

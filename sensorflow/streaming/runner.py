@@ -7,7 +7,8 @@ micro-batch inside ``foreachBatch`` on a batch persisted once.
 * H1 append output mode, H3 required checkpoint, H4 default trigger or
   ``availableNow`` for backfills/tests, H5 ``earliest`` offsets by default.
 * H2/H8 each batch writes a metrics row ``(batch_id, rows, inserts, updates, stale,
-  quarantined, released, rejected, end_seen, ended)``; metrics, quarantine and table writes are keyed by
+  quarantined, released, rejected, end_seen, ended, offsets)``, the last being the
+  greatest offset read of each of the topic's ``partitions``; metrics, quarantine and table writes are keyed by
   ``batch_id`` so a replayed batch overwrites instead of duplicating.
 * With a table that has an order, the message order is stored with each row and
   an older message never replaces a newer one (``stale``).
@@ -45,10 +46,11 @@ from sensorflow.sources.envelope import decode_value, kafka_stream_source
 from sensorflow.sources.jdbc import JdbcUpsertSink
 from sensorflow.sources.keyed_table import KeyedTable, VersionedTable
 from sensorflow.sources.quarantine import QuarantineStore
-from sensorflow.streaming.views import AggregateView, LatestView
+from sensorflow.streaming.views import AggregateView, LatestView, SketchView
 
 METRICS_DDL = ("batch_id bigint, rows bigint, inserts bigint, updates bigint, stale bigint, "
-               "quarantined bigint, released bigint, rejected bigint, end_seen boolean, ended array<int>")
+               "quarantined bigint, released bigint, rejected bigint, end_seen boolean, ended array<int>, "
+               "offsets map<int,bigint>")
 #: a frame that does not change, or what gives the current one
 Parent = DataFrame | KeyedTable | JdbcUpsertSink | Callable[[], DataFrame]
 
@@ -69,7 +71,7 @@ class MeasurementUpsert:
                  metrics_path: str | None = None, quarantine_path: str | None = None,
                  parents: dict[str, Parent] | None = None, local_mode: str = "wall_clock",
                  rejects_path: str | None = None, partitions: int = 1,
-                 views: list[AggregateView | LatestView] | None = None, store: QuarantineStore | None = None):
+                 views: list[AggregateView | LatestView | SketchView] | None = None, store: QuarantineStore | None = None):
         self.spark, self.table = spark, table
         self.views, self.store = views or [], store
         self.order = MSG_ORDER if getattr(table, "order", None) else []
@@ -103,13 +105,16 @@ class MeasurementUpsert:
         batch_id = int(batch_id)
         # markers are observed by the job that fills the cache of the typed rows
         obs = Observation(f"measurement_batch_{batch_id}_{uuid.uuid4().hex}")
-        observed = batch_df.observe(obs, F.collect_set(F.when(F.col("data.end").isNotNull(), F.col("_partition")))
-                                    .alias("ended"))
+        observed = batch_df.observe(
+            obs, F.collect_set(F.when(F.col("data.end").isNotNull(), F.col("_partition"))).alias("ended"),
+            *[F.max(F.when(F.col("_partition") == p, F.col("_offset"))).alias(f"o{p}") for p in range(self.partitions)])
         typed = typed_measurements(observed, self.local_mode).persist()
         try:
             n, bad = typed.agg(F.count_if(F.col("_reject").isNull()),
                                F.count_if(F.col("_reject").isNotNull())).first()
-            ended = sorted(int(p) for p in (obs.get.get("ended") or []))
+            seen = obs.get
+            ended = sorted(int(p) for p in (seen.get("ended") or []))
+            offsets = {p: int(seen[f"o{p}"]) for p in range(self.partitions) if seen.get(f"o{p}") is not None}
             inserts = updates = stale = quarantined = released = 0
             if bad and self.rejects_path and "_raw" in typed.columns:
                 self._store(rejected_messages(typed), batch_id, self.rejects_path)
@@ -147,7 +152,7 @@ class MeasurementUpsert:
             self.end_batch_id = batch_id
         self.last_metrics = {"batch_id": batch_id, "rows": int(n), "inserts": int(inserts), "updates": int(updates),
                              "stale": int(stale), "quarantined": int(quarantined), "released": int(released),
-                             "rejected": int(bad), "end_seen": bool(ended), "ended": ended}
+                             "rejected": int(bad), "end_seen": bool(ended), "ended": ended, "offsets": offsets}
         if self.metrics_path:
             row = self.spark.createDataFrame([tuple(self.last_metrics.values())], METRICS_DDL)
             self._store(row.drop("batch_id"), batch_id, self.metrics_path)

@@ -17,10 +17,14 @@ it had decided, and does not add its changes again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorflow.functions.casts import instant_to_utc_ntz
 from sensorflow.operators.joins import fits_broadcast
+from sensorflow.plans.distributions import merged, sketched
 from sensorflow.plans.marts import time_bucket
 from sensorflow.session import discard, materialize
 from sensorflow.sources.keyed_table import KeyedTable
@@ -150,6 +154,45 @@ class LatestView:
         return self.table.read()
 
 
+class SketchView:
+    """Mergeable sketches per ``by`` and day.  ``add`` gives the table's rows the
+    columns of ``by`` (a join with dimensions that are as they are).
+
+    Sketches cannot give a value back: days of which a batch only adds rows
+    are merged with sketches of these; days in which it replaced a row are
+    sketched anew from the table's partitions of these days."""
+
+    def __init__(self, spark: SparkSession, path: str, by: list[str], add: Callable[[DataFrame], DataFrame],
+                 source_day: str = "day"):
+        self.spark, self.by, self.add, self.source_day = spark, [*by, "day"], add, source_day
+        self.table = KeyedTable(spark, f"{path}/rows", self.by, partition_by={"_day": F.col("day")}, changes_path=f"{path}/changes")
+
+    def apply(self, changes: DataFrame, source: KeyedTable, batch_id: int) -> None:
+        if self.table.recorded(batch_id):
+            self.table.replay(batch_id)
+            return
+        day = F.to_date(instant_to_utc_ntz(F.col("timestamp_utc")))
+        new = changes.select("op", "new.*").withColumn("day", day)
+        old_days = changes.filter("op = 'update'").select("old.*").select(day.alias("day"))
+        again = sorted(r["day"] for r in new.filter("op = 'update'").select("day").union(old_days).distinct().collect())
+        fresh = new.drop("op") if not again else new.filter(~F.col("day").isin(again)).drop("op")
+        parts = sketched(self.add(fresh), self.by)
+        if self.table.exists():
+            groups = parts.select(*self.by)
+            parts = parts.unionByName(self.table.read().join(groups, self.by, "left_semi"))
+        rows = merged(parts, self.by)
+        if again:
+            whole = source.read(with_partition_cols=True).filter(F.col(self.source_day).isin(again))
+            rows = rows.unionByName(sketched(self.add(whole.drop(*source.partition_cols).withColumn("day", day)), self.by))
+        rows = materialize(rows, "sketches")
+        self.table.upsert(rows, batch_id=batch_id)
+        discard(rows)
+
+    def read(self, by: list[str]) -> DataFrame:
+        """Sketches merged to ``by``."""
+        return merged(self.table.read(), by)
+
+
 def hourly(spark: SparkSession, path: str, buckets: int, source_day: str | None = "day") -> AggregateView:
     """Measurements per location, sensor and hour: the series of J3 as it is, and
     J2 rolled up.  Laid out by day, so that a batch rewrites the days it
