@@ -35,7 +35,6 @@ from xxhash import xxh64_intdigest
 
 from sensorflow.llm.chargrams import Memo
 from sensorflow.llm.components import components
-from sensorflow.llm.rows import number
 from sensorflow.session import discard, materialize
 
 PLACES = 1 << 20
@@ -111,15 +110,19 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     links lead to.  NULL or empty texts and texts without words have an empty
     set, link with nothing and stay.  ``kept``: the row has its component's
     smallest id (several rows may, where ids repeat).  ``row`` is the
-    number stored in ``row_col`` (without one, rows are numbered and written
-    first), ``group`` the smallest such number of a class in the component.
-    Other columns are ignored.
+    number stored in ``row_col`` (without one, a number stored with the
+    signatures, under which the texts are not stored again), ``group`` the
+    smallest such number of a class in the component.  Other columns are
+    ignored.
     """
     base = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                      *[F.col(c).alias("row") for c in (row_col,) if c])
-    numbered = [] if row_col else [number(base, "row")]
-    base = numbered[0] if numbered else base
-    signed = materialize(_sign(base, shingle, rows, bands), "signed")
+    if row_col is None:  # rows equal in id and text cannot be told apart, and need not be
+        base = base.select("*", *[F.xxhash64(F.lit(k), "id", "text").alias(f"key{k}") for k in (0, 1)])
+    signed = _sign(base, shingle, rows, bands)
+    if row_col is None:
+        signed = signed.withColumn("row", F.monotonically_increasing_id())
+    signed = materialize(signed, "signed")
     members = signed.select("row", "id", "n", "word_key").filter("n > 0")
     groups = materialize(members.groupBy("word_key").agg(
         F.min("row").alias("cls"), F.min("id").alias("least"), F.count(F.lit(1)).alias("size")), "classes")
@@ -131,10 +134,15 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
     firsts = of_class.filter("row = cls").select("row")
     buckets = _buckets(signed, firsts)
-    wanted = buckets.select("cls").distinct()
-    # members of buckets grow with the table, so this join shuffles at every size
-    wanted = wanted.withColumnRenamed("cls", "row").hint("merge")
-    sets = materialize(_sets(base.join(wanted, "row", "left_semi"), shingle), "sets")
+    wanted = buckets.select(F.col("cls").alias("row")).distinct()
+    # members of buckets grow with the table, so these joins shuffle at every size
+    if row_col:
+        texts = base.join(wanted.hint("merge"), "row", "left_semi")
+    else:
+        keys = ["key0", "key1"]
+        wanted = signed.select("row", *keys).join(wanted.hint("merge"), "row", "left_semi")
+        texts = base.select("text", *keys).join(wanted.hint("merge"), keys).dropDuplicates(keys)
+    sets = materialize(_sets(texts, shingle), "sets")
 
     fits = 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
     stars = (buckets.filter((F.col("cls") != F.col("pivot")) & fits)
@@ -143,7 +151,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     label = components(links)
     groups_of = classes.join(label, F.col("cls") == F.col("node"), "left").drop("node")
     more = _strays(buckets, label, sets, percent)
-    spent = numbered + [signed, groups, of_class, buckets, sets, links, label]
+    spent = [signed, groups, of_class, buckets, sets, links, label]
     if more is not None:
         # links between labels, then labels of labels
         own = label.selectExpr("node AS x", "label AS l")
@@ -193,25 +201,30 @@ def _sign(base: DataFrame, shingle: int, rows: int, bands: int) -> DataFrame:
                 signatures[i] = signer.sign(shingles)
             yield pd.DataFrame({"n": n, "word_key": keys, "bands": list(band_keys(signatures, rows))})
 
-    return base.select("row", "id", run("text").alias("s")).select("row", "id", "s.*")
+    own = [c for c in base.columns if c != "text"]
+    return base.select(*own, run("text").alias("s")).select(*own, "s.*")
 
 
 def _buckets(signed: DataFrame, firsts: DataFrame) -> DataFrame:
     """``band, cls, n, pivot, pivot_n``: members of the buckets with two
     classes or more; buckets with the same members only once."""
-    rows = (signed.filter("n > 0").join(firsts, "row", "left_semi")
-            .select(F.explode("bands").alias("band"), F.col("row").alias("cls"), "n"))
+    pairs = (signed.filter("n > 0").join(firsts, "row", "left_semi")
+             .select(F.explode("bands").alias("band"), F.col("row").alias("cls")).repartition("band"))
+    # one shuffle of (band, class) finds the buckets of several and keeps their members; the rest is done on these
+    several = pairs.groupBy("band").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).filter("a != b").select("band")
+    kept = materialize(pairs.join(several, "band"), "shared")
+    rows = materialize(kept.join(signed.select(F.col("row").alias("cls"), "n"), "cls"), "shared")
     draw = F.xxhash64("cls", "band")
-    shared = (rows.groupBy("band").agg(
+    shared = rows.groupBy("band").agg(
         F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("cls")).alias("x"),
         F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("y"), F.min_by("cls", draw).alias("pivot"),
-        F.min_by("n", draw).alias("pivot_n")).filter("size > 1"))
+        F.min_by("n", draw).alias("pivot_n"))
     once = shared.groupBy("size", "x", "y").agg(
         F.min("band").alias("band"), F.min_by("pivot", "band").alias("pivot"),
         F.min_by("pivot_n", "band").alias("pivot_n"))
     once = materialize(once.select("band", "pivot", "pivot_n"), "bands")
     out = materialize(rows.join(once, "band"), "buckets")
-    discard(once)
+    discard(kept, rows, once)
     return out
 
 
