@@ -31,6 +31,7 @@ STEPS = 12          # EM steps; proportions move by less than a hundredth after
 FLOOR = -12.0       # no n-gram counts for less (natural logarithm)
 LONG_WORD = 16      # a word weighs no more than this many letters
 BLOCK_WORDS = 500_000
+WORDS_AT_ONCE = 20_000
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                          StructField("mixture", MapType(StringType(), DoubleType()))])
 
@@ -47,18 +48,15 @@ class FittedLanguages:
 
 @dataclass
 class LanguageModel:
-    """The part of the log-probabilities that some texts need: ``grams[gram]``
-    is a row with one value a language."""
+    """The part of the log-probabilities that some texts need: ``rows[gram]`` is a
+    row of ``values``, which has one value a language and a last row of zeros."""
 
     languages: list[str]
-    grams: dict
+    rows: dict[str, int]
+    values: np.ndarray
     order: int
     penalty: float
 
-    def __post_init__(self):
-        self.rows = {g: i for i, g in enumerate(self.grams)}
-        self.values = np.array(list(self.grams.values()), np.float32).reshape(len(self.rows), len(self.languages))
-
     def words(self, chunks: list[str]) -> np.ndarray:
         """Log-likelihood of each word in each language less that in the best;
         NaN if the word has no letters."""
@@ -82,8 +80,7 @@ class LanguageModel:
                 lettered.append(k)
         out = np.full((len(chunks), len(self.languages)), np.nan, np.float32)
         if lettered:
-            values = np.concatenate([self.values, np.zeros((1, len(self.languages)), np.float32)])
-            total = np.add.reduceat(values[at], starts, axis=0)
+            total = np.add.reduceat(self.values[at], starts, axis=0)
             total -= total.max(axis=1, keepdims=True)
             out[lettered] = total * np.array(weights, np.float32)[:, None]
         return out
@@ -211,18 +208,26 @@ def predict(df: DataFrame, model: FittedLanguages, text_col: str = "text", out_c
         return found
 
     def scorer(names: list, values: np.ndarray):
-        m = LanguageModel(languages, dict(zip(names, values)), order, penalty)
+        rows = dict(zip(names, range(len(names))))
+        names.clear()
+        values = np.concatenate([values.reshape(-1, len(languages)), np.zeros((1, len(languages)), np.float32)])
+        m = LanguageModel(languages, rows, values, order, penalty)
 
         def run(texts: list) -> list:
             preds = [(UNDETERMINED, 0.0, [])] * len(texts)
             index: dict[str, int] = {}  # word to row of the table
-            table = np.empty((0, len(languages)), np.float32)
+            table = np.empty((BLOCK_WORDS // 4, len(languages)), np.float32)
 
             def solve(docs: list[tuple[int, list[str]]]) -> None:
                 nonlocal table
                 new = list(set().union(*[words for _, words in docs]) - index.keys())
-                index.update(zip(new, range(len(table), len(table) + len(new))))
-                table = np.concatenate([table, m.words(new)])
+                first, last = len(index), len(index) + len(new)
+                if last > len(table):  # by half as much again, so that it is copied seldom
+                    table = np.resize(table, (max(last, len(table) * 3 // 2), len(languages)))
+                for lo in range(0, len(new), WORDS_AT_ONCE):
+                    part = new[lo: lo + WORDS_AT_ONCE]
+                    table[first + lo: first + lo + len(part)] = m.words(part)
+                index.update(zip(new, range(first, last)))
                 found = [table[list(map(index.__getitem__, words))] for _, words in docs]
                 found = [x[~np.isnan(x[:, 0])] for x in found]
                 sizes = np.array([len(x) for x in found])
