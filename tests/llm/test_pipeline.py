@@ -27,7 +27,8 @@ def test_stages(spark):
             assert set(after) == {d for d, s in scores.items() if s < cp.TOXIC_FROM}
         if name == "language_id":
             found = language_id.predict(docs, language_id.fit(docs)).collect()
-            assert set(after) == {r["doc_id"] for r in found if r["lang_mix"]["score"] >= cp.LEAST_SHARE}
+            assert set(after) == {r["doc_id"] for r in found if sum(r["lang_mix"]["mixture"].values()) >= cp.LEAST_SHARE}
+            assert all(r["lang_mix"]["lang_pred"] == "und" for r in found if r["doc_id"] not in after)
         docs = now
     before, after = kept["exact_dedup"]
     by = collections.defaultdict(list)
@@ -61,3 +62,29 @@ def test_copies_with_repeated_and_null_ids(spark, tmp_path):
     assert exact.count() == 4
     near = cp.drop_near_copies(spark, exact, SF)
     assert sorted(r["doc_id"] or -1 for r in near.collect()) == [-1, 5, 7]
+
+
+def test_a_text_in_three_languages_is_kept(spark):
+    """No language makes up half of it, but known ones explain it."""
+    docs = queries.documents(spark, SF)
+    rows = docs.filter("lang IS NOT NULL AND length(text) > 400").collect()
+    parts = {}
+    for r in rows:
+        parts.setdefault(r["lang"], r["text"].split()[:60])
+    mixed = [w for lang in sorted(parts)[:3] for w in parts[lang]]
+    more = spark.createDataFrame([(10**9, " ".join(mixed), None, "mix", 0), (10**9 + 1, "12345 --- !!!", None, "mix", 0)], docs.schema)
+    kept = {r["doc_id"] for r in cp.keep_identified(spark, docs.unionByName(more), SF).filter("source = 'mix'").collect()}
+    assert kept == {10**9}
+
+
+def test_columns_of_any_name_pass_through_and_empty_tables_stay_empty(spark):
+    docs = queries.documents(spark, SF).limit(60).selectExpr(
+        "*", "1 AS __row", "'r' AS row", "'x' AS toxicity", "named_struct('a', 1) AS lang_mix", "2.5 AS `odd.name`")
+    docs = materialize(docs)
+    for _, stage in cp.STAGES[:-1]:
+        now = stage(spark, docs, SF)
+        assert now.columns == docs.columns
+        row = now.first()
+        assert (row["__row"], row["row"], row["toxicity"], row["lang_mix"]["a"], float(row["odd.name"])) == (1, "r", "x", 1, 2.5)
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
