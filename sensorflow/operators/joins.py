@@ -26,13 +26,14 @@ def fits_broadcast(df: DataFrame, columns: list[str], rows: int | None) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint iff ``df`` has at most ``max_rows`` rows.
+    """Broadcast hint iff ``df`` has at most ``max_rows`` rows and these stay within
+    ``BROADCAST_BYTES``.
 
     The proof is a ``limit(max_rows + 1).count()`` job, which stops early on
     large inputs; above the bound the frame is returned unchanged (shuffle join).
     """
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if n <= max_rows and fits_broadcast(df, df.columns, n) else df
 
 
 def enrich_left(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,

@@ -393,3 +393,32 @@ def q_schema_drift(spark, sf_dir):
     text = F.when(kind == "error", F.lit('{"value": ')).otherwise(text)
     messages = events.select(F.lit("measurements").alias("topic"), F.to_date("ts").alias("day"), text.alias("value"))
     return schema_drift(messages, W.measurement, ["topic", "day"])
+
+
+@register("co_located_star", """
+    SELECT concat_ws('_', user_id, user_id, CAST(ts AS VARCHAR)) AS latest_id, user_id AS sensor_id, value,
+           ts AS timestamp_utc, c_name AS location_name, n_name AS country_name, r_name AS parameter_name
+    FROM events JOIN customer ON c_custkey = user_id JOIN nation ON n_nationkey = c_nationkey
+    JOIN region ON r_regionkey = n_regionkey
+""")
+def q_co_located_star(spark, sf_dir):
+    """E1 and J1 over a fact table bucketed by sensor, with every view delivered
+    twice: neither the dedupe nor the join moves the fact."""
+    import uuid
+
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.bucketed import BucketedTable
+    events = table(spark, sf_dir, "events")
+    rows = events.select(F.concat_ws("_", "user_id", "user_id", F.col("ts").cast("string")).alias("latest_id"),
+                         F.col("user_id").alias("sensor_id"), "value", F.col("ts").alias("timestamp_utc"), F.col("event_id").alias("_offset"),
+                         "event_type")
+    again = rows.filter("event_type = 'view'").withColumns({"value": F.lit(-1.0), "_offset": F.col("_offset") - LATER})
+    facts = BucketedTable(spark, f"facts_{uuid.uuid4().hex}", scratch_path(spark, "bucketed"), ["sensor_id"], 8)
+    facts.write(rows.unionByName(again).drop("event_type"))
+    newest = facts.newest(["sensor_id", "latest_id"], ["timestamp_utc", "_offset"]).drop("_offset")
+    dims = measurement_star(
+        catalog._fixture_sensors(spark, sf_dir).select("sensor_id", "location_id"), catalog._fixture_locations(spark, sf_dir),
+        catalog._fixture_countries(spark, sf_dir), catalog._fixture_sensors(spark, sf_dir).drop("location_id"),
+        catalog._fixture_parameters(spark, sf_dir)).select("sensor_id", "location_name", "country_name", "parameter_name")
+    return newest.join(dims.hint("merge"), "sensor_id").select(
+        "latest_id", "sensor_id", "value", "timestamp_utc", "location_name", "country_name", "parameter_name")

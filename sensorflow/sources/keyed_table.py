@@ -118,11 +118,19 @@ class KeyedTable:
         return rows.withColumn(first, F.when(F.col("__n") > 1, twice.cast(source.schema[first].dataType))
                                .otherwise(F.col(first))).select(*source.columns)
 
-    def _touched(self, rows: DataFrame) -> tuple[int, dict]:
-        """Number of rows, and for each partition column its values and whether NULL is one."""
-        found = rows.agg(F.count(F.lit(1)).alias("n"), *[F.collect_set(c).alias(f"v{i}") for i, c in enumerate(self.partition_cols)],
-                         *[F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(self.partition_cols)]).first()
-        return found["n"], {c: (sorted(found[f"v{i}"]), found[f"null{i}"] > 0) for i, c in enumerate(self.partition_cols)}
+    def _touched(self, rows: DataFrame, counts: dict[str, Column] | None = None, only: Column | None = None
+                 ) -> tuple[dict[str, int], dict]:
+        """Number of rows (``n``) and other ``counts``; for each partition column the
+        values of the rows (``only`` some), and whether NULL is one.  One job."""
+        def kept(c: Column) -> Column:
+            return c if only is None else F.when(only, c)
+
+        null = [F.col(c).isNull() & (F.lit(True) if only is None else only) for c in self.partition_cols]
+        found = rows.agg(F.count(kept(F.lit(1))).alias("n"), *[c.alias(name) for name, c in (counts or {}).items()],
+                         *[F.collect_set(kept(F.col(c))).alias(f"v{i}") for i, c in enumerate(self.partition_cols)],
+                         *[F.count_if(c).alias(f"null{i}") for i, c in enumerate(null)]).first()
+        return ({name: found[name] for name in ("n", *(counts or {}))},
+                {c: (sorted(found[f"v{i}"]), found[f"null{i}"] > 0) for i, c in enumerate(self.partition_cols)})
 
     def _pruned(self, old: DataFrame, touched: dict, rows: DataFrame) -> DataFrame:
         """Old rows of the partitions that ``rows`` are in."""
@@ -152,9 +160,9 @@ class KeyedTable:
         if self.changes_path:
             return self._recorded(source, source_rows, batch_id)
         src = self._once(source).withColumns(self.partition_by)
-        n, touched = self._touched(source.withColumns(self.partition_by))
+        counts, touched = self._touched(source.withColumns(self.partition_by))
         self.stale = 0
-        if not n:
+        if not counts["n"]:
             return 0, 0
         old = self._raw()
         if old is None:
@@ -208,8 +216,8 @@ class KeyedTable:
     def _decide(self, source: DataFrame, source_rows: int | None, batch_id: int) -> None:
         """Writes what the batch does to every key it holds, against the table as it is."""
         src = self._once(source).withColumns(self.partition_by)
-        n, touched = self._touched(source.withColumns(self.partition_by))
-        old = self._raw() if n else None
+        counts, touched = self._touched(source.withColumns(self.partition_by))
+        old = self._raw() if counts["n"] else None
         new = F.struct(*source.columns)
         if old is None:
             decided = src.select(*self.partition_cols, F.lit("insert").alias("op"),
@@ -243,20 +251,19 @@ class KeyedTable:
         """Brings the table up to the record of a batch; its counts."""
         batches = self._batches()
         decided = self.spark.read.parquet(self._folder(batch_id))
-        counts = {r["op"]: r["count"] for r in decided.groupBy("op").count().collect()}
-        if batch_id >= batches[-1]:  # earlier ones were applied before later ones were decided
-            wins = decided.filter(F.col("op").isin(*CHANGED))
-            n, touched = self._touched(wins)
-            if n:
-                new = wins.select("new.*", *self.partition_cols)
-                old = self._raw()
-                if old is not None:
-                    keys = new.select(*self.key)
-                    keys = F.broadcast(keys) if fits_broadcast(new, self.key, n) else keys
-                    new = self._pruned(old, touched, wins).join(keys, self.key, "left_anti").unionByName(new.select(*old.columns))
-                self._write(new)
-        self.stale = counts.get("stale", 0)
-        return counts.get("insert", 0), counts.get("update", 0) + counts.get("same", 0)
+        wins = F.col("op").isin(*CHANGED)
+        counts, touched = self._touched(decided, {op: F.count_if(F.col("op") == op) for op in (*CHANGED, "same", "stale")}, wins)
+        if batch_id >= batches[-1] and counts["n"]:  # earlier batches were applied before later ones were decided
+            wins = decided.filter(wins)
+            new = wins.select("new.*", *self.partition_cols)
+            old = self._raw()
+            if old is not None:
+                keys = new.select(*self.key)
+                keys = F.broadcast(keys) if fits_broadcast(new, self.key, counts["n"]) else keys
+                new = self._pruned(old, touched, wins).join(keys, self.key, "left_anti").unionByName(new.select(*old.columns))
+            self._write(new)
+        self.stale = counts["stale"]
+        return counts["insert"], counts["update"] + counts["same"]
 
     def changes(self, batch_id: int | None = None) -> DataFrame:
         """``batch_id, op, old, new`` of each row that a batch (or every one)
@@ -279,7 +286,8 @@ class KeyedTable:
         gone = keys.select(*self.key).distinct()
         gone = F.broadcast(gone) if fits_broadcast(gone, self.key, keys_rows) else gone
         hits = old.join(gone, self.key, "left_semi")
-        n, touched = self._touched(hits)
+        counts, touched = self._touched(hits)
+        n = counts["n"]
         if not n:
             return 0
         stay = self._pruned(old, touched, hits).join(gone, self.key, "left_anti")

@@ -30,7 +30,9 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -138,10 +140,14 @@ class MeasurementUpsert:
                     valid = valid.select(*MEASUREMENT_COLUMNS, *self.order)
                     inserts, updates = self.table.upsert(valid, source_rows=total, batch_id=batch_id)
                     stale = getattr(self.table, "stale", 0)
-                    for view in self.views:
-                        view.apply(self.table.changes(batch_id), self.table, batch_id)
+                    # views and quarantine have tables of their own: their jobs run side by side
+                    rest = [lambda v=v: v.apply(self.table.changes(batch_id), self.table, batch_id) for v in self.views]
                     if self.store:
-                        released = self.store.settle(MEASUREMENT_TABLE, checked, ready)
+                        rest.insert(0, lambda: self.store.settle(MEASUREMENT_TABLE, checked, ready))
+                    if rest:
+                        with ThreadPoolExecutor(len(rest)) as pool:
+                            done = [f.result() for f in [pool.submit(inheritable_thread_target(self.spark)(r)) for r in rest]]
+                        released = done[0] if self.store else 0
                 finally:
                     checked.release()
         finally:
