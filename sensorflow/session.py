@@ -93,16 +93,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", codec: str | None = None):
     """Cut lineage: write ``df`` once as a parquet table in the session's
     checkpoint folder (shared on a cluster) and read it back.  Used where one
     parsed input feeds several outputs, so messages are parsed once, and a
     lost executor re-reads the written table instead of replaying the parse.
     (An eager ``checkpoint()`` without ``persist`` would compute the plan
-    twice: once to count, once to write.)"""
+    twice: once to count, once to write.)  ``codec`` names the compression of
+    the files, by default the session's."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 
