@@ -14,6 +14,7 @@ which makes texts without licences cheap.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,7 +70,8 @@ class LicenseIndex:
     def align(self, template: list[int], ids: list[int], diagonal: int) -> tuple[int, int, int]:
         """Matched words and the first and last word of the text matched, by
         the best alignment that leaves the diagonal by ``band`` words at most.
-        Skips cost nothing; of equal alignments the one met first counts."""
+        Skips cost nothing; of equal alignments the one that begins last, and
+        then the one that ends first, counts."""
         width = 2 * self.band + 1
         none = (0, -1, -1)
         above = [none] * (width + 1)
@@ -77,20 +79,24 @@ class LicenseIndex:
             row, left = [], none
             for o in range(width):
                 j = i + diagonal + o - self.band
-                best = left if left[0] > above[o + 1][0] else above[o + 1]  # skip a word of either
+                best = left if left[:2] > above[o + 1][:2] else above[o + 1]  # skip a word of either
                 if 0 <= j < len(ids) and ids[j] == word:
                     matched, first, _ = above[o]
-                    if matched + 1 > best[0]:
-                        best = (matched + 1, first if first >= 0 else j, j)
+                    more = (matched + 1, first if first >= 0 else j, j)
+                    if more[:2] > best[:2]:
+                        best = more
                 row.append(best)
                 left = best
             above = row + [none]
-        return max(above, key=lambda x: x[0])
+        return max(above, key=lambda x: x[:2])
 
     def scan(self, text: str) -> list[tuple]:
         """``template, coverage, matched, words, start, end`` of each match;
-        start and end count code points.  Matches of one template do not
-        overlap: the better covered one counts, of equal ones the first."""
+        start and end count code points.  Matches do not overlap: of those that
+        would, the one with most words matched counts, then the better covered,
+        then the first.  So of look-alikes the one whose own words (such as
+        *Affero* or *Lesser*) are there has the name, and a notice within a
+        header or a first paragraph within a whole text is not told twice."""
         lower = text.lower()
         if len(lower) != len(text):  # a letter whose small form is longer: keep positions
             lower = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
@@ -103,31 +109,36 @@ class LicenseIndex:
                 diagonals.setdefault(name, []).append(at - place)
         if not diagonals:
             return []
-        spans = None
-        out = []
+        hits = []
         for name, found in diagonals.items():
-            template, hits, last = self.templates[name], [], None
+            template, last = self.templates[name], None
             for d in sorted(set(found)):
                 if last is not None and d - last <= self.band // 2:
                     continue  # the band around the last diagonal covers this one
                 last = d
                 matched, first, end = self.align(template, ids, d)
                 if matched >= self.least * len(template):
-                    hits.append((-matched, first, end))
-            taken: list[tuple[int, int]] = []
-            for matched, first, end in sorted(hits):
-                if all(end < a or first > b for a, b in taken):
-                    taken.append((first, end))
-                    spans = spans or [m.span() for m in WORD.finditer(lower)]
-                    out.append((name, -matched / len(template), -matched, len(template),
-                                spans[first][0], spans[end][1]))
+                    hits.append((-matched, -matched / len(template), first, end, name))
+        if not hits:
+            return []
+        spans = [m.span() for m in WORD.finditer(lower)]
+        taken: list[tuple[int, int]] = []  # apart from each other, in order
+        out = []
+        for matched, coverage, first, end, name in sorted(hits):
+            at = bisect(taken, (first, end))
+            if (at and taken[at - 1][1] >= first) or (at < len(taken) and taken[at][0] <= end):
+                continue
+            taken.insert(at, (first, end))
+            out.append((name, -coverage, -matched, len(self.templates[name]), spans[first][0], spans[end][1]))
         return sorted(out, key=lambda x: (x[4], x[5], x[0]))
 
 
 def scan_licenses(df: DataFrame, templates: dict[str, str], text_col: str = "text", out_col: str = "licenses",
                   **options) -> DataFrame:
     """``df`` with ``out_col``: array of the matches in each text, in order of
-    their place.  NULL, empty and wordless texts have none."""
+    their place, which do not overlap.  NULL, empty and wordless texts have none;
+    texts are scanned whole, however long; repeated rows are scanned each; an empty
+    table stays empty."""
     @F.pandas_udf(FOUND)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index = LicenseIndex(templates, **options)

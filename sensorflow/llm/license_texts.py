@@ -1,8 +1,45 @@
-"""Licence templates: notices as they appear in files, and common headers.
+"""Licence templates: notices as they appear in files, headers, first paragraphs
+(``text``, ``conditions``) and whole texts of the short licences.
 
-Fixed values: the wording is what the licences themselves prescribe.
+Fixed values: the wording is what the licences themselves prescribe.  The long
+licences (Apache, the GPL family, MPL, EPL, Creative Commons) are known by the
+notices and headers that they ask for, not by their whole texts.
 """
 
+AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+    "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+    "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+    "DEALINGS IN THE SOFTWARE.")
+MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+    'associated documentation files (the "Software"), to deal in the Software without restriction, including '
+    "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+    "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+    "following conditions: The above copyright notice and this permission notice shall be included in all "
+    "copies or substantial portions of the Software.")
+BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met: Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
+    "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.")
+BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.")
+BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+    "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.")
+
 TEMPLATES = {
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0 header": (
@@ -13,26 +50,67 @@ TEMPLATES = {
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."),
     "MIT notice": "Released under the MIT License.",
-    "MIT text": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        'associated documentation files (the "Software"), to deal in the Software without restriction, including '
-        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-        "following conditions: The above copyright notice and this permission notice shall be included in all "
-        "copies or substantial portions of the Software."),
+    "MIT text": MIT_GRANT,
+    "MIT whole text": f"{MIT_GRANT} {AS_IS}",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "GPL header": (
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
         "(at your option) any later version."),
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
-    "BSD conditions": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met: Redistributions of source code must retain the above copyright "
-        "notice, this list of conditions and the following disclaimer. Redistributions in binary form must "
-        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution."),
-    "ISC text": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "BSD conditions": BSD_CONDITIONS,
+    "BSD-2-Clause whole text": f"{BSD_CONDITIONS} {BSD_DISCLAIMER}",
+    "BSD-3-Clause whole text": f"{BSD_CONDITIONS} {BSD_NAMES} {BSD_DISCLAIMER}",
+    "ISC text": ISC_GRANT,
+    "ISC whole text": (
+        f'{ISC_GRANT} THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY "
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
+        "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    "Unlicense whole text": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author "
+        "or authors of this software dedicate any and all copyright interest in the software to the public domain. We make "
+        "this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend "
+        "this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        f"software under copyright law. {AS_IS.replace(' OR COPYRIGHT HOLDERS', '')}"),
+    "zlib whole text": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. If you use this software in a product, an acknowledgment in the product documentation would "
+        "be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be "
+        "misrepresented as being the original software. This notice may not be removed or altered from any source "
+        "distribution."),
+    "GPL-2.0 header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version."),
+    "LGPL-2.1 header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version."),
+    "LGPL-3.0 header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."),
+    "AGPL-3.0 header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."),
+    "MPL-2.0 header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "EPL-2.0 header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "CC0-1.0 header": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to "
+        "this software to the public domain worldwide. This software is distributed without any warranty."),
+    "CC-BY-4.0 notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0 notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "BSL-1.0 notice": "Distributed under the Boost Software License, Version 1.0.",
 }
