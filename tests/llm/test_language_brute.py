@@ -1,0 +1,111 @@
+"""Language ID against plain loops over all n-grams, words and language sets."""
+
+import collections
+import math
+import re
+import zlib
+
+import pytest
+
+from sensorflow.llm import queries
+
+SF = "/root/testdata/sf0.001"
+ORDER, PENALTY, STEPS, FLOOR = 4, 2.0, 12, -12.0
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def grams(word):
+    word = f"^{word}$"
+    return [word[max(0, i - ORDER + 1): i + 1] for i in range(1, len(word))]
+
+
+class Plain:
+    """Witten-Bell n-gram models, one dictionary a language; no tables, no blocks."""
+
+    def __init__(self, rows):
+        self.languages = sorted({lang for _, lang in rows})
+        self.counts = {lang: collections.Counter() for lang in self.languages}
+        for text, lang in rows:
+            for run in LETTERS.findall(text.lower()):
+                for g in grams(run):
+                    for k in range(1, len(g) + 1):
+                        self.counts[lang][g[-k:]] += 1
+        self.known = set().union(*self.counts.values())
+        self.after = {lang: collections.defaultdict(lambda: [0, 0]) for lang in self.languages}
+        for lang, counts in self.counts.items():
+            for g, n in counts.items():
+                self.after[lang][g[:-1]][0] += n
+                self.after[lang][g[:-1]][1] += 1
+        self.even = 1 / max(1, sum(len(g) == 1 for g in self.known))
+        self.memo = {}
+
+    def probability(self, lang, gram):
+        if not gram:
+            return self.even
+        if gram not in self.known:
+            return self.even
+        total, kinds = self.after[lang][gram[:-1]]
+        return (self.counts[lang][gram] + (kinds + 0.5) * self.probability(lang, gram[1:])) / (total + kinds + 0.5)
+
+    def word(self, chunk):
+        """Log-likelihood of the word in each language less the best, or None without letters."""
+        if chunk not in self.memo:
+            runs = LETTERS.findall(chunk)
+            letters, sums = sum(map(len, runs)), [0.0] * len(self.languages)
+            for run in runs:
+                for g in grams(run):
+                    while len(g) > 1 and g not in self.known:
+                        g = g[1:]
+                    if g in self.known:
+                        for i, lang in enumerate(self.languages):
+                            sums[i] += max(math.log(max(self.probability(lang, g), 1e-30)), FLOOR)
+            weight = min(1.0, 16 / letters) if letters else 0
+            self.memo[chunk] = [(s - max(sums)) * weight for s in sums] if letters else None
+        return self.memo[chunk]
+
+    def mixture(self, text):
+        words = [w for w in map(self.word, (text or "").lower().split()) if w is not None]
+        if not words:
+            return None
+        like, price, size = [[math.exp(x) for x in w] for w in words], PENALTY * math.log(len(words) + 1), len(self.languages)
+
+        def em(allowed):
+            share = [1 / len(allowed) if i in allowed else 0.0 for i in range(size)]
+            for _ in range(STEPS):
+                new = [0.0] * size
+                for p in like:
+                    joint = [a * b for a, b in zip(p, share)]
+                    total = max(sum(joint), 1e-30)
+                    new = [x + j / total for x, j in zip(new, joint)]
+                share = [x / len(like) for x in new]
+            return share, sum(math.log(max(sum(a * b for a, b in zip(p, share)), 1e-30)) for p in like)
+
+        alone = [sum(w[i] for w in words) for i in range(size)]
+        best = [1.0 if i == alone.index(max(alone)) else 0.0 for i in range(size)]
+        value = max(alone)
+        order = sorted(range(size), key=lambda i, full=em(range(size))[0]: -full[i])
+        for k in range(2, size + 1):
+            share, fit = em(order[:k])
+            if fit - (k - 1) * price > value:
+                best, value = share, fit - (k - 1) * price
+        return best
+
+
+def test_query_equals_plain_loops(spark):
+    docs = queries.documents(spark, SF).collect()
+    model = Plain([(d["text"], d["lang"]) for d in docs if d["text"] is not None and d["lang"] is not None
+                   and zlib.crc32(str(d["doc_id"]).encode()) % 4 != 2])
+    got = {r["doc_id"]: r for r in queries.op1_language_id(spark, SF).collect()}
+    assert len(got) == len(docs)
+    mixed = 0
+    for d in docs:
+        want, r = model.mixture(d["text"]), got[d["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2)
+        if want is None:
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        assert r["lang_pred"] == model.languages[want.index(max(want))]
+        assert r["score"] == pytest.approx(max(want), abs=2e-3)
+        assert r["mixture"] == pytest.approx({model.languages[i]: x for i, x in enumerate(want) if x > 0.01}, abs=2e-3)
+        mixed += max(want) < 0.99
+    assert mixed < len(docs)
