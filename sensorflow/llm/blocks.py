@@ -40,6 +40,7 @@ def score_blocks(df: DataFrame, table: DataFrame, text_col: str, out_col: str, o
     arrow_type = to_arrow_type(out_type)
 
     def needed(rows: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()  # what earlier blocks have left
         words: set = set()
         for text in _texts(rows, text_col):
             if text:
@@ -50,6 +51,7 @@ def score_blocks(df: DataFrame, table: DataFrame, text_col: str, out_col: str, o
                         names=["block", "key"])
 
     def score(rows: pa.Table, entries: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         names = entries["key"].to_pylist()
         values = entries["value"].combine_chunks()
         values = np.asarray(values.flatten(), np.float32).reshape(len(names), -1 if names else 0)

@@ -30,7 +30,7 @@ UNDETERMINED = "und"
 STEPS = 12          # EM steps; proportions move by less than a hundredth after about ten
 FLOOR = -12.0       # no n-gram counts for less (natural logarithm)
 LONG_WORD = 16      # a word weighs no more than this many letters
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 200_000  # solved together, in some 30 MB
 WORDS_AT_ONCE = 20_000
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                          StructField("mixture", MapType(StringType(), DoubleType()))])
