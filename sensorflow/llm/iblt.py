@@ -25,6 +25,7 @@ WIDTH = 4            # cells in each of the four rows of a sketch
 PART = 6             # digests of both versions in a part, on average
 RANGE_ROWS = 20_000
 MAX_RANGES = 4096
+CODEC = "zstd"       # of the tables that hold texts and fingerprints
 #: A paragraph is a line; a line of several sentences is cut into them.
 PARAGRAPH_END = r"\\n|(?<=[.!?])\\s+"
 
@@ -98,13 +99,15 @@ def _compare(a: str, b: str, seed: int = 1, width: int = WIDTH) -> str:
             f"transform(filter(rs, x -> NOT x.r.ok), x -> x.w) AS failed))[0]")
 
 
-def differences(df: DataFrame, key: str, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+def differences(df: DataFrame, key: str, pairs: dict[str, tuple[str, str]], spent: tuple = ()) -> DataFrame:
     """``df`` with, for each name of ``pairs`` (two columns of digests), a
     column ``name``: struct of the digests only in the first (``da``) and only
-    in the second (``db``), counted by peeling.  ``key`` must be unique."""
+    in the second (``db``), counted by peeling.  ``key`` must be unique.  ``spent``
+    are tables that only ``df`` reads; they go once it has been written."""
     first = df.select("*", *[F.expr(_compare(a, b)).alias(name) for name, (a, b) in pairs.items()])
     drop = {c for ab in pairs.values() for c in ab}
-    first = materialize(first.drop(*drop), "sketch")
+    first = materialize(first.drop(*drop), "sketch", CODEC)
+    discard(*spent)
     solved, open_, tables, seed, width = [], None, [], 1, WIDTH
     for name in pairs:
         rows = first.select(key, F.lit(name).alias("pair"), F.explode(f"{name}.failed").alias("w"))
@@ -129,7 +132,7 @@ def differences(df: DataFrame, key: str, pairs: dict[str, tuple[str, str]]) -> D
         out = out.select(*df.drop(*drop).columns, *[F.struct(*[
             (F.col(f"{name}.{side}") + F.coalesce(f"{name}_{side}", F.lit(0))).alias(side) for side in ("da", "db")
         ]).alias(name) for name in pairs])
-    out = materialize(out, "differences")
+    out = materialize(out, "differences", CODEC)
     discard(first, open_, *tables)
     return out
 
@@ -168,7 +171,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     share of paragraphs two versions have in common, from peeled sketches.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = number(df.select(F.col(id_col).alias("id"), text.alias("text")), "row")
+    base = number(df.select(F.col(id_col).alias("id"), text.alias("text")), "row", CODEC)
     order = materialize(neighbours(base.select("row", "id", F.char_length("text").cast("long").alias("n"))), "order")
     # One shuffle of the texts serves both sides of the second join.
     dealt = base.join(order, "row").withColumn("n", F.char_length("text").cast("long"))
@@ -181,8 +184,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
                     F.expr(digests("text")).alias("a"), F.expr(digests("edited")).alias("e"), "next_digests")
             .select("*", F.expr(fingerprint("a")).alias("fp"), F.expr(fingerprint("e")).alias("fe"),
                     *[F.size(c).alias(n) for c, n in (("a", "na"), ("e", "ne"), ("next_digests", "nn"))]))
-    found = differences(both, "row", {"edit": ("a", "e"), "next": ("a", "next_digests")})
-    discard(order, base)
+    found = differences(both, "row", {"edit": ("a", "e"), "next": ("a", "next_digests")}, spent=(order, base))
     return found.select(
         F.col("id").alias(id_col), F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"),
         F.col("fp").alias("fingerprint"), F.col("fe").alias("edited_fingerprint"),
