@@ -40,6 +40,7 @@ from sensorflow.session import discard, materialize
 PLACES = 1 << 20
 CHUNK = 2048
 STRAYS, MEMBERS = 256, 4096
+HASHED_WORDS = 150_000  # whose hashes a worker keeps, some 30 MB
 MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 BAND_STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,7 +90,7 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
 
 
 def _word_hashes() -> Memo:
-    return Memo(lambda w: xxh64_intdigest(w))
+    return Memo(lambda w: xxh64_intdigest(w), HASHED_WORDS)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -233,27 +234,18 @@ def _sets(base: DataFrame, shingle: int) -> DataFrame:
         memo = _word_hashes()
         for batch in batches:
             yield pd.DataFrame({"cls": batch["row"], "shingles": [
-                shingle_set(_hashes(_words(t), memo), shingle).tobytes() for t in batch["text"]]})
+                shingle_set(_hashes(_words(t), memo), shingle).view(np.int64) for t in batch["text"]]})
 
-    return base.select("row", "text").mapInPandas(run, "cls long, shingles binary")
-
-
-def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = np.sort(np.concatenate([a, b]))
-    common = int((both[1:] == both[:-1]).sum())
-    return 100 * common >= percent * (len(both) - common)
+    return base.select("row", "text").mapInPandas(run, "cls long, shingles array<long>")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            same = [_linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
-                    for x, y in zip(batch["sa"], batch["sb"])]
-            yield batch.loc[same, ["a", "b"]]
-
+    """Pairs of sets are compared row by row: batches of them for Python would hold
+    two whole sets a pair."""
+    common = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
-            .select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long"))
+            .filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
 
 
 def _strays(buckets: DataFrame, label: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
@@ -284,14 +276,13 @@ def _strays(buckets: DataFrame, label: DataFrame, sets: DataFrame, percent: int)
         top, rest = block[block["stray"]], block[~block["stray"]]
         found = []
         if len(top):
-            size = np.array([len(x) // 8 for x in top["shingles"]])
-            flat = np.frombuffer(b"".join(top["shingles"]), np.uint64)
+            size = np.array([len(x) for x in top["shingles"]])
+            flat = np.concatenate(list(top["shingles"]))
             owner = np.repeat(np.arange(len(top)), size)
             by = np.argsort(flat, kind="stable")
             flat, owner = flat[by], owner[by]
             ids, labels = top["cls"].to_numpy(), top["label"].to_numpy()
-            for cls, lab, raw in zip(rest["cls"], rest["label"], rest["shingles"]):
-                own = np.frombuffer(raw, np.uint64)
+            for cls, lab, own in zip(rest["cls"], rest["label"], rest["shingles"]):
                 lo, hi = np.searchsorted(flat, own), np.searchsorted(flat, own, side="right")
                 runs = hi - lo
                 at = np.repeat(lo - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
