@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import uuid
 from functools import reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -119,26 +120,33 @@ class KeyedTable:
                                .otherwise(F.col(first))).select(*source.columns)
 
     def _touched(self, rows: DataFrame, counts: dict[str, Column] | None = None, only: Column | None = None
-                 ) -> tuple[dict[str, int], dict]:
+                 ) -> tuple[dict[str, int], tuple[dict, int]]:
         """Number of rows (``n``) and other ``counts``; for each partition column the
-        values of the rows (``only`` some), and whether NULL is one.  One job."""
+        values of the rows (``only`` some), and whether NULL is one; how many
+        partitions these rows are in.  One job."""
         def kept(c: Column) -> Column:
             return c if only is None else F.when(only, c)
 
         null = [F.col(c).isNull() & (F.lit(True) if only is None else only) for c in self.partition_cols]
         found = rows.agg(F.count(kept(F.lit(1))).alias("n"), *[c.alias(name) for name, c in (counts or {}).items()],
                          *[F.collect_set(kept(F.col(c))).alias(f"v{i}") for i, c in enumerate(self.partition_cols)],
-                         *[F.count_if(c).alias(f"null{i}") for i, c in enumerate(null)]).first()
+                         *[F.count_if(c).alias(f"null{i}") for i, c in enumerate(null)],
+                         F.size(F.collect_set(kept(F.struct(*self.partition_cols)))).alias("partitions")).first()
         return ({name: found[name] for name in ("n", *(counts or {}))},
-                {c: (sorted(found[f"v{i}"]), found[f"null{i}"] > 0) for i, c in enumerate(self.partition_cols)})
+                ({c: (sorted(found[f"v{i}"]), found[f"null{i}"] > 0) for i, c in enumerate(self.partition_cols)},
+                 found["partitions"]))
 
-    def _pruned(self, old: DataFrame, touched: dict, rows: DataFrame) -> DataFrame:
+    def _pruned(self, old: DataFrame, touched: tuple[dict, int], rows: DataFrame) -> DataFrame:
         """Old rows of the partitions that ``rows`` are in."""
-        for c, (values, null) in touched.items():
+        values_of, partitions = touched
+        for c, (values, null) in values_of.items():
             hit = F.col(c).isin(values) if values else F.lit(False)
             old = old.filter(hit | F.col(c).isNull() if null else hit)
-        # the values' product may hold other partitions
+        if partitions == prod(len(values) + null for values, null in values_of.values()):
+            return old
+        # the values' product holds other partitions; a join that shuffled would move every old row
         here = rows.select(*[F.col(c).alias(f"__here_{c}") for c in self.partition_cols]).distinct()
+        here = F.broadcast(here) if fits_broadcast(here, here.columns, partitions) else here
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__here_{c}")) for c in self.partition_cols])
         return old.join(here, same, "left_semi")
 
@@ -159,8 +167,8 @@ class KeyedTable:
             source = source.select(*[F.col(c).cast(t) for c, t in self.spec.columns], *more)
         if self.changes_path:
             return self._recorded(source, source_rows, batch_id)
-        src = self._once(source).withColumns(self.partition_by)
-        counts, touched = self._touched(source.withColumns(self.partition_by))
+        src, laid = self._once(source).withColumns(self.partition_by), source.withColumns(self.partition_by)
+        counts, touched = self._touched(laid)
         self.stale = 0
         if not counts["n"]:
             return 0, 0
@@ -168,10 +176,10 @@ class KeyedTable:
         if old is None:
             merged = src.withColumns({"__new": F.lit(True), "__hit": F.lit(False), "__out": F.lit(False), "__stale": F.lit(False)})
         elif self.order:
-            merged = self._newer(self._pruned(old, touched, src), src)
+            merged = self._newer(self._pruned(old, touched, laid), src)
         else:
             keys = src.select(*self.key, F.lit(True).alias("__hit"))
-            stay = (self._pruned(old, touched, src).join(keys, self.key, "left")
+            stay = (self._pruned(old, touched, laid).join(keys, self.key, "left")
                     .withColumn("__hit", F.coalesce("__hit", F.lit(False)))
                     .withColumns({"__new": F.lit(False), "__out": F.col("__hit"), "__stale": F.lit(False)}))
             src = src.select(*old.columns).withColumns(
@@ -215,8 +223,8 @@ class KeyedTable:
 
     def _decide(self, source: DataFrame, source_rows: int | None, batch_id: int) -> None:
         """Writes what the batch does to every key it holds, against the table as it is."""
-        src = self._once(source).withColumns(self.partition_by)
-        counts, touched = self._touched(source.withColumns(self.partition_by))
+        src, laid = self._once(source).withColumns(self.partition_by), source.withColumns(self.partition_by)
+        counts, touched = self._touched(laid)
         old = self._raw() if counts["n"] else None
         new = F.struct(*source.columns)
         if old is None:
@@ -226,7 +234,7 @@ class KeyedTable:
             keys = src.select(*self.key)
             if fits_broadcast(source, self.key, source_rows):
                 keys = F.broadcast(keys)
-            hits = self._pruned(old, touched, src).join(keys, self.key, "left_semi").select(
+            hits = self._pruned(old, touched, laid).join(keys, self.key, "left_semi").select(
                 *self.key, F.struct(*source.columns).alias("old"))
             both = src.select(*self.key, *self.partition_cols, new.alias("new")).join(hits, self.key, "left")
             older = ~self._not_older(F.col("new"), F.col("old")) if self.order else F.lit(False)
@@ -285,20 +293,23 @@ class KeyedTable:
             return 0
         gone = keys.select(*self.key).distinct()
         gone = F.broadcast(gone) if fits_broadcast(gone, self.key, keys_rows) else gone
-        hits = old.join(gone, self.key, "left_semi")
-        counts, touched = self._touched(hits)
-        n = counts["n"]
-        if not n:
+        marked = old.join(gone.withColumn("__gone", F.lit(True)), self.key, "left")
+        found = marked.groupBy(*self.partition_cols).agg(F.count("__gone").alias("__hits"), F.count(F.lit(1)).alias("__all")).filter(
+            "__hits > 0").collect()  # partitions, not rows
+        if not found:
             return 0
-        stay = self._pruned(old, touched, hits).join(gone, self.key, "left_anti")
-        emptied = hits.select(*self.partition_cols).distinct().exceptAll(
-            stay.select(*self.partition_cols).distinct()).collect()  # partitions, not rows
-        self._write(stay)
+        emptied = [r for r in found if r["__hits"] == r["__all"]]
+        some = [r for r in found if r["__hits"] < r["__all"]]
+        if some:
+            values_of = {c: (sorted({r[c] for r in some} - {None}), any(r[c] is None for r in some)) for c in self.partition_cols}
+            here = self.spark.createDataFrame([tuple(r[c] for c in self.partition_cols) for r in some],
+                                              old.select(*self.partition_cols).schema)
+            self._write(self._pruned(old, (values_of, len(some)), here).join(gone, self.key, "left_anti"))
         for row in emptied:
             fs, path = hadoop_path(self.spark, "/".join([self.path, *(
                 f"{c}={'__HIVE_DEFAULT_PARTITION__' if row[c] is None else row[c]}" for c in self.partition_cols)]))
             fs.delete(path, True)
-        return n
+        return sum(r["__hits"] for r in found)
 
 
 class VersionedTable:

@@ -133,3 +133,31 @@ def test_delete_empties_partitions(spark):
     assert kt.delete(spark.createDataFrame([(9, day(9))], "k long, day date")) == 0
     assert kt.delete(spark.createDataFrame([(3, day(1))], "k long, day date")) == 1
     assert rows_of(kt) == [(1, None, "a")]
+
+
+def test_touched_partitions_are_read_without_moving_old_rows(spark, tmp_path):
+    """No join where the batch touches every partition that its values span; else a
+    broadcast of the partitions."""
+    from pyspark.sql import functions as F
+
+    from sensorflow.sources.keyed_table import KeyedTable
+    table = KeyedTable(spark, str(tmp_path / "t"), "k", partition_by={
+        "tens": (F.col("k") / 10).cast("int"), "odd": F.col("k") % 2})
+    first = spark.createDataFrame([(k, "a") for k in range(40)] + [(None, "n")], "k long, v string")
+    assert table.upsert(first) == (41, 0)
+
+    def pruned(keys):
+        rows = spark.createDataFrame([(k,) for k in keys], "k long").withColumns(table.partition_by)
+        found = table._pruned(table._raw(), table._touched(rows)[1], rows)
+        return {r["k"] for r in found.collect()}, found._jdf.queryExecution().optimizedPlan().toString()
+
+    rows, plan = pruned([0, 1, 10, 11])
+    assert rows == set(range(20)) and "Join" not in plan
+    rows, plan = pruned([0, 11])
+    assert rows == {*range(0, 10, 2), *range(11, 20, 2)} and "strategy=broadcast" in plan
+    assert pruned([None, 4])[0] == {None, 0, 2, 4, 6, 8}
+    gone = [0, 2, 4, 6, 8, 11, 30]  # a whole partition, parts of two others
+    assert table.delete(spark.createDataFrame([(k,) for k in [*gone, 99, None]], "k long")) == 7
+    assert {r["k"] for r in table.read().collect()} == {None, *range(40)} - set(gone)
+    assert not (tmp_path / "t" / "tens=0" / "odd=0").exists()
+    assert table.delete(spark.createDataFrame([(99,)], "k long")) == 0
