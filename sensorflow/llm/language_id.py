@@ -16,14 +16,16 @@ table; texts are scored in blocks that meet only the entries they look up
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, MapType, StringType, StructField, StructType
 
 from sensorflow.llm.blocks import score_blocks
-from sensorflow.llm.chargrams import LETTERS, count_grams, grams
+from sensorflow.llm.chargrams import LETTERS, count_grams, numbered_grams, portions, spelled
 from sensorflow.session import discard, materialize
 
 UNDETERMINED = "und"
@@ -31,7 +33,6 @@ STEPS = 12          # EM steps; proportions move by less than a hundredth after
 FLOOR = -12.0       # no n-gram counts for less (natural logarithm)
 LONG_WORD = 16      # a word weighs no more than this many letters
 BLOCK_WORDS = 200_000  # solved together, in some 30 MB
-WORDS_AT_ONCE = 20_000
 PREDICTION = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                          StructField("mixture", MapType(StringType(), DoubleType()))])
 
@@ -46,43 +47,44 @@ class FittedLanguages:
     penalty: float
 
 
-@dataclass
 class LanguageModel:
-    """The part of the log-probabilities that some texts need: ``rows[gram]`` is a
-    row of ``values``, which has one value a language and a last row of zeros."""
-
-    languages: list[str]
-    rows: dict[str, int]
-    values: np.ndarray
-    order: int
-    penalty: float
+    """The part of the log-probabilities that some texts need: of each of ``names``
+    a row of ``values``, one value a language.  With a gram its endings are there."""
+
+    def __init__(self, languages: list[str], names: list[str], values: np.ndarray, order: int, penalty: float):
+        self.languages, self.order, self.penalty = languages, order, penalty
+        self.values = np.concatenate([np.zeros((1, len(languages)), np.float32), values])  # row 0: nothing found
+        rows = dict(zip(names, range(1, len(names) + 1)))
+        rows[""] = 0
+        # a gram is told by its first letter and the row of the rest
+        self.steps = pd.Index(np.fromiter((ord(g[0]) << 32 | rows[g[1:]] for g in names), np.int64, len(names)))
+
+    def _rows(self, points: np.ndarray) -> np.ndarray:
+        """Of each letter and word end (``spelled``) the row of the longest gram
+        that ends there, 0 if there is none."""
+        at = np.flatnonzero(points != ord("^"))
+        out = np.zeros(len(at), np.int64)
+        live = np.arange(len(at))
+        for k in range(self.order):  # no gram has a word end before its last symbol, so none leaves its word
+            found = self.steps.get_indexer(points[at[live] - k] << 32 | out[live])
+            live, found = live[found >= 0], found[found >= 0]
+            out[live] = found + 1
+        return out
 
     def words(self, chunks: list[str]) -> np.ndarray:
         """Log-likelihood of each word in each language less that in the best;
         NaN if the word has no letters."""
-        rows, order, at, starts, weights, lettered = self.rows, self.order, [], [], [], []
-        for k, chunk in enumerate(chunks):
-            letters, start = 0, len(at)
-            for run in LETTERS.findall(chunk):
-                letters += len(run)
-                for gram in grams(run, order):
-                    row = rows.get(gram)
-                    while row is None and len(gram) > 1:  # back off to a shorter history
-                        gram = gram[1:]
-                        row = rows.get(gram)
-                    if row is not None:
-                        at.append(row)
-            if letters:
-                if len(at) == start:
-                    at.append(-1)
-                starts.append(start)
-                weights.append(min(1.0, LONG_WORD / letters))
-                lettered.append(k)
+        found = list(map(LETTERS.findall, chunks))
+        runs = np.fromiter(map(len, found), np.int64, len(found))
+        lettered = np.flatnonzero(runs)
         out = np.full((len(chunks), len(self.languages)), np.nan, np.float32)
-        if lettered:
-            total = np.add.reduceat(self.values[at], starts, axis=0)
+        if len(lettered):
+            at = self._rows(spelled(list(chain.from_iterable(found))))
+            runs, letters = runs[lettered], np.array([sum(map(len, found[k])) for k in lettered.tolist()])
+            ends = np.cumsum(letters + runs)  # each letter and each run's end has a row
+            total = np.add.reduceat(self.values[at], ends - letters - runs, axis=0)
             total -= total.max(axis=1, keepdims=True)
-            out[lettered] = total * np.array(weights, np.float32)[:, None]
+            out[lettered] = total * np.minimum(1.0, LONG_WORD / letters).astype(np.float32)[:, None]
         return out
 
 
@@ -186,6 +188,14 @@ def infer(model: LanguageModel, words: np.ndarray, starts: np.ndarray) -> np.nda
     return best
 
 
+class _Numbers(dict):
+    """``numbers[word]`` is how many other words were asked for before it."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def predict(df: DataFrame, model: FittedLanguages, text_col: str = "text", out_col: str = "lang_mix") -> DataFrame:
     """``df`` with ``out_col`` added or replaced: struct of ``lang_pred`` (largest proportion;
     of equal ones the first in alphabetical order), ``score`` (that proportion)
@@ -198,44 +208,40 @@ def predict(df: DataFrame, model: FittedLanguages, text_col: str = "text", out_c
     languages, order, penalty = model.languages, model.order, model.penalty
 
     def keys(runs: set) -> set:
-        level: set = set()
-        for run in runs:
-            level.update(grams(run, order))
-        found = set(level)
-        while level:  # endings of endings
-            level = {g[1:] for g in level if len(g) > 1}
-            found |= level
+        runs, found = list(runs), set()
+        for part in portions(runs):
+            found.update(numbered_grams(runs[part], order)[0][1:])
         return found
 
     def scorer(names: list, values: np.ndarray):
-        rows = dict(zip(names, range(len(names))))
+        m = LanguageModel(languages, names, values.reshape(-1, len(languages)), order, penalty)
         names.clear()
-        values = np.concatenate([values.reshape(-1, len(languages)), np.zeros((1, len(languages)), np.float32)])
-        m = LanguageModel(languages, rows, values, order, penalty)
 
         def run(texts: list) -> list:
             preds = [(UNDETERMINED, 0.0, [])] * len(texts)
-            index: dict[str, int] = {}  # word to row of the table
+            index = _Numbers()  # word to row of the table
             table = np.empty((BLOCK_WORDS // 4, len(languages)), np.float32)
 
             def solve(docs: list[tuple[int, list[str]]]) -> None:
                 nonlocal table
-                new = list(set().union(*[words for _, words in docs]) - index.keys())
-                first, last = len(index), len(index) + len(new)
+                first = len(index)
+                counts = [len(words) for _, words in docs]
+                at = np.fromiter(map(index.__getitem__, chain.from_iterable(words for _, words in docs)),
+                                 np.int64, sum(counts))
+                new, last = list(islice(index, first, None)), len(index)
                 if last > len(table):  # by half as much again, so that it is copied seldom
                     table = np.resize(table, (max(last, len(table) * 3 // 2), len(languages)))
-                for lo in range(0, len(new), WORDS_AT_ONCE):
-                    part = new[lo: lo + WORDS_AT_ONCE]
-                    table[first + lo: first + lo + len(part)] = m.words(part)
-                index.update(zip(new, range(first, last)))
-                found = [table[list(map(index.__getitem__, words))] for _, words in docs]
-                found = [x[~np.isnan(x[:, 0])] for x in found]
-                sizes = np.array([len(x) for x in found])
+                for part in portions(new):
+                    table[first + part.start: first + part.stop] = m.words(new[part])
+                found = table[at]
+                lettered = ~np.isnan(found[:, 0])
+                starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+                sizes = np.add.reduceat(lettered, starts, dtype=int)
                 kept = np.flatnonzero(sizes)
                 if not len(kept):
                     return
                 starts = np.concatenate([[0], np.cumsum(sizes[kept])[:-1]]).astype(int)
-                for k, x in zip(kept, infer(m, np.concatenate([found[k] for k in kept]), starts)):
+                for k, x in zip(kept, infer(m, found[lettered], starts)):
                     best = int(x.argmax())
                     preds[docs[k][0]] = (languages[best], float(min(1.0, x[best])),
                                          [(languages[j], float(x[j])) for j in np.flatnonzero(x > 0.01)])
