@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, StructField, StructType
 
 from sensorflow.llm.chargrams import LETTERS
+from sensorflow.session import bound_batches
 
 BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 4 << 20  # a piece that has reached this ends
@@ -38,6 +39,7 @@ def score_blocks(df: DataFrame, table: DataFrame, text_col: str, out_col: str, o
 
     ``df`` must give the same rows when read again, in any order.  Rows equal
     in every column share a block."""
+    bound_batches(df.sparkSession)
     size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
     block = F.pmod(F.xxhash64(*hashed), F.lit(1 + size // BLOCK_BYTES)).cast("int")
@@ -102,6 +104,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size += part.nbytes
     if held:
         yield piece()
+    pa.default_memory_pool().release_unused()
 
 
 def _rows(pieces: pa.Table) -> pa.ChunkedArray:

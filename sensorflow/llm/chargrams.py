@@ -8,9 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.session import bound_batches
+
 LETTERS = re.compile(r"[^\W\d_]+")
 CACHE_WORDS = 700_000  # some 150 MB of keys and values in a worker
 LONGEST_KEY = 64
@@ -103,7 +106,9 @@ def count_grams(rows: DataFrame, text_col: str, label_col: str, order: int) -> D
             if sum(map(len, words.values())) > CACHE_WORDS:
                 yield flush()
         yield flush()
+        pa.default_memory_pool().release_unused()
 
+    bound_batches(rows.sparkSession)
     kind = rows.schema[label_col].dataType.simpleString()
     return (rows.select(F.col(label_col).alias("label"), F.col(text_col).alias("text"))
             .filter("label IS NOT NULL AND text IS NOT NULL")

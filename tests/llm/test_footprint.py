@@ -3,9 +3,13 @@
 import os
 
 import numpy as np
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from sensorflow.llm import iblt
+from sensorflow.llm import blocks, iblt
+from sensorflow.llm.chargrams import count_grams
 from sensorflow.llm.near_dedup import _confirm, _sets
+from sensorflow.session import ARROW_BYTES, BATCH_BYTES
 
 
 def test_texts_of_fingerprints_go_before_the_last_table(spark, monkeypatch):
@@ -47,3 +51,33 @@ def test_pairs_of_sets_are_confirmed_without_python(spark):
     assert edge.count() == 1
     plan = edge._jdf.queryExecution().executedPlan().toString()
     assert "MapIn" not in plan and "Python" not in plan
+
+
+def test_texts_cross_to_python_in_small_batches(spark, monkeypatch):
+    """A partition of 16 MB of text would otherwise be one batch."""
+    pieces = blocks._pieces
+
+    def watched(batches):
+        def small():
+            for batch in batches:
+                assert batch.nbytes <= 1.1 * BATCH_BYTES, batch.nbytes
+                yield batch
+        return pieces(small())
+
+    monkeypatch.setattr(blocks, "_pieces", watched)
+    session = spark.newSession()
+    docs = session.range(0, 8000, 1, 1).select("id", F.repeat(F.lit("words of "), 230).alias("text"))
+    table = session.createDataFrame([("o", [1.0])], "key string, value array<float>")
+    found = blocks.score_blocks(docs, table, "text", "out", LongType(), lambda runs: {"o"},
+                                lambda names, values: lambda texts: [len(t) for t in texts])
+    assert [tuple(r) for r in found.groupBy("out").count().collect()] == [(2070, 8000)]
+
+
+def test_counting_bounds_batches_unless_the_session_does(spark):
+    for bound, want in ((None, str(BATCH_BYTES)), ("1m", "1m")):
+        session = spark.newSession()
+        if bound:
+            session.conf.set(ARROW_BYTES, bound)
+        rows = session.createDataFrame([("aa", "x"), ("a", "x")], "text string, lang string")
+        assert {r["gram"]: r["n"] for r in count_grams(rows, "text", "lang", 1).collect()} == {"a": 3, "$": 2}
+        assert session.conf.get(ARROW_BYTES) == want
